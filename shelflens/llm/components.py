@@ -17,7 +17,7 @@ def _state(edges: DataFrame):
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
-    """node, root (the smallest node it reaches) of every node of `edges` (a, b).
+    """node, root (the smallest node it reaches) of every node of `edges` (a, b) but the roots themselves.
 
     Alternates large-star and small-star steps, each a group minimum and a join, until the links no longer change: every
     node then hangs on its root. The number of rounds grows with the logarithm of the longest path. Each round is

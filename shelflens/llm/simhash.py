@@ -74,7 +74,7 @@ def forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
         todo, rest = [rest[0]], rest[1:]
         while todo and len(rest):
             node = todo.pop()
-            near = np.bitwise_count(rest ^ node) <= distance
+            near = np.bitwise_count((rest ^ node).view(np.uint64)) <= distance  # of a signed number it counts the magnitude's bits
             if near.any():
                 reached = rest[near]
                 rest = rest[~near]
@@ -160,7 +160,7 @@ def near_duplicates(docs: DataFrame, distance: int = 4) -> DataFrame:
 def keep_one(docs: DataFrame, distance: int = 4) -> DataFrame:
     """The rows of `docs`, all columns kept, of which one stays for each component: that of its smallest doc_id.
 
-    Of rows that repeat that doc_id one stays, whichever is equal first by text; rows without any doc_id all stay.
+    Rows that repeat that doc_id and its text are one as well; rows without a doc_id all stay.
     """
     found = near_duplicates(docs, distance)
     gone = save(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "simhash-gone")
@@ -170,4 +170,4 @@ def keep_one(docs: DataFrame, distance: int = 4) -> DataFrame:
         return kept
     again = save(again.select(F.col("doc_id").alias("_again")), "simhash-again")
     twice = kept.join(again, kept["doc_id"] == again["_again"], "left_semi")
-    return kept.join(again, kept["doc_id"] == again["_again"], "left_anti").unionByName(twice.dropDuplicates(["doc_id"]))
+    return kept.join(again, kept["doc_id"] == again["_again"], "left_anti").unionByName(twice.dropDuplicates(["doc_id", "text"]))
