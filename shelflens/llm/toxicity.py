@@ -1,9 +1,10 @@
 """Toxicity by maximum-scoring segments of token log-odds.
 
-Tokens are hashed to a fixed number of buckets. A bucket's score is its log-odds between toxic and clean labelled
-documents under a Dirichlet prior in proportion to the counts of the whole corpus, less its own uncertainty and a
-small drift, so that a run of ordinary words scores below zero. One pass over a text finds every maximal positive
-segment. The best segments' score, set against the extreme-value (Gumbel) law that clean labelled texts of that
+A word counts as three tokens, itself and two prefixes that stand for its stem, hashed to a fixed number of buckets. A
+bucket's score is the log-odds of a document holding it between toxic and clean labelled documents, under a Dirichlet
+prior in proportion to the documents of the whole corpus that hold it, drawn towards zero by its own uncertainty. A
+word scores as its surest token, once in a text, less a small drift, so that a run of ordinary words scores below
+zero. One pass over a text finds every maximal positive segment. The best segments' score, set against the extreme-value (Gumbel) law that clean labelled texts of that
 length follow, is turned into a probability by a logistic curve.
 """
 
@@ -15,12 +16,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, slices, text_bytes, token_bucket
+from .common import PUNCTUATION, Memo, slices, text_bytes
 
-BUCKETS = 1 << 18
+BITS = 19
+BUCKETS = 1 << BITS
+PREFIXES = (7, 5)
 SLICES = 16
 #: Rows of `counts`: all documents, then clean and toxic ones of either fold.
 ALL, GROUPS = 0, 5
@@ -28,8 +32,8 @@ ALL, GROUPS = 0, 5
 
 @dataclass(frozen=True)
 class Params:
-    max_train: int = 20_000  #: labelled documents to learn from, at most; the rest of the labels is not read
-    prior: float = 2_000.0  #: words that the Dirichlet prior counts for
+    max_train: int = 40_000  #: labelled documents to learn from, at most; the rest of the labels is not read
+    prior: float = 20_000.0  #: tokens that the Dirichlet prior counts for
     z: float = 1.64  #: standard errors by which log-odds are drawn towards zero
     drift: float = 0.05  #: taken from each word's score
     p_value: float = 0.01  #: of a segment that is reported as a toxic passage
@@ -79,35 +83,55 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
     return [(a, b, r - l) for a, b, l, r, _ in found]
 
 
-def _buckets(text: bytes, memo: Memo) -> np.ndarray:
+def tokens_of(word: bytes) -> int:
+    """The buckets of a word and of its prefixes, lower-cased and without punctuation at its ends, in one number."""
+    token, out = word.decode("utf-8", "replace").lower().strip(PUNCTUATION.decode()), 0
+    for i, n in enumerate((None, *PREFIXES)):
+        out |= (xxhash.xxh64_intdigest(token[:n].encode(), 11) % BUCKETS) << (BITS * i)
+    return out
+
+
+def _words(text: bytes, memo: Memo) -> np.ndarray:
     words = text.split()
     return np.fromiter(map(memo.__getitem__, words), np.int64, len(words))
 
 
+def _buckets(words: np.ndarray) -> np.ndarray:
+    return words[:, None] >> (BITS * np.arange(1 + len(PREFIXES))) & (BUCKETS - 1)
+
+
+def word_scores(words: np.ndarray, weights: np.ndarray, drift: float) -> np.ndarray:
+    odds = weights[_buckets(words)]
+    score = np.take_along_axis(odds, np.abs(odds).argmax(1)[:, None], 1)[:, 0].astype(float)
+    once = np.zeros(len(words), bool)
+    once[np.unique(words, return_index=True)[1]] = True
+    return np.where(once | (score < 0), score, 0) - drift
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memo, counts = Memo(token_bucket(BUCKETS)), np.zeros((GROUPS, BUCKETS), np.int64)
+    memo, counts = Memo(tokens_of), np.zeros((GROUPS, BUCKETS), np.int32)
     for batch in slices(batches):
         for text, label, fold in zip(text_bytes(batch["text"]), batch["label"].to_pylist(), batch["fold"].to_pylist(), strict=True):
-            found, n = np.unique(_buckets(text, memo), return_counts=True)
-            counts[ALL, found] += n
+            found = np.unique(_buckets(np.unique(_words(text, memo))))
+            counts[ALL, found] += 1
             if label is not None:
-                counts[1 + 2 * fold + label, found] += n
+                counts[1 + 2 * fold + label, found] += 1
     part = counts.reshape(GROUPS * SLICES, -1)
     keep = [i for i in range(len(part)) if part[i].any()]
     yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int32()), pa.array([part[i].tobytes() for i in keep], pa.binary())], ["slice", "counts"])
 
 
 def _add(rows: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x.as_py(), np.int64) for x in rows["counts"])
+    total = sum(np.frombuffer(x.as_py(), np.int32).astype(np.int64) for x in rows["counts"])
     return pa.table([rows["slice"][:1], pa.array([total.tobytes()], pa.binary())], ["slice", "counts"])
 
 
 def log_odds(clean: np.ndarray, toxic: np.ndarray, corpus: np.ndarray, p: Params) -> np.ndarray:
     prior = p.prior * corpus / max(corpus.sum(), 1) + 1e-9
     a, b = toxic + prior, clean + prior
-    odds = np.log(a / (a.sum() - a + 1e-9)) - np.log(b / (b.sum() - b + 1e-9))
+    odds = np.log(a / a.sum()) - np.log(b / b.sum())
     sure = np.maximum(np.abs(odds) - p.z * np.sqrt(1 / a + 1 / b), 0) * np.sign(odds)
-    return (sure - p.drift).astype(np.float32)
+    return sure.astype(np.float32)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, p: Params) -> DataFrame:
@@ -135,14 +159,14 @@ def _best(found: list[tuple[int, int, float]], scale: float) -> float:
     return top + scale * math.log(sum(math.exp((x[2] - top) / scale) for x in found))
 
 
-def _samples(weights: np.ndarray):
+def _samples(weights: np.ndarray, drift: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(token_bucket(BUCKETS))
+        memo = Memo(tokens_of)
         for batch in slices(batches):
             rows = [
-                (label, len(found), _best(segments(weights[1 - fold][found]), 1.0))
+                (label, len(found), _best(segments(word_scores(found, weights[1 - fold], drift)), 1.0))
                 for text, label, fold in zip(text_bytes(batch["text"]), batch["label"].to_pylist(), batch["fold"].to_pylist(), strict=True)
-                for found in [_buckets(text, memo)]
+                for found in [_words(text, memo)]
             ]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.float64()))], ["label", "words", "best"])
 
@@ -176,9 +200,14 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
     clean, toxic = counts[[1, 3]], counts[[2, 4]]
     weights = np.stack([log_odds(clean[i], toxic[i], counts[ALL], p) for i in (0, 1)] + [log_odds(clean.sum(0), toxic.sum(0), counts[ALL], p)])
     shared = docs.sparkSession.sparkContext.broadcast(weights)
-    sample = known.where("label is not null").select("text", "label", "fold").mapInArrow(lambda it: _samples(shared.value)(it), "label int, words long, best double").toPandas()
+    sample = known.where("label is not null").select("text", "label", "fold").mapInArrow(lambda it: _samples(shared.value, p.drift)(it), "label int, words long, best double").toPandas()
     y, n, best = sample["label"].to_numpy(float), np.maximum(sample["words"].to_numpy(float), 1), sample["best"].to_numpy(float)
     shared.unpersist()
+    return calibrate(weights, y, n, best, p)
+
+
+def calibrate(weights: np.ndarray, y: np.ndarray, n: np.ndarray, best: np.ndarray, p: Params) -> Model:
+    """The Gumbel law of clean texts' best segments and the logistic curve, from labels, lengths and scores that no document's own label has shaped."""
     if not 0 < y.sum() < len(y):
         share = float(y.mean()) if len(y) else 0.0
         return Model(weights, 1.0, 0.0, 0.0, math.log((share + 1e-6) / (1 - share + 1e-6)), p)
@@ -191,11 +220,11 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
 
 
 def _score(model: Model, passages: bool):
-    weights, names = model.weights[2], ["score", "predicted", "passages"]
+    weights, drift, names = model.weights[2], model.params.drift, ["score", "predicted", "passages"]
 
     def one(text: bytes, memo: Memo) -> tuple[float, list]:
-        found = _buckets(text, memo)
-        cuts = segments(weights[found])
+        found = _words(text, memo)
+        cuts = segments(word_scores(found, weights, drift))
         score = model.score(_best(cuts, 1.0), len(found))
         if not passages:
             return score, []
@@ -203,7 +232,7 @@ def _score(model: Model, passages: bool):
         return score, [{"start": a, "end": b, "score": s} for a, b, s in cuts if model.surprise(s, len(found)) >= limit]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = Memo(token_bucket(BUCKETS))
+        memo = Memo(tokens_of)
         for batch in slices(batches):
             rows = [one(text, memo) for text in text_bytes(batch["_text"])]
             score = pa.array([r[0] for r in rows], pa.float64())
