@@ -1,5 +1,175 @@
-"""Queries on the test tables."""
+"""The operators on the test tables, by name. Doubles are rounded to six places."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+import tempfile
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from .functions.text import jaccard, normalize_nulls
+from .operators import category as C
+from .operators import cooccurrence as R
+from .operators import geo, lists, profile, rank, search
+from .plans.views import view
+from .sources import tables
+from .streaming import events as stream
+
+Query = Callable[[SparkSession, str], DataFrame]
+EVENTS_AS_OF, ORDERS_AS_OF = "2024-01-31", "2001-08-01"
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+def _on(f: Callable[..., DataFrame], *views: str) -> Query:
+    return lambda spark, sf_dir: rounded(f(*[view(spark, sf_dir, v) for v in views]))
+
+
+def _ratings(events: DataFrame) -> DataFrame:
+    return R.implicit_ratings(events, EVENTS_AS_OF)
+
+
+def _metrics(goods: DataFrame, orders: DataFrame, events: DataFrame) -> DataFrame:
+    return search.goods_metrics(goods, orders, events, ORDERS_AS_OF)
+
+
+def _feed(goods: DataFrame) -> DataFrame:
+    return goods.select("goods", "product", "brand", F.col("level1").alias("category"), (F.col("goods") * 7 % 1000).alias("started"))
+
+
+def _own(goods: DataFrame) -> DataFrame:
+    return goods.where("goods % 2 = 0")
+
+
+def _other(goods: DataFrame) -> DataFrame:
+    return goods.where("goods % 2 = 1")
+
+
+def _conversion(events: DataFrame) -> DataFrame:
+    """Clicked goods stand for recommended ones."""
+    return lists.rec_conversion(events.where("behavior = 1000"), events.where("behavior = 2000")).withColumn("day", F.col("day").cast("string"))
+
+
+def _latest_price(orders: DataFrame) -> DataFrame:
+    w = Window.partitionBy("goods").orderBy(F.col("sale_time").desc(), F.col("order_no").desc(), F.col("line").desc())
+    return orders.withColumn("n", F.row_number().over(w)).where("n = 1").select("goods", "sale_time", "price")
+
+
+def _running(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stream.drain(stream.running_count(stream.file_source(spark, sf_dir, "events"), "event_type"), tempfile.mkdtemp(prefix="spark-"))
+
+
+def _sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = stream.sliding_count(stream.file_source(spark, sf_dir, "events"), "ts", "event_type", "2 hours", "1 hour")
+    return stream.drain(counted, tempfile.mkdtemp(prefix="spark-")).select(F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "event_type", "count")
+
+
+def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stop = spark.sql("SELECT explode(array('the', 'and', 'of')) AS word")
+    return stream.drain(stream.word_count(stream.file_source(spark, sf_dir, "conversations"), stop, "text"), tempfile.mkdtemp(prefix="spark-"))
+
+
+def _upserted(goods: DataFrame) -> DataFrame:
+    new = goods.where("goods % 10 = 0").select("goods", (F.col("price") * 2).alias("price"), "brand")
+    return tables.upsert(goods.select("goods", "price", "brand"), new, ["goods"])
+
+
+def _updated(goods: DataFrame) -> DataFrame:
+    return tables.update_columns(goods.select("goods", "price", "brand"), goods.where("goods % 10 = 0").select("goods", (F.col("price") * 2).alias("price")), ["goods"], ["price"])
+
+
+QUERIES: dict[str, Query] = {
+    # relational parts
+    "p4_missing_values": _on(lambda c: c.select("c_custkey", normalize_nulls(F.when(F.col("c_custkey") % 3 == 0, "NULL").when(F.col("c_custkey") % 3 == 1, "").otherwise(F.col("c_mktsegment"))).alias("segment")).dropna(subset=["segment"]), "customer"),
+    "j3_left_join_default": _on(lambda c, o: c.select("c_custkey").join(o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n")), "c_custkey", "left").fillna(0, ["n"]), "customer", "orders"),
+    "j10_anti_join": _on(lambda c, o: c.join(o.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey"), "customer", "orders"),
+    "j11_semi_join": _on(lambda p, e: p.join(e.select("goods"), p["p_partkey"] == e["goods"], "left_semi").select("p_partkey"), "part", "v_events"),
+    "a3_count_distinct": _on(lambda o: o.groupBy("store").agg(F.count_distinct("member").alias("members"), F.count_distinct("goods").alias("goods"), F.count_distinct("order_no").alias("orders")), "v_orders"),
+    "a9_median": _on(lambda o: o.groupBy("brand").agg(F.median("price").alias("median_price")), "v_orders"),
+    "a10_positional_quantiles": _on(lambda g: rank.positional_quantile(g, ["level1"], "price", [2, 4, 6, 8]), "v_goods"),
+    "a11_deviation": _on(lambda o: o.groupBy("goods").agg(F.count("*").alias("n"), F.stddev_pop("price").alias("deviation")).where("n >= 5 AND deviation > 1e-9"), "v_orders"),
+    "a14_correlation": _on(lambda o: o.groupBy("level1").agg(F.corr("price", "qty").alias("c")).select("level1", F.when(F.col("c").between(0, 1), F.col("c")).otherwise(0.0).alias("correlation")), "v_orders"),
+    "a15_listed": _on(lambda g: lists.joined(g.where("goods < 500"), ["brand"], "goods", "goods"), "v_goods"),
+    "w1_top_k": _on(lambda o: rank.top_k(o.groupBy("store", "goods").agg(F.sum("amount").alias("sales")), ["store"], [F.round("sales", 4).desc(), F.col("goods")], 5), "v_orders"),
+    "w4_dense_rank": _on(lambda g: rank.dense_rank_desc(g.groupBy("level2").agg(F.count("*").alias("n")), "n"), "v_goods"),
+    "w5_pareto": _on(lambda o: rank.pareto_count(o.groupBy("level1", "goods").agg(F.sum("qty").alias("units")), ["level1"], "goods", "units", 0.8), "v_orders"),
+    "w9_share": _on(lambda o: o.groupBy("region", "district").agg(F.sum("amount").alias("sales")).withColumn("share", rank.share(F.col("sales"), ["region"])), "v_orders"),
+    "w12_latest": _on(_latest_price, "v_orders"),
+    "w13_minmax": _on(lambda g: g.select("goods", rank.minmax(F.col("price"), ["level2"]).alias("scaled")), "v_goods"),
+    "u2_fused_scores": _on(lambda e, o: e.groupBy("goods").agg(F.count("*").cast("double").alias("score")).unionByName(o.groupBy("goods").agg(F.sum("qty").alias("score"))).groupBy("goods").agg(F.sum("score").alias("score")), "v_events", "v_orders"),
+    "u4_except": _on(lambda c, o: c.select(F.col("c_custkey").alias("id")).subtract(o.select(F.col("o_custkey").alias("id"))), "customer", "orders"),
+    "f1_jaccard": _on(lambda n: n.alias("a").join(n.alias("b"), F.expr("a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey")).select(F.col("a.n_name").alias("a"), F.col("b.n_name").alias("b"), jaccard(F.col("a.n_name"), F.col("b.n_name")).alias("score")), "nation"),
+    "s15_upsert": _on(_upserted, "v_goods"),
+    "s16_update_columns": _on(_updated, "v_goods"),
+    "s18_delete_keys": _on(lambda g: tables.delete_keys(g.select("goods", "brand"), g.where("sale_status = 0"), ["goods"]), "v_goods"),
+    # category tree
+    "g1_explode_levels": _on(lambda g, d: C.explode_levels(g, d).groupBy("level_no", "node", "path").agg(F.count("*").alias("n")), "v_goods", "v_category_dim"),
+    "g2_parent_child": _on(C.parent_child, "v_category_dim"),
+    "g3_nearest_ancestor": _on(C.nearest_ancestor, "v_category_dim"),
+    # recommendation lists
+    "r1_also_viewed": _on(R.also_viewed, "v_events"),
+    "r2_view_then_buy": _on(R.view_then_buy, "v_events"),
+    "r3_also_bought": _on(R.also_bought, "v_events"),
+    "r4_category_also_bought": _on(R.category_also_bought, "v_events"),
+    "r5_viewed_not_bought": _on(lists.viewed_not_bought, "v_events"),
+    "r6_purchase_history": _on(lists.purchase_history, "v_events"),
+    "r7_hot_sale": _on(lambda o: lists.hot_sale(o, ORDERS_AS_OF), "v_orders"),
+    "r8_daypart_top": _on(lists.daypart_top_categories, "v_events"),
+    "r9_new_arrivals": _on(lambda g: lists.new_arrivals(_feed(g)), "v_goods"),
+    "r10_category_goods": _on(lambda g: lists.category_goods(g, ["shop", "level1"]), "v_goods"),
+    "r12_cookie_map": _on(lambda e: lists.cookie_map(e, "shop", "member", "ts"), "v_events"),
+    "r13_rec_conversion": _on(_conversion, "v_events"),
+    "r14_recent_views": _on(lists.recent_view_counts, "v_events"),
+    # preferences
+    "e1_category_preference": _on(lambda e: profile.category_preference(e, EVENTS_AS_OF), "v_events"),
+    "e2_goods_preference": _on(lambda e: profile.goods_preference(e, EVENTS_AS_OF), "v_events"),
+    "e3_buying_cycle": _on(profile.buying_cycle, "v_events"),
+    "e4_interest_degree": _on(profile.interest_degree, "v_events"),
+    "e5_price_tiers": _on(profile.price_tier_preference, "v_events", "v_goods"),
+    "e8_view_sequences": _on(profile.view_sequences, "v_events"),
+    # ratings
+    "m1_implicit_ratings": _on(_ratings, "v_events"),
+    "m2_item_cf": _on(lambda e: R.item_cf(_ratings(e)), "v_events"),
+    "m3_user_cf": _on(lambda e: R.user_cf(_ratings(e)), "v_events"),
+    "m6_llr": _on(lambda e: R.llr_item_similarity(_ratings(e)), "v_events"),
+    # category scorecard
+    "c1_basic": _on(C.category_basic, "v_goods", "v_category_dim"),
+    "c2_brand": _on(C.category_brand, "v_goods", "v_category_dim"),
+    "c3_monthly_sales": _on(C.category_monthly_sales, "v_orders", "v_category_dim"),
+    "c4_sell_through": _on(C.category_sell_through, "v_orders", "v_goods", "v_category_dim"),
+    "c5_hotcakes": _on(C.category_hotcakes, "v_orders", "v_category_dim"),
+    "c6_popularity": _on(C.category_popularity, "v_events", "v_category_dim"),
+    "c7_stock_sales": _on(lambda o, g, d: C.stock_sales_ratio(o, g, d, ORDERS_AS_OF), "v_orders", "v_goods", "v_category_dim"),
+    "c11_sales_score": _on(lambda o, g, d: C.sales_score(o, g, d, ORDERS_AS_OF), "v_orders", "v_goods", "v_category_dim"),
+    "c13_price_distribution": _on(C.price_distribution, "v_goods", "v_orders", "v_category_dim"),
+    "c17_summary": _on(C.category_summary_v1, "v_goods"),
+    "c21_sales_windows": _on(lambda o: C.sales_windows(o, ORDERS_AS_OF), "v_orders"),
+    "c22_order_shape": _on(C.order_shape, "v_orders"),
+    # search and competitors
+    "q1_goods_score": _on(lambda g, o, e: search.goods_search_score(_metrics(g, o, e)).drop("category", "level1", "channel"), "v_goods", "v_orders", "v_events"),
+    "q3_goods_score_all_channels": _on(lambda g, o, e: search.goods_search_score(_metrics(g, o, e), by=("level1",)).select("goods", "score"), "v_goods", "v_orders", "v_events"),
+    "q4_category_ranking": _on(lambda g, o, e: search.category_ranking(search.goods_search_score(_metrics(g, o, e))), "v_goods", "v_orders", "v_events"),
+    "q5_brand_scores": _on(lambda g, o, e: search.brand_scores(_metrics(g, o, e), g), "v_goods", "v_orders", "v_events"),
+    "q6_hot_words": _on(lambda c: search.hot_words(search.search_terms(c, "role")), "conversations"),
+    "q6_category_terms": _on(lambda c: search.category_terms(search.search_terms(c, "role")), "conversations"),
+    "q7_similar_terms": _on(lambda c: search.similar_terms(search.search_terms(c, "role")), "conversations"),
+    "k1_category_match": _on(lambda g: search.match_categories(_own(g), _other(g), "level2"), "v_goods"),
+    "k2_brand_gap": _on(lambda g: search.brand_gap(_own(g), _other(g), "category", least=1), "v_goods"),
+    "k3_price_bins": _on(lambda g: search.competitor_price_bins(_own(g), _other(g), "level1"), "v_goods"),
+    "k4_item_match": _on(lambda g: search.item_match_features(_own(g), _other(g), "level1"), "v_goods"),
+    # geography
+    "geo1_points_in_polygons": _on(lambda p, z: geo.points_in_polygons(p, geo.diamonds(z)), "v_points", "v_diamonds"),
+    "geo3_district_month": _on(lambda o: geo.order_metrics(o, ["district", F.date_format("sale_time", "yyyy-MM").alias("month")]), "v_orders"),
+    "geo3_district_category": _on(lambda o: geo.order_metrics(o, ["district", "level1"]), "v_orders"),
+    "geo4_store_goods": _on(lambda o: geo.order_metrics(o, ["store", "goods"]), "v_orders"),
+    "geo5_store_profile": _on(lambda o: geo.store_profile(o, "brand"), "v_orders"),
+    "geo6_store_deviation": _on(lambda o: geo.store_deviation(o, "brand"), "v_orders"),
+    "geo7_category_features": _on(geo.category_features, "v_orders"),
+    # streams
+    "t4_running_count": _running,
+    "t5_sliding_count": _sliding,
+    "t7_word_count": _words,
+}
