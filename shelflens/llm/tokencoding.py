@@ -9,13 +9,16 @@ come true. A block is decoded alone and ends with a checksum of its ids.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,12 +35,11 @@ _U = np.uint64
 
 
 class _Model:
-    """What encoder and decoder know alike before each step."""
+    """What encoder and decoder know alike before each step. A context's slot holds its last id and, above it, how sure that is."""
 
     def __init__(self, lanes: int):
-        self.one, self.two = np.zeros(IDS, np.int64), np.zeros(1 << _CONTEXT_BITS, np.int64)
-        self.sure1, self.sure2 = np.zeros(IDS, np.int64), np.zeros(1 << _CONTEXT_BITS, np.int64)
-        self.hits = np.tile(np.array([[1.0], [3.0]]), (1, _CONFIDENCE)), np.tile(np.array([[1.0], [3.0]]), (1, _CONFIDENCE))
+        self.one, self.two = np.zeros(IDS, np.int32), np.zeros(1 << _CONTEXT_BITS, np.int32)
+        self.hits = [np.tile(np.array([3.0, 1.0]), (_CONFIDENCE, 1)) for _ in range(2)]
         self.count = np.ones(IDS, np.int64)
         self.last, self.before = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
         self.step, self.pending = 0, []
@@ -49,27 +51,28 @@ class _Model:
             self.pending = []
         self.frequency = self.count.astype(np.uint64)
         self.cum = np.concatenate(([0], np.cumsum(self.count)))
+        self.start = self.cum[:-1].astype(np.uint64)
         self.total = _U(self.cum[-1])
 
     def predict(self, n: int) -> tuple[np.ndarray, ...]:
-        """Of the first n lanes: both contexts, candidates and weights; the weights of a table's empty slot are small but not 0."""
+        """Of the first n lanes: contexts, their slots' candidates and confidences, and the weights of both candidates."""
         last = self.last[:n]
         slot = (last * 0x9E3779B1 + self.before[:n] * 0x85EBCA6B >> 7) & ((1 << _CONTEXT_BITS) - 1)
-        two, one, sure2, sure1 = self.two[slot], self.one[last], self.sure2[slot], self.sure1[last]
-        (yes2, all2), (yes1, all1) = self.hits
-        w2 = np.clip((yes2[sure2] / all2[sure2] * _W).astype(np.int64), 32, _W - 8192)
-        w1 = np.clip((yes1[sure1] / all1[sure1] * (_W - w2)).astype(np.int64), 32, _W - w2 - 2048)
-        return slot, last, two, one, sure2, sure1, w2, w1
-
-    def update(self, seen: np.ndarray, slot, last, two, one, sure2, sure1) -> None:
+        two, one = self.two[slot], self.one[last]
+        sure2, sure1 = two >> 16, one >> 16
+        share2, share1 = ((h[:, 1] / h.sum(1)) for h in self.hits)
+        w2 = np.clip(share2 * _W, 32, _W - 8192).astype(np.uint64)[sure2]
+        w1 = (np.clip(share1 * _W, 64, 60_000).astype(np.uint64)[sure1] * (_U(_W) - w2)) >> _U(16)
+        return slot, last, two & 0xFFFF, one & 0xFFFF, sure2, sure1, w2, w1
+
+    def update(self, seen: np.ndarray, right2, right1, slot, last, sure2, sure1) -> None:
         n = len(seen)
-        right2, right1 = seen == two, seen == one
-        for hits, sure, right in ((self.hits[0], sure2, right2), (self.hits[1], sure1[~right2], right1[~right2])):
-            hits[0][:] = hits[0] * 0.98 + np.bincount(sure, right, _CONFIDENCE)
-            hits[1][:] = hits[1] * 0.98 + np.bincount(sure, minlength=_CONFIDENCE) + 0.02
-        self.two[slot], self.one[last] = seen, seen
-        self.sure2[slot] = np.where(right2, np.minimum(sure2 + 1, _CONFIDENCE - 1), 1)
-        self.sure1[last] = np.where(right1, np.minimum(sure1 + 1, _CONFIDENCE - 1), 1)
+        for hits, key in ((self.hits[0], sure2 * 2 + right2), (self.hits[1], (sure1 * 2 + right1)[~right2])):
+            hits *= 0.98
+            hits += np.bincount(key, minlength=2 * _CONFIDENCE).reshape(_CONFIDENCE, 2) + 0.01
+        seen32 = seen.astype(np.int32)
+        self.two[slot] = seen32 | (_NEXT[right2.astype(np.int8), sure2] << 16)
+        self.one[last] = seen32 | (_NEXT[right1.astype(np.int8), sure1] << 16)
         self.before[:n], self.last[:n] = last, seen
         self.pending.append(seen)
         self.step += 1
@@ -77,6 +80,33 @@ class _Model:
             self.rebuild()
 
 
+#: Confidence after a miss and after a hit.
+_NEXT = np.array([[1] * _CONFIDENCE, [min(i + 1, _CONFIDENCE - 1) for i in range(_CONFIDENCE)]], np.int32)
+
+
+def _narrow(model: _Model, low: np.ndarray, span: np.ndarray, unit, seen, right2, right1, w2, w1) -> None:
+    """Every lane's interval cut down to that of its id."""
+    low += np.where(right2, _U(0), w2 * unit) + np.where(right2 | right1, _U(0), w1 * unit)
+    span[:] = np.where(right2, w2, w1) * unit
+    miss = np.flatnonzero(~(right2 | right1))
+    x = seen[miss]
+    rest = unit[miss] * (_U(_W) - w2[miss] - w1[miss]) // model.total
+    low[miss] += model.start[x] * rest
+    span[miss] = model.frequency[x] * rest
+
+
+def _ready(low: np.ndarray, span: np.ndarray, lanes: np.ndarray | None) -> np.ndarray:
+    """Lanes whose top 16 bits are settled. A span grown thin across a border is cut so that they are."""
+    a, b = (low, span) if lanes is None else (low[lanes], span[lanes])
+    same = (a ^ (a + b)) < _TOP
+    thin = np.flatnonzero(~same & (b < _BOTTOM))
+    if len(thin):
+        same[thin] = True
+        at = thin if lanes is None else lanes[thin]
+        span[at] = (~low[at] + _U(1)) & (_BOTTOM - _U(1))
+    return np.flatnonzero(same) if lanes is None else lanes[same]
+
+
 def _shape(n: int) -> tuple[int, int]:
     """Lanes and steps of a block of n ids: short blocks get fewer lanes."""
     lanes = max(1, min(LANES, n // 64))
@@ -96,25 +126,17 @@ def encode_block(ids: np.ndarray) -> bytes:
         m = min(lanes, -(-(n - s) // steps)) if n > s else 0  # lanes that still have an id: all but the last ones
         seen = grid[:m, s]
         slot, last, two, one, sure2, sure1, w2, w1 = model.predict(m)
-        is2, is1 = seen == two, seen == one
-        unit = span[:m] >> _U(16)
-        base = np.where(is2, 0, np.where(is1, w2, w2 + w1)).astype(np.uint64)
-        rest = unit * (_W - w2 - w1).astype(np.uint64) // model.total
-        low[:m] += base * unit + np.where(is2 | is1, 0, model.cum[seen]).astype(np.uint64) * rest
-        span[:m] = np.where(is2, w2.astype(np.uint64) * unit, np.where(is1, w1.astype(np.uint64) * unit, model.frequency[seen] * rest))
-        while True:
-            same = (low[:m] ^ (low[:m] + span[:m])) < _TOP
-            thin = ~same & (span[:m] < _BOTTOM)
-            if thin.any():
-                span[:m] = np.where(thin, (~low[:m] + _U(1)) & (_BOTTOM - _U(1)), span[:m])
-            go = np.flatnonzero(same | thin)
-            if not len(go):
-                break
+        right2, right1 = seen == two, seen == one
+        right = right1 & ~right2
+        _narrow(model, low[:m], span[:m], span[:m] >> _U(16), seen, right2, right, w2, w1)
+        go = _ready(low[:m], span[:m], None)
+        while len(go):
             out[go, fill[go]] = low[go] >> _U(48)
             fill[go] += 1
             low[go] <<= _U(16)
             span[go] <<= _U(16)
-        model.update(seen, slot, last, two, one, sure2, sure1)
+            go = _ready(low, span, go)
+        model.update(seen, right2, right1, slot, last, sure2, sure1)
     for _ in range(4):
         out[np.arange(lanes), fill] = low >> _U(48)
         fill += 1
@@ -141,52 +163,78 @@ def decode_block(data: bytes) -> np.ndarray:
         m = min(lanes, -(-(n - s) // steps)) if n > s else 0
         slot, last, two, one, sure2, sure1, w2, w1 = model.predict(m)
         unit, value = span[:m] >> _U(16), code[:m] - low[:m]
-        u2, u1 = w2.astype(np.uint64), w1.astype(np.uint64)
         share = np.minimum(value // unit, _U(_W - 1))
-        is2, is1 = share < u2, (share >= u2) & (share < u2 + u1)
-        rest = unit * (_W - w2 - w1).astype(np.uint64) // model.total
-        inner = np.minimum((value - np.where(is2 | is1, value, (u2 + u1) * unit)) // rest, model.total - _U(1)).astype(np.int64)
-        seen = np.where(is2, two, one)
-        plain = np.flatnonzero(~(is2 | is1))
-        seen[plain] = np.searchsorted(model.cum, inner[plain], "right") - 1
-        base = np.where(is2, 0, np.where(is1, w2, w2 + w1)).astype(np.uint64)
-        low[:m] += base * unit + np.where(is2 | is1, 0, model.cum[seen]).astype(np.uint64) * rest
-        span[:m] = np.where(is2, u2 * unit, np.where(is1, u1 * unit, model.frequency[seen] * rest))
-        while True:
-            same = (low[:m] ^ (low[:m] + span[:m])) < _TOP
-            thin = ~same & (span[:m] < _BOTTOM)
-            if thin.any():
-                span[:m] = np.where(thin, (~low[:m] + _U(1)) & (_BOTTOM - _U(1)), span[:m])
-            go = np.flatnonzero(same | thin)
-            if not len(go):
-                break
+        first, second = share < w2, share < w2 + w1
+        seen = np.where(first, two, one).astype(np.int64)
+        miss = np.flatnonzero(~second)
+        rest = unit[miss] * (_U(_W) - w2[miss] - w1[miss]) // model.total
+        inner = np.minimum((value[miss] - (w2[miss] + w1[miss]) * unit[miss]) // rest, model.total - _U(1)).astype(np.int64)
+        seen[miss] = np.searchsorted(model.cum, inner, "right") - 1
+        _narrow(model, low[:m], span[:m], unit, seen, first, second & ~first, w2, w1)
+        go = _ready(low[:m], span[:m], None)
+        while len(go):
             code[go] = (code[go] << _U(16)) | words[go, np.minimum(at[go], words.shape[1] - 1)]
             at[go] += 1
             low[go] <<= _U(16)
             span[go] <<= _U(16)
+            go = _ready(low, span, go)
         grid[:m, s] = seen
-        model.update(seen, slot, last, two, one, sure2, sure1)
+        model.update(seen, seen == two, seen == one, slot, last, sure2, sure1)
     ids = grid.ravel()[:n]
     if zlib.crc32(ids.astype("<u4").tobytes()) != struct.unpack_from("<I", data, len(data) - 4)[0]:
         raise ValueError("a block of token ids is damaged")
     return ids
 
 
+def _byte_signs() -> list[str]:
+    """The sign that stands for each byte in a byte-level vocabulary: itself if printable, else one from 256 on in turn."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    other = iter(range(256, 512))
+    return [chr(b) if b in printable else chr(next(other)) for b in range(256)]
+
+
 class WordIds(dict):
-    """word -> its ids as little-endian 16-bit integers. Tokens of these tokenizers don't cross white space, so words can be looked up one by one."""
+    """word -> its ids as little-endian 16-bit integers. Tokens of these tokenizers don't cross white space, so words are looked up one by one.
 
-    def __init__(self, tokenizer_path: str, limit: int = 400_000):
+    For a tokenizer of the kind "NFC, white space, lower case; split by pattern, byte level", words of Latin-1 letters
+    and ASCII signs are cut by its pattern here and only the pieces go through its merges. Other words, and all words
+    of other tokenizers, go through the whole of it.
+    """
+
+    def __init__(self, tokenizer_path: str, limit: int = 500_000):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit = Tokenizer.from_file(tokenizer_path), limit
+        self.tokenizer, self.limit, self.pieces = Tokenizer.from_file(tokenizer_path), limit, {}
+        with open(tokenizer_path, encoding="utf-8") as f:
+            told = json.load(f)
+        kinds = [[x["type"] for x in (told.get(k) or {}).get(n, [])] for k, n in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
+        self.pattern = None
+        if kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] and not told["pre_tokenizer"]["pretokenizers"][1]["add_prefix_space"]:
+            self.pattern = regex.compile(told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+            self.special = [t["content"] for t in told.get("added_tokens", [])]
+            self.signs = _byte_signs()
+
+    def _piece(self, piece: str) -> bytes:
+        signs = self.signs
+        out = self.pieces[piece] = np.array([t.id for t in self.tokenizer.model.tokenize("".join([signs[b] for b in piece.encode()]))], "<u2").tobytes()
+        return out
 
     def learn(self, words: set[bytes]) -> None:
         if len(self) > self.limit:
             self.clear()
-        new = [w for w in words if w not in self]
-        for w, e in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False), strict=True):
+        if len(self.pieces) > self.limit:
+            self.pieces.clear()
+        rest = []
+        known = self.pieces
+        for w in words - self.keys():
+            text = w.decode()
+            if self.pattern is None or not _PLAIN(text) or any(x in text for x in self.special):
+                rest.append(w)
+            else:
+                self[w] = b"".join([known.get(x) or self._piece(x) for x in self.pattern.findall(text.lower())])
+        for w, e in zip(rest, self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False), strict=True):
             self[w] = np.array(e.ids, "<u2").tobytes()
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
@@ -197,6 +245,9 @@ class WordIds(dict):
         return [np.frombuffer(b"".join(map(self.__getitem__, words)) + end, "<u2") for words in split]
 
 
+#: Printable ASCII and the letters of Latin-1, which composing and lower-casing treat sign by sign.
+_PLAIN = re.compile(r"[\x21-\x7E\xC0-\xD6\xD8-\xF6\xF8-\xFF]*").fullmatch
+
 FILE_SCHEMA = "part int, chunk int, doc_ids array<long>, lengths array<long>, blocks array<binary>"
 
 
@@ -232,7 +283,7 @@ def _write(tokenizer_path: str):
     return run
 
 
-def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, bytes_per_part: int = 16 << 20) -> DataFrame:
+def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, bytes_per_part: int = 32 << 20) -> DataFrame:
     """Writes the ids of every document, in ascending doc_id order (null first), under `path`; returns the files read.
 
     A row of the files is a chunk: whole documents, their doc_ids and numbers of ids, and the encoded blocks. `part` and
