@@ -2,8 +2,9 @@
 
 Each 400-byte window has one sampled suffix: of the 64-byte grams in it the one with the least hash, the leftmost of
 equal ones. Equal windows sample the same gram at the same offset, so it is enough to compare windows whose samples
-agree. Grams sampled once are let go by a bit filter of fixed size. The rest are sorted by Spark's external sort with
-the bytes around them, and the windows of each run of equal grams are compared by hash.
+agree. Grams sampled once are let go by a bit filter of fixed size. Of the rest those with equal bytes all around settle
+each other by one hash. Where the same gram has several surroundings, one of each kind is sorted by Spark's external
+sort with its bytes, and the windows of each run of equal grams are compared by hash.
 """
 
 from __future__ import annotations
@@ -86,27 +87,49 @@ def _grams(window: int, gram: int):
     return run
 
 
-def _contexts(window: int, gram: int, bits: int, shared):
-    """For each sampled gram that passes: the windows that sample it, as the first one's start, their number and the bytes they span."""
+def _occurrences(batch: pa.RecordBatch, texts: list[bytes], window: int, gram: int) -> Iterator[tuple]:
+    """Sampled grams of a piece: bytes and their prefix hashes, starts of each one's first window and their number, gram hashes, gram places, document rows, places in the documents."""
+    for _, part, offset in _long(texts, window):
+        if (found := _samples(part, window, gram)) is not None:
+            data, h, at, least, first = found
+            new = np.flatnonzero(np.concatenate(([True], (least[1:] != least[:-1]) | (np.diff(at) > 1))))
+            start, size = at[new], np.diff(np.concatenate((new, [len(at)])))
+            doc = np.searchsorted(first, start, "right") - 1
+            yield data, start, size, h[least[new]], least[new] - start, batch["rid"].to_numpy()[doc], start - first[doc] + offset
+
+
+def _key(rid: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return mix64(rid.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + at.astype(np.uint64))
+
+
+def _marks(window: int, gram: int, bits: int, shared):
+    """For each sampled gram that passes: its windows' place and number, a hash of all bytes they span, and a key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = np.frombuffer(shared.value, np.uint8)
         for batch, texts in pieces(batches):
-            for _, part, offset in _long(texts, window):
-                if (found := _samples(part, window, gram)) is None:
-                    continue
-                data, h, at, least, first = found
-                new = np.flatnonzero(np.concatenate(([True], (least[1:] != least[:-1]) | (np.diff(at) > 1))))
-                size = np.diff(np.concatenate((new, [len(at)])))
-                value = h[least[new]]
+            for data, start, size, value, before, rid, at in _occurrences(batch, texts, window, gram):
                 keep = np.flatnonzero(passes(packed, value, bits))
-                if not len(keep):
-                    continue
-                start, size = at[new][keep], size[keep]
-                doc = np.searchsorted(first, start, "right") - 1
+                prefix, inverse = prefix_hash(data), _powers(len(data))[1]
+                a, n = start[keep], size[keep]
+                whole = mix64((prefix[a + n + window - 1] - prefix[a]) * inverse[a] + (before[keep] * 65536 + n).astype(np.uint64))
+                columns = (value[keep].view(np.int64), whole.view(np.int64), rid[keep], at[keep], n, _key(rid[keep], at[keep]).view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["value", "whole", "rid", "at", "size", "key"])
+
+    return run
+
+
+def _contexts(window: int, gram: int, bits: int, shared):
+    """For each sampled gram whose key passes: the windows that sample it, as the first one's place, their number and the bytes they span."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed = np.frombuffer(shared.value, np.uint8)
+        for batch, texts in pieces(batches):
+            for data, start, size, value, _, rid, at in _occurrences(batch, texts, window, gram):
+                keep = np.flatnonzero(passes(packed, _key(rid, at), bits))
                 raw = data.tobytes()
-                spans = [raw[a : a + n + window - 1] for a, n in zip(start.tolist(), size.tolist(), strict=True)]
-                columns = [pa.array(value[keep].view(np.int64)), batch["rid"].take(pa.array(doc)), pa.array(start - first[doc] + offset), pa.array(size), pa.array(spans, pa.binary())]
+                spans = [raw[a : a + n + window - 1] for a, n in zip(start[keep].tolist(), size[keep].tolist(), strict=True)]
+                columns = [pa.array(value[keep].view(np.int64)), pa.array(rid[keep]), pa.array(at[keep]), pa.array(size[keep]), pa.array(spans, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["value", "rid", "at", "size", "bytes"])
 
     return run
@@ -169,8 +192,17 @@ def repeated_windows(docs: DataFrame, window: int = 400, gram: int = 64, most_bi
     twice = save(grams.groupBy("value").count().where("count > 1").select("value"), "byte-grams")
     bits = filter_bits(twice.count(), most_bits)
     shared = docs.sparkSession.sparkContext.broadcast(filter_of(twice, bits).tobytes())
-    found = rows.mapInArrow(_contexts(window, gram, bits, shared), "value long, rid long, at long, size long, bytes binary")
-    return found.repartition("value").sortWithinPartitions("value").mapInArrow(_compare(window), "rid long, start long, end long")
+    marks = save(rows.mapInArrow(_marks(window, gram, bits, shared), "value long, whole long, rid long, at long, size long, key long"), "byte-marks")
+    kinds = save(marks.groupBy("value", "whole").agg(F.count("*").alias("n"), F.min("key").alias("key")), "byte-kinds")
+    # Where all bytes around a gram occur again, so do all its windows.
+    same = marks.join(kinds.where("n > 1").select("value", "whole"), ["value", "whole"]).select("rid", F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("end"))
+    # Where a gram has several surroundings, one of each kind goes on to be compared window by window.
+    several = kinds.groupBy("value").count().where("count > 1").select("value")
+    chosen = save(kinds.join(several, "value", "left_semi").select(F.col("key").alias("value")), "byte-keys")
+    bits2 = filter_bits(chosen.count(), most_bits)
+    shared2 = docs.sparkSession.sparkContext.broadcast(filter_of(chosen, bits2).tobytes())
+    found = rows.mapInArrow(_contexts(window, gram, bits2, shared2), "value long, rid long, at long, size long, bytes binary")
+    return same.unionByName(found.repartition("value").sortWithinPartitions("value").mapInArrow(_compare(window), "rid long, start long, end long"))
 
 
 def _finish(window: int):

@@ -116,8 +116,8 @@ def passes(packed: np.ndarray, values: np.ndarray, bits: int) -> np.ndarray:
 
 
 def filter_bits(expected: int, most: int = 29) -> int:
-    """Bits of a filter with some four places for each expected value, within fixed bounds (64 MB at most)."""
-    return min(most, max(20, (4 * max(expected, 1)).bit_length()))
+    """Bits of a filter with some 32 places for each expected value, within fixed bounds (64 MB at most)."""
+    return min(most, max(20, (32 * max(expected, 1)).bit_length()))
 
 
 def mix64(h: np.ndarray) -> np.ndarray:
