@@ -77,25 +77,29 @@ def _filter(hash_table: DataFrame) -> np.ndarray:
     h = F.col("hash")
     places = F.explode(F.array(h.bitwiseAND(F.lit(FILTER_BITS - 1)), F.shiftrightunsigned(h, 32).bitwiseAND(F.lit(FILTER_BITS - 1))))
     words = hash_table.select(places.alias("p")).groupBy(F.shiftright("p", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(p & 63 as int))")).alias("bits"))
-    found = words.toPandas()
     out = np.zeros(FILTER_BITS // 64, np.int64)
-    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    return np.unpackbits(out.view(np.uint8), bitorder="little").view(bool)
+    for batch in words.toArrow().to_batches():
+        out[batch["word"].to_numpy()] = batch["bits"].to_numpy()
+    return out.view(np.uint8)
+
+
+def _set(packed: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return (packed[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
 
 
 def _regions(p: Params, packed, reach: int):
     """Of each document the stretches around the windows that pass the filter, with those windows' hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, bits = Memo(token_hash), np.unpackbits(packed.value).view(bool)
+        memo, bits = Memo(token_hash), np.frombuffer(packed.value, np.uint8)
         for batch in slices(batches, 500):
             rows: list[tuple] = []
             for doc, text in zip(batch["doc_id"].to_pylist(), text_bytes(batch["text"]), strict=True):
                 tokens = hashes(text.split(), memo)
                 h, at = mask_hashes(tokens, p.masks)
                 a, b = _bits(h)
-                hit = np.flatnonzero(bits[a])
-                hit = hit[bits[b[hit]]]
+                hit = np.flatnonzero(_set(bits, a))
+                hit = hit[_set(bits, b[hit])]
                 if not len(hit):
                     continue
                 hit = hit[np.argsort(at[hit], kind="stable")]
@@ -152,7 +156,7 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, p: Params = Params
     items = save(items.groupBy("tokens").agg(F.min("item_id").alias("item_id"), F.min_by("hash", "item_id").alias("hash"), F.min_by("at", "item_id").alias("at")).withColumn("key", F.xxhash64("tokens")), "bench-items")
     pairs = save(items.select("key", F.explode(F.arrays_zip("hash", "at")).alias("z")).select("key", "z.hash", "z.at"), "bench-hashes")
     reach = items.agg(F.max(F.octet_length("tokens") / 8).alias("n")).first()["n"]
-    packed = spark.sparkContext.broadcast(np.packbits(_filter(pairs)))
+    packed = spark.sparkContext.broadcast(_filter(pairs).tobytes())
     regions = docs.select("doc_id", "text").mapInArrow(_regions(p, packed, int(reach or 1)), "doc_id long, start long, region binary, hash array<long>, at array<long>")
     regions = save(regions.withColumn("rkey", F.xxhash64("doc_id", "start", "region")), "bench-regions")
     hits = regions.select("rkey", F.explode(F.arrays_zip("hash", "at")).alias("z")).select("rkey", "z.hash", F.col("z.at").alias("doc_at"))

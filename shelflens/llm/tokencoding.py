@@ -201,7 +201,7 @@ class WordIds(dict):
     of other tokenizers, go through the whole of it.
     """
 
-    def __init__(self, tokenizer_path: str, limit: int = 500_000):
+    def __init__(self, tokenizer_path: str, limit: int = 200_000):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer

@@ -51,6 +51,8 @@ class Model:
 
     def surprise(self, best: float, words: int) -> float:
         """-ln P(a clean text of so many words has as good a segment)."""
+        if best <= 0:  # any text has as good a one
+            return 0.0
         x = (best - self.location) / self.scale - math.log(max(words, 1))
         tail = -math.expm1(-math.exp(-x)) if x > -30 else 1.0
         return -math.log(tail) if tail > 1e-280 else x
