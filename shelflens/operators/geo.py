@@ -61,3 +61,14 @@ def store_category_matrix(orders: DataFrame, categories: list[str]) -> DataFrame
     """A row for each store, a column for each category's share of its sales; 0 where it sells none."""
     rows = orders.groupBy("store", "level1").agg(F.sum("amount").alias("x")).withColumn("s", share(F.col("x"), ["store"]))
     return rows.groupBy("store").pivot("level1", categories).agg(F.sum("s")).fillna(0.0)
+
+
+def order_store_wide(orders: DataFrame, places: DataFrame, polygons: DataFrame) -> DataFrame:
+    """Every order with the place of its address and each zone that holds it; addresses are compared without spaces.
+
+    `places` has id, address, x, y. An order of an address that is unknown or outside every zone is left out.
+    """
+    key = F.regexp_replace("address", " ", "").alias("_key")
+    zones = points_in_polygons(places.select("id", "x", "y"), polygons)
+    located = places.select("id", "x", "y", key).join(zones, "id").drop("id")
+    return orders.select("*", key).join(located, "_key").drop("_key")

@@ -66,6 +66,22 @@ _JACCARD = lambda a, b: f"len(list_intersect({_CHARS.format(a)}, {_CHARS.format(
 _ORDER_METRICS = "round(sum(amount), 6) AS sales, round(sum(qty), 6) AS units, count(DISTINCT order_no) AS orders, count(DISTINCT member) AS members, round(sum(amount) / sum(qty), 6) AS unit_price, round(sum(amount) / count(DISTINCT order_no), 6) AS per_order, round(count(DISTINCT order_no) / count(DISTINCT member), 6) AS orders_per_member, round(sum(amount) / count(DISTINCT member), 6) AS per_member"
 _PARETO = lambda p: f"count(*) FILTER (WHERE before < {p} * total)"
 
+_DAY = f"date_diff('day', CAST(ts AS date), {_E})"
+_OPERATION = f"""t AS {_LEVELS}, p AS (SELECT goods, count(*) AS n, count(*) FILTER (WHERE qty >= 25) AS k FROM {{v_orders}} WHERE {_AGE} BETWEEN 0 AND 89 GROUP BY 1),
+    units AS (SELECT level_no, node, {_MONTH} AS month, sum(qty) AS r FROM {{v_orders}} JOIN t USING (category) GROUP BY ALL),
+    spread AS (SELECT level_no, node, stddev_pop(r) AS d FROM units GROUP BY ALL HAVING count(*) >= 5 AND stddev_pop(r) > 1e-9), steady AS (SELECT level_no, node, 1 - {_minmax('d', 'level_no')} AS steadiness FROM spread),
+    f AS (SELECT level_no, node, coalesce(count(*) FILTER (WHERE sale_status = 4 AND stock = 1) / nullif(count(*) FILTER (WHERE sale_status = 4), 0), 0) AS in_stock_rate, avg(comments / 50) AS fill_rate,
+                 CAST(coalesce(sum(n), 0) AS bigint) AS price_changes, CAST(coalesce(sum(k), 0) AS bigint) AS shelf_changes FROM {{v_goods}} LEFT JOIN p USING (goods) JOIN t USING (category) GROUP BY ALL),
+    operation AS (SELECT f.*, coalesce(steadiness, 0) AS steadiness FROM f LEFT JOIN steady USING (level_no, node))"""
+_SCORES = {"in_stock_rate": 7.5, "fill_rate": 5.0, "price_changes": 5.0, "shelf_changes": 2.5, "steadiness": 5.0}
+
+
+def _two_ranks(source: str, by: str, item: str, where: str, a: tuple[str, str], b: tuple[str, str]) -> str:
+    rank = lambda c: f"row_number() OVER (PARTITION BY category ORDER BY round({c}, 4) DESC, item)"
+    return f"""WITH s AS (SELECT {by} AS category, {item} AS item, {a[1]} AS {a[0]}, {b[1]} AS {b[0]} FROM {source} WHERE {where} GROUP BY 1, 2), r AS (SELECT *, {rank(a[0])} AS {a[0]}_rank, {rank(b[0])} AS {b[0]}_rank FROM s)
+        SELECT category, item, round({a[0]}, 6) AS {a[0]}, round({b[0]}, 6) AS {b[0]}, {a[0]}_rank, {b[0]}_rank FROM r WHERE {a[0]}_rank <= 10 OR {b[0]}_rank <= 10"""
+
+
 _SQL = {
     "p4_missing_values": "SELECT c_custkey, c_mktsegment AS segment FROM {customer} WHERE c_custkey % 3 = 2",
     "j3_left_join_default": "SELECT c_custkey, coalesce(n, 0) AS n FROM {customer} LEFT JOIN (SELECT o_custkey, count(*) AS n FROM {orders} GROUP BY 1) o ON c_custkey = o_custkey",
@@ -166,6 +182,54 @@ _SQL = {
     "t5_sliding_count": "SELECT s AS start, s + INTERVAL 2 HOUR AS \"end\", event_type, count(*) AS count FROM (SELECT event_type, unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS s FROM {events}) x GROUP BY 1, 2, 3",
 }
 
+_SQL |= {
+    "c8_operation": f"WITH {_OPERATION} SELECT level_no, node, round(in_stock_rate, 6) AS in_stock_rate, round(fill_rate, 6) AS fill_rate, price_changes, shelf_changes, round(steadiness, 6) AS steadiness FROM operation",
+    "c9_operation_score": f"WITH {_OPERATION} SELECT level_no, node, round(" + " + ".join(f"{w} * {_minmax(c, 'level_no')}" for c, w in _SCORES.items()) + ", 6) AS score FROM operation",
+    "c10_popularity_score": f"""WITH s AS (SELECT level_no, node, count(*) FILTER (WHERE behavior = 1000) AS pv, count(DISTINCT CASE WHEN behavior = 1000 THEN member END) AS uv, count(DISTINCT CASE WHEN behavior = 4000 THEN member END) AS buyers FROM {{v_events}} JOIN {_LEVELS} t USING (category) WHERE strftime(ts, '%Y-%m') = '2024-01' GROUP BY ALL)
+        SELECT level_no, node, round(7.5 * {_minmax('pv', 'level_no')} + 7.5 * {_minmax('uv', 'level_no')} + 10 * {_minmax('buyers', 'level_no')}, 6) AS score FROM s""",
+    "c12_product_line_score": f"""WITH monthly AS ({_SQL['c4_sell_through']}), bins AS ({_SQL['c13_price_distribution']}), m AS (SELECT level_no, node, round(avg(ratio80), 9) AS c, round(avg(sell_through), 9) AS s FROM monthly WHERE month > '2001-04' GROUP BY ALL),
+        k AS (SELECT level_no, node, CASE WHEN round(corr(goods_count, units), 9) BETWEEN 0 AND 1 THEN round(corr(goods_count, units), 9) ELSE 0 END AS k FROM bins GROUP BY ALL)
+        SELECT level_no, node, round(10 * CASE WHEN c BETWEEN 0.2 AND 0.4 THEN 1 WHEN c > 0.4 AND c <= 0.8 THEN 0.5 ELSE 0.2 END + 10 * CASE WHEN s > 0.4 AND s < 0.6 THEN 1 WHEN s BETWEEN 0.2 AND 0.8 THEN 0.5 ELSE 0.2 END + 5 * coalesce(k, 0), 6) AS score FROM m LEFT JOIN k USING (level_no, node)""",
+    "c15_promotion_coverage": f"""WITH e AS (SELECT goods, count(*) AS n FROM (SELECT goods FROM {{v_events}} WHERE behavior = 2000 UNION ALL SELECT goods FROM {{v_orders}} WHERE qty >= 45) x GROUP BY 1),
+        r AS (SELECT level_no, node, count(DISTINCT goods) AS on_sale, count(DISTINCT CASE WHEN n IS NOT NULL THEN goods END) / count(DISTINCT goods) AS a, coalesce(sum(n), 0) / count(DISTINCT goods) AS b FROM {{v_goods}} LEFT JOIN e USING (goods) JOIN {_LEVELS} t USING (category) WHERE sale_status = 4 GROUP BY ALL)
+        SELECT level_no, node, on_sale, round(a, 6) AS coverage, round(b, 6) AS entries_per_goods, round({_minmax('a', '')}, 6) AS coverage_norm, round({_minmax('b', '')}, 6) AS entries_per_goods_norm FROM r""",
+    "c16_score_weights": "SELECT n_regionkey AS component, n_name AS sub, round((r_regionkey + 1) * (n_nationkey / 10), 6) AS weight FROM {nation} JOIN {region} ON n_regionkey = r_regionkey",
+    "c18_traffic_stages": f"SELECT category, " + ", ".join(f"count(*) FILTER (WHERE {_DAY} BETWEEN {i * 10} AND {i * 10 + 9}) AS pv{i + 1}" for i in range(3)) + f", count(*) AS pv, count(DISTINCT member) AS uv FROM {{v_events}} WHERE behavior = 1000 AND {_DAY} BETWEEN 0 AND 29 GROUP BY 1",
+    "c18_top_goods": _two_ranks("{v_events}", "category", "goods", f"behavior = 1000 AND {_DAY} BETWEEN 0 AND 29", ("pv", "count(*)"), ("uv", "count(DISTINCT member)")),
+    "c18_top_brands": _two_ranks("{v_events}", "level1", "brand", f"behavior = 1000 AND {_DAY} BETWEEN 0 AND 29", ("pv", "count(*)"), ("uv", "count(DISTINCT member)")),
+    "c18_band_viewers": f"""WITH r AS (SELECT level1, goods, price, min(price) OVER w AS low, (max(price) OVER w - min(price) OVER w) / 3 AS width FROM {{v_goods}} WINDOW w AS (PARTITION BY level1)), b AS (SELECT level1, goods, CASE WHEN price < low + width THEN 1 WHEN price < low + 2 * width THEN 2 ELSE 3 END AS band FROM r)
+        SELECT b.level1 AS category, band, count(DISTINCT member) AS viewers FROM {{v_events}} JOIN b USING (goods) WHERE behavior = 1000 AND {_DAY} BETWEEN 0 AND 29 GROUP BY 1, 2""",
+    "c19_sales_status": f"""WITH r AS (SELECT *, min(price) OVER w AS low, (max(price) OVER w - min(price) OVER w) / 3 AS width FROM {{v_orders}} WHERE {_AGE} BETWEEN 0 AND 29 WINDOW w AS (PARTITION BY category)), b AS (SELECT *, CASE WHEN price < low + width THEN 1 WHEN price < low + 2 * width THEN 2 ELSE 3 END AS band FROM r)
+        SELECT category, round(sum(amount), 6) AS sales, round(sum(qty), 6) AS units, count(DISTINCT member) AS members, count(DISTINCT brand) AS brands, """ + ", ".join(f"round(sum(CASE WHEN band = {i} THEN {c} ELSE 0 END) / sum({c}), 6) AS {c}_share{i}" for c in ("amount", "qty") for i in (1, 2, 3)) + " FROM b GROUP BY 1",
+    "c19_top_goods": _two_ranks("{v_orders}", "level1", "goods", f"{_AGE} BETWEEN 0 AND 29", ("sales", "sum(amount)"), ("units", "sum(qty)")),
+    "c20_summary": "WITH p AS (SELECT level1, count(DISTINCT goods) AS g, count(DISTINCT brand) AS b, count(DISTINCT product) AS p FROM {v_goods} GROUP BY 1), n AS (SELECT level1, level2, count(DISTINCT goods) AS goods_count, count(DISTINCT brand) AS brands, count(DISTINCT product) AS products FROM {v_goods} GROUP BY 1, 2) SELECT level1, level2, goods_count, brands, products, round(goods_count / g, 6) AS goods_count_share, round(brands / b, 6) AS brands_share, round(products / p, 6) AS products_share FROM n JOIN p USING (level1)",
+    "c20_price_zones": "WITH r AS (SELECT level1, goods, brand, price, min(price) OVER w AS low, (max(price) OVER w - min(price) OVER w) / 10 AS width FROM {v_goods} WINDOW w AS (PARTITION BY level1)) SELECT level1, CAST(CASE WHEN width = 0 THEN 0 ELSE least(floor(round((price - low) / width, 9)), 9) END AS int) AS zone, count(DISTINCT goods) AS goods_count, count(DISTINCT brand) AS brands FROM r GROUP BY 1, 2",
+    "m5_behavior_ratings": f"SELECT member, goods, round(round(sum(CASE behavior WHEN 1000 THEN 1.0 WHEN 2000 THEN 2.0 WHEN 3000 THEN -1.5 ELSE 3.0 END * pow(0.95, {_DAY})), 9), 6) AS rating FROM {{v_events}} WHERE {_DAY} BETWEEN 0 AND 89 GROUP BY 1, 2",
+    "m8_attribute_similarity": """WITH a AS (SELECT level1, goods, unnest(string_split(name, ' ')) AS term FROM {v_goods} UNION ALL SELECT level1, goods, concat('size:', comments) FROM {v_goods} UNION ALL SELECT level1, goods, concat('brand:', brand) FROM {v_goods}),
+        prices AS (SELECT DISTINCT level1, price FROM {v_goods}), cut AS (SELECT level1, price, row_number() OVER (PARTITION BY level1 ORDER BY price) - 1 AS i, count(*) OVER (PARTITION BY level1) AS n FROM prices),
+        tf AS (SELECT level1, goods, term, CAST(count(*) AS double) AS tf FROM a GROUP BY ALL UNION ALL SELECT level1, goods, 'price level', """ + " + ".join(["1.0"] + [f"CASE WHEN i >= floor(n * {k} / 5) THEN 1 ELSE 0 END" for k in (1, 2, 3, 4)]) + """ FROM {v_goods} JOIN cut USING (level1, price)),
+        m AS (SELECT level1, count(*) AS m FROM {v_goods} GROUP BY 1), df AS (SELECT level1, term, count(*) AS df FROM tf GROUP BY ALL), w AS (SELECT level1, goods, term, tf * ln((m + 1) / (df + 1)) AS w FROM tf JOIN df USING (level1, term) JOIN m USING (level1) WHERE df < m),
+        u AS (SELECT level1, goods, term, w / sqrt(sum(w * w) OVER (PARTITION BY level1, goods)) AS w FROM w), s AS (SELECT a.goods, b.goods AS other, sum(a.w * b.w) AS score FROM u a JOIN u b USING (level1, term) WHERE a.goods <> b.goods GROUP BY 1, 2)
+        SELECT goods, other, round(score, 6) AS score, row_number() OVER (PARTITION BY goods ORDER BY round(score, 9) DESC, other) AS rank FROM s WHERE score > 0 QUALIFY rank <= 20""",
+    "r11_goods_profile": "SELECT concat(CASE channel WHEN 3 THEN 'pc_' WHEN 1 THEN 'app_' ELSE 'h5_' END, goods) AS key, CAST(to_json({'goods': goods, 'name': name, 'brand': brand, 'category': category}) AS varchar) AS profile FROM {v_goods}",
+    "r15_frequent_itemsets": """SELECT items, freq FROM (WITH RECURSIVE i AS (SELECT DISTINCT member, level1, week, goods FROM {v_events} WHERE behavior = 4000), s AS (SELECT member, level1, week, CAST(goods AS varchar) AS items, goods AS last, 1 AS n FROM i UNION ALL SELECT member, level1, week, concat(s.items, '#', i.goods), i.goods, n + 1 FROM s JOIN i USING (member, level1, week) WHERE i.goods > s.last)
+        SELECT items, count(*) AS freq FROM s WHERE n > 1 GROUP BY 1 HAVING count(*) >= (SELECT ceil(count(*) * 1e-4) FROM (SELECT DISTINCT member, level1, week FROM i) b)) x""",
+    "e6_profile_json": """WITH n AS (SELECT member, level1, count(*) AS n FROM {v_events} GROUP BY ALL), l AS (SELECT member, level1, row_number() OVER (PARTITION BY member ORDER BY n DESC, level1) AS rank FROM n QUALIFY rank <= 3), c AS (SELECT member, list(level1 ORDER BY rank) AS categories FROM l GROUP BY 1),
+        r AS (SELECT member, list_sort(list(DISTINCT brand)) AS brands, min(CAST(round(price * 100) AS bigint)) AS low, max(CAST(round(price * 100) AS bigint)) AS high FROM {v_events} GROUP BY 1) SELECT member, CAST(to_json({'categories': categories, 'brands': brands, 'price': {'min': low, 'max': high}}) AS varchar) AS profile FROM c JOIN r USING (member)""",
+    "e7_gender_features": "WITH n AS (SELECT member, level2, count(*) AS n FROM {v_events} WHERE behavior = 4000 GROUP BY ALL), r AS (SELECT *, sum(n) OVER (PARTITION BY member) AS total FROM n) SELECT member, member % 2 AS label, level2, round(n / total, 6) AS ratio FROM r WHERE total BETWEEN 4 AND 19",
+    "q2_goods_score_conversion": f"""WITH {_METRICS}, r AS (SELECT m.*, coalesce(round(units7 / nullif(uv, 0), 10), 0) AS conversion, comments AS reviews, goods % 5 + 1 AS review_score, comments / 50 AS fill_rate FROM m JOIN (SELECT goods, comments FROM {{v_goods}}) g USING (goods))
+        SELECT goods, round(""" + " + ".join(f"{w} * {_minmax(c, 'level1, channel')}" for c, w in {"sales7": 20.0, "sales30": 15.0, "pv": 4.0, "uv": 14.0, "conversion": 15.0, "reviews": 4.0, "review_score": 10.0, "fill_rate": 2.0}.items()) + ", 6) AS score FROM r",
+    "geo2_order_store": "SELECT o_orderkey AS order_no, o_custkey AS member, replace(c_name, '#', ' #') AS address, round(o_totalprice, 6) AS amount, x, y, zone FROM {orders} JOIN {customer} ON o_custkey = c_custkey JOIN {v_points} p ON p.id = c_custkey JOIN {v_diamonds} z ON abs(x - cx) + abs(y - cy) <= r",
+    "geo8_store_matrix": "WITH s AS (SELECT store, level1, sum(amount) AS a FROM {v_orders} GROUP BY 1, 2), h AS (SELECT store, level1, a / sum(a) OVER (PARTITION BY store) AS s FROM s) SELECT store, " + ", ".join(f"round(coalesce(sum(CASE WHEN level1 = '{c}' THEN s END), 0), 6) AS {c}" for c in ("ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")) + " FROM h GROUP BY 1",
+    "s5_read_tagged": "SELECT CAST(0 AS int) AS ordinal, count(*) AS n FROM {nation} UNION ALL SELECT 1, count(*) FROM {supplier} UNION ALL SELECT 2, count(*) FROM {orders}",
+    "t8_location_log": "WITH e AS (SELECT concat(CAST(ts AS date)) AS createDate, concat(user_id) AS memberId, concat(event_id % 90) AS memberLantitude, concat(event_id % 180) AS memberLongitude, 'get' AS method, event_type AS methodType FROM {events} WHERE event_id % 10 <> 0) SELECT concat_ws('|', createDate, memberId, methodType, row_number() OVER (PARTITION BY createDate, memberId, methodType ORDER BY memberLantitude || '\",\"memberLongitude\":\"' || memberLongitude || '\"') - 1) AS key, * FROM e",
+    "t10_last_views": "SELECT user_id AS member, CAST(json_extract_string(props, '$.k') AS bigint) AS goods, ts FROM {events} JOIN {customer} ON c_custkey = user_id WHERE event_type = 'view' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, CAST(json_extract_string(props, '$.k') AS bigint) DESC) = 1",
+}
+_SQL["c14_overall_score"] = f"""WITH sales AS ({_SQL['c11_sales_score']}), product AS ({_SQL['c12_product_line_score']}), popularity AS ({_SQL['c10_popularity_score']}), operation AS ({_SQL['c9_operation_score']}), nodes AS (SELECT DISTINCT level_no, node FROM {{v_goods}} JOIN {_LEVELS} t USING (category)),
+    r AS (SELECT n.level_no, n.node, coalesce(25 * a.score, 0) AS sales, coalesce(b.score, 0) AS product, coalesce(c.score, 0) AS popularity, coalesce(d.score, 0) AS operation FROM nodes n LEFT JOIN sales a USING (level_no, node) LEFT JOIN product b USING (level_no, node) LEFT JOIN popularity c USING (level_no, node) LEFT JOIN operation d USING (level_no, node)),
+    s AS (SELECT *, sales + product + popularity + operation AS total, CAST(floor(round(sales + product + popularity + operation, 6)) AS bigint) AS points FROM r)
+    SELECT level_no, node, round(sales, 6) AS sales, round(product, 6) AS product, round(popularity, 6) AS popularity, round(operation, 6) AS operation, round(total, 6) AS total, points, dense_rank() OVER (PARTITION BY level_no ORDER BY points DESC) AS rank FROM s"""
+
 ORACLES = {name: with_views(sql) for name, sql in _SQL.items()}
 
 #: These hold patterns with braces, so they are written out without names in braces.

@@ -33,6 +33,8 @@ VIEWS = {
         FROM {events} JOIN {v_goods} g ON g.goods = cast({json_k} AS bigint)
         WHERE event_type IN ('view', 'click', 'error', 'purchase')""",
     "v_points": "SELECT c_custkey AS id, cast(c_custkey * 37 % 1000 AS double) AS x, cast(c_custkey * 91 % 1000 AS double) AS y FROM {customer}",
+    "v_places": "SELECT c_custkey AS id, concat(c_name, ' ') AS address, cast(c_custkey * 37 % 1000 AS double) AS x, cast(c_custkey * 91 % 1000 AS double) AS y FROM {customer}",
+    "v_addressed": "SELECT o_orderkey AS order_no, o_custkey AS member, replace(c_name, '#', ' #') AS address, o_totalprice AS amount FROM {orders} JOIN {customer} ON o_custkey = c_custkey",
     "v_diamonds": "SELECT n_nationkey AS zone, cast(n_nationkey * 173 % 1000 AS double) AS cx, cast(n_nationkey * 311 % 1000 AS double) AS cy, cast(60 + n_nationkey * 5 AS double) AS r FROM {nation}",
 }
 _JSON_K = {"spark": "get_json_object(props, '$.k')", "duckdb": "json_extract_string(props, '$.k')"}

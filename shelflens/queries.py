@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from .functions.text import jaccard, normalize_nulls
 from .operators import category as C
 from .operators import cooccurrence as R
-from .operators import geo, lists, profile, rank, search
+from .operators import geo, lists, models, profile, rank, search
+from .operators import scorecard as S
 from .plans.views import view
 from .sources import tables
 from .streaming import events as stream
@@ -81,6 +82,82 @@ def _updated(goods: DataFrame) -> DataFrame:
     return tables.update_columns(goods.select("goods", "price", "brand"), goods.where("goods % 10 = 0").select("goods", (F.col("price") * 2).alias("price")), ["goods"], ["price"])
 
 
+#: Points of the four parts of a node's score, 25 each.
+OPERATION = {"in_stock_rate": 7.5, "fill_rate": 5.0, "price_changes": 5.0, "shelf_changes": 2.5, "steadiness": 5.0}
+POPULARITY = {"pv": 7.5, "uv": 7.5, "buyers": 10.0}
+PRODUCT = {"concentration": 10.0, "sell_through": 10.0, "correlation": 5.0}
+LEVEL1 = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+def _operation(goods: DataFrame, orders: DataFrame, dim: DataFrame) -> DataFrame:
+    """Orders stand for price changes, large ones for changes of shelf, monthly units for ratios."""
+    fill = lambda n, snapshot: goods.select("goods", F.lit(snapshot).alias("snapshot"), (F.col("comments") / n).alias("fill_rate"))
+    changes = orders.select("goods", "qty", F.col("sale_time").alias("changed_at"))
+    ratios = C.category_monthly_sales(orders, dim).select("level_no", "node", F.col("units").alias("ratio"))
+    return S.operation(goods, fill(100, 1).unionByName(fill(50, 2)), changes, changes.where("qty >= 25"), ratios, dim, ORDERS_AS_OF)
+
+
+def _product_line(goods: DataFrame, orders: DataFrame, dim: DataFrame) -> DataFrame:
+    monthly = rounded(C.category_sell_through(orders, goods, dim))
+    return S.product_line_score(monthly, S.price_correlation(C.price_distribution(goods, orders, dim)), PRODUCT, ORDERS_AS_OF)
+
+
+def _overall(goods: DataFrame, orders: DataFrame, events: DataFrame, dim: DataFrame) -> DataFrame:
+    parts = {
+        "sales": rounded(C.sales_score(orders, goods, dim, ORDERS_AS_OF)).withColumn("score", 25 * F.col("score")),
+        "product": rounded(_product_line(goods, orders, dim)),
+        "popularity": rounded(S.popularity_score(C.category_popularity(events, dim), POPULARITY, "2024-01")),
+        "operation": rounded(S.operation_score(_operation(goods, orders, dim), OPERATION)),
+    }
+    return S.overall_score(C.explode_levels(goods, dim).select("level_no", "node").distinct(), parts)
+
+
+def _attributes(goods: DataFrame) -> DataFrame:
+    terms = F.concat(F.split("name", " "), F.array(F.concat(F.lit("size:"), F.col("comments").cast("string")), F.concat(F.lit("brand:"), F.col("brand"))))
+    attrs = goods.select("level1", "goods", F.explode(terms).alias("term"))
+    return models.attribute_similarity(attrs, models.price_levels(goods, "level1"), "level1")
+
+
+def _itemsets(events: DataFrame) -> DataFrame:
+    baskets = events.where("behavior = 4000").groupBy("member", "level1", "week").agg(F.collect_set("goods").alias("items")).select("items")
+    return models.frequent_itemsets(baskets).select(F.array_join(F.col("items").cast("array<string>"), "#").alias("items"), "freq")
+
+
+def _clusters(orders: DataFrame) -> DataFrame:
+    columns = ["sales", "units", "orders", "members", "per_order"]
+    return models.kmeans_categories(geo.order_metrics(orders, ["level2"]).select("level2", *columns), columns)[0]
+
+
+def _with_conversion(goods: DataFrame, orders: DataFrame, events: DataFrame) -> DataFrame:
+    reviews = goods.select("goods", F.col("comments").alias("reviews"), (F.col("goods") % 5 + 1).alias("review_score"), (F.col("comments") / 50).alias("fill_rate"))
+    return models.search_score_with_conversion(_metrics(goods, orders, events).join(reviews, "goods"))
+
+
+def _labelled(events: DataFrame) -> DataFrame:
+    """Purchases; odd and even members stand for the two labels."""
+    return events.where("behavior = 4000").withColumn("label", F.col("member") % 2)
+
+
+def _tagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = tables.read_tagged(spark, [f"{sf_dir}/{t}.parquet" for t in ("nation", "supplier", "orders")])
+    return rows.groupBy("ordinal").agg(F.count("*").alias("n"))
+
+
+#: A location message for each event, every tenth one broken off, in SQL that Spark and DuckDB both read.
+MESSAGE = """concat('{"createDate":"', cast(ts AS date), '","memberId":"', user_id, '","memberLantitude":"', event_id % 90, '","memberLongitude":"', event_id % 180, '","method":"get","methodType":"', event_type, CASE WHEN event_id % 10 = 0 THEN '' ELSE '"}' END)"""
+
+
+def _locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = stream.file_source(spark, sf_dir, "events").selectExpr(f"{MESSAGE} AS value")
+    return stream.drain(stream.location_log(messages), tempfile.mkdtemp(prefix="spark-"), "append", stream.with_log_keys).drop("value")
+
+
+def _last_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views = stream.file_source(spark, sf_dir, "events").where("event_type = 'view'").selectExpr("concat('c', user_id) AS cookie", "cast(get_json_object(props, '$.k') AS bigint) AS goods", "ts")
+    cookies = view(spark, sf_dir, "customer").selectExpr("concat('c', c_custkey) AS cookie", "c_custkey AS member")
+    return stream.drain(stream.last_views(views, cookies), tempfile.mkdtemp(prefix="spark-"))
+
+
 QUERIES: dict[str, Query] = {
     # relational parts
     "p4_missing_values": _on(lambda c: c.select("c_custkey", normalize_nulls(F.when(F.col("c_custkey") % 3 == 0, "NULL").when(F.col("c_custkey") % 3 == 1, "").otherwise(F.col("c_mktsegment"))).alias("segment")).dropna(subset=["segment"]), "customer"),
@@ -172,4 +249,37 @@ QUERIES: dict[str, Query] = {
     "t4_running_count": _running,
     "t5_sliding_count": _sliding,
     "t7_word_count": _words,
+    "t8_location_log": _locations,
+    "t10_last_views": _last_views,
+    # scores of category nodes
+    "c8_operation": _on(_operation, "v_goods", "v_orders", "v_category_dim"),
+    "c9_operation_score": _on(lambda g, o, d: S.operation_score(_operation(g, o, d), OPERATION), "v_goods", "v_orders", "v_category_dim"),
+    "c10_popularity_score": _on(lambda e, d: S.popularity_score(C.category_popularity(e, d), POPULARITY, "2024-01"), "v_events", "v_category_dim"),
+    "c12_product_line_score": _on(_product_line, "v_goods", "v_orders", "v_category_dim"),
+    "c14_overall_score": _on(_overall, "v_goods", "v_orders", "v_events", "v_category_dim"),
+    "c15_promotion_coverage": _on(lambda g, e, o, d: S.promotion_coverage(e.where("behavior = 2000"), o.where("qty >= 45"), g, d), "v_goods", "v_events", "v_orders", "v_category_dim"),
+    "c16_score_weights": _on(lambda r, n: S.score_weights(r.select(F.col("r_regionkey").alias("component"), (F.col("r_regionkey") + 1.0).alias("weight")), n.select(F.col("n_regionkey").alias("component"), F.col("n_name").alias("sub"), (F.col("n_nationkey") / 10).alias("weight"))), "region", "nation"),
+    "c18_traffic_stages": _on(lambda e: S.traffic_stages(e, EVENTS_AS_OF), "v_events"),
+    "c18_top_goods": _on(lambda e: S.traffic_top(e, "goods", EVENTS_AS_OF), "v_events"),
+    "c18_top_brands": _on(lambda e: S.traffic_top(e.withColumn("category", F.col("level1")), "brand", EVENTS_AS_OF), "v_events"),
+    "c18_band_viewers": _on(lambda e, g: S.band_viewers(e, g.withColumn("category", F.col("level1")), EVENTS_AS_OF), "v_events", "v_goods"),
+    "c19_sales_status": _on(lambda o: S.sales_status(o, ORDERS_AS_OF), "v_orders"),
+    "c19_top_goods": _on(lambda o: S.sales_top(o.withColumn("category", F.col("level1")), "goods", ORDERS_AS_OF), "v_orders"),
+    "c20_summary": _on(S.category_summary_v2, "v_goods"),
+    "c20_price_zones": _on(S.price_zones, "v_goods"),
+    # models, profiles and wide tables
+    "m4_als": _on(lambda e: models.als_recommend(_ratings(e)), "v_events"),
+    "m5_behavior_ratings": _on(lambda e: models.behavior_ratings(e, EVENTS_AS_OF).withColumn("rating", F.round("rating", 9)), "v_events"),
+    "m5_behavior_als": _on(lambda e: models.behavior_als(e, EVENTS_AS_OF)[0], "v_events"),
+    "m7_kmeans": _on(_clusters, "v_orders"),
+    "m8_attribute_similarity": _on(_attributes, "v_goods"),
+    "r11_goods_profile": _on(lists.goods_profile, "v_goods"),
+    "r15_frequent_itemsets": _on(_itemsets, "v_events"),
+    "e6_profile_json": _on(models.user_profile_json, "v_events"),
+    "e7_gender_features": _on(lambda e: models.gender_features(_labelled(e), "label"), "v_events"),
+    "e7_train_binary": _on(lambda e: models.train_binary(_labelled(e), "label"), "v_events"),
+    "q2_goods_score_conversion": _on(_with_conversion, "v_goods", "v_orders", "v_events"),
+    "geo2_order_store": _on(lambda o, p, z: geo.order_store_wide(o, p, geo.diamonds(z)), "v_addressed", "v_places", "v_diamonds"),
+    "geo8_store_matrix": _on(lambda o: geo.store_category_matrix(o, LEVEL1), "v_orders"),
+    "s5_read_tagged": _tagged,
 }

@@ -26,6 +26,14 @@ def read_delimited(spark: SparkSession, path: str, schema: StructType | str, sep
     return spark.read.csv(path, schema=schema, sep=sep)
 
 
+def read_tagged(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Parquet files of several paths in one scan, each row with the place of its path in the list as `ordinal`."""
+    rows = spark.read.option("mergeSchema", "true").parquet(*paths)
+    file = F.col("_metadata.file_path")
+    tag = F.coalesce(*[F.when(F.endswith(file, F.lit(p)) | F.contains(file, F.lit(p.rstrip("/") + "/")), i) for i, p in enumerate(paths)])
+    return rows.withColumn("ordinal", tag)
+
+
 def read_json(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     return spark.read.json(path, schema=schema)
 

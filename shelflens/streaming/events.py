@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 VIEW = "goodsId STRING, cookieId STRING, memberId STRING, eventDate LONG, channel STRING, actType STRING, recResult STRUCT<goodsList: ARRAY<STRUCT<sid: STRING>>>, _corrupt STRING"
+LOCATION = "createDate STRING, memberId STRING, memberLantitude STRING, memberLongitude STRING, method STRING, methodType STRING"
 ROUTES = {"hotsale": "view", "dpgl": "view", "pcgl": "rec", "gyl": "rec"}
 
 
@@ -61,16 +64,37 @@ def word_count(lines: DataFrame, stop: DataFrame, text: str = "value") -> DataFr
     return words.join(stop, "word", "left_anti").groupBy("word").count()
 
 
-def drain(stream: DataFrame, path: str, mode: str = "complete") -> DataFrame:
-    """Runs a stream over what is there now, with its checkpoint under `path`, and returns the rows of its last batch."""
+def location_log(messages: DataFrame) -> DataFrame:
+    """The fields of location messages in `value`; those that are malformed or lack a field are dropped."""
+    parsed = messages.select("value", F.from_json("value", LOCATION).alias("e")).select("value", "e.*")
+    return parsed.dropna(how="any")
+
+
+def with_log_keys(batch: DataFrame) -> DataFrame:
+    """A batch of location messages under createDate|memberId|methodType|n, n counting up among equal ones."""
+    by = ["createDate", "memberId", "methodType"]
+    n = F.row_number().over(Window.partitionBy(*by).orderBy("value")) - 1
+    return batch.select(F.concat_ws("|", *by, n.cast("string")).alias("key"), *batch.columns)
+
+
+def last_views(views: DataFrame, cookies: DataFrame) -> DataFrame:
+    """member, goods, ts: what each member viewed last, found by the cookie of the view (cookie, goods, ts)."""
+    rows = views.join(cookies.select("cookie", "member"), "cookie")
+    return rows.groupBy("member").agg(F.max(F.struct("ts", "goods")).alias("last")).select("member", "last.goods", "last.ts")
+
+
+def drain(stream: DataFrame, path: str, mode: str = "complete", each: Callable[[DataFrame], DataFrame] = lambda batch: batch) -> DataFrame:
+    """Runs a stream over what is there now, with its checkpoint under `path`, and returns the rows of its last batch, or
+    in append mode those of all batches. A batch that is run again after a failure replaces its own rows."""
     spark = stream.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(f"{path}/rows")
+        each(batch).write.mode("overwrite").parquet(f"{path}/rows" if mode == "complete" else f"{path}/rows/batch={batch_id}")
 
     query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/checkpoint").foreachBatch(write).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{path}/rows")
+    schema = each(spark.createDataFrame([], stream.schema)).schema
+    return spark.read.schema(schema).parquet(f"{path}/rows").select(*schema.names)
 
 
 def received(query: StreamingQuery) -> int:

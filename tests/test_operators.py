@@ -3,7 +3,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 from shelflens.functions.text import in_polygon, jaccard, normalize_nulls
-from shelflens.operators import cooccurrence, geo, lists, rank
+from shelflens.operators import cooccurrence, geo, lists, models, rank
+from shelflens.operators import scorecard as S
 from shelflens.sources import tables
 from shelflens.streaming import events as stream
 
@@ -62,3 +63,53 @@ def test_routes_of_messages(spark):
     cookies = spark.createDataFrame([("c", "m7")], "cookie string, member string")
     assert [r["member"] for r in stream.handle_views(routed, cookies).collect()] == ["m7"]
     assert sorted(r["goods"] for r in stream.explode_recs(routed).collect()) == ["1", "2"]
+
+
+def test_ids_are_gapless_and_models_reload(spark, tmp_path):
+    members = spark.range(50).select(F.concat(F.lit("m"), F.col("id") % 20).alias("name"))
+    index = models.save_index(models.id_index(members, "name", 7), f"{tmp_path}/index")
+    assert sorted(r["index"] for r in index.collect()) == list(range(20))
+    ratings = spark.range(200).select((F.col("id") % 20).alias("member"), (F.col("id") * 7 % 11).alias("goods"), (F.col("id") % 5 + 1.0).alias("rating"))
+    model = models.train_als(ratings.dropDuplicates(["member", "goods"]), rank=3, iters=3)
+    models.save_model(model, f"{tmp_path}/als")
+    first, again = ({(r["member"], r["goods"]): r["score"] for r in models.recommend(m, 2).collect()} for m in (model, models.load_model(f"{tmp_path}/als")))
+    assert first == again and len(first) == 40
+
+
+def test_steps_of_the_product_line(spark):
+    df = spark.createDataFrame([(0.1,), (0.2,), (0.4,), (0.5,), (0.6,), (0.8,), (0.9,)], "x double")
+    got = df.select(S.concentration_points(F.col("x")), S.sell_through_points(F.col("x"))).collect()
+    assert [tuple(r) for r in got] == [(0.2, 0.2), (1.0, 0.5), (1.0, 0.5), (0.5, 1.0), (0.5, 0.5), (0.5, 0.5), (0.2, 0.2)]
+
+
+def test_ranks_by_whole_points_and_missing_parts(spark):
+    nodes = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c")], "level_no int, node string")
+    scores = spark.createDataFrame([(1, "a", 10.9), (1, "b", 10.1)], "level_no int, node string, score double")
+    found = {r["node"]: (r["total"], r["rank"]) for r in S.overall_score(nodes, {"sales": scores}).collect()}
+    assert found == {"a": (10.9, 1), "b": (10.1, 1), "c": (0.0, 2)}
+
+
+def test_no_correlation_without_spread(spark):
+    df = spark.createDataFrame([(1, "a", 3, 1.0), (1, "a", 3, 2.0), (1, "b", 1, 1.0), (1, "b", 2, 2.0), (1, "c", 1, 2.0), (1, "c", 2, 1.0)], "level_no int, node string, goods_count long, units double")
+    assert {r["node"]: r["correlation"] for r in S.price_correlation(df).collect()} == {"a": 0.0, "b": 1.0, "c": 0.0}
+
+
+def test_a_stream_goes_on_where_it_stopped(spark, tmp_path):
+    def put(name, value):
+        spark.createDataFrame([(value,)], "value string").write.parquet(f"{tmp_path}/in/{name}")
+
+    message = '{"createDate": "d", "memberId": "m", "memberLantitude": "1", "memberLongitude": "2", "method": "get", "methodType": "x"}'
+    source = lambda: spark.readStream.schema("value string").option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+    put("one", message)
+    put("bad", "{")
+    assert stream.drain(stream.location_log(source()), f"{tmp_path}/out", "append", stream.with_log_keys).count() == 1
+    put("two", message)
+    assert stream.drain(stream.location_log(source()), f"{tmp_path}/out", "append", stream.with_log_keys).count() == 2
+
+
+def test_progress_counts_messages(spark, tmp_path):
+    spark.range(5).write.parquet(f"{tmp_path}/in")
+    rows = spark.readStream.schema("id long").parquet(f"{tmp_path}/in")
+    query = rows.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
+    query.awaitTermination()
+    assert stream.received(query) == 5
