@@ -196,6 +196,9 @@ def _byte_signs() -> list[str]:
 class WordIds(dict):
     """word -> its ids as little-endian 16-bit integers. Tokens of these tokenizers don't cross white space, so words are looked up one by one.
 
+    Half of `limit` words stay here; when they are exceeded they become `earlier`, from which words met again come back.
+    So frequent words stay known, however many rare ones pass.
+
     For a tokenizer of the kind "NFC, white space, lower case; split by pattern, byte level", words of Latin-1 letters
     and ASCII signs are cut by its pattern here and only the pieces go through its merges. Other words, and all words
     of other tokenizers, go through the whole of it.
@@ -206,36 +209,43 @@ class WordIds(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.limit, self.pieces = Tokenizer.from_file(tokenizer_path), limit, {}
+        self.tokenizer, self.limit, self.pieces, self.earlier = Tokenizer.from_file(tokenizer_path), limit, {}, {}
+        self.merge = self.tokenizer.model.tokenize
         with open(tokenizer_path, encoding="utf-8") as f:
             told = json.load(f)
         kinds = [[x["type"] for x in (told.get(k) or {}).get(n, [])] for k, n in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers"))]
         self.pattern = None
         if kinds == [["NFC", "Replace", "Lowercase"], ["Split", "ByteLevel"]] and not told["pre_tokenizer"]["pretokenizers"][1]["add_prefix_space"]:
             self.pattern = regex.compile(told["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-            self.special = [t["content"] for t in told.get("added_tokens", [])]
+            self.special = re.compile("|".join(re.escape(t["content"]) for t in told.get("added_tokens", [])) or "(?!)").search
             self.signs = _byte_signs()
 
     def _piece(self, piece: str) -> bytes:
         signs = self.signs
-        out = self.pieces[piece] = np.array([t.id for t in self.tokenizer.model.tokenize("".join([signs[b] for b in piece.encode()]))], "<u2").tobytes()
+        shown = piece if piece.isascii() else "".join([signs[b] for b in piece.encode()])  # words hold printable signs only
+        ids = [t.id for t in self.merge(shown)]
+        out = self.pieces[piece] = struct.pack(f"<{len(ids)}H", *ids)
         return out
 
     def learn(self, words: set[bytes]) -> None:
-        if len(self) > self.limit:
+        if 2 * len(self) > self.limit:
+            self.earlier = dict(self)
             self.clear()
         if len(self.pieces) > self.limit:
             self.pieces.clear()
         rest = []
-        known = self.pieces
+        known, earlier, cut, special = self.pieces, self.earlier, self.pattern, self.special if self.pattern else None
         for w in words - self.keys():
+            if (ids := earlier.get(w)) is not None:
+                self[w] = ids
+                continue
             text = w.decode()
-            if self.pattern is None or not _PLAIN(text) or any(x in text for x in self.special):
+            if cut is None or not _PLAIN(text) or special(text):
                 rest.append(w)
             else:
-                self[w] = b"".join([known.get(x) or self._piece(x) for x in self.pattern.findall(text.lower())])
+                self[w] = b"".join([known.get(x) or self._piece(x) for x in cut.findall(text.lower())])
         for w, e in zip(rest, self.tokenizer.encode_batch([w.decode() for w in rest], add_special_tokens=False), strict=True):
-            self[w] = np.array(e.ids, "<u2").tobytes()
+            self[w] = struct.pack(f"<{len(e.ids)}H", *e.ids)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """The ids of each text, then END_ID."""
