@@ -15,6 +15,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -255,6 +256,12 @@ class WordIds(dict):
         return [np.frombuffer(b"".join(map(self.__getitem__, words)) + end, "<u2") for words in split]
 
 
+@lru_cache(maxsize=1)
+def word_ids(tokenizer_path: str) -> WordIds:
+    """One lookup a worker process, so that its later tasks find the tokenizer loaded and frequent words known."""
+    return WordIds(tokenizer_path)
+
+
 #: Printable ASCII and the letters of Latin-1, which composing and lower-casing treat sign by sign.
 _PLAIN = re.compile(r"[\x21-\x7E\xC0-\xD6\xD8-\xF6\xF8-\xFF]*").fullmatch
 
@@ -265,7 +272,7 @@ def _write(tokenizer_path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part, chunk, words = TaskContext.get().partitionId(), 0, WordIds(tokenizer_path)
+        part, chunk, words = TaskContext.get().partitionId(), 0, word_ids(tokenizer_path)
         docs: list = []
         ids: list[np.ndarray] = []
         size = 0
