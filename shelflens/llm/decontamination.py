@@ -29,7 +29,7 @@ class Params:
     masks: tuple[str, ...] = ("11111", "1101011", "10110101", "110000111", "101010101")
     least: int = 10  #: tokens of an overlap that counts, or the whole of a shorter item that has a mask's length
     identity: float = 0.75  #: share of equal tokens in it
-    drop: int = 4  #: an overlap ends where this many points (1 a match, -1.5 a substitution) below its best
+    drop: int = 4  #: no overlap crosses substitutions in a row that take more points than this, 1.5 each
 
 
 def token_hash(word: bytes) -> int:
@@ -114,19 +114,24 @@ def _regions(p: Params, packed, reach: int):
 
 
 def overlap(doc: np.ndarray, item: np.ndarray, diagonal: int, p: Params) -> tuple[int, int, int]:
-    """Best-scoring stretch along a diagonal (document position less item position): its start in the document, tokens, equal ones."""
+    """Longest stretch along a diagonal (document position less item position) from one equal token to another of which `identity` are equal: its start in the document, tokens, equal ones.
+
+    Whatever lies beside a stretch doesn't count against it, so more of an item never makes its overlap shorter.
+    """
     first, last = max(diagonal, 0), min(diagonal + len(item), len(doc))
-    same = doc[first:last] == item[first - diagonal : last - diagonal]
-    best, score, start, out = 0.0, 0.0, 0, (0, 0, 0)
-    for i, x in enumerate(same.tolist()):
-        score += 1.0 if x else -1.5
-        if score <= 0 or score < best - p.drop:
-            score, best, start = 0.0, 0.0, i + 1
-        elif score > best:
-            best = score
-            n = i + 1 - start
-            if n > out[1]:
-                out = (first + start, n, int(same[start : i + 1].sum()))
+    at = np.flatnonzero(doc[first:last] == item[first - diagonal : last - diagonal])
+    out = (0, 0, 0)
+    for part in np.split(at, np.flatnonzero(1.5 * (np.diff(at) - 1) > p.drop) + 1):
+        if not len(part):
+            continue
+        before = np.arange(len(part)) - p.identity * part  # equal tokens before each, less those needed
+        after = before + 1 - p.identity
+        # The first place from which enough are equal up to each; the least so far falls, so it can be searched.
+        begin = np.searchsorted(-np.minimum.accumulate(before), -after - 1e-9)
+        size = part - part[begin] + 1
+        i = int(size.argmax())
+        if size[i] > out[1]:
+            out = (first + int(part[begin[i]]), int(size[i]), i - int(begin[i]) + 1)
     return out
 
 
@@ -137,7 +142,7 @@ def _verify(p: Params):
             for doc_id, start, region, item_id, tokens, diagonal in zip(*(batch[c].to_pylist() for c in ("doc_id", "start", "region", "item_id", "tokens", "diagonal")), strict=True):
                 item = np.frombuffer(tokens, np.uint64)
                 at, n, same = overlap(np.frombuffer(region, np.uint64), item, diagonal, p)
-                if n >= min(p.least, len(item)) and same >= p.identity * n:
+                if n >= min(p.least, len(item)):
                     rows.append((doc_id, item_id, start + at, n, same))
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(5)], ["doc_id", "item_id", "start", "tokens", "equal"])
 

@@ -100,6 +100,40 @@ def test_leaks_with_substitutions(spark):
     assert decontamination.op5_spaced_seeds(docs, bench.limit(0)).where("contaminated = 1").count() == 0
 
 
+def test_lengthening_a_leak_never_clears_it(spark):
+    item = np.arange(200, dtype=np.uint64)
+    leak = np.where((np.arange(200) >= 10) & (np.arange(200) % 3 == 0), 999, item)
+    for part in (leak, leak[::-1]):
+        source, sizes = (item if part is leak else item[::-1]), []
+        for n in range(10, 201):
+            _, size, same = decontamination.overlap(part[:n], source, 0, decontamination.Params())
+            assert same >= 0.75 * size
+            sizes.append(size)
+            _, size, same = decontamination.overlap(part[200 - n :], source, n - 200, decontamination.Params())
+            assert same >= 0.75 * size and (n < 200 or size >= 10)
+        assert sizes[0] >= 10 * (part is leak) and sizes == sorted(sizes)
+    words = [f"w{i}" for i in range(100)]
+    changed = [w if i < 10 or i % 3 else "zzz" for i, w in enumerate(words)]
+    docs = spark.createDataFrame([(n, " ".join(changed[:n])) for n in (10, 40, 43, 58, 100)], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    assert decontamination.op5_spaced_seeds(docs, bench).where("contaminated = 1").count() == 5
+
+
+def test_overlap_is_the_longest_that_counts():
+    rng = np.random.default_rng(4)
+    for _ in range(200):
+        same = rng.random(40) < rng.choice([0.5, 0.7, 0.85])
+        doc = np.where(same, np.arange(40), 99).astype(np.uint64)
+        got = decontamination.overlap(doc, np.arange(40, dtype=np.uint64), 0, decontamination.Params())
+        want = 0
+        for a in np.flatnonzero(same):
+            for b in np.flatnonzero(same) + 1:
+                part = same[a:b]
+                if b > a and part.sum() >= 0.75 * (b - a) and "000" not in "".join("01"[int(x)] for x in part):
+                    want = max(want, b - a)
+        assert got[1] == want and same[got[0] : got[0] + got[1]].sum() == got[2]
+
+
 def test_nearest_has_recall_and_exact_scores(spark):
     rng = np.random.default_rng(2)
     x = rng.standard_normal((600, 16)).astype(np.float32)
