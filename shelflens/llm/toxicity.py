@@ -3,7 +3,7 @@
 A word counts as three tokens, itself and two prefixes that stand for its stem, hashed to a fixed number of buckets. A
 bucket's score is the log-odds of a document holding it between toxic and clean labelled documents, under a Dirichlet
 prior in proportion to the documents of the whole corpus that hold it, drawn towards zero by its own uncertainty. A
-word scores as its surest token, once in a text, less a small drift, so that a run of ordinary words scores below
+word scores as its surest token, wherever it stands (less if it stood a few words before), less a small drift, so that a run of ordinary words scores below
 zero. One pass over a text finds every maximal positive segment. The best segments' score, set against the extreme-value (Gumbel) law that clean labelled texts of that
 length follow, is turned into a probability by a logistic curve.
 """
@@ -26,6 +26,8 @@ BITS = 19
 BUCKETS = 1 << BITS
 PREFIXES = (7, 5)
 SLICES = 16
+#: Words from which a repeated one scores in full; nearer ones score in proportion, so that a word said over and over isn't a passage.
+REPEAT = 20
 #: Rows of `counts`: all documents, then clean and toxic ones of either fold.
 ALL, GROUPS = 0, 5
 
@@ -105,9 +107,11 @@ def _buckets(words: np.ndarray) -> np.ndarray:
 def word_scores(words: np.ndarray, weights: np.ndarray, drift: float) -> np.ndarray:
     odds = weights[_buckets(words)]
     score = np.take_along_axis(odds, np.abs(odds).argmax(1)[:, None], 1)[:, 0].astype(float)
-    once = np.zeros(len(words), bool)
-    once[np.unique(words, return_index=True)[1]] = True
-    return np.where(once | (score < 0), score, 0) - drift
+    order = np.argsort(words, kind="stable")
+    again = np.flatnonzero(words[order[1:]] == words[order[:-1]]) + 1
+    gap = np.full(len(words), REPEAT)
+    gap[order[again]] = np.minimum(order[again] - order[again - 1], REPEAT)
+    return np.where(score > 0, score * (gap / REPEAT), score) - drift
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

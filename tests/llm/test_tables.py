@@ -173,6 +173,18 @@ def test_toxicity_on_rows_that_taught_nothing(spark):
     assert toxicity.score_documents(docs, labels.limit(0)).where("predicted = 1").count() == 0
 
 
+def test_toxic_words_count_wherever_they_stand():
+    weights, memo = np.full(toxicity.BUCKETS, -0.2, np.float32), toxicity.Memo(toxicity.tokens_of)
+    bad = [b"awful", b"vile", b"nasty", b"rotten"]
+    for w in bad:
+        weights[toxicity._buckets(np.array([memo[w]]))] = 2.0
+    plain = [f"w{i}".encode() for i in range(60)]
+    cuts = lambda *parts: [x[:2] for x in toxicity.segments(toxicity.word_scores(toxicity._words(b" ".join(w for p in parts for w in p), memo), weights, 0.05)) if x[2] > 4]
+    assert cuts(plain, bad, plain, bad, plain) == [(60, 64), (124, 128)]
+    scattered = [w for b in bad for w in [*plain, b]]
+    assert cuts(scattered, plain, bad, plain) == [(304, 308)]
+
+
 def test_ordinal_grades(spark):
     rng = np.random.default_rng(6)
     words = [f"w{i}" for i in range(200)]
