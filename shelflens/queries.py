@@ -169,7 +169,7 @@ QUERIES: dict[str, Query] = {
     "a10_positional_quantiles": _on(lambda g: rank.positional_quantile(g, ["level1"], "price", [2, 4, 6, 8]), "v_goods"),
     "a11_deviation": _on(lambda o: o.groupBy("goods").agg(F.count("*").alias("n"), F.stddev_pop("price").alias("deviation")).where("n >= 5 AND deviation > 1e-9"), "v_orders"),
     "a14_correlation": _on(lambda o: o.groupBy("level1").agg(F.corr("price", "qty").alias("c")).select("level1", F.when(F.col("c").between(0, 1), F.col("c")).otherwise(0.0).alias("correlation")), "v_orders"),
-    "a15_listed": _on(lambda g: lists.joined(g.where("goods < 500"), ["brand"], "goods", "goods"), "v_goods"),
+    "a15_listed": _on(lambda g: lists.joined(g, ["brand"], "goods", "goods"), "v_goods"),
     "w1_top_k": _on(lambda o: rank.top_k(o.groupBy("store", "goods").agg(F.sum("amount").alias("sales")), ["store"], [F.round("sales", 4).desc(), F.col("goods")], 5), "v_orders"),
     "w4_dense_rank": _on(lambda g: rank.dense_rank_desc(g.groupBy("level2").agg(F.count("*").alias("n")), "n"), "v_goods"),
     "w5_pareto": _on(lambda o: rank.pareto_count(o.groupBy("level1", "goods").agg(F.sum("qty").alias("units")), ["level1"], "goods", "units", 0.8), "v_orders"),

@@ -113,3 +113,11 @@ def test_progress_counts_messages(spark, tmp_path):
     query = rows.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/c").trigger(availableNow=True).start()
     query.awaitTermination()
     assert stream.received(query) == 5
+
+
+def test_listed_goods_of_every_id(spark):
+    from shelflens.queries import QUERIES
+
+    part = spark.read.parquet("/root/testdata/sf0.01/part.parquet")
+    items = [r["items"].split("#") for r in QUERIES["a15_listed"](spark, "/root/testdata/sf0.01").collect()]
+    assert sorted(int(x) for i in items for x in i) == sorted(r[0] for r in part.select("p_partkey").collect())
