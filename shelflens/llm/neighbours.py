@@ -28,6 +28,7 @@ class Params:
     share: float = 0.7
     rows: int = 20_000  #: of a shard of the index
     queries: int = 2_000  #: compared with a shard at a time
+    block: int = 20_000  #: queries that go to a shard together
     seed: int = 3
 
 
@@ -97,15 +98,16 @@ def _search(k: int, p: Params):
                     part = batch.slice(at, p.queries)
                     q = _matrix(part["embedding"], size)
                     q_norm = q / np.sqrt((q * q).sum(1))[:, None]
-                    for query, unit, me, found in zip(q, q_norm, part["vec_id"].to_pylist(), forest.candidates(q_norm, need), strict=True):
+                    for query, unit, me, row, times, found in zip(q, q_norm, *(part[c].to_pylist() for c in ("vec_id", "row", "times")), forest.candidates(q_norm, need), strict=True):
                         found = found[ids[found] != me]
                         near = (x[found] @ unit) / norm[found]
                         if len(near) > k:
                             found = found[near >= np.partition(near, -k)[-k] - 1e-9]
                         exact = cosine(x[found], query)
                         for i in np.lexsort((ids[found], -exact))[:k]:
-                            out.append((me, int(ids[found[i]]), float(exact[i])))
-        return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["query_id", "vec_id", "score"])
+                            out.append((me, row, times, int(ids[found[i]]), float(exact[i])))
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
+        return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate(types)], ["query_id", "row", "times", "vec_id", "score"])
 
     return run
 
@@ -116,19 +118,22 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, p: Params = Para
     Both tables hold vec_id and embedding. Rows with a null vec_id, or a vector that is null, zero or holds null or
     non-finite components, take no part; vectors are compared with those of their length. A repeated row stands in the
     result once for each time. An empty table gives an empty result. The index lies in shards of some `rows` vectors;
-    each block of queries goes to each shard.
+    each block of some `block` queries goes to each shard as a group of its own. Repeated queries are searched once.
     """
 
     def clean(df: DataFrame) -> DataFrame:
         return df.select("vec_id", "embedding").where(F.col("vec_id").isNotNull() & usable(F.col("embedding"))).withColumn("size", F.size("embedding"))
 
-    index, asked = clean(vectors), clean(queries)
-    shards = max(1, math.ceil(index.count() / p.rows))
-    placed = index.withColumn("shard", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(shards)).cast("int"))
-    sent = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    found = placed.groupBy("shard", "size").cogroup(sent.groupBy("shard", "size")).applyInArrow(_search(k, p), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    index = clean(vectors)
+    asked = clean(queries).groupBy("vec_id", "embedding", "size").agg(F.count("*").alias("times")).withColumn("row", F.xxhash64("vec_id", "embedding"))
+    shards, blocks = max(1, math.ceil(index.count() / p.rows)), max(1, math.ceil(asked.count() / p.block))
+    key = ["shard", "block", "size"]
+    placed = index.withColumn("shard", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(shards)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    sent = asked.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    found = placed.groupBy(*key).cogroup(sent.groupBy(*key)).applyInArrow(_search(k, p), "query_id long, row long, times long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "row").orderBy(F.col("score").desc(), "vec_id")
+    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return best.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("query_id", "rank", "vec_id", "score")
 
 
 def op8_prefix_forest(embeddings: DataFrame) -> DataFrame:

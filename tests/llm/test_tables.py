@@ -6,6 +6,7 @@ from collections import Counter
 import brute
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from shelflens.llm import decontamination, mixing, neighbours, quality, sharding, tokencoding, toxicity
 
 
@@ -153,6 +154,19 @@ def test_nearest_has_recall_and_exact_scores(spark):
     assert {r["query_id"] for r in out} == set(range(0, 600, 50)) and hit >= 0.9 * 60
 
 
+def test_repeated_queries_keep_their_neighbours(spark):
+    x = np.random.default_rng(8).standard_normal((120, 8)).round(3)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asked = vectors.where("vec_id % 50 = 0")
+    twice = asked.unionByName(asked.where("vec_id = 50")).unionByName(spark.createDataFrame([(50, x[7].tolist())], vectors.schema))
+    p = neighbours.Params(rows=40, block=2)
+    once = sorted(map(tuple, neighbours.nearest(vectors, asked, p=p).collect()))
+    assert [r[:2] for r in once] == [(q, i) for q in (0, 50, 100) for i in range(1, 6)]
+    other = sorted(map(tuple, neighbours.nearest(vectors, twice.where(F.col("embedding") == F.lit(x[7].tolist())), p=p).collect()))
+    assert len(other) == 5 and other[0][2] == 7
+    assert sorted(map(tuple, neighbours.nearest(vectors, twice, p=p).collect())) == sorted(once + [r for r in once if r[0] == 50] + other)
+
+
 def test_segments_are_the_maximal_ones():
     assert toxicity.segments(np.array([-1.0, 2, -1, 2, -5, 1])) == [(1, 4, 3.0), (5, 6, 1.0)]
     assert toxicity.segments(np.array([-1.0, 0.0])) == []
