@@ -1,10 +1,16 @@
-"""Dedup of byte strings that occur more than once anywhere in the corpus.
-
-Each 400-byte window has one sampled suffix: of the 64-byte grams in it the one with the least hash, the leftmost of
-equal ones. Equal windows sample the same gram at the same offset, so it is enough to compare windows whose samples
-agree. Grams sampled once are let go by a bit filter of fixed size. Of the rest those with equal bytes all around settle
-each other by one hash. Where the same gram has several surroundings, one of each kind is sorted by Spark's external
-sort with its bytes, and the windows of each run of equal grams are compared by hash.
+"""Dedup of byte strings that occur more than once anywhere in the corpus, by external induced sorting.
+
+Sampled suffixes are sorted first and all others are induced from them. A 400-byte window samples one suffix that
+starts in it: of its 64-byte grams the one with the least hash, the leftmost of equal ones. Equal windows sample the
+same gram at the same offset, so only suffixes that begin with the same gram can lie next to each other with 400 bytes
+in common. Grams sampled once are let go, and of those with equal bytes all around one stands for all.
+
+The rest are suffix tuples: the gram, the bytes from it on, the bytes before it, and the place. Spark's external sort
+(runs on disk, merged) puts them in order, a gram's tuples one after the other, and neighbours' common prefixes are
+measured. Then, byte by byte to the left, the suffixes that start one earlier are induced: a stable distribution of the
+tuples by the byte before them keeps their order, and the new common prefix of neighbours is the least one between them
+in the old order, plus one. A window repeats where a neighbour has its whole length in common. Bytes are compared, not
+hashes. Recursion isn't needed: 400 bytes bound what the sort of the sampled suffixes has to compare.
 """
 
 from __future__ import annotations
@@ -13,10 +19,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import filter_bits, filter_of, mix64, passes, pieces, save, sliding_argmin
+from .common import filter_bits, filter_of, mix64, passes, pieces, save, sliding_argmin, slices
 
 _RNG = np.random.default_rng(23)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -24,8 +31,12 @@ _BASE = int(_RNG.integers(1, 1 << 62)) * 4 + 3
 _POWERS: dict[int, np.ndarray] = {}
 
 
-def row_key() -> Column:
-    return F.xxhash64("doc_id", "text")
+#: A row of the documents: its doc_id (one from its text where that is null) and a hash of both, 128 bits in all.
+ROW = ["doc", "rid"]
+
+
+def row_key() -> list[Column]:
+    return [F.coalesce("doc_id", F.xxhash64(F.lit(1), "text")).alias("doc"), F.xxhash64("doc_id", "text").alias("rid")]
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -87,15 +98,15 @@ def _grams(window: int, gram: int):
     return run
 
 
-def _occurrences(batch: pa.RecordBatch, texts: list[bytes], window: int, gram: int) -> Iterator[tuple]:
-    """Sampled grams of a piece: bytes and their prefix hashes, starts of each one's first window and their number, gram hashes, gram places, document rows, places in the documents."""
+def _occurrences(texts: list[bytes], window: int, gram: int) -> Iterator[tuple]:
+    """Sampled grams of a piece: bytes and their prefix hashes, starts of each one's first window and their number, gram hashes, windows' distances before the gram, rows of the batch, places in the documents."""
     for _, part, offset in _long(texts, window):
         if (found := _samples(part, window, gram)) is not None:
             data, h, at, least, first = found
             new = np.flatnonzero(np.concatenate(([True], (least[1:] != least[:-1]) | (np.diff(at) > 1))))
             start, size = at[new], np.diff(np.concatenate((new, [len(at)])))
             doc = np.searchsorted(first, start, "right") - 1
-            yield data, start, size, h[least[new]], least[new] - start, batch["rid"].to_numpy()[doc], start - first[doc] + offset
+            yield data, start, size, h[least[new]], least[new] - start, doc, start - first[doc] + offset
 
 
 def _key(rid: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -108,101 +119,181 @@ def _marks(window: int, gram: int, bits: int, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = np.frombuffer(shared.value, np.uint8)
         for batch, texts in pieces(batches):
-            for data, start, size, value, before, rid, at in _occurrences(batch, texts, window, gram):
+            rids, docs = batch["rid"].to_numpy(), batch["doc"].to_numpy()
+            for data, start, size, value, before, row, at in _occurrences(texts, window, gram):
                 keep = np.flatnonzero(passes(packed, value, bits))
                 prefix, inverse = prefix_hash(data), _powers(len(data))[1]
-                a, n = start[keep], size[keep]
+                a, n, row, at = start[keep], size[keep], row[keep], at[keep]
                 whole = mix64((prefix[a + n + window - 1] - prefix[a]) * inverse[a] + (before[keep] * 65536 + n).astype(np.uint64))
-                columns = (value[keep].view(np.int64), whole.view(np.int64), rid[keep], at[keep], n, _key(rid[keep], at[keep]).view(np.int64))
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["value", "whole", "rid", "at", "size", "key"])
+                columns = (value[keep].view(np.int64), whole.view(np.int64), docs[row], rids[row], at, n, _key(rids[row], at).view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["value", "whole", "doc", "rid", "at", "size", "key"])
 
     return run
 
 
-def _contexts(window: int, gram: int, bits: int, shared):
-    """For each sampled gram whose key passes: the windows that sample it, as the first one's place, their number and the bytes they span."""
+TUPLES = "value long, doc long, rid long, at long, size long, before binary, from binary"
+
+
+def _tuples(window: int, gram: int, bits: int, shared):
+    """Suffix tuples of the sampled grams whose key is among `keys` of their row or, without that column, passes the filter.
+
+    `at` and `size` are the first window that samples the gram and their number; the bytes before and from the gram on
+    reach as far as these windows do.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = np.frombuffer(shared.value, np.uint8)
         for batch, texts in pieces(batches):
-            for data, start, size, value, _, rid, at in _occurrences(batch, texts, window, gram):
-                keep = np.flatnonzero(passes(packed, _key(rid, at), bits))
-                raw = data.tobytes()
-                spans = [raw[a : a + n + window - 1] for a, n in zip(start[keep].tolist(), size[keep].tolist(), strict=True)]
-                columns = [pa.array(value[keep].view(np.int64)), pa.array(rid[keep]), pa.array(at[keep]), pa.array(size[keep]), pa.array(spans, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["value", "rid", "at", "size", "bytes"])
+            rids, docs = batch["rid"].to_numpy(), batch["doc"].to_numpy()
+            listed = batch["keys"].flatten().to_numpy().view(np.uint64) if "keys" in batch.schema.names else None
+            for data, start, size, value, before, row, at in _occurrences(texts, window, gram):
+                key = _key(rids[row], at)
+                keep = np.flatnonzero(passes(packed, key, bits) if listed is None else np.isin(key, listed))
+                raw, row = data.tobytes(), row[keep]
+                places = list(zip(start[keep].tolist(), (start + before)[keep].tolist(), (start + size)[keep].tolist(), strict=True))
+                columns = [value[keep].view(np.int64), docs[row], rids[row], at[keep], size[keep]]
+                spans = [pa.array([raw[a:g] for a, g, _ in places], pa.binary()), pa.array([raw[g : e + window - 1] for _, g, e in places], pa.binary())]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *spans], ["value", "doc", "rid", "at", "size", "before", "from"])
 
     return run
 
 
-def _compare(window: int):
-    """Over rows sorted by gram: the windows that occur more than once, as runs of starts.
+def _grid(strings: pa.Array, width: int, flush_right: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The strings as rows of bytes, and their lengths."""
+    size = pc.binary_length(strings).to_numpy().astype(np.int64)
+    out = np.zeros((len(size), width), np.uint8)
+    column = np.arange(width)
+    inside = column >= (width - size)[:, None] if flush_right else column < size[:, None]
+    out[inside] = np.frombuffer(b"".join(strings.to_pylist()), np.uint8)
+    return out, size
+
 
-    A run of equal grams may reach over batches: what its windows' hashes were and where each was first met is kept
-    until the next gram begins.
+def induce(value: np.ndarray, before: pa.Array, after: pa.Array, size: np.ndarray, window: int) -> np.ndarray:
+    """For suffix tuples sorted by gram and the bytes from it on: which windows, by tuple and distance before the gram, start elsewhere too.
+
+    `order` holds the tuples that still take part in the order of the suffixes that start `d` bytes before their gram,
+    those with the same gram and the same d bytes before it in a row, and `lcp` each one's common prefix with the one
+    before.
     """
+    left, most = _grid(before, window, True)
+    right, length = _grid(after, window, False)
+    m = len(value)
+    repeats = np.zeros((m, window), bool)
+    order, kin = np.arange(m), np.concatenate(([False], value[1:] == value[:-1]))
+    differ = np.concatenate((right[1:] != right[:-1], np.ones((m - 1, 1), bool)), axis=1).argmax(1)
+    lcp = np.where(kin, np.concatenate(([0], np.minimum(differ, np.minimum(length[1:], length[:-1])))), 0)
+    for d in range(window):
+        near = np.maximum(lcp, np.concatenate((lcp[1:], [0])))
+        repeats[order[near >= window], d] = True
+        # Of those with a neighbour of the same gram and bytes so far, and a byte before: one step to the left.
+        with_kin = kin | np.concatenate((kin[1:], [False]))
+        keep = np.flatnonzero(with_kin & (most[order] > d))
+        if len(keep) < 2:
+            break
+        group = np.cumsum(~kin)
+        key = group[keep] * 256 + left[order[keep], window - 1 - d]
+        by = np.argsort(key, kind="stable")
+        old, key = keep[by], key[by]
+        kin = np.concatenate(([False], key[1:] == key[:-1]))
+        at = np.flatnonzero(kin)
+        bounds = np.stack((old[at - 1] + 1, old[at] + 1), axis=1).ravel()
+        least = np.minimum.reduceat(np.concatenate((lcp, [0])), bounds)[::2] if len(at) else at
+        order, lcp = order[old], np.zeros(len(old), np.int64)
+        lcp[at] = least + 1
+    # Only windows that sample the gram themselves count; any other's bytes end before its tuple's do.
+    distance = np.arange(window)
+    return repeats & (distance <= most[:, None]) & (distance > (most - size)[:, None])
+
+
+def _induced(window: int, rows: int = 4000):
+    """Over suffix tuples in order: runs of the windows that repeat, as starts in their row. Grams are kept whole, some `rows` tuples at a time."""
+
+    def found(part: pa.Table) -> Iterator[pa.RecordBatch]:
+        part = part.combine_chunks()
+        column = {c: part[c].chunk(0) for c in part.column_names}
+        size = column["size"].to_numpy()
+        repeats = induce(column["value"].to_numpy(), column["before"], column["from"], size, window)[:, ::-1]  # by start
+        edge = np.diff(np.pad(repeats, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        (i, start), (_, end) = np.nonzero(edge == 1), np.nonzero(edge == -1)
+        gram = column["at"].to_numpy() + pc.binary_length(column["before"]).to_numpy()
+        first = gram[i] - (window - 1)
+        if len(i):
+            yield pa.RecordBatch.from_arrays([pa.array(column[c].to_numpy()[i]) for c in ROW] + [pa.array(first + start), pa.array(first + end)], [*ROW, "start", "end"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, met = None, {}
-        for batch in batches:
-            for at0 in range(0, batch.num_rows, 2000):
-                part = batch.slice(at0, 2000)
-                value, size = part["value"].to_numpy(), part["size"].to_numpy()
-                rid, at = part["rid"].to_numpy(), part["at"].to_numpy()
-                spans = part["bytes"].to_pylist()
-                first = np.concatenate(([0], np.cumsum([len(s) for s in spans])))[:-1]
-                owner = np.repeat(np.arange(len(size)), size)
-                inner = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-                h = string_hashes(prefix_hash(np.frombuffer(b"".join(spans), np.uint8)), first[owner] + inner, window)
-                _, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
-                again = count[inverse] > 1
-                r, p = rid[owner], at[owner] + inner
-                extra: list[tuple[int, int]] = []
-                if value[0] == last:
-                    head = owner < (np.argmax(value != last) if (value != last).any() else len(value))
-                    for i in np.flatnonzero(head).tolist():
-                        x = int(h[i])
-                        if x in met:
-                            again[i] = True
-                            if met[x]:
-                                extra.append(met[x])
-                                met[x] = None
-                if value[-1] != last:
-                    last, met = value[-1], {}
-                for i in np.flatnonzero(owner >= np.argmax(value == last)).tolist():
-                    if again[i]:
-                        met[int(h[i])] = None
-                    else:
-                        met.setdefault(int(h[i]), (int(r[i]), int(p[i])))
-                hit = np.flatnonzero(again)
-                if len(hit):
-                    new = np.concatenate(([True], (np.diff(hit) > 1) | (np.diff(owner[hit]) > 0)))
-                    a, b = hit[new], hit[np.concatenate((new[1:], [True]))]
-                    yield pa.RecordBatch.from_arrays([pa.array(r[a]), pa.array(p[a]), pa.array(p[b] + 1)], ["rid", "start", "end"])
-                if extra:
-                    yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in extra], pa.int64()), pa.array([x[1] for x in extra], pa.int64()), pa.array([x[1] + 1 for x in extra], pa.int64())], ["rid", "start", "end"])
+        held: list[pa.RecordBatch] = []
+        for batch in slices(batches, rows):
+            if not batch.num_rows:
+                continue
+            value = batch["value"].to_numpy()
+            last = int(np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))[-1])
+            if held and value[0] != held[-1]["value"][-1].as_py():
+                yield from found(pa.Table.from_batches(held))
+                held = []
+            if last:
+                yield from found(pa.Table.from_batches([*held, batch.slice(0, last)]))
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield from found(pa.Table.from_batches(held))
 
     return run
 
 
-def repeated_windows(docs: DataFrame, window: int = 400, gram: int = 64, most_bits: int = 29) -> DataFrame:
-    """rid, start, end: for rows of `docs` by their key, runs of starts (end exclusive) of byte strings that start anywhere else too."""
-    rows = docs.select("doc_id", "text", row_key().alias("rid"))
+def _windows(window: int):
+    """Every window of the tuples with its hash."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 400):
+            value, size, at = (batch[c].to_numpy() for c in ("value", "size", "at"))
+            spans = [a + b for a, b in zip(batch["before"].to_pylist(), batch["from"].to_pylist(), strict=True)]
+            first = np.cumsum([0, *map(len, spans)])[:-1]
+            owner = np.repeat(np.arange(len(size)), size)
+            inner = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+            h = string_hashes(prefix_hash(np.frombuffer(b"".join(spans), np.uint8)), first[owner] + inner, window)
+            yield pa.RecordBatch.from_arrays([pa.array(value[owner]), pa.array(h.view(np.int64)), *[pa.array(batch[c].to_numpy()[owner]) for c in ROW], pa.array(at[owner] + inner)], ["value", "hash", *ROW, "start"])
+
+    return run
+
+
+def repeated_windows(docs: DataFrame, window: int = 400, gram: int = 64, most_bits: int = 29, most_tuples: int = 20_000) -> DataFrame:
+    """doc, rid, start, end: for rows of `docs` by their key, runs of starts (end exclusive) of byte strings that start anywhere else too.
+
+    The filters over grams and keys have a fixed greatest size. Beyond it the first one lets all grams pass, a row for
+    some 170 bytes; in place of the second the documents are joined with their keys. A gram with more than `most_tuples`
+    surroundings isn't sorted in one task: its windows become rows, counted by hash.
+    """
+    context = docs.sparkSession.sparkContext
+    rows = docs.select("doc_id", "text", *row_key())
     grams = rows.select("text").mapInArrow(_grams(window, gram), "value long")
     twice = save(grams.groupBy("value").count().where("count > 1").select("value"), "byte-grams")
     bits = filter_bits(twice.count(), most_bits)
-    shared = docs.sparkSession.sparkContext.broadcast(filter_of(twice, bits).tobytes())
-    marks = save(rows.mapInArrow(_marks(window, gram, bits, shared), "value long, whole long, rid long, at long, size long, key long"), "byte-marks")
-    kinds = save(marks.groupBy("value", "whole").agg(F.count("*").alias("n"), F.min("key").alias("key")), "byte-kinds")
+    shared = context.broadcast(filter_of(twice, bits).tobytes())
+    marks = save(rows.mapInArrow(_marks(window, gram, bits, shared), "value long, whole long, doc long, rid long, at long, size long, key long"), "byte-marks")
+    kinds = save(marks.groupBy("value", "whole").agg(F.count("*").alias("n"), F.min(F.struct("key", *ROW)).alias("one")), "byte-kinds")
     # Where all bytes around a gram occur again, so do all its windows.
-    same = marks.join(kinds.where("n > 1").select("value", "whole"), ["value", "whole"]).select("rid", F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("end"))
-    # Where a gram has several surroundings, one of each kind goes on to be compared window by window.
-    several = kinds.groupBy("value").count().where("count > 1").select("value")
-    chosen = save(kinds.join(several, "value", "left_semi").select(F.col("key").alias("value")), "byte-keys")
-    bits2 = filter_bits(chosen.count(), most_bits)
-    shared2 = docs.sparkSession.sparkContext.broadcast(filter_of(chosen, bits2).tobytes())
-    found = rows.mapInArrow(_contexts(window, gram, bits2, shared2), "value long, rid long, at long, size long, bytes binary")
-    return same.unionByName(found.repartition("value").sortWithinPartitions("value").mapInArrow(_compare(window), "rid long, start long, end long"))
+    same = marks.join(kinds.where("n > 1").select("value", "whole"), ["value", "whole"]).select(*ROW, F.col("at").alias("start"), (F.col("at") + F.col("size")).alias("end"))
+    # Where a gram has several surroundings, one of each kind goes on to be sorted.
+    several = save(kinds.groupBy("value").count().where("count > 1"), "byte-several")
+    chosen = save(kinds.join(several.select("value"), "value", "left_semi").select("one.*"), "byte-keys")
+    n = chosen.count()
+    bits = filter_bits(n, most_bits)
+    if n << 4 <= 1 << bits:
+        source, packed = rows, filter_of(chosen.select(F.col("key").alias("value")), bits)
+    else:
+        source, packed = rows.join(chosen.groupBy(*ROW).agg(F.collect_list("key").alias("keys")), ROW), np.zeros(8, np.uint8)
+    shared2 = context.broadcast(packed.tobytes())
+    tuples = source.mapInArrow(_tuples(window, gram, bits, shared2), TUPLES)
+    crowded = several.where(F.col("count") > most_tuples).select("value")
+    runs = f"{', '.join(f'{c} long' for c in ROW)}, start long, end long"
+    if crowded.isEmpty():
+        return same.unionByName(tuples.repartition("value").sortWithinPartitions("value", "from").mapInArrow(_induced(window), runs))
+    tuples = save(tuples, "byte-tuples")
+    sorted_ = tuples.join(crowded, "value", "left_anti").repartition("value").sortWithinPartitions("value", "from").mapInArrow(_induced(window), runs)
+    windows = save(tuples.join(crowded, "value", "left_semi").mapInArrow(_windows(window), "value long, hash long, doc long, rid long, start long"), "byte-windows")
+    again = windows.groupBy("value", "hash").count().where("count > 1").select("value", "hash")
+    counted = windows.join(again, ["value", "hash"]).select(*ROW, "start", (F.col("start") + 1).alias("end"))
+    return same.unionByName(sorted_).unionByName(counted)
 
 
 def _finish(window: int):
@@ -231,13 +322,13 @@ def remove_repeats(docs: DataFrame, window: int = 400, gram: int = 64) -> DataFr
     """doc_id, n_bytes, n_removed, n_spans, kept: every text without the bytes of `window`-byte strings that occur twice.
 
     Texts are UTF-8 bytes, null ones empty; strings don't cross documents, and one that repeats within a document or
-    overlaps itself counts. Equal rows remove each other whole if long enough. An empty table gives an empty result.
-    Strings are told apart by 64-bit hashes.
+    overlaps itself counts. Equal rows remove each other whole if long enough; null and repeated doc_ids are rows like
+    others. An empty table gives an empty result.
     """
     spans = save(repeated_windows(docs, window, gram), "byte-spans")
-    spans = spans.distinct().groupBy("rid").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    rows = docs.select("doc_id", "text", row_key().alias("_rid"))
-    return rows.join(spans, F.col("_rid") == F.col("rid"), "left").select("doc_id", "text", "spans").mapInArrow(_finish(window), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    spans = spans.distinct().groupBy(*ROW).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    rows = docs.select("doc_id", "text", *row_key())
+    return rows.join(spans, ROW, "left").select("doc_id", "text", "spans").mapInArrow(_finish(window), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
 
 def op7_byte_repeats(docs: DataFrame) -> DataFrame:

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import random
+from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 from shelflens.llm import blockdedup, bytededup, simhash
 from shelflens.llm.common import sliding_argmin
 
@@ -53,6 +55,61 @@ def test_byte_windows_match_brute_force(docs, rows):
     assert got == brute.byte_windows(_two(rows))
 
 
+def test_induced_common_prefixes_match_brute_force():
+    rng = random.Random(3)
+    for width in (6, 9):
+        tuples = []
+        for gram in range(12):
+            for _ in range(rng.randint(1, 9)):
+                n, size = rng.randint(0, width - 3), rng.randint(1, 3)
+                size = min(size, n + 1)
+                tuples.append((gram, bytes([65 + gram]) * 2 + bytes(rng.choice(b"ab") for _ in range(width - (n - size + 1) - 2)), bytes(rng.choice(b"ab") for _ in range(n)), size))
+        tuples.sort(key=lambda t: t[:2])
+        got = bytededup.induce(np.array([t[0] for t in tuples]), pa.array([t[2] for t in tuples], pa.binary()), pa.array([t[1] for t in tuples], pa.binary()), np.array([t[3] for t in tuples]), width)
+        strings = [{d: (t[0], (t[2] + t[1])[len(t[2]) - d :][:width]) for d in range(len(t[2]) - t[3] + 1, len(t[2]) + 1)} for t in tuples]
+        count = Counter((d, x) for s in strings for d, x in s.items())
+        assert [sorted(np.flatnonzero(r).tolist()) for r in got] == [sorted(d for d, x in s.items() if count[d, x] > 1) for s in strings]
+
+
+def _byte_rows(docs, **more):
+    spans = bytededup.repeated_windows(docs, **more).collect()
+    return {(r["doc"], p) for r in spans for p in range(r["start"], r["end"])}
+
+
+def _repeated_starts(rows, window):
+    count = Counter(t[i : i + window] for t in (r[1].encode() for r in rows) for i in range(len(t) - window + 1))
+    return {(r[0], i) for r in rows for t in [r[1].encode()] for i in range(len(t) - window + 1) if count[t[i : i + window]] > 1}
+
+
+def test_crowded_grams_and_full_filters_find_the_same(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    passage = " ".join(word() for _ in range(40))
+    rows = [(i, " ".join(word() for _ in range(rng.randint(0, 20))) + passage[rng.randint(0, 40) : rng.randint(150, 240)] + word()) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = _repeated_starts(rows, 100)
+    assert want and _byte_rows(docs, window=100, gram=20) == want
+    assert _byte_rows(docs, window=100, gram=20, most_tuples=3) == want
+    assert _byte_rows(docs, window=100, gram=20, most_bits=6) == want
+
+
+def test_texts_are_cut_without_loss(monkeypatch):
+    texts = [bytes(random.Random(1).choices(b"abcdefgh ", k=5000))]
+    whole = [x for part in bytededup._occurrences(texts, 100, 20) for x in zip(part[3].tolist(), part[6].tolist(), part[2].tolist(), strict=True)]
+    monkeypatch.setattr(bytededup._long, "__defaults__", (700,))
+    cut = [x for part in bytededup._occurrences(texts, 100, 20) for x in zip(part[3].tolist(), part[6].tolist(), part[2].tolist(), strict=True)]
+    starts = lambda found: {(v, p) for v, at, n in found for p in range(at, at + n)}
+    assert len(cut) > len(whole) and starts(cut) == starts(whole)
+
+
+def test_repeated_rows_and_null_ids(spark):
+    text = " ".join(f"w{i}" for i in range(150))
+    rows = [(1, text), (1, text), (None, text), (None, text[9:]), (None, None), (2, "x" + text[:450]), (2, None), (3, "")]
+    out = sorted((r["n_bytes"], r["n_removed"], r["n_spans"]) for r in bytededup.op7_byte_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    n = len(text)
+    assert out == sorted([(n, n, 1)] * 3 + [(n - 9, n - 9, 1), (0, 0, 0), (451, 450, 1), (0, 0, 0), (0, 0, 0)])
+
+
 def test_many_sharing_one_passage(spark):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
