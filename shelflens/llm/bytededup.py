@@ -131,29 +131,57 @@ def _marks(window: int, gram: int, bits: int, shared):
     return run
 
 
-TUPLES = "value long, doc long, rid long, at long, size long, before binary, from binary"
+TUPLES = "value long, core long, width int, doc long, rid long, at long, size long, before binary, from binary"
+_NAMES = [x.split()[0] for x in TUPLES.split(", ")]
+STEP = 16  #: of a crowded gram's windows so many that start next to each other are compared together
 
 
-def _tuples(window: int, gram: int, bits: int, shared):
+def _tuples(window: int, gram: int, bits: int, shared, most: int, more: int):
     """Suffix tuples of the sampled grams whose key is among `keys` of their row or, without that column, passes the filter.
 
     `at` and `size` are the first window that samples the gram and their number; the bytes before and from the gram on
-    reach as far as these windows do.
+    reach as far as these windows do, and are compared over `width` bytes. A gram with more than `most` surroundings
+    would crowd one task. So its windows are dealt out, STEP neighbours at a time, by a hash (`core`) of the bytes that
+    they all hold, and only the bytes left and right of these stay to be compared; those of a gram with more than `more`
+    are dealt out one by one, by a hash of the whole window, with nothing left to compare.
     """
 
+    def narrowed(value: int, doc: int, rid: int, at: int, size: int, b: bytes, f: bytes, step: int) -> Iterator[tuple]:
+        text, n = b + f, len(b)
+        low = n - size + 1
+        for k in range(low // step, n // step + 1):
+            last, first = max(low, step * k), min(n, step * k + step - 1)  # distances before the gram
+            middle, end = n - step * k, n - step * k + window - step + (step == 1)
+            yield middle, (value, step if step > 1 else 0, doc, rid, at + n - first, first - last + 1, text[n - first : middle], text[end : n - last + window] if step > 1 else b"")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = np.frombuffer(shared.value, np.uint8)
+        packed, crowded = shared.value
+        packed = np.frombuffer(packed, np.uint8)
         for batch, texts in pieces(batches):
             rids, docs = batch["rid"].to_numpy(), batch["doc"].to_numpy()
             listed = batch["keys"].flatten().to_numpy().view(np.uint64) if "keys" in batch.schema.names else None
             for data, start, size, value, before, row, at in _occurrences(texts, window, gram):
                 key = _key(rids[row], at)
                 keep = np.flatnonzero(passes(packed, key, bits) if listed is None else np.isin(key, listed))
-                raw, row = data.tobytes(), row[keep]
-                places = list(zip(start[keep].tolist(), (start + before)[keep].tolist(), (start + size)[keep].tolist(), strict=True))
-                columns = [value[keep].view(np.int64), docs[row], rids[row], at[keep], size[keep]]
-                spans = [pa.array([raw[a:g] for a, g, _ in places], pa.binary()), pa.array([raw[g : e + window - 1] for _, g, e in places], pa.binary())]
-                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), *spans], ["value", "doc", "rid", "at", "size", "before", "from"])
+                raw, rows = data.tobytes(), []
+                hashes: dict[int, list[int]] = {STEP: [], 1: []}
+                dealt: dict[int, list[tuple]] = {STEP: [], 1: []}
+                for v, d, r, a, n, s, g in zip(*(x[keep].tolist() for x in (value.view(np.int64), docs[row], rids[row], at, size, start, start + before)), strict=True):
+                    b, f = raw[s:g], raw[g : s + n + window - 1]
+                    if (many := crowded.get(v, 0)) > most:
+                        step = STEP if many <= more else 1
+                        for middle, x in narrowed(v, d, r, a, n, b, f, step):
+                            hashes[step].append(s + middle)
+                            dealt[step].append(x)
+                    else:
+                        rows.append((v, 0, window, d, r, a, n, b, f))
+                for step, found in dealt.items():
+                    if found:
+                        length = window - step + (step == 1)
+                        core = string_hashes(prefix_hash(data), np.array(hashes[step]), length).view(np.int64).tolist()
+                        rows += [(x[0], c, *x[1:]) for x, c in zip(found, core, strict=True)]
+                types = (pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 4, pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], _NAMES)
 
     return run
 
@@ -205,63 +233,68 @@ def induce(value: np.ndarray, before: pa.Array, after: pa.Array, size: np.ndarra
     return repeats & (distance <= most[:, None]) & (distance > (most - size)[:, None])
 
 
-def _induced(window: int, rows: int = 4000):
-    """Over suffix tuples in order: runs of the windows that repeat, as starts in their row. Grams are kept whole, some `rows` tuples at a time."""
+def _runs(part: pa.Table, repeats: np.ndarray) -> pa.RecordBatch:
+    """Runs of repeated windows, as starts in their row; `repeats` is by tuple and distance before the gram."""
+    edge = np.diff(np.pad(repeats[:, ::-1], ((0, 0), (1, 1))).astype(np.int8), axis=1)
+    (i, start), (_, end) = np.nonzero(edge == 1), np.nonzero(edge == -1)
+    first = (part["at"].to_numpy() + pc.binary_length(part["before"]).to_numpy())[i] - (repeats.shape[1] - 1)
+    return pa.RecordBatch.from_arrays([pa.array(part[c].to_numpy()[i]) for c in ROW] + [pa.array(first + start), pa.array(first + end)], [*ROW, "start", "end"])
+
+
+def _new_group(part: pa.RecordBatch | pa.Table) -> np.ndarray:
+    """Which rows begin a group of equal value, width and core."""
+    same = np.ones(max(part.num_rows - 1, 0), bool)
+    for c in ("value", "width", "core"):
+        x = part[c].to_numpy()
+        same &= x[1:] == x[:-1]
+    return np.concatenate(([True], ~same))[: part.num_rows]
+
+
+def _induced(rows: int = 4000):
+    """Over suffix tuples in order: runs of the windows that repeat. Groups are kept whole, some `rows` tuples at a time."""
 
-    def found(part: pa.Table) -> Iterator[pa.RecordBatch]:
-        part = part.combine_chunks()
-        column = {c: part[c].chunk(0) for c in part.column_names}
-        size = column["size"].to_numpy()
-        repeats = induce(column["value"].to_numpy(), column["before"], column["from"], size, window)[:, ::-1]  # by start
-        edge = np.diff(np.pad(repeats, ((0, 0), (1, 1))).astype(np.int8), axis=1)
-        (i, start), (_, end) = np.nonzero(edge == 1), np.nonzero(edge == -1)
-        gram = column["at"].to_numpy() + pc.binary_length(column["before"]).to_numpy()
-        first = gram[i] - (window - 1)
-        if len(i):
-            yield pa.RecordBatch.from_arrays([pa.array(column[c].to_numpy()[i]) for c in ROW] + [pa.array(first + start), pa.array(first + end)], [*ROW, "start", "end"])
+    def found(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = pa.Table.from_batches(parts).combine_chunks()
+        group, widths = np.cumsum(_new_group(part)), part["width"].to_numpy()
+        for width in np.unique(widths).tolist():
+            chosen = np.flatnonzero(widths == width)
+            one = part.take(pa.array(chosen)).combine_chunks().to_batches()[0]
+            if width:
+                repeats = induce(group[chosen], one["before"], one["from"], one["size"].to_numpy(), width)
+            else:
+                repeats = np.bincount(group)[group[chosen]][:, None] > 1
+            yield _runs(one, repeats)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
         for batch in slices(batches, rows):
             if not batch.num_rows:
                 continue
-            value = batch["value"].to_numpy()
-            last = int(np.flatnonzero(np.concatenate(([True], value[1:] != value[:-1])))[-1])
-            if held and value[0] != held[-1]["value"][-1].as_py():
-                yield from found(pa.Table.from_batches(held))
+            begins = _new_group(batch)
+            if held:
+                begins[0] = _new_group(pa.Table.from_batches([held[-1].slice(held[-1].num_rows - 1), batch.slice(0, 1)]))[1]
+            last = np.flatnonzero(begins)
+            if len(last):
+                if held or last[-1]:
+                    yield from found([*held, batch.slice(0, int(last[-1]))])
                 held = []
-            if last:
-                yield from found(pa.Table.from_batches([*held, batch.slice(0, last)]))
-                held = []
-            held.append(batch.slice(last))
+            held.append(batch.slice(int(last[-1]) if len(last) else 0))
+            if not held[0]["width"][0].as_py() and sum(x.num_rows for x in held) > 2:
+                # Whole windows of one kind repeat from the second on: two of them are enough to go on with.
+                yield from found(held)
+                held = [pa.concat_batches(held).slice(0, 2)]
         if held:
-            yield from found(pa.Table.from_batches(held))
-
-    return run
-
-
-def _windows(window: int):
-    """Every window of the tuples with its hash."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 400):
-            value, size, at = (batch[c].to_numpy() for c in ("value", "size", "at"))
-            spans = [a + b for a, b in zip(batch["before"].to_pylist(), batch["from"].to_pylist(), strict=True)]
-            first = np.cumsum([0, *map(len, spans)])[:-1]
-            owner = np.repeat(np.arange(len(size)), size)
-            inner = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-            h = string_hashes(prefix_hash(np.frombuffer(b"".join(spans), np.uint8)), first[owner] + inner, window)
-            yield pa.RecordBatch.from_arrays([pa.array(value[owner]), pa.array(h.view(np.int64)), *[pa.array(batch[c].to_numpy()[owner]) for c in ROW], pa.array(at[owner] + inner)], ["value", "hash", *ROW, "start"])
+            yield from found(held)
 
     return run
 
 
-def repeated_windows(docs: DataFrame, window: int = 400, gram: int = 64, most_bits: int = 29, most_tuples: int = 20_000) -> DataFrame:
+def repeated_windows(docs: DataFrame, window: int = 400, gram: int = 64, most_bits: int = 29, most: int = 20_000, more: int = 1_000_000) -> DataFrame:
     """doc, rid, start, end: for rows of `docs` by their key, runs of starts (end exclusive) of byte strings that start anywhere else too.
 
     The filters over grams and keys have a fixed greatest size. Beyond it the first one lets all grams pass, a row for
-    some 170 bytes; in place of the second the documents are joined with their keys. A gram with more than `most_tuples`
-    surroundings isn't sorted in one task: its windows become rows, counted by hash.
+    some 170 bytes; in place of the second the documents are joined with their keys. Grams with more than `most` (and
+    `more`) surroundings are few: one for each `most` kinds at the most, fewer than 2**20.
     """
     context = docs.sparkSession.sparkContext
     rows = docs.select("doc_id", "text", *row_key())
@@ -277,23 +310,17 @@ def repeated_windows(docs: DataFrame, window: int = 400, gram: int = 64, most_bi
     several = save(kinds.groupBy("value").count().where("count > 1"), "byte-several")
     chosen = save(kinds.join(several.select("value"), "value", "left_semi").select("one.*"), "byte-keys")
     n = chosen.count()
+    most = max(most, n >> 20)
+    crowded = {r["value"]: r["count"] for r in several.where(F.col("count") > most).toLocalIterator()}
     bits = filter_bits(n, most_bits)
     if n << 4 <= 1 << bits:
         source, packed = rows, filter_of(chosen.select(F.col("key").alias("value")), bits)
     else:
         source, packed = rows.join(chosen.groupBy(*ROW).agg(F.collect_list("key").alias("keys")), ROW), np.zeros(8, np.uint8)
-    shared2 = context.broadcast(packed.tobytes())
-    tuples = source.mapInArrow(_tuples(window, gram, bits, shared2), TUPLES)
-    crowded = several.where(F.col("count") > most_tuples).select("value")
-    runs = f"{', '.join(f'{c} long' for c in ROW)}, start long, end long"
-    if crowded.isEmpty():
-        return same.unionByName(tuples.repartition("value").sortWithinPartitions("value", "from").mapInArrow(_induced(window), runs))
-    tuples = save(tuples, "byte-tuples")
-    sorted_ = tuples.join(crowded, "value", "left_anti").repartition("value").sortWithinPartitions("value", "from").mapInArrow(_induced(window), runs)
-    windows = save(tuples.join(crowded, "value", "left_semi").mapInArrow(_windows(window), "value long, hash long, doc long, rid long, start long"), "byte-windows")
-    again = windows.groupBy("value", "hash").count().where("count > 1").select("value", "hash")
-    counted = windows.join(again, ["value", "hash"]).select(*ROW, "start", (F.col("start") + 1).alias("end"))
-    return same.unionByName(sorted_).unionByName(counted)
+    shared2 = context.broadcast((packed.tobytes(), crowded))
+    tuples = source.mapInArrow(_tuples(window, gram, bits, shared2, most, more), TUPLES)
+    dealt = tuples.repartition("value", "width", "core").sortWithinPartitions("value", "width", "core", "from")
+    return same.unionByName(dealt.mapInArrow(_induced(), f"{', '.join(f'{c} long' for c in ROW)}, start long, end long"))
 
 
 def _finish(window: int):

@@ -89,7 +89,8 @@ def test_crowded_grams_and_full_filters_find_the_same(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want = _repeated_starts(rows, 100)
     assert want and _byte_rows(docs, window=100, gram=20) == want
-    assert _byte_rows(docs, window=100, gram=20, most_tuples=3) == want
+    assert _byte_rows(docs, window=100, gram=20, most=3) == want
+    assert _byte_rows(docs, window=100, gram=20, most=3, more=3) == want
     assert _byte_rows(docs, window=100, gram=20, most_bits=6) == want
 
 
