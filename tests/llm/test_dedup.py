@@ -20,10 +20,66 @@ def test_simhash_matches_brute_force(spark, docs, rows):
 
 
 def test_simhash_keeps_one_of_each_group(docs, rows):
-    want = {c for _, c in brute.simhash(_two(rows)).values()}
+    texts = [(d, t or "") for d, t in _two(rows)]
+    parent = {d: d for d, _ in texts}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, (a, x) in enumerate(texts):
+        for b, y in texts[i + 1 :]:
+            bits = (simhash.fingerprint(x.encode(), 5) ^ simhash.fingerprint(y.encode(), 5)).bit_count()
+            if not bits or bits <= 12 and simhash.jaccard(x.encode(), y.encode(), 5) >= 0.8:
+                p, q = sorted((find(a), find(b)))
+                parent[q] = p
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted({find(d) for d, _ in texts})
+
+
+def test_near_copies_of_five_word_shingles(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8)))
+    rows, near, far = [], [], []
+    for i in range(120):
+        words = [word() for _ in range(rng.randint(120, 300))]
+        rows.append((10 * i, " ".join(words)))
+        at = rng.sample(range(len(words)), max(1, int(len(words) * (0.02 if i % 2 else 0.012))))
+        copy = [word() if j in at else w for j, w in enumerate(words)]
+        rows.append((10 * i + 1, " ".join(copy)))
+        (near if simhash.jaccard(rows[-1][1].encode(), rows[-2][1].encode(), 5) >= 0.8 else far).append(10 * i + 1)
+        half = words[: len(words) // 2] + [word() for _ in range(len(words) // 2)]
+        rows.append((10 * i + 2, " ".join(half)))
+    kept = {r["doc_id"] for r in simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    missed = sum(d in kept for d in near)
+    print(len(near), missed)
+    assert len(near) > 80 and missed <= 0.1 * len(near)
+    assert all(d in kept for d in far) and all(10 * i in kept and 10 * i + 2 in kept for i in range(120))
+
+
+def test_nearest_forest_joins_what_close_links_join():
+    rng = np.random.default_rng(6)
+    for _ in range(20):
+        centres = rng.integers(-(1 << 62), 1 << 62, 5)
+        fps = np.unique([c ^ (1 << int(a)) ^ (1 << int(b)) ^ (1 << int(d)) for c in centres for a, b, d in rng.integers(0, 60, (30, 3))])
+        both = [simhash.forest(fps, 4), simhash.nearest_forest(fps, 4)]
+
+        def groups(links):
+            parent = {int(f): int(f) for f in fps}
+
+            def find(x):
+                while parent[x] != x:
+                    x = parent[x]
+                return x
+
+            for a, b in links:
+                assert ((a ^ b) % (1 << 64)).bit_count() <= 4
+                parent[max(find(a), find(b))] = min(find(a), find(b))
+            return {f: find(f) for f in parent}
+
+        assert groups(both[0]) == groups(both[1])
 
 
 def test_simhash_hot_keys_go_to_the_second_round(spark):
