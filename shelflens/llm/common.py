@@ -23,6 +23,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     global _own_dir
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         _own_dir = _own_dir or tempfile.mkdtemp(prefix="spark-")
         base = f"file://{_own_dir}"
     return f"{base}/{label}-{uuid.uuid4().hex}"
@@ -140,10 +142,16 @@ def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     return (np.minimum(ahead[:m], behind[width - 1 : width - 1 + m]) & np.uint64(0xFFFFFF)).astype(np.int64)
 
 
-def pieces(batches: Iterable[pa.RecordBatch], size: int = 1 << 20, rows: int = 400) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Rows with the bytes of their `text`, cut so that a piece holds some `size` bytes or a single row."""
+def tucked(df: DataFrame) -> tuple[DataFrame, dict[str, str], list[Column]]:
+    """`df` with columns c0, c1, ... that clash with no name, those names by the old ones, and the columns that give these back."""
+    inner = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*inner), dict(zip(df.columns, inner, strict=True)), [F.col(c).alias(n) for c, n in zip(inner, df.columns, strict=True)]
+
+
+def pieces(batches: Iterable[pa.RecordBatch], size: int = 1 << 20, rows: int = 400, column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Rows with the bytes of their text, cut so that a piece holds some `size` bytes or a single row."""
     for batch in slices(batches, rows):
-        texts, start, held = text_bytes(batch["text"]), 0, 0
+        texts, start, held = text_bytes(batch[column]), 0, 0
         for i, text in enumerate(texts):
             if held and held + len(text) > size:
                 yield batch.slice(start, i - start), texts[start:i]

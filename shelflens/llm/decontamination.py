@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PUNCTUATION, Memo, hashes, save, slices, text_bytes
+from .common import PUNCTUATION, Memo, hashes, pieces, save
 
 FILTER_BITS = 1 << 26  #: 8 MB, whatever the benchmark's size
 _ODD = np.random.default_rng(5).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -58,9 +58,9 @@ def _bits(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _items(p: Params):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(token_hash)
-        for batch in slices(batches, 200):
+        for batch, texts in pieces(batches):
             out: list[list] = [[], [], [], []]
-            for item, text in zip(batch["item_id"].to_pylist(), text_bytes(batch["text"]), strict=True):
+            for item, text in zip(batch["item_id"].to_pylist(), texts, strict=True):
                 tokens = hashes(text.split(), memo)
                 h, at = mask_hashes(tokens, p.masks)
                 if len(h):
@@ -92,9 +92,9 @@ def _regions(p: Params, packed, reach: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, bits = Memo(token_hash), np.frombuffer(packed.value, np.uint8)
-        for batch in slices(batches, 500):
+        for batch, texts in pieces(batches):
             rows: list[tuple] = []
-            for doc, text in zip(batch["doc_id"].to_pylist(), text_bytes(batch["text"]), strict=True):
+            for doc, text in zip(batch["doc_id"].to_pylist(), texts, strict=True):
                 tokens = hashes(text.split(), memo)
                 h, at = mask_hashes(tokens, p.masks)
                 a, b = _bits(h)

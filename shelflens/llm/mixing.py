@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import save, word_count
+from .common import save, tucked, word_count
 
 ONE = 1 << 20  #: fixed point of the rates, so that sums don't depend on their order
 WEIGHTS = (5, 2, 1)
@@ -65,14 +65,15 @@ def multipliers(hist: DataFrame, sources: DataFrame, most: int = 3, steps: int =
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, rows_per_group: int = 100_000) -> DataFrame:
-    """The rows of `docs`, all columns kept, with _size, _source_size, _target and _copies.
+    """size, source_size, target and copies of every row of `docs`, before all its columns, which are named c0, c1, ... in their order.
 
     Null texts have no words; documents without words are no part of any sum and keep one copy. Null is a source like
     any other. A source of which all sizes are 0 has the target 0. Repeated rows are documents of their own. Hot sources
     are split into groups of alike sizes, and by hash, before any window orders their rows.
     """
-    sized = docs.withColumn("_size", word_count(F.col("text"))).withColumn("_tie", F.xxhash64("doc_id", "text"))
-    hist = save(sized.groupBy(F.col("source").alias("source"), F.col("_size").alias("size")).agg(F.count("*").alias("n")), "mix-sizes")
+    inner, at, _ = tucked(docs)
+    sized = inner.select("*", F.col(at["source"]).alias("_source"), F.col(at["doc_id"]).alias("_doc_id"), word_count(F.col(at["text"])).alias("_size"), F.xxhash64(at["doc_id"], at["text"]).alias("_tie"))
+    hist = save(sized.groupBy(F.col("_source").alias("source"), F.col("_size").alias("size")).agg(F.count("*").alias("n")), "mix-sizes")
     rows = hist.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
     salts = max(16, rows // rows_per_group)
     weighed = hist.select("source", (F.col("size") * F.col("n")).alias("size"))
@@ -86,7 +87,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, rows
     def rated(df: DataFrame) -> DataFrame:
         rate = F.when(F.col("_target") >= F.col("_source_size") * float(most), F.lit(float(most))).otherwise(_rate(F.col("_lam"), F.col("_size"), F.col("_mean"), most))
         return (
-            df.join(plan, F.col("source").eqNullSafe(F.col("_s")))
+            df.join(plan, F.col("_source").eqNullSafe(F.col("_s")))
             .drop("_s")
             .withColumn("_rate", F.when(F.col("_size") > 0, F.round(rate * ONE).cast("long")).otherwise(F.lit(ONE)))
             .withColumn("_class", F.floor(F.log2(F.greatest(F.col("_size"), F.lit(1)).cast("double")) * 4).cast("int"))
@@ -94,20 +95,21 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, rows
         )
 
     groups = ["_sid", "_class", "_salt"]
-    sums = save(rated(sized.where("_size > 0").select("source", "_size", "_tie")).groupBy(*groups).agg(F.sum("_rate").alias("_sum")), "mix-groups")
+    sums = save(rated(sized.where("_size > 0").select("_source", "_size", "_tie")).groupBy(*groups).agg(F.sum("_rate").alias("_sum")), "mix-groups")
     start = F.pmod(F.xxhash64(F.lit("start"), "_sid"), F.lit(ONE))
     offsets = save(sums.select(*groups, (start + F.sum("_sum").over(Window.partitionBy("_sid").orderBy("_class", "_salt")) - F.col("_sum")).alias("_before")), "mix-offsets")
-    run = F.col("_before") + F.sum("_rate").over(Window.partitionBy(*groups).orderBy("_size", "_tie", "doc_id").rowsBetween(Window.unboundedPreceding, 0))
+    run = F.col("_before") + F.sum("_rate").over(Window.partitionBy(*groups).orderBy("_size", "_tie", "_doc_id").rowsBetween(Window.unboundedPreceding, 0))
     whole = rated(sized).join(offsets, groups, "left").withColumn("_run", run)
     copies = (F.floor(F.col("_run") / ONE) - F.floor((F.col("_run") - F.col("_rate")) / ONE)).cast("int")
-    return whole.select(*[F.col(f"`{c}`") for c in docs.columns], "_size", "_source_size", "_target", F.when(F.col("_size") > 0, copies).otherwise(1).alias("_copies"))
+    return whole.select(F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.when(F.col("_size") > 0, copies).otherwise(1).alias("copies"), *inner.columns)
 
 
 def mixture(docs: DataFrame) -> DataFrame:
     """The mix itself: each row of `docs` as often as it is taken, with the columns of `docs`."""
-    taken = mix(docs).where("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
-    return taken.select(*[F.col(f"`{c}`") for c in docs.columns])
+    taken = mix(docs).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return taken.select(*tucked(docs)[2])
 
 
 def op9_entropy_mix(docs: DataFrame) -> DataFrame:
-    return mix(docs.select("doc_id", "source", "text")).select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_size") * F.col("_copies")).alias("taken"))
+    """doc_id, its size and its source's, the source's target and the words that the mix takes of each document."""
+    return mix(docs.select("doc_id", "source", "text")).select(F.col("c0").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))

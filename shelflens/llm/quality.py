@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Memo, save, slices, text_bytes, token_bucket
+from .common import Memo, pieces, save, token_bucket
 
 BUCKETS = 1 << 16
 _RUNS = re.compile(r"([a-zß-ÿ])[a-zß-ÿ]*|([A-ZÀ-Þ])[A-ZÀ-Þ]*|(\d)\d*")
@@ -28,6 +28,7 @@ _RUNS = re.compile(r"([a-zß-ÿ])[a-zß-ÿ]*|([A-ZÀ-Þ])[A-ZÀ-Þ]*|(\d)\d*")
 class Params:
     max_train: int = 20_000  #: rated documents to learn from, at most
     max_grades: int = 100
+    parts: int = 8  #: of the sample
     ridge: float = 1e-4
     steps: int = 30
     tail: float = 0.5  #: a document is kept if P(grade >= the grade asked for) reaches this
@@ -41,7 +42,7 @@ class Model:
 
 
 def shape(word: bytes) -> int:
-    """Bucket of a word's outline: runs of lower-case letters, capitals and digits shrink to one sign each."""
+    """Bucket of a word's outline, its first twelve signs: runs of lower-case letters, capitals and digits shrink to one sign each."""
     text = _RUNS.sub(lambda m: "a" if m[1] else "A" if m[2] else "0", word.decode("utf-8", "replace"))
     return xxhash.xxh64_intdigest(text[:12].encode(), 17) % BUCKETS
 
@@ -66,8 +67,8 @@ def features(text: bytes, tokens: Memo, shapes: Memo) -> tuple[np.ndarray, np.nd
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tokens, shapes = Memo(token_bucket(BUCKETS)), Memo(shape)
-    for batch in slices(batches):
-        rows = [features(x, tokens, shapes) for x in text_bytes(batch["text"])]
+    for batch, texts in pieces(batches):
+        rows = [features(x, tokens, shapes) for x in texts]
         yield pa.RecordBatch.from_arrays([batch["grade"], pa.array([r[0] for r in rows], pa.list_(pa.int32())), pa.array([r[1] for r in rows], pa.list_(pa.float32()))], ["grade", "at", "x"])
 
 
@@ -150,7 +151,7 @@ def fit(docs: DataFrame, ratings: DataFrame, grade: str = "quality", p: Params =
     if len(grades) < 2:
         return Model(tuple(grades) or (0.0,), np.zeros(BUCKETS), np.zeros(0))
     sample = rated.orderBy(F.xxhash64("_id"), "_id").limit(p.max_train).withColumn("grade", (F.array_position(F.array(*map(F.lit, grades)), F.col("_g")) - 1).cast("int"))
-    known = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("text", "grade")
+    known = docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("text", "grade").repartition(p.parts)  # each sends a gradient to the driver at each step
     table = save(known.mapInArrow(_featurise, "grade int, at array<int>, x array<float>"), "quality-features")
     count = {r["grade"]: r["count"] for r in table.groupBy("grade").count().collect()}
     n = sum(count.values())
@@ -190,9 +191,9 @@ def rate(docs: DataFrame, model: Model, least: float | None = None, p: Params =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         tokens, shapes = Memo(token_bucket(BUCKETS)), Memo(shape)
-        for batch in slices(batches):
+        for batch, texts in pieces(batches):
             rows = []
-            for text in text_bytes(batch["text"]):
+            for text in texts:
                 at, x = features(text, tokens, shapes)
                 tail = probabilities(model, float(x @ model.weights[at]))
                 expected = value[0] + float(np.diff(value) @ tail[1:])

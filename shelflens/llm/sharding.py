@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import save, scratch_path
+from .common import save, scratch_path, tucked
 
 
 def fisher_yates(n: int, rng: np.random.Generator) -> np.ndarray:
@@ -43,7 +43,7 @@ def _place(pos: Column, rows: int, shards: int) -> tuple[Column, Column]:
 
 def _shuffled(seed: int, fields: list[str]):
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("_order", "ascending"), ("_id", "ascending")])
+        rows = rows.sort_by([("_order", "ascending"), ("_tie", "ascending")])
         order = fisher_yates(rows.num_rows, np.random.default_rng([seed, rows["_bucket"][0].as_py()]))
         return rows.take(pa.array(order)).append_column("_index", pa.array(np.arange(len(order)), pa.int64())).select([*fields, "_index"])
 
@@ -53,24 +53,26 @@ def _shuffled(seed: int, fields: list[str]):
 def external_shuffle(docs: DataFrame, path: str, shards: int = 24, seed: int = 0, bucket_bytes: int = 4 << 20) -> DataFrame:
     """Writes every row of `docs`, all columns kept, as Parquet files under `path`/_shard=n and returns them read back.
 
-    `_shard` and `_slot` (gapless from 0) are added. The order depends on the rows and the seed alone. Rows are told
-    apart by doc_id and text; rows equal in both may change places, which shows only in other columns. Null doc_ids and
-    texts are values like others. An empty table gives no rows.
+    `_shard` and `_slot` (gapless from 0) are added, with one more underscore where `docs` has such a column. The order
+    depends on the rows and the seed alone. Rows are told apart by doc_id and text; rows equal in both lie in one bucket
+    and may change places, which shows only in other columns. Null doc_ids and texts are values like others. An empty
+    table gives no rows.
     """
     spark = docs.sparkSession
     stats = docs.agg(F.count("*").alias("n"), F.sum(row_size(F.col("text"))).alias("bytes")).first()
     buckets = max(1, math.ceil((stats["bytes"] or 0) / bucket_bytes))
-    scattered = (
-        docs.withColumn("_order", F.xxhash64(F.lit(seed), "doc_id", "text")).withColumn("_id", F.col("doc_id")).withColumn("_bucket", F.pmod(F.xxhash64(F.lit(seed + 1), "_order"), F.lit(buckets)).cast("int"))
-    )
-    fields = [f.name for f in docs.schema.fields]
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    counts = save(docs.select(F.pmod(F.xxhash64(F.lit(seed + 1), F.xxhash64(F.lit(seed), "doc_id", "text")), F.lit(buckets)).cast("int").alias("_bucket")).groupBy("_bucket").count(), "shard-counts")
+    inner, at, back = tucked(docs)
+    order = F.xxhash64(F.lit(seed), at["doc_id"], at["text"])
+    bucket = F.pmod(F.xxhash64(F.lit(seed + 1), order), F.lit(buckets)).cast("int")
+    scattered = inner.select("*", order.alias("_order"), F.xxhash64(F.lit(seed + 2), at["doc_id"], at["text"]).alias("_tie"), bucket.alias("_bucket"))
+    counts = save(inner.groupBy(bucket.alias("_bucket")).count(), "shard-counts")
     offsets = counts.select("_bucket", (F.sum("count").over(Window.orderBy("_bucket")) - F.col("count")).alias("_before"))  # a row a bucket
-    mixed = scattered.groupBy("_bucket").applyInArrow(_shuffled(seed, [*fields, "_bucket"]), f"{ddl}, _bucket int, _index long")
+    ddl = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in inner.schema.fields)
+    mixed = scattered.groupBy("_bucket").applyInArrow(_shuffled(seed, [*inner.columns, "_bucket"]), f"{ddl}, _bucket int, _index long")
     shard, slot = _place(F.col("_before") + F.col("_index"), stats["n"], shards)
-    placed = mixed.join(offsets, "_bucket").select(*[F.col(f"`{c}`") for c in fields], shard.alias("_shard"), slot.alias("_slot"))
-    placed.write.option("compression", "zstd").partitionBy("_shard").parquet(path)
+    shard_name, slot_name = (next(n for n in (f"{'_' * i}{name}" for i in range(1, len(back) + 3)) if n not in at) for name in ("shard", "slot"))
+    placed = mixed.join(offsets, "_bucket").select(*back, shard.alias(shard_name), slot.alias(slot_name))
+    placed.write.option("compression", "zstd").partitionBy(shard_name).parquet(path)
     if not stats["n"]:
         return placed
     return spark.read.schema(placed.schema).parquet(path)

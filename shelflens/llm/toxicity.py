@@ -20,12 +20,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PUNCTUATION, Memo, slices, text_bytes
+from .common import PUNCTUATION, Memo, pieces
 
 BITS = 19
 BUCKETS = 1 << BITS
 PREFIXES = (7, 5)
-SLICES = 16
 #: Words from which a repeated one scores in full; nearer ones score in proportion, so that a word said over and over isn't a passage.
 REPEAT = 20
 #: Rows of `counts`: all documents, then clean and toxic ones of either fold.
@@ -116,20 +115,14 @@ def word_scores(words: np.ndarray, weights: np.ndarray, drift: float) -> np.ndar
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     memo, counts = Memo(tokens_of), np.zeros((GROUPS, BUCKETS), np.int32)
-    for batch in slices(batches):
-        for text, label, fold in zip(text_bytes(batch["text"]), batch["label"].to_pylist(), batch["fold"].to_pylist(), strict=True):
+    for batch, texts in pieces(batches):
+        for text, label, fold in zip(texts, batch["label"].to_pylist(), batch["fold"].to_pylist(), strict=True):
             found = np.unique(_buckets(np.unique(_words(text, memo))))
             counts[ALL, found] += 1
             if label is not None:
                 counts[1 + 2 * fold + label, found] += 1
-    part = counts.reshape(GROUPS * SLICES, -1)
-    keep = [i for i in range(len(part)) if part[i].any()]
-    yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int32()), pa.array([part[i].tobytes() for i in keep], pa.binary())], ["slice", "counts"])
-
-
-def _add(rows: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x.as_py(), np.int32).astype(np.int64) for x in rows["counts"])
-    return pa.table([rows["slice"][:1], pa.array([total.tobytes()], pa.binary())], ["slice", "counts"])
+    at = np.flatnonzero(counts.ravel())
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts.ravel()[at], pa.int64())], ["place", "n"])
 
 
 def log_odds(clean: np.ndarray, toxic: np.ndarray, corpus: np.ndarray, p: Params) -> np.ndarray:
@@ -168,10 +161,10 @@ def _best(found: list[tuple[int, int, float]], scale: float) -> float:
 def _samples(weights: np.ndarray, drift: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(tokens_of)
-        for batch in slices(batches):
+        for batch, texts in pieces(batches):
             rows = [
                 (label, len(found), _best(segments(word_scores(found, weights[1 - fold], drift)), 1.0))
-                for text, label, fold in zip(text_bytes(batch["text"]), batch["label"].to_pylist(), batch["fold"].to_pylist(), strict=True)
+                for text, label, fold in zip(texts, batch["label"].to_pylist(), batch["fold"].to_pylist(), strict=True)
                 for found in [_words(text, memo)]
             ]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int64(), pa.float64()))], ["label", "words", "best"])
@@ -198,10 +191,10 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
     With no label of either kind every score is the share of toxic labels, or 0 if there is none.
     """
     known = labelled(docs, labels, p)
-    counted = known.select("text", "label", "fold").mapInArrow(_count, "slice int, counts binary").groupBy("slice").applyInArrow(_add, "slice int, counts binary")
-    counts = np.zeros((GROUPS * SLICES, BUCKETS // SLICES), np.int64)
-    for row in counted.toLocalIterator():  # a fixed number of rows of a fixed size
-        counts[row["slice"]] = np.frombuffer(row["counts"], np.int64)
+    counted = known.select("text", "label", "fold").mapInArrow(_count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
+    counts = np.zeros(GROUPS * BUCKETS, np.int64)
+    for batch in counted.toArrow().to_batches():  # a row a place at most, whatever the number of documents
+        counts[batch["place"].to_numpy()] = batch["n"].to_numpy()
     counts = counts.reshape(GROUPS, BUCKETS)
     clean, toxic = counts[[1, 3]], counts[[2, 4]]
     weights = np.stack([log_odds(clean[i], toxic[i], counts[ALL], p) for i in (0, 1)] + [log_odds(clean.sum(0), toxic.sum(0), counts[ALL], p)])
@@ -239,8 +232,8 @@ def _score(model: Model, passages: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(tokens_of)
-        for batch in slices(batches):
-            rows = [one(text, memo) for text in text_bytes(batch["_text"])]
+        for batch, texts in pieces(batches, column="_text"):
+            rows = [one(text, memo) for text in texts]
             score = pa.array([r[0] for r in rows], pa.float64())
             predicted = pa.array([int(r[0] >= model.params.threshold) for r in rows], pa.int32())
             spans = pa.array([r[1] for r in rows], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())])))

@@ -46,7 +46,7 @@ def test_mixture_meets_targets(docs, rows):
 def test_mixture_of_many_comes_near(spark):
     rng = np.random.default_rng(3)
     rows = [(i, "w " * int(rng.integers(1, 60)), "abc"[min(int(rng.integers(0, 6)), 2)]) for i in range(1500)]
-    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).groupBy("source", "_target").agg({"*": "count", "_size": "sum"}).collect()
+    out = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).groupBy(F.col("c2").alias("source"), F.col("target").alias("_target")).agg({"*": "count", "size": "sum"}).collect()
     taken = Counter()
     for r in mixing.op9_entropy_mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect():
         taken[rows[r["doc_id"]][2]] += r["taken"]
