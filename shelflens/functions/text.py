@@ -34,3 +34,22 @@ def in_polygon(x: Column, y: Column, ring: Column) -> Column:
     on_edge = F.exists(edges, lambda e: (cross(e) == 0) & within(e))
     crossed = F.filter(edges, lambda e: ((e["a"]["y"] > y) != (e["b"]["y"] > y)) & ((cross(e) > 0) == (e["b"]["y"] > e["a"]["y"])))
     return on_edge | (F.size(crossed) % 2 == 1)
+
+
+def dated(c: Column) -> Column:
+    """Whether a text holds a date and a time: they are parted by a blank and can be read."""
+    return (F.instr(c, " ") >= 1) & F.try_to_timestamp(c).isNotNull()
+
+
+def cleaned(c: Column, keep: str = "A-Za-z0-9\\u4e00-\\u9fff") -> Column:
+    """Without any sign outside a character class; by default Latin letters, digits and CJK signs stay."""
+    return F.regexp_replace(c, f"[^{keep}]", "")
+
+
+def url_decoded(c: Column) -> Column:
+    """Null where the text isn't a valid encoding."""
+    return F.try_url_decode(c)
+
+
+def hash_bucket(c: Column, buckets: int = 1 << 16) -> Column:
+    return F.pmod(F.hash(c), F.lit(buckets))

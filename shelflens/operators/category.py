@@ -5,17 +5,28 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .rank import minmax, pareto_count, share, top_k
+from .rank import minmax, pareto_counts, share, top_k
 
 LEVELS = ("level1", "level2", "level3")
 
 
-def explode_levels(facts: DataFrame, dim: DataFrame, key: str = "category") -> DataFrame:
+def level_tree(dim: DataFrame, key: str = "category", levels: tuple[str, ...] = LEVELS) -> DataFrame:
+    """key, level_no, node, path, parent: a row for every level above a key that isn't null, with the path down to it and the node above."""
+    tree = dim.select(key, F.posexplode(F.array(*levels)).alias("i", "node"), *levels).where("node IS NOT NULL")
+    path = F.concat_ws(">", *[F.when(F.col("i") >= i, F.col(c)) for i, c in enumerate(levels)])
+    parent = F.element_at(F.concat(F.array(F.lit(None).cast("string")), F.array(*levels)), F.col("i") + 1)
+    return tree.select(key, (F.col("i") + 1).alias("level_no"), "node", path.alias("path"), parent.alias("parent"))
+
+
+def explode_levels(facts: DataFrame, dim: DataFrame, key: str = "category", levels: tuple[str, ...] = LEVELS) -> DataFrame:
     """Each fact once for every level above it that isn't null: node, level_no, and the path down to the node."""
-    tree = dim.select(key, F.posexplode(F.array(*LEVELS)).alias("i", "node"), *LEVELS).where("node IS NOT NULL")
-    path = F.concat_ws(">", *[F.when(F.col("i") >= i, F.col(c)) for i, c in enumerate(LEVELS)])
-    tree = tree.select(key, (F.col("i") + 1).alias("level_no"), "node", path.alias("path"))
-    return facts.drop(*LEVELS).join(tree, key)
+    return facts.drop(*levels).join(level_tree(dim, key, levels).drop("parent"), key)
+
+
+def ancestor_leaves(dim: DataFrame, key: str = "category", levels: tuple[str, ...] = LEVELS) -> DataFrame:
+    """node, n, leaves: the keys below each node, itself included if it is one, delimited."""
+    rows = level_tree(dim, key, levels).select("node", key).distinct()
+    return rows.groupBy("node").agg(F.count("*").alias("n"), F.expr(f"listagg({key}, '#') WITHIN GROUP (ORDER BY {key})").alias("leaves"))
 
 
 def parent_child(dim: DataFrame) -> DataFrame:
@@ -26,7 +37,8 @@ def parent_child(dim: DataFrame) -> DataFrame:
 
 def nearest_ancestor(dim: DataFrame) -> DataFrame:
     """category, ancestor: the deepest level that differs from it."""
-    return dim.select("category", F.when(F.col("level2") != F.col("category"), F.col("level2")).otherwise(F.col("level1")).alias("ancestor")).distinct()
+    above = [F.when(F.col(c) != F.col("category"), F.col(c)) for c in ("level3", "level2")]
+    return dim.select("category", F.coalesce(*above, "level1").alias("ancestor")).distinct()
 
 
 def category_basic(goods: DataFrame, dim: DataFrame) -> DataFrame:
@@ -56,8 +68,7 @@ def category_sell_through(orders: DataFrame, goods: DataFrame, dim: DataFrame) -
     """level_no, node, month: goods sold, and goods that make 50 % and 80 % of sales, over goods on sale; 0 without sales."""
     sold = explode_levels(orders, dim).groupBy("level_no", "node", _month(), "goods").agg(F.sum("amount").alias("amount"))
     key = ["level_no", "node", "month"]
-    half, most = (pareto_count(sold, key, "goods", "amount", p) for p in (0.5, 0.8))
-    counts = half.select(*key, F.col("items").alias("n50"), F.col("all_items").alias("sold")).join(most.select(*key, F.col("items").alias("n80")), key)
+    counts = pareto_counts(sold, key, "goods", "amount", {"n50": 0.5, "n80": 0.8}).withColumnRenamed("all_items", "sold")
     valid = explode_levels(goods.where("sale_status = 4"), dim).groupBy("level_no", "node").agg(F.count_distinct("goods").alias("valid"))
     months = orders.select(_month()).distinct()
     grid = valid.join(F.broadcast(months))  # a row for each month
@@ -146,3 +157,51 @@ def order_shape(orders: DataFrame) -> DataFrame:
     sold = orders.groupBy("category", "goods").agg(F.sum("amount").alias("amount")).withColumn("_i", F.row_number().over(w.orderBy(F.col("amount").desc(), "goods"))).withColumn("_n", F.count("*").over(w))
     top = sold.groupBy("category").agg((F.sum(F.when(F.col("_i") <= F.greatest(F.lit(1), F.floor(F.col("_n") / 10)), F.col("amount"))) / F.sum("amount")).alias("top_share"))
     return order.join(top, "category").join(cycle, "category", "left")
+
+
+def brand_stock(goods: DataFrame, dim: DataFrame) -> DataFrame:
+    """level_no, node, brand: goods and those in stock, counted by leaf before the levels are laid out."""
+    leaf = goods.groupBy("category", "brand").agg(F.count_distinct("goods").alias("g"), F.count_distinct(F.when(F.col("stock") == 1, F.col("goods"))).alias("s"))
+    return explode_levels(leaf, dim).groupBy("level_no", "node", "brand").agg(F.sum("g").alias("goods_count"), F.sum("s").alias("in_stock"))
+
+
+def sibling_shares(goods: DataFrame, dim: DataFrame) -> DataFrame:
+    """category, ancestor: its brands, goods on sale and products as shares of those of all categories under the same nearest ancestor."""
+    sums = goods.groupBy("category").agg(F.count_distinct("brand").alias("brands"), F.count_if(F.col("sale_status") == 4).alias("on_sale"), F.count_distinct("product").alias("products"))
+    rows = sums.join(nearest_ancestor(dim), "category")
+    return rows.select("category", "ancestor", *[share(F.col(c).cast("double"), ["ancestor"]).alias(f"{c}_share") for c in ("brands", "on_sale", "products")])
+
+
+def activity(orders: DataFrame, goods: DataFrame, as_of: str) -> DataFrame:
+    """category: shares of its goods and brands that were sold in the last 30 and 90 days."""
+    age = F.datediff(F.lit(as_of).cast("date"), F.to_date("sale_time"))
+    sold = lambda n, c: F.count_distinct(F.when(age.between(0, n - 1), F.col(c)))
+    active = orders.groupBy("category").agg(*[sold(n, c).alias(f"{c}{n}") for n in (30, 90) for c in ("goods", "brand")])
+    every = goods.groupBy("category").agg(F.count_distinct("goods").alias("goods"), F.count_distinct("brand").alias("brands"))
+    ratio = lambda c, n: F.coalesce(F.col(f"{c}{n}") / F.col({"goods": "goods", "brand": "brands"}[c]), F.lit(0.0)).alias(f"{c}_active{n}")
+    return every.join(active, "category", "left").select("category", *[ratio(c, n) for n in (30, 90) for c in ("goods", "brand")])
+
+
+def decile_shares(orders: DataFrame) -> DataFrame:
+    """category: prices' ends, and the shares of sales of the top 10 and 20 per cent of its goods, one at least."""
+    w = Window.partitionBy("category")
+    sold = orders.groupBy("category", "goods").agg(F.sum("amount").alias("amount"), F.min("price").alias("low"), F.max("price").alias("high"))
+    ranked = sold.withColumn("i", F.row_number().over(w.orderBy(F.col("amount").desc(), "goods"))).withColumn("n", F.count("*").over(w))
+    top = lambda k: F.sum(F.when(F.col("i") <= F.greatest(F.lit(1), F.floor(k * F.col("n") / 10)), F.col("amount"))) / F.sum("amount")
+    return ranked.groupBy("category").agg(F.min("low").alias("min_price"), F.max("high").alias("max_price"), top(1).alias("top10"), top(2).alias("top20"))
+
+
+def best_goods(orders: DataFrame, k: int = 10) -> DataFrame:
+    """category, goods, amount, rank of a category's best-selling goods."""
+    return top_k(orders.groupBy("category", "goods").agg(F.sum("amount").alias("amount")), ["category"], [F.round("amount", 4).desc(), F.col("goods")], k)
+
+
+def zone_activity(orders: DataFrame, goods: DataFrame, by: str, as_of: str, days: int = 90) -> DataFrame:
+    """by, zone (thirds of the price range): goods, brands, sales of the last `days` and the share of goods sold in them."""
+    w = Window.partitionBy(by)
+    low, width = F.min("price").over(w), (F.max("price").over(w) - F.min("price").over(w)) / 3
+    zone = F.when(width == 0, 0).otherwise(F.least(F.floor((F.col("price") - low) / width), F.lit(2))).cast("int")
+    age = F.datediff(F.lit(as_of).cast("date"), F.to_date("sale_time"))
+    sold = orders.where(age.between(0, days - 1)).groupBy("goods").agg(F.sum("amount").alias("amount"))
+    rows = goods.select(by, "goods", "brand", zone.alias("zone")).join(sold, "goods", "left")
+    return rows.groupBy(by, "zone").agg(F.count("*").alias("goods_count"), F.count_distinct("brand").alias("brands"), F.coalesce(F.sum("amount"), F.lit(0.0)).alias("sales"), F.avg(F.col("amount").isNotNull().cast("double")).alias("active"))

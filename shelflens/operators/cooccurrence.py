@@ -99,3 +99,10 @@ def llr_item_similarity(ratings: DataFrame, k: int = 50) -> DataFrame:
     score = F.greatest(F.lit(0.0), 2 * (entropy(k11 + k12, k21 + k22) + entropy(k11 + k21, k12 + k22) - entropy(k11, k12, k21, k22)))
     found = rows.select(F.col("a").alias("goods"), F.col("b").alias("other"), score.alias("score"))
     return top_k(found, ["goods"], [F.round("score", 6).desc(), F.col("other")], k)
+
+
+def llr_lists(ratings: DataFrame, k: int = 50) -> DataFrame:
+    """member, goods, score, rank: goods that the member has not, by the summed likelihood ratios of those that it has."""
+    have = ratings.select("member", "goods").distinct()
+    offered = have.join(llr_item_similarity(ratings), "goods").groupBy("member", F.col("other").alias("goods")).agg(F.sum(F.round("score", 6)).alias("score"))
+    return top_k(offered.join(have, ["member", "goods"], "left_anti"), ["member"], [F.round("score", 4).desc(), F.col("goods")], k)

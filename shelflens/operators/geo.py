@@ -72,3 +72,44 @@ def order_store_wide(orders: DataFrame, places: DataFrame, polygons: DataFrame)
     zones = points_in_polygons(places.select("id", "x", "y"), polygons)
     located = places.select("id", "x", "y", key).join(zones, "id").drop("id")
     return orders.select("*", key).join(located, "_key").drop("_key")
+
+
+SCOPE = "STRUCT<scopeVOList: ARRAY<STRUCT<lngLatList: ARRAY<ARRAY<DOUBLE>>>>>"
+
+
+def parse_scopes(stores: DataFrame, scope: str = "scope") -> DataFrame:
+    """zone, ring of every polygon of each store's scope in JSON; a scope that can't be read has none."""
+    polygons = stores.select("zone", F.explode(F.from_json(scope, SCOPE)["scopeVOList"]["lngLatList"]).alias("_p"))
+    ring = F.transform("_p", lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
+    return polygons.where("_p IS NOT NULL").select("zone", ring.alias("ring"))
+
+
+def store_shares(orders: DataFrame, item: str, k: int = 100) -> DataFrame:
+    """store, item, sales, share of the store's sales, rank by sales."""
+    rows = orders.groupBy("store", F.col(item).alias("item")).agg(F.sum("amount").alias("sales"))
+    return top_k(rows.withColumn("share", share(F.col("sales"), ["store"])), ["store"], [F.round("sales", 4).desc(), F.col("item")], k)
+
+
+def store_summary(orders: DataFrame, cuts: DataFrame) -> DataFrame:
+    """store: members, orders, sales, and the shares of lines below, between and above its categories' price cuts (category, low, high)."""
+    rows = orders.join(cuts, "category")
+    tier = lambda c: F.avg(c.cast("double"))
+    price = F.col("price")
+    return rows.groupBy("store").agg(
+        F.count_distinct("member").alias("members"), F.count_distinct("order_no").alias("orders"), F.sum("amount").alias("sales"),
+        tier(price < F.col("low")).alias("cheap"), tier((price >= F.col("low")) & (price < F.col("high"))).alias("middle"), tier(price >= F.col("high")).alias("dear"),
+    )
+
+
+def six_shares(orders: DataFrame) -> DataFrame:
+    """level1: its mean share over stores of sales, units, orders, members, goods and lines."""
+    what = {"sales": F.sum("amount"), "units": F.sum("qty"), "orders": F.count_distinct("order_no"), "members": F.count_distinct("member"), "goods": F.count_distinct("goods"), "lines": F.count("*")}
+    rows = orders.groupBy("store", "level1").agg(*[c.cast("double").alias(n) for n, c in what.items()])
+    shares = rows.select("level1", *[share(F.col(n), ["store"]).alias(n) for n in what])
+    return shares.groupBy("level1").agg(*[F.avg(n).alias(f"{n}_share") for n in what])
+
+
+def store_matrix(orders: DataFrame, categories: list[str], value: Column) -> DataFrame:
+    """A row for each store, a column for each category's share of `value` (an aggregate); 0 where it has none."""
+    rows = orders.groupBy("store", "level1").agg(value.cast("double").alias("x")).withColumn("s", share(F.col("x"), ["store"]))
+    return rows.groupBy("store").pivot("level1", categories).agg(F.sum("s")).fillna(0.0)

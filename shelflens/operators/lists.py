@@ -14,7 +14,7 @@ def joined(df: DataFrame, by: list[str], item: str, order: str, name: str = "ite
 
 
 def viewed_not_bought(events: DataFrame) -> DataFrame:
-    """member, category, goods, last_view: views on days on which the member didn't buy those goods, newest first."""
+    """member, category, goods, last_view: views on days on which the member didn't buy those goods. `nested_list` orders them."""
     key = ["member", "day", "category", "goods"]
     left = events.where("behavior = 1000").join(events.where("behavior = 4000").select(*key).distinct(), key, "left_anti")
     return left.groupBy("member", "category", "goods").agg(F.max("ts").alias("last_view"))
@@ -69,7 +69,7 @@ def goods_profile(goods: DataFrame, prefixes: dict[int, str] | None = None) -> D
 
 
 def cookie_map(rows: DataFrame, cookie: str, member: str, seen: str) -> DataFrame:
-    """cookie -> the member seen with it last, and each member's cookies newest first."""
+    """cookie -> the member seen with it last."""
     last = rows.groupBy(cookie, member).agg(F.max(seen).alias("seen"))
     return top_k(last, [cookie], [F.col("seen").desc(), F.col(member)], 1).drop("rank")
 
@@ -88,3 +88,27 @@ def recent_view_counts(events: DataFrame, k: int = 10) -> DataFrame:
     last = views.groupBy("member").agg(F.max("day").alias("day"))
     found = views.join(last, ["member", "day"]).groupBy("member", "goods").agg(F.count("*").alias("views"))
     return top_k(found, ["member"], [F.col("views").desc(), F.col("goods")], k)
+
+
+def member_cookies(rows: DataFrame, cookie: str, member: str, seen: str) -> DataFrame:
+    """member, items: a member's cookies newest first, delimited."""
+    last = rows.groupBy(member, cookie).agg(F.max(seen).alias("_seen"))
+    return joined(last, [member], cookie, f"_seen DESC, {cookie}")
+
+
+def channel_arrivals(feed: DataFrame, quota: int = 20) -> DataFrame:
+    """channel, category, items: new arrivals of each channel's part of the feed, newest first."""
+    inner = feed.withColumn("category", F.struct("channel", "category"))
+    found = new_arrivals(inner, quota).join(feed.select("goods", "started"), "goods").select("category.*", "goods", "started")
+    return joined(found, ["channel", "category"], "goods", "started DESC, goods")
+
+
+def goods_maps(goods: DataFrame, k: int = 200) -> dict[str, DataFrame]:
+    """Goods on sale and in stock: each one's category, and the lists of a shop's category, a category and a shop (`k` at most)."""
+    sold = goods.where("sale_status = 4 AND stock = 1")
+    return {
+        "goods_category": sold.select("goods", "category"),
+        "shop_category_goods": joined(sold, ["shop", "category"], "goods", "goods"),
+        "category_goods": joined(sold, ["category"], "goods", "goods"),
+        "shop_goods": category_goods(goods, ["shop"], k),
+    }

@@ -46,15 +46,15 @@ def train_als(ratings: DataFrame, rank: int = 10, iters: int = 20, reg: float =
     return als.fit(ratings.select(F.col("member").cast("int"), F.col("goods").cast("int"), F.col("rating").cast("float")))
 
 
-def recommend(model: ALSModel, k: int) -> DataFrame:
+def top_goods(model: ALSModel, k: int) -> DataFrame:
     """member, goods, score, rank: the `k` goods of each member that the model rates highest."""
     rows = model.recommendForAllUsers(k).select("member", F.posexplode("recommendations").alias("i", "r"))
     return rows.select("member", "r.goods", F.col("r.rating").cast("double").alias("score"), (F.col("i") + 1).alias("rank"))
 
 
-def als_recommend(ratings: DataFrame, rank: int = 10, iters: int = 20, reg: float = 0.01, k: int = 60, seed: int = 7) -> DataFrame:
+def als_lists(ratings: DataFrame, rank: int = 10, iters: int = 20, reg: float = 0.01, k: int = 60, seed: int = 7) -> DataFrame:
     """member and goods are whole numbers below 2^31; number others with id_index first."""
-    return recommend(train_als(ratings, rank, iters, reg, seed), k)
+    return top_goods(train_als(ratings, rank, iters, reg, seed), k)
 
 
 def behavior_ratings(events: DataFrame, as_of: str, days: int = 90, decay: float = 0.95) -> DataFrame:
@@ -64,12 +64,14 @@ def behavior_ratings(events: DataFrame, as_of: str, days: int = 90, decay: float
     return events.where(age.between(0, days - 1)).groupBy("member", "goods").agg(F.sum(weight * F.pow(F.lit(decay), age)).alias("rating"))
 
 
-def behavior_als(events: DataFrame, as_of: str, rank: int = 10, iters: int = 10, reg: float = 0.01, k: int = 30, seed: int = 7) -> tuple[DataFrame, float]:
-    """Recommendations and the mean squared error on the ratings they were trained on."""
+def behavior_als(events: DataFrame, as_of: str, rank: int = 10, iters: int = 10, reg: float = 0.01, k: int = 30, seed: int = 7, evaluate: bool = False) -> tuple[DataFrame, float | None]:
+    """Lists of goods and, where asked for, the mean squared error on the ratings they were trained on."""
     ratings = behavior_ratings(events, as_of)
     model = train_als(ratings, rank, iters, reg, seed)
+    if not evaluate:
+        return top_goods(model, k), None
     told = model.transform(ratings.select(F.col("member").cast("int"), F.col("goods").cast("int"), "rating"))
-    return recommend(model, k), RegressionEvaluator(metricName="mse", labelCol="rating").evaluate(told)
+    return top_goods(model, k), RegressionEvaluator(metricName="mse", labelCol="rating").evaluate(told)
 
 
 def kmeans_categories(features: DataFrame, columns: list[str], k: int = 3, iters: int = 50, seed: int = 7) -> tuple[DataFrame, float]:
@@ -145,3 +147,10 @@ def search_score_with_conversion(metrics: DataFrame, weights: dict[str, float] |
 
 #: Points of each metric of the variant with conversion.
 CONVERSION_WEIGHTS = {"sales7": 20.0, "sales30": 15.0, "pv": 4.0, "uv": 14.0, "conversion": 15.0, "reviews": 4.0, "review_score": 10.0, "fill_rate": 2.0}
+
+
+def word_vectors(sequences: DataFrame, items: str, size: int = 16, seed: int = 1):
+    """A Word2Vec model of item sequences (an array of texts): vectors of the items, and those nearest to one."""
+    from pyspark.ml.feature import Word2Vec
+
+    return Word2Vec(vectorSize=size, minCount=2, seed=seed, numPartitions=4, inputCol=items, outputCol="vector").fit(sequences)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .rank import positional_quantile, top_k
@@ -68,3 +68,30 @@ def view_sequences(events: DataFrame, least: int = 4) -> DataFrame:
     """member, n, sequence: viewed goods in order, space-joined, of members with at least `least` views."""
     rows = events.where("behavior = 1000").groupBy("member")
     return rows.agg(F.count("*").alias("n"), F.expr("listagg(cast(goods AS string), ' ') WITHIN GROUP (ORDER BY ts, event_id)").alias("sequence")).where(F.col("n") >= least)
+
+
+#: Weights of views, clicks, removals and purchases, as the several jobs take them.
+BEHAVIOUR_WEIGHTS = {
+    "persona": {1000: 1.0, 2000: 3.0, 3000: -2.0, 4000: 5.0},
+    "goods": {1000: 1.0, 2000: 3.0, 3000: 0.0, 4000: 5.0},
+    "guess": {1000: 1.0, 2000: 2.0, 3000: -1.5, 4000: 3.0},
+    "ratings": {1000: 1.0, 2000: 2.0, 3000: -1.5, 4000: 3.0},
+}
+
+
+def weight_of(variant: str) -> Column:
+    """The weight of a row's `behavior`; null for an unknown one."""
+    return F.create_map(*[F.lit(x) for pair in BEHAVIOUR_WEIGHTS[variant].items() for x in pair])[F.col("behavior")]
+
+
+def faded_interest(events: DataFrame, by: list[str], as_of: str, half_life: float | None = None, variant: str = "goods") -> DataFrame:
+    """member, by..., weight, doi: log of a member's (fading) weight over log of the most rows a member has of that item; 1 where that is 1.
+
+    A weight that isn't positive has none. With `half_life` a day's weight halves in so many days.
+    """
+    age = F.datediff(F.lit(as_of).cast("date"), "day")
+    weight = weight_of(variant) * (F.pow(F.lit(0.5), age / half_life) if half_life else F.lit(1.0))
+    mine = events.groupBy("member", *by).agg(F.sum(weight).alias("weight"), F.count("*").alias("n"))
+    most = F.max("n").over(Window.partitionBy(*by))
+    doi = F.when(F.round("weight", 9) <= 0, None).when(most == 1, 1.0).otherwise(F.log("weight") / F.log(most.cast("double")))
+    return mine.select("member", *by, "weight", doi.alias("doi"))

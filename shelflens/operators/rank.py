@@ -20,12 +20,16 @@ def share(value: Column, by: list[str]) -> Column:
     return value / F.nullif(F.sum(value).over(Window.partitionBy(*by)), F.lit(0.0))
 
 
-def pareto_count(df: DataFrame, by: list[str], item: str, value: str, part: float) -> DataFrame:
-    """How many of a group's items, largest first, reach `part` of its sum, the one that crosses it included."""
+def pareto_counts(df: DataFrame, by: list[str], item: str, value: str, parts: dict[str, float]) -> DataFrame:
+    """How many of a group's items, largest first, reach each part of its sum, the one that crosses it included; and all_items."""
     w = Window.partitionBy(*by)
     before = F.coalesce(F.sum(value).over(w.orderBy(F.col(value).desc(), item).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    marked = df.withColumn("_in", before < F.lit(part) * F.sum(value).over(w))
-    return marked.groupBy(*by).agg(F.count_if("_in").alias("items"), F.count("*").alias("all_items"))
+    marked = df.select(*by, before.alias("_before"), F.sum(value).over(w).alias("_sum"))
+    return marked.groupBy(*by).agg(*[F.count_if(F.col("_before") < F.lit(p) * F.col("_sum")).alias(n) for n, p in parts.items()], F.count("*").alias("all_items"))
+
+
+def pareto_count(df: DataFrame, by: list[str], item: str, value: str, part: float) -> DataFrame:
+    return pareto_counts(df, by, item, value, {"items": part})
 
 
 def dense_rank_desc(df: DataFrame, value: str, rank: str = "rank") -> DataFrame:

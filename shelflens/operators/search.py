@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import characters, jaccard, words
@@ -101,3 +101,70 @@ def item_match_features(own: DataFrame, other: DataFrame, by: str, k: int = 50)
     items = top_k(other, [by], [F.col("comments").desc(), F.col("goods")], k).select(by, "brand", F.col("goods").alias("item"), F.col("name").alias("item_name"))
     rows = own.select(by, "brand", "goods", "name").join(items, [by, "brand"])
     return rows.select("goods", "item", F.size(F.array_intersect(words(F.col("name")), words(F.col("item_name")))).alias("shared_words"), F.size(F.array_intersect(characters(F.col("name")), characters(F.col("item_name")))).alias("shared_characters"))
+
+
+#: Points of the review metrics: how many, how good, and the share of good ones.
+REVIEW_WEIGHTS = {"reviews": 5.0, "review_score": 5.0, "review_ratio": 5.0}
+
+
+def reviewed_search_score(metrics: DataFrame, weights: dict[str, float] | None = None, by: tuple[str, ...] = ("level1", "channel")) -> DataFrame:
+    """goods_search_score with review metrics as well."""
+    return goods_search_score(metrics, weights or GOODS_WEIGHTS | REVIEW_WEIGHTS, by)
+
+
+def to_channels(scores: DataFrame, channels: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
+    """goods, channel, score: scores summed over channels, once for each channel."""
+    return scores.groupBy("goods").agg(F.sum("score").alias("score")).select("goods", F.explode(F.array(*map(F.lit, channels))).alias("channel"), "score")
+
+
+def channel_ranking(scores: DataFrame, k: int = 30) -> DataFrame:
+    """channel, level1, category, score, rank by the summed scores of the category's best `k` goods in the channel."""
+    best = top_k(scores, ["channel", "level1", "category"], [F.round("score", 9).desc(), F.col("goods")], k, "_rank")
+    found = best.groupBy("channel", "level1", "category").agg(F.sum("score").alias("score"))
+    return top_k(found, ["channel", "level1"], [F.round("score", 6).desc(), F.col("category")], 1 << 30)
+
+
+def back_categories(scores: DataFrame, search_category: str = "level1", k: int = 30) -> DataFrame:
+    """search category, items: the goods' own categories of its best `k` goods, the most frequent first, delimited."""
+    best = top_k(scores, [search_category], [F.round("score", 9).desc(), F.col("goods")], k, "_rank")
+    n = best.groupBy(search_category, "category").agg(F.count("*").alias("n"))
+    return n.groupBy(search_category).agg(F.expr("listagg(category, '#') WITHIN GROUP (ORDER BY n DESC, category)").alias("items"))
+
+
+def _to_hundred(score: Column) -> Column:
+    """Of the greatest score; 0 if that is 0."""
+    most = F.max(score).over(Window.partitionBy())  # over a row for each brand of a level, or each child of a parent
+    return F.when(most > 0, 100 * score / most).otherwise(0.0)
+
+
+def _path_score(rows: DataFrame, path: list[str], by: list[str]) -> DataFrame:
+    found = rows.groupBy(*path, *by).agg(F.count("*").cast("double").alias("n"), F.sum("sales7").alias("s7"), F.sum("sales30").alias("s30"))
+    return found.withColumn("raw", 30 * minmax(F.col("n"), path) + 40 * minmax(F.col("s7"), path) + 30 * minmax(F.col("s30"), path))
+
+
+def brand_level_scores(metrics: DataFrame, goods: DataFrame, levels: tuple[str, ...] = ("level1", "level2")) -> DataFrame:
+    """brand, score: goods (30), 7-day (40) and 30-day sales (30) scaled within each level path, summed over levels, the best one 100."""
+    rows = metrics.select("goods", "sales7", "sales30").join(goods.select("goods", "brand", *levels), "goods")
+    parts = [_path_score(rows, list(levels[: i + 1]), ["brand"]).select("brand", "raw") for i in range(len(levels))]
+    total = parts[0]
+    for part in parts[1:]:
+        total = total.unionByName(part)
+    return total.groupBy("brand").agg(F.sum("raw").alias("raw")).select("brand", _to_hundred(F.col("raw")).alias("score"))
+
+
+def child_scores(metrics: DataFrame, goods: DataFrame, parent: str = "level1", child: str = "level2") -> DataFrame:
+    """parent, child, score: the same of the categories below a parent, the best of all 100."""
+    rows = metrics.select("goods", "sales7", "sales30").join(goods.select("goods", parent, child), "goods")
+    return _path_score(rows, [parent], [child]).select(parent, child, _to_hundred(F.col("raw")).alias("score"))
+
+
+def term_categories(terms: DataFrame) -> DataFrame:
+    """term, items: the categories in which it is searched, most often first, delimited."""
+    return terms.groupBy("term").agg(F.expr("listagg(category, '#') WITHIN GROUP (ORDER BY n DESC, category)").alias("items"))
+
+
+def named_brand_matches(own: DataFrame, other: DataFrame, by: str, k: int = 50) -> DataFrame:
+    """goods, item, shared_words, shared_characters: the competitor's `k` most commented items of a category whose name holds the own brand."""
+    items = top_k(other, [by], [F.col("comments").desc(), F.col("goods")], k).select(by, F.col("goods").alias("item"), F.lower("name").alias("item_name"))
+    rows = own.select(by, F.lower("brand").alias("brand"), "goods", "name").join(items, by).where(F.contains("item_name", "brand"))
+    return rows.select("goods", "item", F.size(F.array_intersect(words(F.col("name")), words(F.col("item_name")))).alias("shared_words"), F.size(F.array_intersect(characters(F.col("name")), characters(F.col("item_name")))).alias("shared_characters"))

@@ -92,7 +92,7 @@ _SQL = {
     "a10_positional_quantiles": "WITH r AS (SELECT level1, price, row_number() OVER (PARTITION BY level1 ORDER BY price) - 1 AS i, count(*) OVER (PARTITION BY level1) AS n FROM {v_goods}) SELECT level1, " + ", ".join(f"round(max(CASE WHEN i = floor(n * {k} / 10) THEN price END), 6) AS q{k}" for k in (2, 4, 6, 8)) + " FROM r GROUP BY 1",
     "a11_deviation": "SELECT goods, count(*) AS n, round(stddev_pop(price), 6) AS deviation FROM {v_orders} GROUP BY 1 HAVING count(*) >= 5 AND stddev_pop(price) > 1e-9",
     "a14_correlation": "SELECT level1, round(CASE WHEN corr(price, qty) BETWEEN 0 AND 1 THEN corr(price, qty) ELSE 0 END, 6) AS correlation FROM {v_orders} GROUP BY 1",
-    "a15_listed": "SELECT brand, string_agg(CAST(goods AS varchar), '#' ORDER BY goods) AS items FROM {v_goods} WHERE goods < 500 GROUP BY 1",
+    "a15_listed": "SELECT brand, string_agg(CAST(goods AS varchar), '#' ORDER BY goods) AS items FROM {v_goods} GROUP BY 1",
     "w1_top_k": "WITH s AS (SELECT store, goods, sum(amount) AS sales FROM {v_orders} GROUP BY ALL) SELECT store, goods, round(sales, 6) AS sales, row_number() OVER (PARTITION BY store ORDER BY round(sales, 4) DESC, goods) AS rank FROM s QUALIFY rank <= 5",
     "w4_dense_rank": "SELECT level2, count(*) AS n, dense_rank() OVER (ORDER BY count(*) DESC) - 1 AS rank FROM {v_goods} GROUP BY 1",
     "w5_pareto": f"WITH s AS (SELECT level1, goods, sum(qty) AS units FROM {{v_orders}} GROUP BY ALL), r AS (SELECT level1, coalesce(sum(units) OVER (PARTITION BY level1 ORDER BY units DESC, goods ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before, sum(units) OVER (PARTITION BY level1) AS total FROM s) SELECT level1, {_PARETO(0.8)} AS items, count(*) AS all_items FROM r GROUP BY 1",
@@ -101,7 +101,7 @@ _SQL = {
     "w13_minmax": f"SELECT goods, round({_minmax('price', 'level2')}, 6) AS scaled FROM {{v_goods}}",
     "u2_fused_scores": "SELECT goods, round(sum(score), 6) AS score FROM (SELECT goods, count(*) AS score FROM {v_events} GROUP BY 1 UNION ALL SELECT goods, sum(qty) FROM {v_orders} GROUP BY 1) x GROUP BY 1",
     "u4_except": "SELECT c_custkey AS id FROM {customer} EXCEPT SELECT o_custkey FROM {orders}",
-    "f1_jaccard": f"SELECT a.n_name AS a, b.n_name AS b, round({_JACCARD('a.n_name', 'b.n_name')}, 6) AS score FROM {{nation}} a JOIN {{nation}} b ON a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey",
+    "f1_jaccard": f"SELECT p_partkey, round({_JACCARD('p_name', "concat_ws(' ', p_type, p_brand)")}, 6) AS score FROM {{part}}",
     "s15_upsert": "SELECT goods, round(CASE WHEN goods % 10 = 0 THEN price * 2 ELSE price END, 6) AS price, brand FROM {v_goods}",
     "s16_update_columns": "SELECT goods, round(CASE WHEN goods % 10 = 0 THEN price * 2 ELSE price END, 6) AS price, brand FROM {v_goods}",
     "s18_delete_keys": "SELECT goods, brand FROM {v_goods} WHERE sale_status <> 0",
@@ -193,7 +193,7 @@ _SQL |= {
     "c15_promotion_coverage": f"""WITH e AS (SELECT goods, count(*) AS n FROM (SELECT goods FROM {{v_events}} WHERE behavior = 2000 UNION ALL SELECT goods FROM {{v_orders}} WHERE qty >= 45) x GROUP BY 1),
         r AS (SELECT level_no, node, count(DISTINCT goods) AS on_sale, count(DISTINCT CASE WHEN n IS NOT NULL THEN goods END) / count(DISTINCT goods) AS a, coalesce(sum(n), 0) / count(DISTINCT goods) AS b FROM {{v_goods}} LEFT JOIN e USING (goods) JOIN {_LEVELS} t USING (category) WHERE sale_status = 4 GROUP BY ALL)
         SELECT level_no, node, on_sale, round(a, 6) AS coverage, round(b, 6) AS entries_per_goods, round({_minmax('a', '')}, 6) AS coverage_norm, round({_minmax('b', '')}, 6) AS entries_per_goods_norm FROM r""",
-    "c16_score_weights": "SELECT n_regionkey AS component, n_name AS sub, round((r_regionkey + 1) * (n_nationkey / 10), 6) AS weight FROM {nation} JOIN {region} ON n_regionkey = r_regionkey",
+    "c16_score_weights": "WITH c AS (SELECT level1 AS component, count(*) / 1000 AS w FROM {v_orders} GROUP BY 1) SELECT level1 AS component, brand AS sub, round(w * (sum(qty) / 100), 6) AS weight FROM {v_orders} JOIN c ON component = level1 GROUP BY 1, 2, w",
     "c18_traffic_stages": f"SELECT category, " + ", ".join(f"count(*) FILTER (WHERE {_DAY} BETWEEN {i * 10} AND {i * 10 + 9}) AS pv{i + 1}" for i in range(3)) + f", count(*) AS pv, count(DISTINCT member) AS uv FROM {{v_events}} WHERE behavior = 1000 AND {_DAY} BETWEEN 0 AND 29 GROUP BY 1",
     "c18_top_goods": _two_ranks("{v_events}", "category", "goods", f"behavior = 1000 AND {_DAY} BETWEEN 0 AND 29", ("pv", "count(*)"), ("uv", "count(DISTINCT member)")),
     "c18_top_brands": _two_ranks("{v_events}", "level1", "brand", f"behavior = 1000 AND {_DAY} BETWEEN 0 AND 29", ("pv", "count(*)"), ("uv", "count(DISTINCT member)")),

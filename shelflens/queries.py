@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -15,6 +14,7 @@ from .operators import geo, lists, models, profile, rank, search
 from .operators import scorecard as S
 from .plans.views import view
 from .sources import tables
+from .sources.scratch import scratch_path
 from .streaming import events as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,18 +59,25 @@ def _latest_price(orders: DataFrame) -> DataFrame:
     return orders.withColumn("n", F.row_number().over(w)).where("n = 1").select("goods", "sale_time", "price")
 
 
+def _weighted(orders: DataFrame) -> DataFrame:
+    """Lines of a level, and their shares of brands, stand for the weights of components and parts."""
+    conf = orders.groupBy(F.col("level1").alias("component")).agg((F.count("*") / 1000).alias("weight"))
+    details = orders.groupBy(F.col("level1").alias("component"), F.col("brand").alias("sub")).agg((F.sum("qty") / 100).alias("weight"))
+    return S.score_weights(conf, details)
+
+
 def _running(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stream.drain(stream.running_count(stream.file_source(spark, sf_dir, "events"), "event_type"), tempfile.mkdtemp(prefix="spark-"))
+    return stream.drain(stream.running_count(stream.file_source(spark, sf_dir, "events"), "event_type"), scratch_path(spark, "stream"))
 
 
 def _sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = stream.sliding_count(stream.file_source(spark, sf_dir, "events"), "ts", "event_type", "2 hours", "1 hour")
-    return stream.drain(counted, tempfile.mkdtemp(prefix="spark-")).select(F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "event_type", "count")
+    return stream.drain(counted, scratch_path(spark, "stream")).select(F.col("start").cast("timestamp_ntz").alias("start"), F.col("end").cast("timestamp_ntz").alias("end"), "event_type", "count")
 
 
 def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
     stop = spark.sql("SELECT explode(array('the', 'and', 'of')) AS word")
-    return stream.drain(stream.word_count(stream.file_source(spark, sf_dir, "conversations"), stop, "text"), tempfile.mkdtemp(prefix="spark-"))
+    return stream.drain(stream.word_count(stream.file_source(spark, sf_dir, "conversations"), stop, "text"), scratch_path(spark, "stream"))
 
 
 def _upserted(goods: DataFrame) -> DataFrame:
@@ -149,13 +156,13 @@ MESSAGE = """concat('{"createDate":"', cast(ts AS date), '","memberId":"', user_
 
 def _locations(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = stream.file_source(spark, sf_dir, "events").selectExpr(f"{MESSAGE} AS value")
-    return stream.drain(stream.location_log(messages), tempfile.mkdtemp(prefix="spark-"), "append", stream.with_log_keys).drop("value")
+    return stream.drain(stream.location_log(messages), scratch_path(spark, "stream"), "append", stream.with_log_keys).drop("value")
 
 
 def _last_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     views = stream.file_source(spark, sf_dir, "events").where("event_type = 'view'").selectExpr("concat('c', user_id) AS cookie", "cast(get_json_object(props, '$.k') AS bigint) AS goods", "ts")
     cookies = view(spark, sf_dir, "customer").selectExpr("concat('c', c_custkey) AS cookie", "c_custkey AS member")
-    return stream.drain(stream.last_views(views, cookies), tempfile.mkdtemp(prefix="spark-"))
+    return stream.drain(stream.last_views(views, cookies), scratch_path(spark, "stream"))
 
 
 QUERIES: dict[str, Query] = {
@@ -178,7 +185,7 @@ QUERIES: dict[str, Query] = {
     "w13_minmax": _on(lambda g: g.select("goods", rank.minmax(F.col("price"), ["level2"]).alias("scaled")), "v_goods"),
     "u2_fused_scores": _on(lambda e, o: e.groupBy("goods").agg(F.count("*").cast("double").alias("score")).unionByName(o.groupBy("goods").agg(F.sum("qty").alias("score"))).groupBy("goods").agg(F.sum("score").alias("score")), "v_events", "v_orders"),
     "u4_except": _on(lambda c, o: c.select(F.col("c_custkey").alias("id")).subtract(o.select(F.col("o_custkey").alias("id"))), "customer", "orders"),
-    "f1_jaccard": _on(lambda n: n.alias("a").join(n.alias("b"), F.expr("a.n_regionkey = b.n_regionkey AND a.n_nationkey < b.n_nationkey")).select(F.col("a.n_name").alias("a"), F.col("b.n_name").alias("b"), jaccard(F.col("a.n_name"), F.col("b.n_name")).alias("score")), "nation"),
+    "f1_jaccard": _on(lambda p: p.select("p_partkey", jaccard(F.col("p_name"), F.concat_ws(" ", "p_type", "p_brand")).alias("score")), "part"),
     "s15_upsert": _on(_upserted, "v_goods"),
     "s16_update_columns": _on(_updated, "v_goods"),
     "s18_delete_keys": _on(lambda g: tables.delete_keys(g.select("goods", "brand"), g.where("sale_status = 0"), ["goods"]), "v_goods"),
@@ -258,7 +265,7 @@ QUERIES: dict[str, Query] = {
     "c12_product_line_score": _on(_product_line, "v_goods", "v_orders", "v_category_dim"),
     "c14_overall_score": _on(_overall, "v_goods", "v_orders", "v_events", "v_category_dim"),
     "c15_promotion_coverage": _on(lambda g, e, o, d: S.promotion_coverage(e.where("behavior = 2000"), o.where("qty >= 45"), g, d), "v_goods", "v_events", "v_orders", "v_category_dim"),
-    "c16_score_weights": _on(lambda r, n: S.score_weights(r.select(F.col("r_regionkey").alias("component"), (F.col("r_regionkey") + 1.0).alias("weight")), n.select(F.col("n_regionkey").alias("component"), F.col("n_name").alias("sub"), (F.col("n_nationkey") / 10).alias("weight"))), "region", "nation"),
+    "c16_score_weights": _on(_weighted, "v_orders"),
     "c18_traffic_stages": _on(lambda e: S.traffic_stages(e, EVENTS_AS_OF), "v_events"),
     "c18_top_goods": _on(lambda e: S.traffic_top(e, "goods", EVENTS_AS_OF), "v_events"),
     "c18_top_brands": _on(lambda e: S.traffic_top(e.withColumn("category", F.col("level1")), "brand", EVENTS_AS_OF), "v_events"),
@@ -268,7 +275,7 @@ QUERIES: dict[str, Query] = {
     "c20_summary": _on(S.category_summary_v2, "v_goods"),
     "c20_price_zones": _on(S.price_zones, "v_goods"),
     # models, profiles and wide tables
-    "m4_als": _on(lambda e: models.als_recommend(_ratings(e)), "v_events"),
+    "m4_als": _on(lambda e: models.als_lists(_ratings(e)), "v_events"),
     "m5_behavior_ratings": _on(lambda e: models.behavior_ratings(e, EVENTS_AS_OF).withColumn("rating", F.round("rating", 9)), "v_events"),
     "m5_behavior_als": _on(lambda e: models.behavior_als(e, EVENTS_AS_OF)[0], "v_events"),
     "m7_kmeans": _on(_clusters, "v_orders"),

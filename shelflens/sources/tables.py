@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -66,8 +66,9 @@ def upsert(target: DataFrame, updates: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def update_columns(target: DataFrame, updates: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    new = updates.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns])
-    return target.join(new, keys, "left").select(*[F.coalesce(f"_new_{c}", c).alias(c) if c in columns else F.col(c) for c in target.columns])
+    """An update to null sets null."""
+    new = updates.select(*keys, F.struct(*columns).alias("_new"))
+    return target.join(new, keys, "left").select(*[F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) if c in columns else F.col(c) for c in target.columns])
 
 
 def delete_keys(store: DataFrame, feed: DataFrame, keys: list[str]) -> DataFrame:
@@ -80,3 +81,61 @@ def with_expiry(df: DataFrame, now: str, seconds: int) -> DataFrame:
 
 def alive(df: DataFrame, now: str) -> DataFrame:
     return df.where(F.col("expires_at") > F.lit(now).cast("timestamp")).drop("expires_at")
+
+
+def write_text(df: DataFrame, path: str, sep: str = "\t") -> None:
+    """Delimited lines; a file for each partition, so coalesce a small result first if it is to be one file."""
+    df.write.mode("overwrite").csv(path, sep=sep)
+
+
+def write_full(df: DataFrame, path: str) -> None:
+    """Replaces all that stood there."""
+    df.write.mode("overwrite").parquet(path)
+
+
+def prefixed(channel: Column, key: Column, prefixes: dict) -> Column:
+    """A key under its channel's prefix."""
+    names = F.create_map(*[F.lit(x) for pair in prefixes.items() for x in pair])
+    return F.concat(names[channel], key.cast("string"))
+
+
+def valid_ids(df: DataFrame, column: str, length: int, low: int, high: int, number: Column) -> DataFrame:
+    """Rows whose id has the given length and whose number lies in a range."""
+    return df.where((F.length(column) == length) & number.between(low, high))
+
+
+def _draw(key: str, seed: int) -> Column:
+    """A number of a row's key from 0 on, below 2**32, the same at each run and for any partitioning."""
+    return F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(seed), F.col(key))), 1, 8), 16, 10).cast("long")
+
+
+def sample_rows(df: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
+    return df.where(_draw(key, seed) < int(fraction * (1 << 32)))
+
+
+def take_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    return df.orderBy(_draw(key, seed), key).limit(n)
+
+
+def count_invalid(df: DataFrame, by: list[str], columns: list[str]) -> DataFrame:
+    """by, rows, invalid: rows with a null in any of the columns."""
+    missing = F.array_contains(F.array(*[F.col(c).isNull() for c in columns]), True)
+    return df.groupBy(*by).agg(F.count("*").alias("rows"), F.count_if(missing).alias("invalid"))
+
+
+def counted(df: DataFrame, invalid: Column) -> tuple[DataFrame, Observation]:
+    """`df` as it was, and what an action on it counts on the way: processed and invalid rows."""
+    seen = Observation()
+    return df.observe(seen, F.count("*").alias("processed"), F.count_if(invalid).alias("invalid")), seen
+
+
+def merge_maps(earlier: DataFrame, later: DataFrame, key: str, column: str) -> DataFrame:
+    """The maps of both tables by key; of a map key in both the later value wins."""
+    rows = earlier.select(key, F.col(column).alias("_a")).join(later.select(key, F.col(column).alias("_b")), key, "full")
+    both = F.map_zip_with("_a", "_b", lambda k, x, y: F.coalesce(y, x))
+    return rows.select(key, F.when(F.col("_a").isNull(), F.col("_b")).when(F.col("_b").isNull(), F.col("_a")).otherwise(both).alias(column))
+
+
+def band_join(rows: DataFrame, bands: DataFrame, key: str, value: str) -> DataFrame:
+    """Each row with the bands (key, low, high) of its key that hold its value, the upper end left out."""
+    return rows.join(bands, key).where((F.col(value) >= F.col("low")) & (F.col(value) < F.col("high")))

@@ -100,3 +100,19 @@ def drain(stream: DataFrame, path: str, mode: str = "complete", each: Callable[[
 def received(query: StreamingQuery) -> int:
     """Messages read so far."""
     return sum(p["numInputRows"] for p in query.recentProgress)
+
+
+def top_counts(counts: DataFrame, key: str, k: int = 10) -> DataFrame:
+    """Of a batch of running counts the `k` greatest."""
+    return counts.orderBy(F.col("count").desc(), key).limit(k)
+
+
+def batch_count(stream: DataFrame) -> DataFrame:
+    return stream.groupBy().count()
+
+
+def kept_and_dropped(lines: DataFrame, stop: DataFrame, text: str = "value") -> DataFrame:
+    """dropped, count: words that the stop list lets pass and those that it drops."""
+    words = lines.select(F.explode(F.split(F.lower(text), "[^\\p{L}\\p{N}]+")).alias("word")).where("word <> ''")
+    marked = words.join(stop.select("word", F.lit(True).alias("dropped")), "word", "left")
+    return marked.groupBy(F.coalesce("dropped", F.lit(False)).alias("dropped")).count()

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 from shelflens.functions.text import in_polygon, jaccard, normalize_nulls
-from shelflens.operators import cooccurrence, geo, lists, models, rank
+from shelflens.operators import cooccurrence, geo, lists, models, outputs, rank
 from shelflens.operators import scorecard as S
 from shelflens.sources import tables
 from shelflens.streaming import events as stream
@@ -72,7 +72,7 @@ def test_ids_are_gapless_and_models_reload(spark, tmp_path):
     ratings = spark.range(200).select((F.col("id") % 20).alias("member"), (F.col("id") * 7 % 11).alias("goods"), (F.col("id") % 5 + 1.0).alias("rating"))
     model = models.train_als(ratings.dropDuplicates(["member", "goods"]), rank=3, iters=3)
     models.save_model(model, f"{tmp_path}/als")
-    first, again = ({(r["member"], r["goods"]): r["score"] for r in models.recommend(m, 2).collect()} for m in (model, models.load_model(f"{tmp_path}/als")))
+    first, again = ({(r["member"], r["goods"]): r["score"] for r in models.top_goods(m, 2).collect()} for m in (model, models.load_model(f"{tmp_path}/als")))
     assert first == again and len(first) == 40
 
 
@@ -121,3 +121,48 @@ def test_listed_goods_of_every_id(spark):
     part = spark.read.parquet("/root/testdata/sf0.01/part.parquet")
     items = [r["items"].split("#") for r in QUERIES["a15_listed"](spark, "/root/testdata/sf0.01").collect()]
     assert sorted(int(x) for i in items for x in i) == sorted(r[0] for r in part.select("p_partkey").collect())
+
+
+def test_sinks_replace_what_they_should(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, "b")], "k long, d string")
+    tables.write_partition(rows, str(tmp_path / "p"), "d")
+    tables.write_partition(rows.where("k = 3"), str(tmp_path / "p"), "d")
+    assert sorted(r["k"] for r in spark.read.parquet(str(tmp_path / "p")).collect()) == [1, 3]
+    for part in (rows, rows.where("k = 2")):
+        tables.write_full(part, str(tmp_path / "f"))
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "f")).collect()] == [(2, "b")]
+    tables.write_text(rows.coalesce(1), str(tmp_path / "t"))
+    assert sorted(map(tuple, tables.read_delimited(spark, str(tmp_path / "t"), rows.schema).collect())) == [(1, "a"), (2, "b"), (3, "b")]
+
+
+def test_jdbc_round_trip(spark):
+    rows, url = spark.createDataFrame([(1, "a"), (2, None)], "k long, v string"), "jdbc:derby:memory:shelf;create=true"
+    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    tables.write_jdbc(rows, url, "rows_", **driver)
+    assert sorted(map(tuple, tables.read_jdbc(spark, url, "rows_", **driver).collect())) == [(1, "a"), (2, None)]
+
+
+def test_an_update_to_null_sets_null(spark):
+    old, new = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"), spark.createDataFrame([(2, None)], "k long, v string")
+    assert sorted(map(tuple, tables.update_columns(old, new, ["k"], ["v"]).collect())) == [(1, "a"), (2, None)]
+
+
+def test_later_map_wins_and_missing_ones_stay(spark):
+    a, b = spark.sql("SELECT 1 k, map('x', 1, 'y', 2) m UNION ALL SELECT 2, map('x', 3)"), spark.sql("SELECT 1 k, map('y', 5) m UNION ALL SELECT 3, map('z', 9)")
+    assert {r["k"]: r["m"] for r in tables.merge_maps(a, b, "k", "m").collect()} == {1: {"x": 1, "y": 5}, 2: {"x": 3}, 3: {"z": 9}}
+
+
+def test_expired_rows_go(spark):
+    rows = tables.with_expiry(spark.range(2), "2024-01-01 00:00:00", 60)
+    assert tables.alive(rows, "2024-01-01 00:00:59").count() == 2 and tables.alive(rows, "2024-01-01 00:01:00").count() == 0
+
+
+def test_lists_are_newest_first(spark):
+    rows = spark.createDataFrame([(1, "c", 5, 10), (1, "c", 6, 20), (1, "d", 7, 15), (1, "c", 5, 30)], "m long, c string, g long, t long")
+    assert outputs.nested_list(rows, ["m"], "c", "g", "t").first()["items"] == "c:5,6#d:7"
+    assert outputs.scored_list(rows.select("m", "g", (F.col("t") / 4).alias("s")).where("t < 30"), ["m"], "g", "s", 1).first()["items"] == "6:5.0#7:3.8#5:2.5"
+
+
+def test_scopes_are_parsed_from_json(spark):
+    rows = spark.createDataFrame([(1, '{"scopeVOList":[{"lngLatList":[[0,0],[4,0],[4,4]]},{"lngLatList":[[9,9],[8,9],[8,8]]}]}'), (2, "{broken"), (3, None)], "zone long, scope string")
+    assert [(r["zone"], len(r["ring"]), r["ring"][1]["x"]) for r in geo.parse_scopes(rows).collect()] == [(1, 3, 4.0), (1, 3, 8.0)]
