@@ -1,12 +1,15 @@
 """Substring dedup of repeated word windows by fixed-block anchors.
 
-Each document's words are cut into non-overlapping reference blocks of half a window; any window of another document
-that equals one of this holds such a block whole, at whatever offset, so every rolling block of every document is
-looked up among them. Hits are extended over the neighbouring rolling blocks that repeat as well; a stretch long
-enough for a window is a candidate. Candidate windows are then compared by their whole word sequence to find the
-smallest document each starts in.
-
-The rolling blocks travel as sorted, delta-coded hashes, a packed list for each task and range of hashes.
+Each document's words are cut into non-overlapping reference blocks of half a window. They are the index: any window of
+another document that equals one of this holds such a block whole, at whatever offset, so every rolling block of every
+document probes it. A rolling block that occurs more than once and is a reference block somewhere is a hit. Around each
+hit the windows that hold it are candidates as far as all their rolling blocks repeat; of several hits in a window the
+one of the least hash stands for it, in all documents alike. Under each hit the windows of all documents are then
+compared by their whole word sequence, to find the smallest document each starts in; overlapping ones add up to the
+maximal repeats.
+
+The rolling blocks travel as sorted, delta-coded hashes, a packed list for each task and range of hashes. The windows of
+a hit that very many documents share are dealt out by their own hashes, so that no task gets all of them.
 """
 
 from __future__ import annotations
@@ -21,7 +24,8 @@ from pyspark.sql import functions as F
 from .common import Memo, hashes, mix64, passes, pieces, save, sliding_argmin, word_hash
 
 _RANDOM = np.random.default_rng(17).integers(1, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_LAST = np.iinfo(np.int64).max
+_LAST = int(np.iinfo(np.int64).max)
+_MOST = np.iinfo(np.uint64).max
 
 
 def row_key() -> Column:
@@ -126,13 +130,17 @@ def _repeated(bits: int):
     return run
 
 
-def _candidates(window: int, bits: int, shared):
-    """Candidate windows, grouped under the least rolling block they share: its hash, place in the document, the first window's distance before it, and the windows' hashes."""
+def _candidates(window: int, bits: int, shared, hot: frozenset = frozenset()):
+    """Candidate windows in a row, under the hit that stands for them: its hash, the document, the first window's place and the windows' hashes.
+
+    Of a hit in `hot` each window is a row of its own, under its own hash as well (`sub`, else 0).
+    """
     block = (window + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(word_hash)
         repeats, anchors = (np.frombuffer(x, np.uint8) for x in shared.value)
+        many = np.array(sorted(hot), np.int64).view(np.uint64)
         width = window - block + 1
         for batch, texts in pieces(batches):
             tokens, keep, first = _stream(texts, memo, window)
@@ -147,54 +155,63 @@ def _candidates(window: int, bits: int, shared):
             at = np.flatnonzero(ok)
             if not len(at):
                 continue
-            least, whole = sliding_argmin(h, width)[at], gram_hashes(tokens, window)[at].view(np.int64)
-            new = np.flatnonzero(np.concatenate(([True], (least[1:] != least[:-1]) | (np.diff(at) > 1))))
+            hits = np.where(np.diff(anchor) > 0, h, np.uint64(_MOST))
+            least, whole = sliding_argmin(hits, width)[at], gram_hashes(tokens, window)[at].view(np.int64)
+            crowded = np.isin(h[least], many)
+            new = np.flatnonzero(np.concatenate(([True], (least[1:] != least[:-1]) | (np.diff(at) > 1) | crowded[1:])))
             doc = np.searchsorted(first, at[new], "right") - 1
             row = keep[doc]
             ids = batch["doc_id"].fill_null(_LAST).to_numpy()[row]
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate((new, [len(at)])), pa.int32()), pa.array(whole, pa.int64()))
-            columns = [pa.array(h[least[new]].view(np.int64)), pa.array(ids), batch["rid"].take(pa.array(row)), pa.array((at[new] - first[doc]).astype(np.int32)), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["least", "doc", "rid", "at", "windows"])
+            sub = np.where(crowded[new], whole[new] | 1, 0)
+            columns = [pa.array(h[least[new]].view(np.int64)), pa.array(sub), pa.array(ids), batch["rid"].take(pa.array(row)), pa.array((at[new] - first[doc]).astype(np.int32)), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["least", "sub", "doc", "rid", "at", "windows"])
 
     return run
 
 
 def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by least block and document: which windows start in a smaller document too, as bits from `at`.
+    """Over rows sorted by hit, `sub` and document: which windows start in a smaller document too, as bits from `at`.
 
-    The first document met with a window is the smallest. What the last block of a batch has met is kept for the next.
+    The first document met with a window is the smallest. What the last hit of a batch has met is kept for the next.
     """
     last, met = None, {}
     for batch in batches:
         if not batch.num_rows:
             continue
-        least, doc = batch["least"].to_numpy(), batch["doc"].to_numpy()
+        least, sub, doc = (batch[c].to_numpy() for c in ("least", "sub", "doc"))
         lists = batch["windows"]
         n = np.diff(lists.offsets.to_numpy())
         h = lists.flatten().to_numpy()
         owner = np.repeat(np.arange(len(n)), n)
         _, index, inverse = np.unique(h, return_index=True, return_inverse=True)
         smallest = doc[owner[index]][inverse]
-        if last == least[0]:
-            part = int(n[: np.searchsorted(least != last, True) if (least != last).any() else len(n)].sum())
+        begins = np.flatnonzero(np.concatenate(([last != (least[0], sub[0])], (least[1:] != least[:-1]) | (sub[1:] != sub[:-1]))))
+        part = int(n[: begins[0]].sum()) if len(begins) else len(h)  # windows of the hit that the batch before ended with
+        if part:
             old = np.fromiter((met.get(x, _LAST) for x in h[:part].tolist()), np.int64, part)
             smallest[:part] = np.minimum(smallest[:part], old)
-        else:
-            met = {}
-        if least[-1] != last:
-            last, met = least[-1], {}
-        tail = owner >= np.flatnonzero(least == last)[0]
+        if len(begins):
+            last, met = (least[-1], sub[-1]), {}
+        tail = owner >= (begins[-1] if len(begins) else 0)
         for x, d in zip(h[tail].tolist(), smallest[tail].tolist(), strict=True):
             met.setdefault(x, d)
         hit = smallest < doc[owner]
         start = np.concatenate(([0], np.cumsum(n)))[:-1]
         mask = np.add.reduceat(np.where(hit, np.int64(1) << (np.arange(len(h)) - start[owner]), 0), start)
         some = np.flatnonzero(mask)
-        yield pa.RecordBatch.from_arrays([batch["rid"].take(pa.array(some)), batch["at"].take(pa.array(some)), pa.array(mask[some])], ["rid", "at", "mask"])
+        yield pa.RecordBatch.from_arrays([batch["doc"].take(pa.array(some)), batch["rid"].take(pa.array(some)), batch["at"].take(pa.array(some)), pa.array(mask[some])], ["doc", "rid", "at", "mask"])
+
 
+SAMPLE = 64  #: one in so many rows is read first to find crowded hits
 
-def covered_windows(docs: DataFrame, window: int = 13, bytes_per_range: int = 12 << 20, most_bits: int = 29) -> DataFrame:
-    """rid, at, mask: for rows of `docs` by their key, windows that start in a smaller doc_id too (bit i: the one at `at` + i)."""
+
+def covered_windows(docs: DataFrame, window: int = 13, bytes_per_range: int = 12 << 20, most_bits: int = 29, crowd: int = 20_000) -> DataFrame:
+    """doc, rid, at, mask: for rows of `docs` by their key, windows that start in a smaller doc_id too (bit i: the one at `at` + i).
+
+    A hit with some `crowd` rows or more, by a sample of the documents, has its windows dealt out one by one; this moves
+    rows and changes none.
+    """
     if not 2 <= window <= 60:
         raise ValueError("a window has 2 to 60 words")
     spark = docs.sparkSession
@@ -210,8 +227,11 @@ def covered_windows(docs: DataFrame, window: int = 13, bytes_per_range: int = 12
         for filter_, at, value in ((filters[0], row["r_at"], row["r"]), (filters[1], row["a_at"], row["a"])):
             filter_[np.frombuffer(at, "<i8")] |= np.frombuffer(value, "u1")
     shared = spark.sparkContext.broadcast(tuple(f.tobytes() for f in filters))
-    found = rows.mapInArrow(_candidates(window, bits, shared), "least long, doc long, rid long, at int, windows array<long>")
-    return found.repartition("least").sortWithinPartitions("least", "doc").mapInArrow(_covered, "rid long, at int, mask long")
+    schema = "least long, sub long, doc long, rid long, at int, windows array<long>"
+    seen = rows.where(F.pmod("rid", F.lit(SAMPLE)) == 0).mapInArrow(_candidates(window, bits, shared), schema).groupBy("least").count()
+    hot = frozenset(r["least"] for r in seen.where(F.col("count") * SAMPLE >= crowd).select("least").toLocalIterator())  # a row for each `crowd` others at most
+    found = rows.mapInArrow(_candidates(window, bits, shared, hot), schema)
+    return found.repartition("least", "sub").sortWithinPartitions("least", "sub", "doc").mapInArrow(_covered, "doc long, rid long, at int, mask long")
 
 
 def _finish(window: int):
@@ -245,9 +265,9 @@ def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
     table gives an empty result. Windows are told apart by 64-bit hashes of their words.
     """
     spans = save(covered_windows(docs, window), "block-spans")
-    spans = spans.distinct().groupBy("rid").agg(F.collect_list(F.struct("at", "mask")).alias("spans"))
-    rows = docs.select("doc_id", "text", row_key().alias("_rid"))
-    return rows.join(spans, F.col("_rid") == F.col("rid"), "left").select("doc_id", "text", "spans").mapInArrow(_finish(window), "doc_id long, n_words long, n_removed long, kept string")
+    spans = spans.distinct().groupBy("doc", "rid").agg(F.collect_list(F.struct("at", "mask")).alias("spans"))
+    rows = docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(_LAST)).alias("doc"), row_key().alias("rid"))
+    return rows.join(spans, ["doc", "rid"], "left").select("doc_id", "text", "spans").mapInArrow(_finish(window), "doc_id long, n_words long, n_removed long, kept string")
 
 
 def op6_block_anchors(docs: DataFrame) -> DataFrame:

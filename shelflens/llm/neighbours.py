@@ -100,6 +100,8 @@ def _search(k: int, p: Params):
                     q_norm = q / np.sqrt((q * q).sum(1))[:, None]
                     for query, unit, me, row, times, found in zip(q, q_norm, *(part[c].to_pylist() for c in ("vec_id", "row", "times")), forest.candidates(q_norm, need), strict=True):
                         found = found[ids[found] != me]
+                        if len(found) < k:  # few rows, or many copies of the query
+                            found = np.flatnonzero(ids != me)
                         near = (x[found] @ unit) / norm[found]
                         if len(near) > k:
                             found = found[near >= np.partition(near, -k)[-k] - 1e-9]

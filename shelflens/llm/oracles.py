@@ -2,4 +2,14 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_block_anchors": r"""
+        WITH w AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+        p AS (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13),
+        windows AS (SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS s FROM p),
+        hit AS (SELECT doc_id, i FROM windows JOIN (SELECT s, min(doc_id) AS first FROM windows GROUP BY 1) m USING (s) WHERE first < doc_id),
+        gone AS (SELECT DISTINCT doc_id, i + k AS j FROM hit, (SELECT unnest(range(13)) AS k) k),
+        word AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS j FROM w),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY j) AS t, count(*) AS n FROM word ANTI JOIN gone USING (doc_id, j) GROUP BY 1)
+        SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)""",
+}

@@ -75,7 +75,7 @@ def external_shuffle(docs: DataFrame, path: str, shards: int = 24, seed: int = 0
     placed.write.option("compression", "zstd").partitionBy(shard_name).parquet(path)
     if not stats["n"]:
         return placed
-    return spark.read.schema(placed.schema).parquet(path)
+    return spark.read.schema(placed.schema).parquet(path).select(*placed.columns)
 
 
 def op2_external_shuffle(docs: DataFrame, shards: int = 24) -> DataFrame:

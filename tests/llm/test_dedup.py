@@ -188,3 +188,20 @@ def test_empty_tables(empty):
 def test_sliding_argmin():
     values = np.random.default_rng(0).integers(0, 1 << 63, 500, dtype=np.uint64)
     assert sliding_argmin(values, 7).tolist() == [i + int(np.argmin(values[i : i + 7] >> np.uint64(24))) for i in range(494)]
+
+
+def test_windows_of_crowded_hits_and_odd_rows(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    passage = [word() for _ in range(30)]
+    rows = [(i, " ".join([word() for _ in range(rng.randint(0, 9))] + passage[rng.randint(0, 9) : rng.randint(20, 30)] + [word()] * rng.randint(0, 2))) for i in range(150)]
+    rows += [(200, None), (201, ""), (202, " ".join(passage) * 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute.word_windows(rows)
+    for crowd in (64, 20_000):
+        spans = blockdedup.covered_windows(docs, crowd=crowd).collect()
+        covered = {(r["doc"], r["at"] + i + j) for r in spans for i in range(60) if r["mask"] >> i & 1 for j in range(13)}
+        assert Counter(d for d, _ in covered) == Counter({d: n for d, (_, n, _) in want.items() if n})
+    odd = [(3, " ".join(passage)), (3, " ".join(passage)), (None, " ".join(passage)), (1, " ".join(passage[:13])), (2, None)]
+    out = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["n_words"], r["n_removed"]) for r in blockdedup.op6_block_anchors(spark.createDataFrame(odd, "doc_id long, text string")).collect())
+    assert out == [(False, 1, 13, 0), (False, 2, 0, 0), (False, 3, 30, 13), (False, 3, 30, 13), (True, 0, 30, 30)]
