@@ -53,6 +53,18 @@ def test_mixture_of_many_comes_near(spark):
     assert all(abs(taken[r["source"]] / r["_target"] - 1) < 0.02 for r in out)
 
 
+def test_mixture_of_few_large_documents_comes_near(spark):
+    """Sources of 50 documents, the largest a fifth of the words or more: others make up for the rounding of the large."""
+    rng = np.random.default_rng(8)
+    sizes = {s: [*map(int, rng.integers(20, 400, 49)), 3000] for s in "abcd"}
+    rows = [(i, "w " * n, s) for i, (s, n) in enumerate((s, n) for s, found in sizes.items() for n in found)]
+    taken, target = Counter(), brute.water_levels({s: sum(n) for s, n in sizes.items()})
+    for r in mixing.op9_entropy_mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect():
+        assert r["taken"] <= 3 * r["size"] and r["taken"] % r["size"] == 0
+        taken[rows[r["doc_id"]][2]] += r["taken"]
+    assert all(abs(taken[s] / t - 1) < 0.01 for s, t in target.items())
+
+
 def test_blocks_round_trip_and_detect_damage():
     rng = np.random.default_rng(0)
     for n in (0, 1, 63, 64, 5000, 40_000):
