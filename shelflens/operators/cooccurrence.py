@@ -15,10 +15,21 @@ def cooccurrence(left: DataFrame, right: DataFrame, session: list[str], item: st
     return a.join(b, session).where("a <> b").groupBy("a", "b").agg(F.count("*").alias("pairs"))
 
 
+def _both_ways(pairs: DataFrame, *values: str) -> DataFrame:
+    """Rows of a, b and of b, a for those with a < b."""
+    return pairs.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p"), *values).select("p.a", "p.b", *values)
+
+
+def cooccurrence_within(rows: DataFrame, session: list[str], item: str) -> DataFrame:
+    """The same of `rows` with themselves: each two items meet once, and their count is written both ways after it is summed."""
+    a, b = rows.select(*session, F.col(item).alias("a")), rows.select(*session, F.col(item).alias("b"))
+    return _both_ways(a.join(b, session).where("a < b").groupBy("a", "b").agg(F.count("*").alias("pairs")), "pairs")
+
+
 def _similar(rows: DataFrame, session: list[str], item: str) -> DataFrame:
     """pairs(a, b) / rows of b."""
     n = rows.groupBy(F.col(item).alias("b")).agg(F.count("*").alias("n_b"))
-    return cooccurrence(rows, rows, session, item).join(n, "b").select("a", "b", (F.col("pairs") / F.col("n_b")).alias("score"))
+    return cooccurrence_within(rows, session, item).join(n, "b").select("a", "b", (F.col("pairs") / F.col("n_b")).alias("score"))
 
 
 def also_viewed(events: DataFrame, k: int = 20, session: tuple[str, ...] = ("member", "level1", "week")) -> DataFrame:
@@ -61,8 +72,9 @@ def item_cosine(ratings: DataFrame, k: int = 10, least: float = 1e-6) -> DataFra
     """goods, other, score, rank: cosine of the goods' rating columns, through the users that rated both."""
     norm = ratings.groupBy("goods").agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm"))
     scaled = ratings.join(norm, "goods").select("member", "goods", (F.col("rating") / F.col("norm")).alias("w"))
-    a, b = scaled.toDF("member", "goods", "wa"), scaled.toDF("member", "other", "wb")
-    found = a.join(b, "member").where("goods <> other").groupBy("goods", "other").agg(F.sum(F.col("wa") * F.col("wb")).alias("score")).where(F.col("score") > least)
+    a, b = scaled.toDF("member", "a", "wa"), scaled.toDF("member", "b", "wb")
+    once = a.join(b, "member").where("a < b").groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("score")).where(F.col("score") > least)
+    found = _both_ways(once, "score").withColumnsRenamed({"a": "goods", "b": "other"})
     return top_k(found, ["goods"], [F.round("score", 9).desc(), F.col("other")], k)
 
 
@@ -91,7 +103,7 @@ def llr_item_similarity(ratings: DataFrame, k: int = 50) -> DataFrame:
     pairs = ratings.select("member", "goods").distinct()
     n = pairs.groupBy("goods").agg(F.count("*").alias("n"))
     users = pairs.select("member").distinct().agg(F.count("*").alias("users"))
-    both = cooccurrence(pairs, pairs, ["member"], "goods")
+    both = cooccurrence_within(pairs, ["member"], "goods")
     rows = both.join(n.toDF("a", "n_a"), "a").join(n.toDF("b", "n_b"), "b").crossJoin(F.broadcast(users))  # a single row
     k11, k12, k21 = F.col("pairs"), F.col("n_a") - F.col("pairs"), F.col("n_b") - F.col("pairs")
     k22 = F.col("users") - F.col("n_a") - F.col("n_b") + F.col("pairs")
