@@ -306,12 +306,12 @@ class WordIds(dict):
         known = [iter(f([w for w, o in zip(words, odd, strict=True) if o is kind])) for f, kind in ((self._plain, False), (self._odd, True))]
         return [next(known[o]) for o in odd]
 
-    def flat(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts, each with END_ID at its end, and how many each text has. Null counts as empty."""
+    def flat(self, texts: pa.Array, end: int = END_ID) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, each with `end` at its end, and how many each text has. Null counts as empty."""
         split = pc.ascii_split_whitespace(texts.fill_null(""))
         coded = split.flatten().dictionary_encode()
         words, at = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
-        ids = [*self.ids(words), struct.pack("<H", END_ID)]
+        ids = [*self.ids(words), struct.pack("<H", end)]
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 2
         bounds = split.offsets.to_numpy() - split.offsets[0].as_py()
         at = np.insert(at.astype(np.int64), bounds[1:], len(words))
