@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import blockdedup, bytededup, decontamination, mixing, neighbours, packing, quality, retrieval, sharding, simhash, tokencoding, toxicity
+from . import blockdedup, bytededup, decontamination, dialogues, mixing, neighbours, packing, quality, retrieval, sharding, simhash, tokencoding, toxicity
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,11 +65,15 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.op12_lexical_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_audit_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dialogues.op13_audit_repair(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         op1_ordinal_quality, op2_external_shuffle, op3_simhash, op4_context_mixing, op5_spaced_seeds,
         op6_block_anchors, op7_byte_repeats, op8_prefix_forest, op9_entropy_mix, op10_toxic_segments,
-        op11_mixture_packing, op12_lexical_search,
+        op11_mixture_packing, op12_lexical_search, op13_audit_repair,
     )
 }
