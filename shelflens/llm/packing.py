@@ -89,9 +89,14 @@ class Plan:
         left, deficit = after - done, due - done
         out = np.zeros((len(self.windows(run)), len(left)), np.int64)
         for take, cap in zip(out, self.windows(run), strict=True):
-            share = np.where(left > 0, self.weights, 0.0)
-            deficit += share * (cap / share.sum())
-            take[:] = np.clip(np.floor(deficit), 0, left)
+            spare, open_ = float(cap), left > 0
+            while abs(spare) >= 1 and open_.any():  # a queue that ends leaves its share to the others
+                share = np.where(open_, self.weights, 0.0)
+                deficit += share * (spare / share.sum())
+                take[:] = np.clip(np.floor(deficit), 0, left)
+                open_ = left > take
+                spare = float((deficit - take)[~open_].sum())
+                deficit = np.where(open_, deficit, take)
             while (short := cap - int(take.sum())) > 0:  # the next round: an id more of the queues that are owed most
                 open_ = np.flatnonzero(left > take)
                 first = open_[np.argsort(take[open_] - deficit[open_], kind="stable")][:short]
