@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .rank import minmax, pareto_counts, share, top_k
+from .prefix import running, values_at
+from .rank import minmax, minmax_of_all, pareto_counts, share, top_k
+from .rollup import roll_up
 
 LEVELS = ("level1", "level2", "level3")
 
@@ -42,10 +44,11 @@ def nearest_ancestor(dim: DataFrame) -> DataFrame:
 
 
 def category_basic(goods: DataFrame, dim: DataFrame) -> DataFrame:
-    return explode_levels(goods, dim).groupBy("level_no", "node", "path").agg(
-        F.count_distinct("goods").alias("goods_count"), F.count_if(F.col("sale_status") == 0).alias("off_shelf"), F.count_if((F.col("stock") == 0) & (F.col("sale_status") == 4)).alias("out_of_stock"),
-        F.count_distinct("brand").alias("brands"), F.min("price").alias("min_price"), F.max("price").alias("max_price"),
-    )
+    counted = lambda c: ("sum", F.coalesce(c.cast("long"), F.lit(0)))
+    measures = {"off_shelf": counted(F.col("sale_status") == 0), "out_of_stock": counted((F.col("stock") == 0) & (F.col("sale_status") == 4)), "min_price": ("min", F.col("price")), "max_price": ("max", F.col("price"))}
+    nodes = roll_up(goods, dim, {}, "goods", measures, {"goods_count": None})
+    brands = explode_levels(goods.select("category", "brand").distinct(), dim).groupBy(F.col("level_no").alias("_l"), F.col("path").alias("_p")).agg(F.count_distinct("brand").alias("brands"))
+    return nodes.join(brands, (F.col("level_no") == F.col("_l")) & (F.col("path") == F.col("_p"))).select("level_no", "node", "path", "goods_count", "off_shelf", "out_of_stock", "brands", "min_price", "max_price")
 
 
 def category_brand(goods: DataFrame, dim: DataFrame) -> DataFrame:
@@ -60,13 +63,13 @@ def _month(ts: str = "sale_time") -> Column:
 
 
 def category_monthly_sales(orders: DataFrame, dim: DataFrame) -> DataFrame:
-    rows = explode_levels(orders, dim)
-    return rows.groupBy("level_no", "node", _month()).agg(F.sum("amount").alias("sales"), F.sum("qty").alias("units"), F.count_distinct("goods").alias("goods_sold"))
+    return roll_up(orders, dim, {"month": _month()}, "goods", {"sales": ("sum", F.col("amount")), "units": ("sum", F.col("qty"))}, {"goods_sold": None}).drop("path")
 
 
 def category_sell_through(orders: DataFrame, goods: DataFrame, dim: DataFrame) -> DataFrame:
     """level_no, node, month: goods sold, and goods that make 50 % and 80 % of sales, over goods on sale; 0 without sales."""
-    sold = explode_levels(orders, dim).groupBy("level_no", "node", _month(), "goods").agg(F.sum("amount").alias("amount"))
+    leaf = orders.groupBy("category", _month(), "goods").agg(F.sum("amount").alias("amount"))
+    sold = explode_levels(leaf, dim).groupBy("level_no", "node", "month", "goods").agg(F.sum("amount").alias("amount"))
     key = ["level_no", "node", "month"]
     counts = pareto_counts(sold, key, "goods", "amount", {"n50": 0.5, "n80": 0.8}).withColumnRenamed("all_items", "sold")
     valid = explode_levels(goods.where("sale_status = 4"), dim).groupBy("level_no", "node").agg(F.count_distinct("goods").alias("valid"))
@@ -77,15 +80,15 @@ def category_sell_through(orders: DataFrame, goods: DataFrame, dim: DataFrame) -
 
 
 def category_hotcakes(orders: DataFrame, dim: DataFrame, k: int = 20) -> DataFrame:
-    sold = explode_levels(orders, dim).groupBy("level_no", "node", _month(), "goods").agg(F.sum("qty").alias("units"))
+    leaf = orders.groupBy("category", _month(), "goods").agg(F.sum("qty").alias("units"))
+    sold = explode_levels(leaf, dim).groupBy("level_no", "node", "month", "goods").agg(F.sum("units").alias("units"))
     return top_k(sold, ["level_no", "node", "month"], [F.col("units").desc(), F.col("goods")], k)
 
 
 def category_popularity(events: DataFrame, dim: DataFrame) -> DataFrame:
     """level_no, node, month: views, viewers, buyers, their shares of the level's month and those scaled to 0..1."""
-    rows = explode_levels(events, dim)
-    viewer, buyer = (F.when(F.col("behavior") == code, F.col("member")) for code in (1000, 4000))
-    found = rows.groupBy("level_no", "node", _month("ts")).agg(F.count_if(F.col("behavior") == 1000).alias("pv"), F.count_distinct(viewer).alias("uv"), F.count_distinct(buyer).alias("buyers"))
+    viewed, bought = (F.col("behavior") == code for code in (1000, 4000))
+    found = roll_up(events, dim, {"month": _month("ts")}, "member", {"pv": ("sum", F.coalesce(viewed.cast("long"), F.lit(0)))}, {"uv": viewed, "buyers": bought}).drop("path")
     by = ["level_no", "month"]
     for c in ("pv", "uv", "buyers"):
         found = found.withColumn(f"{c}_share", F.coalesce(share(F.col(c).cast("double"), by), F.lit(0.0)))
@@ -113,7 +116,8 @@ def sales_score(orders: DataFrame, goods: DataFrame, dim: DataFrame, as_of: str,
     half = F.col("s180") / 6
     rows = rows.withColumn("per_goods", F.col("s90") / F.col("n")).withColumn("growth", F.coalesce((F.col("s90") / 3 - half) / F.nullif(half, F.lit(0.0)), F.lit(0.0)))
     a, b, c = weights
-    return rows.select("level_no", "node", (a * minmax(F.col("s90"), ["level_no"]) + b * minmax(F.col("per_goods"), []) + c * minmax(F.col("growth"), [])).alias("score"))
+    rows = minmax_of_all(rows.select("level_no", "node", "s90", "per_goods", "growth"), ["per_goods", "growth"])
+    return rows.select("level_no", "node", (a * minmax(F.col("s90"), ["level_no"]) + b * F.col("per_goods") + c * F.col("growth")).alias("score"))
 
 
 def price_distribution(goods: DataFrame, orders: DataFrame, dim: DataFrame, bins: int = 20) -> DataFrame:
@@ -128,14 +132,14 @@ def price_distribution(goods: DataFrame, orders: DataFrame, dim: DataFrame, bins
 
 def category_summary_v1(goods: DataFrame) -> DataFrame:
     """category: brands, goods, products, prices with their upper-middle one, and the shares of price thirds."""
-    w = Window.partitionBy("category")
-    third = (F.max("price").over(w) - F.min("price").over(w)) / 3
-    low = F.min("price").over(w)
-    rows = goods.withColumn("_a", low + third).withColumn("_b", low + 2 * third).withColumn("_i", F.row_number().over(w.orderBy("price", "goods")) - 1).withColumn("_n", F.count("*").over(w))
+    ends = values_at(goods, ["category"], "price", {"_low": F.lit(0), "_high": F.col("_n") - 1, "median_price": F.floor(F.col("_n") / 2)})
+    third = (F.col("_high") - F.col("_low")) / 3
+    rows = goods.join(ends.select("category", F.col("_low").alias("_l"), third.alias("_t"), "median_price"), "category")
+    cheap, dear = F.col("price") < F.col("_l") + F.col("_t"), F.col("price") >= F.col("_l") + 2 * F.col("_t")
     return rows.groupBy("category").agg(
         F.count_distinct("brand").alias("brands"), F.count_if(F.col("sale_status") == 4).alias("on_sale"), F.count_distinct("product").alias("products"),
-        F.min("price").alias("min_price"), F.max("price").alias("max_price"), F.avg("price").alias("mean_price"), F.max(F.when(F.col("_i") == F.floor(F.col("_n") / 2), F.col("price"))).alias("median_price"),
-        F.avg((F.col("price") < F.col("_a")).cast("double")).alias("low"), F.avg(((F.col("price") >= F.col("_a")) & (F.col("price") < F.col("_b"))).cast("double")).alias("mid"), F.avg((F.col("price") >= F.col("_b")).cast("double")).alias("high"),
+        F.min("price").alias("min_price"), F.max("price").alias("max_price"), F.avg("price").alias("mean_price"), F.max("median_price").alias("median_price"),
+        F.avg(cheap.cast("double")).alias("low"), F.avg((~cheap & ~dear).cast("double")).alias("mid"), F.avg(dear.cast("double")).alias("high"),
     )
 
 
@@ -153,9 +157,8 @@ def order_shape(orders: DataFrame) -> DataFrame:
     dates = orders.groupBy("category", "member").agg(F.datediff(F.max("sale_time"), F.min("sale_time")).alias("span"), F.count_distinct(F.to_date("sale_time")).alias("n")).where("n > 1")
     cycle = dates.groupBy("category").agg((F.sum("span") / F.sum(F.col("n") - 1)).alias("days_between"))
     order = orders.groupBy("category", "order_no").agg(F.sum("amount").alias("amount"), F.count("*").alias("lines")).groupBy("category").agg(F.avg("amount").alias("order_value"), F.avg("lines").alias("order_lines"))
-    w = Window.partitionBy("category")
-    sold = orders.groupBy("category", "goods").agg(F.sum("amount").alias("amount")).withColumn("_i", F.row_number().over(w.orderBy(F.col("amount").desc(), "goods"))).withColumn("_n", F.count("*").over(w))
-    top = sold.groupBy("category").agg((F.sum(F.when(F.col("_i") <= F.greatest(F.lit(1), F.floor(F.col("_n") / 10)), F.col("amount"))) / F.sum("amount")).alias("top_share"))
+    sold = running(orders.groupBy("category", "goods").agg(F.sum("amount").alias("amount")), ["category"], [F.col("amount").desc(), F.col("goods")], [])
+    top = sold.groupBy("category").agg((F.sum(F.when(F.col("_place") <= F.greatest(F.lit(1), F.floor(F.col("_count") / 10)), F.col("amount"))) / F.sum("amount")).alias("top_share"))
     return order.join(top, "category").join(cycle, "category", "left")
 
 
@@ -184,10 +187,9 @@ def activity(orders: DataFrame, goods: DataFrame, as_of: str) -> DataFrame:
 
 def decile_shares(orders: DataFrame) -> DataFrame:
     """category: prices' ends, and the shares of sales of the top 10 and 20 per cent of its goods, one at least."""
-    w = Window.partitionBy("category")
     sold = orders.groupBy("category", "goods").agg(F.sum("amount").alias("amount"), F.min("price").alias("low"), F.max("price").alias("high"))
-    ranked = sold.withColumn("i", F.row_number().over(w.orderBy(F.col("amount").desc(), "goods"))).withColumn("n", F.count("*").over(w))
-    top = lambda k: F.sum(F.when(F.col("i") <= F.greatest(F.lit(1), F.floor(k * F.col("n") / 10)), F.col("amount"))) / F.sum("amount")
+    ranked = running(sold, ["category"], [F.col("amount").desc(), F.col("goods")], [])
+    top = lambda k: F.sum(F.when(F.col("_place") <= F.greatest(F.lit(1), F.floor(k * F.col("_count") / 10)), F.col("amount"))) / F.sum("amount")
     return ranked.groupBy("category").agg(F.min("low").alias("min_price"), F.max("high").alias("max_price"), top(1).alias("top10"), top(2).alias("top20"))
 
 

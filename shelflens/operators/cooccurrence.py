@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .nearest import most_pairs, pruned_cosine
 from .rank import top_k
 
+#: Pairs beyond which a self-join on common users or terms gives way to the pruned join, whose lists are the same.
+PLAIN_PAIRS = 200_000_000
+
 
 def cooccurrence(left: DataFrame, right: DataFrame, session: list[str], item: str) -> DataFrame:
     """a, b, pairs: sessions that hold a on the left and another item b on the right."""
@@ -70,6 +74,9 @@ def implicit_ratings(events: DataFrame, as_of: str, decay: float = 0.75, least:
 
 def item_cosine(ratings: DataFrame, k: int = 10, least: float = 1e-6) -> DataFrame:
     """goods, other, score, rank: cosine of the goods' rating columns, through the users that rated both."""
+    if most_pairs(ratings, "member") > PLAIN_PAIRS:
+        vectors = ratings.select(F.col("goods").alias("id"), F.col("member").alias("dim"), F.col("rating").alias("w"))
+        return pruned_cosine(vectors, k, least).withColumnRenamed("id", "goods")
     norm = ratings.groupBy("goods").agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm"))
     scaled = ratings.join(norm, "goods").select("member", "goods", (F.col("rating") / F.col("norm")).alias("w"))
     a, b = scaled.toDF("member", "a", "wa"), scaled.toDF("member", "b", "wb")

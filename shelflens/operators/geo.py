@@ -5,22 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.text import in_polygon
+from .intervals import points_in_areas as points_in_polygons
 from .rank import share, top_k
 
 
-def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float = 100.0) -> DataFrame:
-    """id, zone of every point (id, x, y) in or on the edge of a polygon (zone, ring of (x, y)).
-
-    A polygon's bounding box is laid out as grid cells; points meet it in their own cell, and the exact test follows.
-    """
-    at = lambda c: F.floor(c / cell)
-    xs, ys = F.transform("ring", lambda p: p["x"]), F.transform("ring", lambda p: p["y"])
-    cells = polygons.withColumn("cx", F.explode(F.sequence(at(F.array_min(xs)), at(F.array_max(xs))))).withColumn("cy", F.explode(F.sequence(at(F.array_min(ys)), at(F.array_max(ys)))))
-    rows = points.withColumn("cx", at(F.col("x"))).withColumn("cy", at(F.col("y"))).join(cells, ["cx", "cy"])
-    return rows.where(in_polygon(F.col("x"), F.col("y"), F.col("ring"))).select("id", "zone")
-
-
 def diamonds(zones: DataFrame) -> DataFrame:
     """zone and ring of the square on its corner with centre (cx, cy) and half-diagonal r."""
     corner = lambda x, y: F.struct(x.alias("x"), y.alias("y"))

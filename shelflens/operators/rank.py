@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .prefix import running, values_at
+
 
 def top_k(df: DataFrame, by: list[str], order: list[Column], k: int, rank: str = "rank") -> DataFrame:
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(rank) <= k)
@@ -22,10 +24,8 @@ def share(value: Column, by: list[str]) -> Column:
 
 def pareto_counts(df: DataFrame, by: list[str], item: str, value: str, parts: dict[str, float]) -> DataFrame:
     """How many of a group's items, largest first, reach each part of its sum, the one that crosses it included; and all_items."""
-    w = Window.partitionBy(*by)
-    before = F.coalesce(F.sum(value).over(w.orderBy(F.col(value).desc(), item).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    marked = df.select(*by, before.alias("_before"), F.sum(value).over(w).alias("_sum"))
-    return marked.groupBy(*by).agg(*[F.count_if(F.col("_before") < F.lit(p) * F.col("_sum")).alias(n) for n, p in parts.items()], F.count("*").alias("all_items"))
+    marked = running(df.select(*by, item, F.col(value).alias("_value")), by, [F.col("_value").desc(), F.col(item)], ["_value"])
+    return marked.groupBy(*by).agg(*[F.count_if(F.col("_before__value") < F.lit(p) * F.col("_all__value")).alias(n) for n, p in parts.items()], F.count("*").alias("all_items"))
 
 
 def pareto_count(df: DataFrame, by: list[str], item: str, value: str, part: float) -> DataFrame:
@@ -34,12 +34,17 @@ def pareto_count(df: DataFrame, by: list[str], item: str, value: str, part: floa
 
 def dense_rank_desc(df: DataFrame, value: str, rank: str = "rank") -> DataFrame:
     """0 for the largest value of the whole table. The distinct values are ranked, not the rows."""
-    levels = df.select(value).distinct().withColumn(rank, F.dense_rank().over(Window.orderBy(F.col(value).desc())) - 1)
-    return df.join(levels, value)
+    levels = running(df.select(value).distinct(), [], [F.col(value).desc()], [])
+    return df.join(levels.select(value, (F.col("_place") - 1).cast("int").alias(rank)), value)
 
 
 def positional_quantile(df: DataFrame, by: list[str], value: str, tenths: list[int]) -> DataFrame:
     """The values at the 0-based positions floor(n * k / 10) of a group's sorted values, without interpolation."""
-    w = Window.partitionBy(*by)
-    at = df.withColumn("_i", F.row_number().over(w.orderBy(value)) - 1).withColumn("_n", F.count("*").over(w))
-    return at.groupBy(*by).agg(*[F.max(F.when(F.col("_i") == F.floor(F.col("_n") * k / 10), F.col(value))).alias(f"q{k}") for k in tenths])
+    return values_at(df, by, value, {f"q{k}": F.floor(F.col("_n") * k / 10) for k in tenths})
+
+
+def minmax_of_all(df: DataFrame, columns: list[str]) -> DataFrame:
+    """`df` with the columns scaled to 0..1 over the whole table, as minmax does; their ends are one row."""
+    ends = df.agg(*[x for c in columns for x in (F.min(c).alias(f"_low_{c}"), F.max(c).alias(f"_high_{c}"))])
+    scaled = {c: F.coalesce((F.col(c) - F.col(f"_low_{c}")) / F.nullif(F.col(f"_high_{c}") - F.col(f"_low_{c}"), F.lit(0.0)), F.lit(0.0)) for c in columns}
+    return df.join(F.broadcast(ends)).select(*[scaled[c].alias(c) if c in scaled else F.col(c) for c in df.columns])

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import characters, jaccard, words
+from ..functions.text import characters, words
+from .nearest import best_set_matches
 from .rank import minmax, top_k
 
 
@@ -72,12 +73,9 @@ def similar_terms(terms: DataFrame, categories: int = 3, per_category: int = 20,
 
 
 def match_categories(own: DataFrame, other: DataFrame, name: str = "name") -> DataFrame:
-    """own, other, score: for each own name the other one whose characters agree best, through shared characters."""
-    a = own.select(F.col(name).alias("own")).distinct()
-    b = other.select(F.col(name).alias("other")).distinct()
-    shared = a.select("own", F.explode(characters(F.col("own"))).alias("c")).join(b.select("other", F.explode(characters(F.col("other"))).alias("c")), "c").select("own", "other").distinct()
-    scored = shared.withColumn("score", jaccard(F.col("own"), F.col("other")))
-    return top_k(scored, ["own"], [F.round("score", 9).desc(), F.col("other")], 1).drop("rank")
+    """own, other, score: for each own name the other one whose characters agree best."""
+    named = lambda df: df.select(F.col(name).alias("id")).distinct().withColumn("characters", characters(F.col("id")))
+    return best_set_matches(named(own), named(other), "characters")
 
 
 def brand_gap(own: DataFrame, other: DataFrame, by: str, brand: str = "brand", least: int = 2) -> DataFrame:
@@ -131,10 +129,10 @@ def back_categories(scores: DataFrame, search_category: str = "level1", k: int =
     return n.groupBy(search_category).agg(F.expr("listagg(category, '#') WITHIN GROUP (ORDER BY n DESC, category)").alias("items"))
 
 
-def _to_hundred(score: Column) -> Column:
-    """Of the greatest score; 0 if that is 0."""
-    most = F.max(score).over(Window.partitionBy())  # over a row for each brand of a level, or each child of a parent
-    return F.when(most > 0, 100 * score / most).otherwise(0.0)
+def _to_hundred(rows: DataFrame) -> DataFrame:
+    """`rows` with `raw` as `score`, the greatest one 100; 0 if that is 0."""
+    most = rows.agg(F.max("raw").alias("_most"))  # one row
+    return rows.join(F.broadcast(most)).withColumn("score", F.when(F.col("_most") > 0, 100 * F.col("raw") / F.col("_most")).otherwise(0.0)).drop("raw", "_most")
 
 
 def _path_score(rows: DataFrame, path: list[str], by: list[str]) -> DataFrame:
@@ -149,13 +147,13 @@ def brand_level_scores(metrics: DataFrame, goods: DataFrame, levels: tuple[str,
     total = parts[0]
     for part in parts[1:]:
         total = total.unionByName(part)
-    return total.groupBy("brand").agg(F.sum("raw").alias("raw")).select("brand", _to_hundred(F.col("raw")).alias("score"))
+    return _to_hundred(total.groupBy("brand").agg(F.sum("raw").alias("raw")))
 
 
 def child_scores(metrics: DataFrame, goods: DataFrame, parent: str = "level1", child: str = "level2") -> DataFrame:
     """parent, child, score: the same of the categories below a parent, the best of all 100."""
     rows = metrics.select("goods", "sales7", "sales30").join(goods.select("goods", parent, child), "goods")
-    return _path_score(rows, [parent], [child]).select(parent, child, _to_hundred(F.col("raw")).alias("score"))
+    return _to_hundred(_path_score(rows, [parent], [child]).select(parent, child, "raw"))
 
 
 def term_categories(terms: DataFrame) -> DataFrame:

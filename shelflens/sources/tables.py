@@ -138,4 +138,6 @@ def merge_maps(earlier: DataFrame, later: DataFrame, key: str, column: str) -> D
 
 def band_join(rows: DataFrame, bands: DataFrame, key: str, value: str) -> DataFrame:
     """Each row with the bands (key, low, high) of its key that hold its value, the upper end left out."""
-    return rows.join(bands, key).where((F.col(value) >= F.col("low")) & (F.col(value) < F.col("high")))
+    from ..operators.intervals import interval_join
+
+    return interval_join(rows, bands, [key], value)

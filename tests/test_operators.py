@@ -37,7 +37,7 @@ def test_jaccard_of_characters(spark):
 def test_polygons_include_their_edges(spark):
     ring = spark.sql("SELECT 1 AS zone, array(struct(0D AS x, 0D AS y), struct(4D AS x, 0D AS y), struct(4D AS x, 4D AS y), struct(0D AS x, 4D AS y)) AS ring")
     points = spark.createDataFrame([(1, 2.0, 2.0), (2, 0.0, 1.0), (3, 4.0, 4.0), (4, 5.0, 2.0), (5, -1.0, 0.0)], "id long, x double, y double")
-    assert sorted(r["id"] for r in geo.points_in_polygons(points, ring, 3.0).collect()) == [1, 2, 3]
+    assert sorted(r["id"] for r in geo.points_in_polygons(points, ring).collect()) == [1, 2, 3]
     assert points.crossJoin(ring).where(in_polygon(F.col("x"), F.col("y"), F.col("ring"))).count() == 3
 
 
