@@ -110,6 +110,32 @@ def reviewed_search_score(metrics: DataFrame, weights: dict[str, float] | None =
     return goods_search_score(metrics, weights or GOODS_WEIGHTS | REVIEW_WEIGHTS, by)
 
 
+#: Points of each metric by the length of its window: what is listed over 30 days, then over 7. Fixed values.
+WINDOW_WEIGHTS = {
+    "units30": 15.0, "sales30": 15.0, "pv30": 5.0, "uv30": 15.0, "reviews30": 5.0, "review_score30": 5.0, "review_ratio30": 5.0,
+    "units7": 7.5, "sales7": 7.5, "pv7": 2.5, "uv7": 7.5, "reviews7": 2.5, "review_score7": 2.5, "review_ratio7": 5.0,
+}
+#: The same of the variant with conversion. Fixed values.
+CONVERSION_WINDOW_WEIGHTS = {
+    "sales30": 20.0, "pv30": 4.0, "uv30": 14.0, "reviews30": 4.0, "review_score30": 10.0, "conversion": 15.0, "fill_rate": 2.0,
+    "sales7": 15.0, "pv7": 2.0, "uv7": 6.0, "reviews7": 2.0, "review_score7": 10.0,
+}
+
+
+def window_visits(events: DataFrame, as_of: str, days: tuple[int, ...] = (7, 30)) -> DataFrame:
+    """goods, and pv and uv over each number of days up to `as_of`."""
+    age = F.datediff(F.lit(as_of).cast("date"), F.to_date("ts"))
+    views = events.where((F.col("behavior") == 1000) & age.between(0, max(days) - 1)).groupBy("goods", "member").agg(*[F.count_if(age < n).alias(f"v{n}") for n in days])
+    return views.groupBy("goods").agg(*[x for n in days for x in (F.sum(f"v{n}").alias(f"pv{n}"), F.count_if(F.col(f"v{n}") > 0).alias(f"uv{n}"))])
+
+
+def window_score(metrics: DataFrame, weights: dict[str, float], by: tuple[str, ...] = ("level1", "channel")) -> DataFrame:
+    """goods, score: each metric of `weights` scaled within its group, times its points; a missing metric is 0."""
+    values = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in weights]
+    total = sum((w * minmax(F.col(c), list(by)) for c, w in weights.items()), F.lit(0.0))
+    return metrics.select("goods", *by, *values).select("goods", total.alias("score"))
+
+
 def to_channels(scores: DataFrame, channels: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
     """goods, channel, score: scores summed over channels, once for each channel."""
     return scores.groupBy("goods").agg(F.sum("score").alias("score")).select("goods", F.explode(F.array(*map(F.lit, channels))).alias("channel"), "score")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.rank import top_k
+
 
 def pane_counts(stream: DataFrame, ts: str, key: str, slide: int = 4, late: str = "10 minutes") -> DataFrame:
     """key, pane (its start, in seconds), n of every pane that has ended before the watermark: a row for each pane and key with events."""
@@ -24,3 +26,8 @@ def sliding_counts(panes: DataFrame, key: str, size: int = 3600, slide: int = 4)
     w = Window.partitionBy(key).orderBy("first_end")
     rows = changes.withColumn("n", F.sum("change").over(w.rowsBetween(Window.unboundedPreceding, 0))).withColumn("last_end", F.lead("first_end").over(w) - slide)
     return rows.where("n > 0").select(key, "first_end", "last_end", "n")
+
+
+def busiest(windows: DataFrame, key: str, k: int) -> DataFrame:
+    """key, first_end, n, rank of a key's `k` fullest windows; of windows in a row that hold the same events the first."""
+    return top_k(windows, [key], [F.col("n").desc(), F.col("first_end")], k).select(key, "first_end", "n", "rank")

@@ -57,3 +57,14 @@ def observed(stream: DataFrame, **counts: Column) -> DataFrame:
     for name, condition in counts.items():
         stream = stream.observe(name, F.count_if(condition).alias(name))
     return stream
+
+
+def counted(counts: DataFrame, path: str) -> tuple[DataFrame, str]:
+    """Runs a stream of running counts over what is there now, from its checkpoint under `path` on; all counts, and the id of the run."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/counts")
+
+    query = counts.writeStream.outputMode("complete").option("checkpointLocation", f"{path}/checkpoint").foreachBatch(write).trigger(availableNow=True).start()
+    query.awaitTermination()
+    return counts.sparkSession.read.schema(counts.schema).parquet(f"{path}/counts"), str(query.runId)

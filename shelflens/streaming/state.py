@@ -62,6 +62,15 @@ def view_state(views: DataFrame, lifetime_seconds: int, late: str = "1 minute")
     return timed.groupBy("member", "goods").transformWithState(LastViews(1000 * lifetime_seconds), VIEW_STATE, "Update", "EventTime")
 
 
+def view_records(routed: DataFrame, cookies: DataFrame) -> DataFrame:
+    """key (channel_member_date), record: the message of each view whose member is known: on the web by its cookie."""
+    rows = routed.where("route = 'view'").join(cookies.select(F.col("cookie").alias("cookieId"), F.col("member").alias("_known")), "cookieId", "left")
+    channel = F.lower("channel")
+    member = F.when(channel == "pc", F.col("_known")).otherwise(F.col("memberId"))
+    known = channel.isin("pc", "app", "h5") & (member != "") & (F.lower(member) != "null")
+    return rows.where(known).select(F.concat_ws("_", channel, member, F.col("eventDate").cast("string")).alias("key"), F.col("value").alias("record"))
+
+
 @contextmanager
 def _rocksdb(spark: SparkSession) -> Iterator[None]:
     name = "spark.sql.streaming.stateStore.providerClass"
