@@ -42,6 +42,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
+    """128 bits of a row's id and text: rows of one id but other texts, or without an id, are told apart. A null differs from any value."""
+    told = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in (doc_id, text)]
+    return F.unhex(F.md5(F.concat(told[0], F.lit(" "), told[1])))
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null counts as empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PUNCTUATION, Memo, hashes, pieces, save
+from .common import hashes, Memo, pieces, PUNCTUATION, row_key, save, tucked
 
 FILTER_BITS = 1 << 26  #: 8 MB, whatever the benchmark's size
 _ODD = np.random.default_rng(5).integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -94,7 +94,7 @@ def _regions(p: Params, packed, reach: int):
         memo, bits = Memo(token_hash), np.frombuffer(packed.value, np.uint8)
         for batch, texts in pieces(batches):
             rows: list[tuple] = []
-            for doc, text in zip(batch["doc_id"].to_pylist(), texts, strict=True):
+            for doc, row, text in zip(batch["doc_id"].to_pylist(), batch["row"].to_pylist(), texts, strict=True):
                 tokens = hashes(text.split(), memo)
                 h, at = mask_hashes(tokens, p.masks)
                 a, b = _bits(h)
@@ -106,9 +106,9 @@ def _regions(p: Params, packed, reach: int):
                 where = at[hit]
                 for part in np.split(np.arange(len(hit)), np.flatnonzero(np.diff(where) > 2 * reach) + 1):
                     start, end = max(int(where[part[0]]) - reach, 0), int(where[part[-1]]) + reach + 16
-                    rows.append((doc, start, tokens[start:end].tobytes(), h[hit[part]].view(np.int64), where[part] - start))
-            types = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["doc_id", "start", "region", "hash", "at"])
+                    rows.append((doc, row, start, tokens[start:end].tobytes(), h[hit[part]].view(np.int64), where[part] - start))
+            types = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], ["doc_id", "row", "start", "region", "hash", "at"])
 
     return run
 
@@ -139,22 +139,23 @@ def _verify(p: Params):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for doc_id, start, region, item_id, tokens, diagonal in zip(*(batch[c].to_pylist() for c in ("doc_id", "start", "region", "item_id", "tokens", "diagonal")), strict=True):
+            for row, doc_id, start, region, item_id, tokens, diagonal in zip(*(batch[c].to_pylist() for c in ("row", "doc_id", "start", "region", "item_id", "tokens", "diagonal")), strict=True):
                 item = np.frombuffer(tokens, np.uint64)
                 at, n, same = overlap(np.frombuffer(region, np.uint64), item, diagonal, p)
                 if n >= min(p.least, len(item)):
-                    rows.append((doc_id, item_id, start + at, n, same))
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(5)], ["doc_id", "item_id", "start", "tokens", "equal"])
+                    rows.append((row, doc_id, item_id, start + at, n, same))
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64() if i else pa.binary()) for i in range(6)], ["row", "doc_id", "item_id", "start", "tokens", "equal"])
 
     return run
 
 
 def contaminated_spans(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
-    """doc_id, item_id, start, tokens, equal of the overlaps that count, written to the shared folder.
+    """row, doc_id, item_id, start, tokens, equal of the overlaps that count, written to the shared folder; `row` is the row_key of the document.
 
     Tokens are words, lower-cased and without punctuation at their ends. Of benchmark rows with the same tokens the
     smallest item_id stands for all. Null and empty texts, and items too short for every mask, have no overlap. Rows
-    that repeat a doc_id share its overlaps; a null doc_id is a value like any other.
+    that repeat a doc_id, or have none, have each their own overlaps; rows equal in id and text share them. Texts of any
+    length are read whole.
     """
     spark = docs.sparkSession
     items = benchmark.select("item_id", "text").mapInArrow(_items(p), "item_id long, tokens binary, hash array<long>, at array<long>")
@@ -162,23 +163,24 @@ def contaminated_spans(docs: DataFrame, benchmark: DataFrame, p: Params = Params
     pairs = save(items.select("key", F.explode(F.arrays_zip("hash", "at")).alias("z")).select("key", "z.hash", "z.at"), "bench-hashes")
     reach = items.agg(F.max(F.octet_length("tokens") / 8).alias("n")).first()["n"]
     packed = spark.sparkContext.broadcast(_filter(pairs).tobytes())
-    regions = docs.select("doc_id", "text").mapInArrow(_regions(p, packed, int(reach or 1)), "doc_id long, start long, region binary, hash array<long>, at array<long>")
-    regions = save(regions.withColumn("rkey", F.xxhash64("doc_id", "start", "region")), "bench-regions")
+    regions = docs.select("doc_id", "text", row_key().alias("row")).mapInArrow(_regions(p, packed, int(reach or 1)), "doc_id long, row binary, start long, region binary, hash array<long>, at array<long>")
+    regions = save(regions.withColumn("rkey", F.xxhash64("row", "start", "region")), "bench-regions")
     hits = regions.select("rkey", F.explode(F.arrays_zip("hash", "at")).alias("z")).select("rkey", "z.hash", F.col("z.at").alias("doc_at"))
     lines = hits.join(pairs, "hash").select("rkey", "key", (F.col("doc_at") - F.col("at")).alias("diagonal")).distinct()
-    whole = lines.join(items.select("key", "item_id", "tokens"), "key").join(regions.select("rkey", "doc_id", "start", "region"), "rkey")
-    return save(whole.mapInArrow(_verify(p), "doc_id long, item_id long, start long, tokens long, equal long").distinct(), "bench-spans")
+    whole = lines.join(items.select("key", "item_id", "tokens"), "key").join(regions.select("rkey", "row", "doc_id", "start", "region"), "rkey")
+    return save(whole.mapInArrow(_verify(p), "row binary, doc_id long, item_id long, start long, tokens long, equal long").distinct(), "bench-spans")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
-    """The rows of `docs`, all columns kept, without an overlap that counts."""
-    found = save(contaminated_spans(docs, benchmark, p).select(F.col("doc_id").alias("_leak")).distinct(), "bench-docs")
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["_leak"]), "left_anti")
+    """The rows of `docs`, all columns kept, without an overlap that counts. A clean row stays whatever other rows have its doc_id, or none as well."""
+    found = save(contaminated_spans(docs, benchmark, p).select(F.col("row").alias("_leak")).distinct(), "bench-docs")
+    inner, at, back = tucked(docs)
+    return inner.withColumn("_row", row_key(at["doc_id"], at["text"])).join(found, F.col("_row") == F.col("_leak"), "left_anti").select(*back)
 
 
 def op5_spaced_seeds(docs: DataFrame, benchmark: DataFrame, p: Params = Params()) -> DataFrame:
-    """Every doc_id with contaminated (0, 1), its number of overlaps and the item, length and equal tokens of the longest."""
+    """Every row's doc_id with contaminated (0, 1), its number of overlaps and the item, length and equal tokens of the longest."""
     spans = contaminated_spans(docs, benchmark, p)
-    best = spans.groupBy(F.col("doc_id").alias("_d")).agg(F.count("*").alias("n"), F.max(F.struct("equal", "tokens", (-F.col("item_id")).alias("i"))).alias("m"))
-    out = docs.select("doc_id").join(best, F.col("doc_id").eqNullSafe(F.col("_d")), "left")
+    best = spans.groupBy(F.col("row").alias("_d")).agg(F.count("*").alias("n"), F.max(F.struct("equal", "tokens", (-F.col("item_id")).alias("i"))).alias("m"))
+    out = docs.select("doc_id", row_key().alias("row")).join(best, F.col("row") == F.col("_d"), "left")
     return out.select("doc_id", F.col("n").isNotNull().cast("int").alias("contaminated"), F.coalesce("n", F.lit(0)).alias("overlaps"), (-F.col("m.i")).alias("item_id"), F.col("m.tokens").alias("tokens"), F.col("m.equal").alias("equal"))

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, save, slices, text_bytes
+from .common import pieces, row_key, save, slices, text_bytes, tucked
 from .components import connected_components
 
 SHINGLE, SEED, BITS = 4, 42, 64
@@ -49,15 +49,16 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(found), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the fingerprint's bits as a signed long) of every row; null texts count as empty."""
+def fingerprints(docs: DataFrame, size: int = SHINGLE, kept: str = "doc_id long") -> DataFrame:
+    """The columns `kept` and fp (the fingerprint's bits as a signed long) of every row; null texts count as empty."""
+    names = [c.split()[0] for c in kept.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches):
             fp = np.array([fingerprint(x, size) for x in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fp, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in names], pa.array(fp, pa.int64())], [*names, "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(*names, "text").mapInArrow(run, f"{kept}, fp long")
 
 
 def block_keys(fp: Column, blocks: int, agree: int) -> Column:
@@ -89,28 +90,45 @@ def forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return links
 
 
-def nearest_forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Of the links of at most `distance` bits a minimum spanning forest: whatever they join, by the closest ones."""
+def nearest_forest(fps: np.ndarray, distance: int, groups: np.ndarray | None = None, failed: list | None = None) -> list[tuple[int, int]]:
+    """Of the links of at most `distance` bits a minimum spanning forest: whatever they join, by the closest ones.
+
+    Nodes of one group are joined already, by no link; of each node the partners in `failed` are no link.
+    """
     links: list[tuple[int, int]] = []
+    at = np.arange(len(fps))
     if len(fps) <= 1024:  # most groups have no link at all
         close = np.bitwise_count((fps[:, None] ^ fps).view(np.uint64)) <= distance
-        fps = fps[close.sum(1) > 1]
-    while len(fps) > 1:
-        node, rest = fps[0], fps[1:]
-        best, source = np.bitwise_count((rest ^ node).view(np.uint64)), np.full(len(rest), node)
+        at = at[close.sum(1) > 1]
+
+    def bits(node: int, rest: np.ndarray) -> np.ndarray:
+        out = np.bitwise_count((fps[rest] ^ fps[node]).view(np.uint64)).astype(np.int16)
+        if failed is not None and failed[node]:
+            out[np.isin(fps[rest], failed[node])] = BITS + 1
+        if groups is not None:
+            out[groups[rest] == groups[node]] = -1
+        return out
+
+    while len(at) > 1:
+        node, rest = int(at[0]), at[1:]
+        best, source = bits(node, rest), np.full(len(rest), node)
         while len(rest) and best[i := int(best.argmin())] <= distance:
-            node = rest[i]
-            links.append((int(source[i]), int(node)))
+            node = int(rest[i])
+            if best[i] >= 0:
+                links.append((int(fps[source[i]]), int(fps[node])))
             rest, best, source = (np.delete(x, i) for x in (rest, best, source))
-            d = np.bitwise_count((rest ^ node).view(np.uint64))
+            d = bits(node, rest)
             closer = d < best
             best, source = np.where(closer, d, best), np.where(closer, node, source)
-        fps = rest
+        at = rest
     return links
 
 
 def _link(distance: int, most: int | None, joined=forest):
-    """Over rows sorted by key: links (a, b), and (a, null) for each fingerprint of a key with more than `most`."""
+    """Over rows sorted by key: links (a, b), and (a, null) for each fingerprint of a key with more than `most`.
+
+    Rows may have the columns group and failed, which `joined` then takes as well.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, kept, size, over = None, [], 0, False
@@ -118,12 +136,16 @@ def _link(distance: int, most: int | None, joined=forest):
         def close() -> list[tuple[int, int | None]]:
             if size < 2 or over:
                 return []
-            return joined(np.concatenate(kept), distance)
+            fps = np.concatenate([x[0] for x in kept])
+            if kept[0][1] is None:
+                return joined(fps, distance)
+            return joined(fps, distance, np.concatenate([x[1] for x in kept]), [f for x in kept for f in x[2].to_pylist()])
 
         for batch in batches:
             keys, fps = batch["key"].to_numpy(), batch["fp"].to_numpy()
             if not len(keys):
                 continue
+            groups = batch["group"].to_numpy() if "group" in batch.schema.names else None
             edge = np.flatnonzero(np.diff(keys)) + 1
             starts, ends = np.concatenate(([0], edge)), np.concatenate((edge, [len(keys)]))
             out: list[tuple[int, int | None]] = []
@@ -134,10 +156,10 @@ def _link(distance: int, most: int | None, joined=forest):
                     key, kept, size, over = keys[a], [], 0, False
                 part = fps[a:b]
                 if most is not None and size + len(part) > most:
-                    out += [(int(x), None) for x in np.concatenate([*kept, part])]
+                    out += [(int(x), None) for x in np.concatenate([*[k[0] for k in kept], part])]
                     kept, size, over = [], size + len(part), True
                 else:
-                    kept.append(part)
+                    kept.append((part, None, None) if groups is None else (part, groups[a:b], batch["failed"].slice(a, b - a)))
                     size += len(part)
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
         out = close()
@@ -152,20 +174,21 @@ def links(fps: DataFrame, distance: int = 4, blocks: int = 6, agree: int = 2, mo
     `agree` of `blocks` sets the key's length (21 bits at 2 of 6); take more for more than some 100 million
     fingerprints. A key with more than `most` fingerprints has them dealt again by `agree2` of `blocks2` (32 bits).
     Within a key links of up to `reach` bits count (`distance` if not given); beyond `distance` some pairs share no key.
+    `fps` (fp) may have the columns group and failed: see nearest_forest.
     """
     reach = reach or distance
     if blocks - distance < agree or blocks2 - distance < agree2:
         raise ValueError("fewer blocks are sure to agree than a key takes")
 
     def keyed(df: DataFrame, blocks: int, agree: int) -> DataFrame:
-        return df.select("fp", F.explode(block_keys(F.col("fp"), blocks, agree)).alias("key")).repartition("key").sortWithinPartitions("key", "fp")
+        return df.select("*", F.explode(block_keys(F.col("fp"), blocks, agree)).alias("key")).repartition("key").sortWithinPartitions("key", "fp")
 
     first = save(keyed(fps, blocks, agree).mapInArrow(_link(reach, most, joined), "a long, b long"), "simhash-links")
     found = first.where("b is not null")
     if first.where("b is null").isEmpty():
         return found.distinct()
     over = first.where("b is null").select(F.col("a").alias("fp")).distinct()
-    second = keyed(over, blocks2, agree2).mapInArrow(_link(reach, None, joined), "a long, b long")
+    second = keyed(fps.join(over, "fp", "left_semi"), blocks2, agree2).mapInArrow(_link(reach, None, joined), "a long, b long")
     return found.unionByName(second).distinct()
 
 
@@ -196,45 +219,78 @@ def jaccard(a: bytes, b: bytes, size: int) -> float:
     return both / max(len(x) + len(y) - both, 1)
 
 
+def _verified(near: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    """a, b, ok: whether the shingle sets of the texts (fp, text) of two fingerprints have `similarity` at least."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices([batch], 200):
+                ok = [jaccard(a, b, size) >= similarity for a, b in zip(text_bytes(part["text_a"]), text_bytes(part["text_b"]), strict=True)]
+                yield pa.RecordBatch.from_arrays([part["a"], part["b"], pa.array(ok, pa.bool_())], ["a", "b", "ok"])
+
+    pairs = near.join(texts.select(F.col("fp").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("fp").alias("b"), F.col("text").alias("text_b")), "b")
+    return save(pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, ok boolean"), "simhash-verified")
+
+
+def _grouped(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """fp, group with the groups that the links join as one."""
+    named = lambda c: groups.select(F.col("fp").alias(c), F.col("group").alias(f"group_{c}"))
+    roots = connected_components(links.join(named("a"), "a").join(named("b"), "b").select(F.col("group_a").alias("a"), F.col("group_b").alias("b")))
+    return save(groups.join(roots, groups["group"] == roots["node"], "left").select("fp", F.coalesce("root", "group").alias("group")), "simhash-groups")
+
+
 def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, distance: int = 10, reach: int = 12) -> DataFrame:
-    """doc_id, fp, component_id of every row, linked by fingerprints and verified by their shingles.
+    """row, doc_id, fp, group of every row of `docs` (row, doc_id, text): rows of one group are linked by fingerprints and verified by their shingles.
 
     Fingerprints of `size`-word shingles up to `distance` bits apart meet in two of `distance` + 2 blocks (a very large
-    key in three of `distance` + 3), and nearly all up to `reach` do. The closest links that hold them together count if the shingle sets of two documents
-    with these fingerprints have `similarity` (Jaccard) at least. Equal fingerprints are one document here. Pairs
-    at 0.8 differ by 9 or 10 bits on average, so some of the least similar that would count lie further apart and aren't
-    found: about one in five at 0.8, one in twenty at 0.85. A greater `distance` and `reach` find more, with more and
-    shorter keys.
+    key in three of `distance` + 3), and nearly all up to `reach` do. The closest links that hold them together count if
+    the shingle sets of two documents with these fingerprints have `similarity` (Jaccard) at least. Where some don't,
+    the next closest links between the groups so far are tried in their place, until there is none left to try: so all
+    that verified links between fingerprints that meet would join is joined. Equal fingerprints are one document here.
+    Pairs at 0.8 differ by 9 or 10 bits on average, so some of the least similar that would count lie further apart and
+    aren't found: about one in five at 0.8, one in twenty at 0.85. A greater `distance` and `reach` find more, with more
+    and shorter keys.
     """
-
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 200):
-            ok = [jaccard(a, b, size) >= similarity for a, b in zip(text_bytes(batch["text_a"]), text_bytes(batch["text_b"]), strict=True)]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    fps = save(fingerprints(docs.select("doc_id", "text"), size), "simhash-fp")
-    near = links(fps.select("fp").distinct(), distance, distance + 2, 2, 8192, distance + 3, 3, nearest_forest, reach)
-    near = save(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-near")
+    join = lambda nodes: links(nodes, distance, distance + 2, 2, 8192, distance + 3, 3, nearest_forest, reach)
+    once = lambda near: save(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-near")
+    fps = save(fingerprints(docs, size, "row binary, doc_id long"), "simhash-fp")
+    near = once(join(fps.select("fp").distinct()))
     linked = save(near.select(F.col("a").alias("fp")).unionByName(near.select(F.col("b").alias("fp"))).distinct(), "simhash-linked")
-    # One document for each linked fingerprint: that of its smallest doc_id, and of several such rows the first text.
-    first = fps.join(linked, "fp", "left_semi").groupBy("fp").agg(F.min("doc_id").alias("doc_id"))
-    texts = docs.select(F.col("doc_id").alias("_id"), "text").join(first, F.col("_id").eqNullSafe(F.col("doc_id"))).groupBy("fp").agg(F.min("text").alias("text"))
-    texts = save(texts, "simhash-texts")
-    pairs = near.join(texts.select(F.col("fp").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("fp").alias("b"), F.col("text").alias("text_b")), "b")
-    return components(fps, save(pairs.select("a", "b", "text_a", "text_b").mapInArrow(verified, "a long, b long"), "simhash-links"))
+    first = fps.join(linked, "fp", "left_semi").groupBy("fp").agg(F.min("row").alias("row"))  # one document for each linked fingerprint
+    texts = save(docs.select("row", "text").join(first, "row").groupBy("fp").agg(F.min("text").alias("text")), "simhash-texts")
+    groups, failed = linked.withColumn("group", F.col("fp")), None
+    while not near.isEmpty():
+        told = _verified(near, texts, size, similarity)
+        groups = _grouped(groups, told.where("ok"))
+        wrong = told.where("not ok").select("a", "b")
+        failed = wrong if failed is None else failed.unionByName(wrong)
+        apart = failed.join(groups.select(F.col("fp").alias("a"), F.col("group").alias("group_a")), "a").join(groups.select(F.col("fp").alias("b"), F.col("group").alias("group_b")), "b").where("group_a <> group_b")
+        open_ = save(apart.select(F.explode(F.array("group_a", "group_b")).alias("group")).distinct(), "simhash-open")
+        if open_.isEmpty():
+            break
+        both = failed.unionByName(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        partners = both.groupBy(F.col("a").alias("fp")).agg(F.collect_list("b").alias("failed"))  # as many as were tried
+        nodes = groups.join(open_, "group", "left_semi").join(partners, "fp", "left")
+        near = once(join(save(nodes.select("fp", "group", F.coalesce("failed", F.array().cast("array<bigint>")).alias("failed")), "simhash-nodes")))
+    rows = fps.join(groups, "fp", "left")
+    return rows.select("row", "doc_id", "fp", F.coalesce("group", "fp").alias("group"))
 
 
 def keep_one(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """The rows of `docs`, all columns kept, of which one stays for each group of `similar` ones: that of its smallest doc_id.
 
-    Rows that repeat that doc_id and its text are one as well; rows without a doc_id all stay.
+    Rows are told apart by id and text, so a row goes for its own text alone, whatever else has its doc_id. A row
+    without a doc_id stays if its group has none with one. Of rows equal in id and text one stays. Null and empty texts
+    are alike. Texts of any length are read whole. An empty table stays empty.
     """
-    found = similar(docs, similarity=similarity)
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    gone = save(found.where("doc_id <> component_id").select("doc_id").distinct(), "simhash-gone")
-    kept = docs.join(gone, "doc_id", "left_anti").select(*columns)
-    again = save(docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").select("doc_id"), "simhash-again")
+    found = save(similar(docs.select("doc_id", "text", row_key().alias("row")), similarity=similarity), "simhash-rows")
+    firsts = found.groupBy("group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first"), F.count("*").alias("n")).where("n > 1").select("group", F.col("first.row").alias("first"))
+    gone = save(found.join(firsts, "group").where("row <> first").select(F.col("row").alias("_gone")).distinct(), "simhash-gone")
+    again = save(found.groupBy("row").count().where("count > 1").select(F.col("row").alias("_again")), "simhash-again")
+    inner, at, back = tucked(docs)
+    keyed = inner.withColumn("_row", row_key(at["doc_id"], at["text"]))
+    kept = keyed.join(gone, F.col("_row") == F.col("_gone"), "left_anti")
     if again.isEmpty():
-        return kept
-    twice = kept.join(again, "doc_id", "left_semi").select(*columns)
-    return kept.join(again, "doc_id", "left_anti").select(*columns).unionByName(twice.dropDuplicates(["doc_id", "text"]))
+        return kept.select(*back)
+    twice = kept.join(again, F.col("_row") == F.col("_again"), "left_semi").dropDuplicates(["_row"])
+    return kept.join(again, F.col("_row") == F.col("_again"), "left_anti").unionByName(twice).select(*back)

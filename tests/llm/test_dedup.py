@@ -6,7 +6,7 @@ from collections import Counter
 import brute
 import numpy as np
 import pyarrow as pa
-from shelflens.llm import blockdedup, bytededup, simhash
+from shelflens.llm import blockdedup, bytededup, decontamination, simhash
 from shelflens.llm.common import sliding_argmin
 
 
@@ -59,6 +59,101 @@ def test_near_copies_of_five_word_shingles(spark):
     assert all(d in kept for d in far) and all(10 * i in kept and 10 * i + 2 in kept for i in range(120))
 
 
+def _families(rng, count, size, words=(40, 90)):
+    """Texts in families of near copies, most of them around the similarity that counts."""
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8)))
+    rows = []
+    for f in range(count):
+        base = [word() for _ in range(rng.randint(*words))]
+        for m in range(size):
+            text = list(base)
+            for at in rng.sample(range(len(text)), rng.randint(0, 2)):
+                text[at] = word()
+            rows.append((10 * f + m, " ".join(text)))
+    return rows
+
+
+def test_families_keep_all_links_that_pass(spark):
+    """Where the closest link of two groups fails, a farther one that passes still joins them: equal to all pairs."""
+    rows = _families(random.Random(3), 150, 6)
+    prints = {d: simhash.fingerprint(t.encode(), 5) for d, t in rows}
+    texts = {d: t.encode() for d, t in rows}
+
+    def joined(most):
+        parent = {d: d for d, _ in rows}
+
+        def find(x):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for f in range(150):
+            for a in range(10 * f, 10 * f + 6):
+                for b in range(a + 1, 10 * f + 6):
+                    bits = (prints[a] ^ prints[b]).bit_count()
+                    if not bits or bits <= most and simhash.jaccard(texts[a], texts[b], 5) >= 0.8:
+                        x, y = sorted((find(a), find(b)))
+                        parent[y] = x
+        return find
+
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = simhash.similar(df.withColumn("row", simhash.row_key())).collect()
+    group = {r["doc_id"]: r["group"] for r in found}
+    sure, most = joined(10), joined(12)
+    assert len({sure(d) for d in group}) < 0.9 * len(group)
+    assert all(group[d] == group[sure(d)] for d in group)  # fingerprints up to 10 bits apart are sure to meet
+    by_group: dict = {}
+    for d, g in group.items():
+        by_group.setdefault(g, set()).add(most(d))
+    assert all(len(x) == 1 for x in by_group.values())
+
+
+def test_rows_of_one_id_go_for_their_own_text(spark):
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8)))
+    text = lambda n=120: " ".join(word() for _ in range(n))
+    base, leak = text(), text(30)
+    near = base.replace(base.split()[5], "changed")
+    rows = [(1, base), (5, near), (5, text()), (None, near + " more"), (None, text()), (7, text()), (7, leak + " " + text()), (None, leak), (8, text()), (8, "  "), (9, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    as_set = lambda out: sorted(map(repr, ((r["doc_id"], r["text"]) for r in out.collect())))
+    assert as_set(simhash.keep_one(df)) == sorted(map(repr, [rows[0], rows[2], *rows[4:10]]))
+    clean = [r for r in rows if leak not in (r[1] or "")]
+    bench = spark.createDataFrame([(1, leak)], "item_id long, text string")
+    assert as_set(decontamination.decontaminate(df, bench)) == sorted(map(repr, clean))
+    told = decontamination.op5_spaced_seeds(df, bench).collect()
+    assert len(told) == len(rows) and sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in told if r["contaminated"]) == [(False, 7), (True, 0)]
+
+
+def test_forest_between_groups_leaves_out_failed_links():
+    rng = np.random.default_rng(9)
+    for _ in range(30):
+        centre = int(rng.integers(0, 1 << 62))
+        fps = np.unique([centre ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 60, (25, 2))])
+        groups = rng.integers(0, 6, len(fps))
+        failed = [[int(x) for x in rng.choice(fps, 4)] for _ in fps]
+        for i, f in enumerate(failed):  # both ways
+            for x in f:
+                j = int(np.flatnonzero(fps == x)[0])
+                failed[j] = [*failed[j], int(fps[i])]
+        at = {int(f): i for i, f in enumerate(fps)}
+        found = simhash.nearest_forest(fps, 4, groups, failed)
+        parent = {int(g): int(g) for g in groups}
+
+        def find(x, parent=parent):
+            while parent[x] != x:
+                x = parent[x]
+            return x
+
+        for a, b in found:
+            assert b not in failed[at[a]] and find(int(groups[at[a]])) != find(int(groups[at[b]]))
+            parent[find(int(groups[at[a]]))] = find(int(groups[at[b]]))
+        for i, a in enumerate(fps):
+            for j, b in enumerate(fps):
+                if int(b) not in failed[i] and ((int(a) ^ int(b)) % (1 << 64)).bit_count() <= 4:
+                    assert find(int(groups[i])) == find(int(groups[j]))
+
+
 def test_nearest_forest_joins_what_close_links_join():
     rng = np.random.default_rng(6)
     for _ in range(20):
