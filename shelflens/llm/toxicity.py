@@ -20,30 +20,30 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import PUNCTUATION, Memo, pieces
+from .common import PUNCTUATION, Memo, pieces, save
 
 BITS = 19
 BUCKETS = 1 << BITS
 PREFIXES = (7, 5)
 #: Words from which a repeated one scores in full; nearer ones score in proportion, so that a word said over and over isn't a passage.
 REPEAT = 20
-#: Rows of `counts`: all documents, then clean and toxic ones of either fold.
-ALL, GROUPS = 0, 5
+#: Labelled documents are scored for the calibration by weights of all folds but their own, so nearly by those of new documents.
+FOLDS = 10
 
 
 @dataclass(frozen=True)
 class Params:
     max_train: int = 40_000  #: labelled documents to learn from, at most; the rest of the labels is not read
-    prior: float = 20_000.0  #: tokens that the Dirichlet prior counts for
+    prior: float = 0.2  #: tokens that the Dirichlet prior counts for, to those of the labelled documents
     z: float = 1.64  #: standard errors by which log-odds are drawn towards zero
-    drift: float = 0.05  #: taken from each word's score
+    drift: float = 0.2  #: taken from each word's score
     p_value: float = 0.01  #: of a segment that is reported as a toxic passage
     threshold: float = 0.7  #: score from which a document is predicted toxic
 
 
 @dataclass(frozen=True)
 class Model:
-    weights: np.ndarray  #: per fold left out, and for new documents (last)
+    weights: np.ndarray
     scale: float  #: Gumbel scale of the best segment in clean texts
     location: float  #: its location for a text of one word, growing with the logarithm of the length
     slope: float
@@ -113,20 +113,43 @@ def word_scores(words: np.ndarray, weights: np.ndarray, drift: float) -> np.ndar
     return np.where(score > 0, score * (gap / REPEAT), score) - drift
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    memo, counts = Memo(tokens_of), np.zeros((GROUPS, BUCKETS), np.int32)
+def _count_labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents that hold each bucket, by fold and label."""
+    memo, counts = Memo(tokens_of), np.zeros((FOLDS, 2, BUCKETS), np.int32)
     for batch, texts in pieces(batches):
         for text, label, fold in zip(texts, batch["label"].to_pylist(), batch["fold"].to_pylist(), strict=True):
-            found = np.unique(_buckets(np.unique(_words(text, memo))))
-            counts[ALL, found] += 1
-            if label is not None:
-                counts[1 + 2 * fold + label, found] += 1
+            counts[fold, label, np.unique(_buckets(np.unique(_words(text, memo))))] += 1
     at = np.flatnonzero(counts.ravel())
-    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(counts.ravel()[at], pa.int64())], ["place", "n"])
+    yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts.ravel()[at], pa.int64())], ["place", "n"])
+
+
+def _count_all(asked):
+    """Documents that hold each of the buckets that labelled ones hold, and those of all buckets together under -1."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, counts, total = Memo(tokens_of), np.zeros(BUCKETS, np.int64), 0
+        for _, texts in pieces(batches):
+            for text in texts:
+                found = np.unique(_buckets(np.unique(_words(text, memo))))
+                counts[found] += 1
+                total += len(found)
+        at = np.flatnonzero((counts > 0) & np.unpackbits(np.frombuffer(asked.value, np.uint8)).astype(bool))
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(counts[at], total), pa.int64())], ["place", "n"])
+
+    return run
+
+
+def _summed(rows: DataFrame, size: int) -> np.ndarray:
+    """Counts by place from 0 to `size`, and that of place -1 last."""
+    out = np.zeros(size + 1, np.int64)
+    for batch in rows.groupBy("place").agg(F.sum("n").alias("n")).toArrow().to_batches():  # a row a place
+        out[batch["place"].to_numpy()] = batch["n"].to_numpy()
+    return out
 
 
 def log_odds(clean: np.ndarray, toxic: np.ndarray, corpus: np.ndarray, p: Params) -> np.ndarray:
-    prior = p.prior * corpus / max(corpus.sum(), 1) + 1e-9
+    """Of each bucket; `corpus` ends with the sum of all, those without a labelled document too."""
+    prior = p.prior * float(clean.sum() + toxic.sum()) * corpus[:-1] / max(corpus[-1], 1) + 1e-9
     a, b = toxic + prior, clean + prior
     odds = np.log(a / a.sum()) - np.log(b / b.sum())
     sure = np.maximum(np.abs(odds) - p.z * np.sqrt(1 / a + 1 / b), 0) * np.sign(odds)
@@ -134,7 +157,7 @@ def log_odds(clean: np.ndarray, toxic: np.ndarray, corpus: np.ndarray, p: Params
 
 
 def labelled(docs: DataFrame, labels: DataFrame, p: Params) -> DataFrame:
-    """`docs` with the label (0, 1; else null) and fold of at most `max_train` labelled documents.
+    """text, label (0, 1) and fold of at most `max_train` labelled documents, written to the shared folder.
 
     Only rows whose crc32(doc_id as text) mod 3 isn't 1 may teach. Of repeated labels the largest counts; null labels
     don't. The labels are broadcast: `max_train` bounds them.
@@ -145,9 +168,9 @@ def labelled(docs: DataFrame, labels: DataFrame, p: Params) -> DataFrame:
         .agg((F.max("toxic") > 0).cast("int").alias("label"))
         .orderBy(F.xxhash64("_id"), "_id")
         .limit(p.max_train)
-        .withColumn("fold", (F.pmod(F.xxhash64(F.lit("fold"), "_id"), F.lit(2))).cast("int"))
+        .withColumn("fold", (F.pmod(F.xxhash64(F.lit("fold"), "_id"), F.lit(FOLDS))).cast("int"))
     )
-    return docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id"), "left")
+    return save(docs.select("doc_id", "text").join(F.broadcast(sample), F.col("doc_id") == F.col("_id")).select("text", "label", "fold"), "toxic-labelled")
 
 
 def _best(found: list[tuple[int, int, float]], scale: float) -> float:
@@ -158,12 +181,12 @@ def _best(found: list[tuple[int, int, float]], scale: float) -> float:
     return top + scale * math.log(sum(math.exp((x[2] - top) / scale) for x in found))
 
 
-def _samples(weights: np.ndarray, drift: float):
+def _samples(weights, drift: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(tokens_of)
         for batch, texts in pieces(batches):
             rows = [
-                (label, len(found), _best(segments(word_scores(found, weights[1 - fold], drift)), 1.0))
+                (label, len(found), _best(segments(word_scores(found, weights.value[fold], drift)), 1.0))
                 for text, label, fold in zip(texts, batch["label"].to_pylist(), batch["fold"].to_pylist(), strict=True)
                 for found in [_words(text, memo)]
             ]
@@ -190,16 +213,14 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
 
     With no label of either kind every score is the share of toxic labels, or 0 if there is none.
     """
-    known = labelled(docs, labels, p)
-    counted = known.select("text", "label", "fold").mapInArrow(_count, "place int, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    counts = np.zeros(GROUPS * BUCKETS, np.int64)
-    for batch in counted.toArrow().to_batches():  # a row a place at most, whatever the number of documents
-        counts[batch["place"].to_numpy()] = batch["n"].to_numpy()
-    counts = counts.reshape(GROUPS, BUCKETS)
-    clean, toxic = counts[[1, 3]], counts[[2, 4]]
-    weights = np.stack([log_odds(clean[i], toxic[i], counts[ALL], p) for i in (0, 1)] + [log_odds(clean.sum(0), toxic.sum(0), counts[ALL], p)])
-    shared = docs.sparkSession.sparkContext.broadcast(weights)
-    sample = known.where("label is not null").select("text", "label", "fold").mapInArrow(lambda it: _samples(shared.value, p.drift)(it), "label int, words long, best double").toPandas()
+    spark, known = docs.sparkSession, labelled(docs, labels, p)
+    taught = _summed(known.mapInArrow(_count_labelled, "place long, n long"), FOLDS * 2 * BUCKETS)[:-1].reshape(FOLDS, 2, BUCKETS)
+    whole = taught.sum(0)
+    asked = spark.sparkContext.broadcast(np.packbits(whole.sum(0) > 0).tobytes())
+    corpus = _summed(docs.select("text").mapInArrow(_count_all(asked), "place long, n long"), BUCKETS)
+    held_out = [log_odds(*(whole - fold), corpus, p) for fold in taught]
+    weights, shared = log_odds(*whole, corpus, p), spark.sparkContext.broadcast(np.stack(held_out))
+    sample = known.mapInArrow(_samples(shared, p.drift), "label int, words long, best double").toPandas()
     y, n, best = sample["label"].to_numpy(float), np.maximum(sample["words"].to_numpy(float), 1), sample["best"].to_numpy(float)
     shared.unpersist()
     return calibrate(weights, y, n, best, p)
@@ -219,7 +240,7 @@ def calibrate(weights: np.ndarray, y: np.ndarray, n: np.ndarray, best: np.ndarra
 
 
 def _score(model: Model, passages: bool):
-    weights, drift, names = model.weights[2], model.params.drift, ["score", "predicted", "passages"]
+    weights, drift, names = model.weights, model.params.drift, ["score", "predicted", "passages"]
 
     def one(text: bytes, memo: Memo) -> tuple[float, list]:
         found = _words(text, memo)

@@ -47,7 +47,7 @@ def _toxic(model, text: str) -> bool:
     """Plain quadratic search of the segments; their scores together decide."""
     memo = Memo(toxicity.tokens_of)
     words = np.array([memo[w] for w in text.encode().split()], np.int64)
-    scores = toxicity.word_scores(words, model.weights[2], model.params.drift).tolist()
+    scores = toxicity.word_scores(words, model.weights, model.params.drift).tolist()
     found, rest = [], [(0, len(scores))]
     while rest:  # the best segment, then those on both sides of it
         a, b = rest.pop()
