@@ -51,5 +51,15 @@ def url_decoded(c: Column) -> Column:
     return F.try_url_decode(c)
 
 
+def hash_number(c: Column) -> Column:
+    """A number of a text from 0 on, below 2**32, the same at each run, for any partitioning and in other engines."""
+    return F.conv(F.substring(F.md5(c), 1, 8), 16, 10).cast("long")
+
+
 def hash_bucket(c: Column, buckets: int = 1 << 16) -> Column:
-    return F.pmod(F.hash(c), F.lit(buckets))
+    return (hash_number(c) % buckets).cast("int")
+
+
+def random_part(key: Column, parts: int, seed: int) -> Column:
+    """A number from 0 to `parts` - 1, as by chance but for the key and the seed."""
+    return hash_bucket(F.concat_ws("-", F.lit(seed), key.cast("string")), parts)

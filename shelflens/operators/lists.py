@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .prefix import running
 from .rank import top_k
 
 
@@ -13,6 +14,12 @@ def joined(df: DataFrame, by: list[str], item: str, order: str, name: str = "ite
     return df.groupBy(*by).agg(F.expr(f"listagg(cast({item} AS string), '{sep}') WITHIN GROUP (ORDER BY {order})").alias(name))
 
 
+def joined_parts(df: DataFrame, by: list[str], item: str, size: int = 1000, name: str = "items", sep: str = "#") -> DataFrame:
+    """by, part, items: a key's distinct items in order, delimited, `size` to a numbered part, so that no text grows with the table."""
+    rows = running(df.select(*by, item).distinct(), by, [F.col(item)], [])
+    return joined(rows.withColumn("part", F.floor((F.col("_place") - 1) / size)), [*by, "part"], item, item, name, sep)
+
+
 def viewed_not_bought(events: DataFrame) -> DataFrame:
     """member, category, goods, last_view: views on days on which the member didn't buy those goods. `nested_list` orders them."""
     key = ["member", "day", "category", "goods"]

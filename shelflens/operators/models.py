@@ -13,6 +13,7 @@ from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import random_part
 from .cooccurrence import PLAIN_PAIRS
 from .nearest import most_pairs, pruned_cosine
 from .rank import minmax, top_k
@@ -126,12 +127,16 @@ def gender_features(events: DataFrame, label: str, least: int = 4, most: int = 1
     return rows.where(F.col("_all").between(least, most)).select("member", F.col(label).alias("label"), "level2", (F.col("_n") / F.col("_all")).alias("ratio"))
 
 
-def train_binary(events: DataFrame, label: str, least: int = 4, most: int = 19, dim: int = 1 << 12, iters: int = 50, reg: float = 0.01) -> DataFrame:
-    """member, label, probability of label 1, by logistic regression on the shares that gender_features gives, hashed to `dim` places."""
+def train_binary(events: DataFrame, label: str, least: int = 4, most: int = 19, dim: int = 1 << 12, iters: int = 50, reg: float = 0.01, held: int = 4) -> DataFrame:
+    """member, label, probability of label 1, by logistic regression on the shares that gender_features gives, hashed to `dim` places.
+
+    One member in `held`, by a hash, is kept out of the training, and those are the ones returned.
+    """
     counted = events.groupBy("member", F.col(label).cast("double").alias("label")).agg(F.count("*").alias("_n")).where(F.col("_n").between(least, most))
     lists = events.select("member", "level2").join(counted.select("member", "label"), "member").groupBy("member", "label").agg(F.collect_list("level2").alias("terms"))  # `most` terms at the most
     stages = [HashingTF(inputCol="terms", outputCol="_tf", numFeatures=dim), Normalizer(inputCol="_tf", outputCol="features", p=1.0), LogisticRegression(maxIter=iters, regParam=reg)]
-    return Pipeline(stages=stages).fit(lists).transform(lists).select("member", "label", vector_to_array("probability")[1].alias("probability"))
+    kept_out = random_part(F.col("member"), held, 0) == 0
+    return Pipeline(stages=stages).fit(lists.where(~kept_out)).transform(lists.where(kept_out)).select("member", "label", vector_to_array("probability")[1].alias("probability"))
 
 
 def user_profile_json(events: DataFrame, k: int = 3) -> DataFrame:

@@ -139,6 +139,14 @@ def top_products(users: DataFrame, items: DataFrame, k: int, block: int = 1 << 1
     return told.select("id", F.col("x.items").alias("item"), F.col("x.scores").alias("score"), (F.col("_i") + 1).alias("rank"), "products")
 
 
+def nearest_items(vectors: DataFrame, k: int, block: int = 1 << 16) -> DataFrame:
+    """id, item, score, rank: the `k` other vectors (id, factors) of greatest cosine for each; vectors of length 0 take no part."""
+    plain = vectors.select("id", F.col("factors").cast("array<double>").alias("factors")).withColumn("_l", F.sqrt(F.aggregate("factors", F.lit(0.0), lambda acc, x: acc + x * x)))
+    unit = saved(plain.where("_l > 0").select("id", F.transform("factors", lambda x: x / F.col("_l")).alias("factors")), "unit")
+    found = top_products(unit, unit, k + 1, block).where("id <> item").select("id", "item", "score")  # itself is among the first, or others are as near
+    return top_k(found, ["id"], [F.col("score").desc(), F.col("item")], k)
+
+
 def most_pairs(rows: DataFrame, dim: str = "dim") -> int:
     """How many pairs a plain self-join of `rows` on a dimension would make."""
     n = F.col("n").cast("double")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .prefix import running
+
 
 def nested_list(df: DataFrame, by: list[str], group: str, item: str, newest: str, name: str = "items") -> DataFrame:
     """`group:item,item#group:item`: a key's items, newest first within a group, and groups by their newest item."""
@@ -28,3 +30,10 @@ def key_hashes(df: DataFrame, prefix: str, key: str, field: str, value: str) ->
     """key, fields: a map of texts for each key."""
     pair = F.struct(F.col(field).cast("string").alias("k"), F.col(value).cast("string").alias("v"))
     return df.groupBy(F.concat(F.lit(prefix), F.col(key).cast("string")).alias("key")).agg(F.map_from_entries(F.sort_array(F.collect_list(pair))).alias("fields"))
+
+
+def key_hash_parts(df: DataFrame, prefix: str, key: str, field: str, value: str, size: int = 1000) -> DataFrame:
+    """key, part, fields: key_hashes with at most `size` of a key's fields, which are distinct, to a numbered part."""
+    rows = running(df.select(key, field, value), [key], [F.col(field)], []).withColumn("part", F.floor((F.col("_place") - 1) / size))
+    pair = F.struct(F.col(field).cast("string").alias("k"), F.col(value).cast("string").alias("v"))
+    return rows.groupBy(F.concat(F.lit(prefix), F.col(key).cast("string")).alias("key"), "part").agg(F.map_from_entries(F.sort_array(F.collect_list(pair))).alias("fields"))

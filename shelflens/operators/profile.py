@@ -70,6 +70,15 @@ def view_sequences(events: DataFrame, least: int = 4) -> DataFrame:
     return rows.agg(F.count("*").alias("n"), F.expr("listagg(cast(goods AS string), ' ') WITHIN GROUP (ORDER BY ts, event_id)").alias("sequence")).where(F.col("n") >= least)
 
 
+def skip_pairs(events: DataFrame, reach: int = 5) -> DataFrame:
+    """item, context, n: how often two goods are viewed by a member at most `reach` views apart, each as the other's context: what word vectors learn from."""
+    order = Window.partitionBy("member").orderBy("ts", "event_id")
+    ahead = [F.lead("goods", d).over(order).alias(f"_{d}") for d in range(1, reach + 1)]
+    rows = events.where("behavior = 1000").select("goods", *ahead).select("goods", F.explode(F.array(*[f"_{d}" for d in range(1, reach + 1)])).alias("other")).where("other IS NOT NULL")
+    both = F.explode(F.array(F.struct(F.col("goods").alias("item"), F.col("other").alias("context")), F.struct(F.col("other").alias("item"), F.col("goods").alias("context"))))
+    return rows.groupBy("goods", "other").agg(F.count("*").alias("_n")).select(both.alias("p"), "_n").groupBy("p.item", "p.context").agg(F.sum("_n").alias("n"))
+
+
 #: Weights of views, clicks, removals and purchases, as the several jobs take them.
 BEHAVIOUR_WEIGHTS = {
     "persona": {1000: 1.0, 2000: 3.0, 3000: -2.0, 4000: 5.0},

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .functions.text import cleaned, dated, hash_bucket, normalize_nulls, url_decoded
+from .functions.text import cleaned, dated, hash_bucket, normalize_nulls, random_part, url_decoded
 from .operators import category as C
 from .operators import cooccurrence, geo, lists, outputs, profile, rank, search
 from .oracles import _LEVELS, _METRICS, ORACLES as BASE, _minmax, _score
@@ -189,6 +189,7 @@ def _sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stream.drain(counted, scratch_path(spark, "stream")).select(F.col("start").cast("timestamp_ntz").alias("start"), "user_id", "count")
 
 
+_HASH = "CAST(concat('0x', substr(md5({}), 1, 8)) AS bigint)"
 _DRAW = "substr(md5(concat('5-', goods)), 1, 8)"
 _HISTORY = "SELECT member, string_agg(concat(category, ':', items), '#' ORDER BY seen DESC, category) AS items FROM (SELECT member, category, max(seen) AS seen, string_agg(CAST(goods AS varchar), ',' ORDER BY seen DESC, goods) AS items FROM ({}) x GROUP BY 1, 2) y GROUP BY 1"
 _LISTED = "SELECT {0}, string_agg(CAST(goods AS varchar), '#' ORDER BY goods) AS items FROM {{v_goods}} WHERE sale_status = 4 AND stock = 1 GROUP BY ALL"
@@ -236,8 +237,8 @@ _ALL: dict[str, tuple[Query, str | None]] = {
     "f4_dated": (_on(lambda o: o.select("o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(F.col("o_orderkey") % 3 == 1, F.lit("no date")).otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")).alias("t")).where(dated(F.col("t"))), "orders"), "SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS t FROM {orders} WHERE o_orderkey % 3 = 2"),
     "f5_cleaned": (_on(lambda c: c.select("c_custkey", cleaned(F.col("c_name")).alias("name")), "customer"), "SELECT c_custkey, regexp_replace(c_name, '[^A-Za-z0-9]', '', 'g') AS name FROM {customer}"),
     "f7_url_decoded": (_on(lambda p: p.select("p_partkey", url_decoded(F.replace("p_name", F.lit(" "), F.when(F.col("p_partkey") % 5 == 0, "%zz").otherwise("%20"))).alias("name")), "part"), "SELECT p_partkey, CASE WHEN p_partkey % 5 > 0 OR instr(p_name, ' ') = 0 THEN p_name END AS name FROM {part}"),
-    "f18_hash_bucket": (_on(lambda p: p.groupBy(hash_bucket(F.col("p_name"), 64).alias("bucket")).agg(F.count("*").alias("n")), "part"), None),
-    "f22_random_part": (_on(lambda p: p.groupBy(F.floor(F.rand(7) * 8).alias("part")).agg(F.count("*").alias("n")), "part"), None),
+    "f18_hash_bucket": (_on(lambda p: p.groupBy(hash_bucket(F.col("p_name"), 64).alias("bucket")).agg(F.count("*").alias("n")), "part"), f"SELECT CAST({_HASH.format('p_name')} % 64 AS int) AS bucket, count(*) AS n FROM {{part}} GROUP BY 1"),
+    "f22_random_part": (_on(lambda p: p.groupBy(random_part(F.col("p_partkey"), 8, 7).alias("part")).agg(F.count("*").alias("n")), "part"), f"SELECT CAST({_HASH.format("concat('7-', p_partkey)")} % 8 AS int) AS part, count(*) AS n FROM {{part}} GROUP BY 1"),
     # category tree
     "g1_five_levels": (_five, "WITH d AS (" + _FIVE_DIM + "), t AS (" + " UNION ALL ".join(f"SELECT category, CAST({i + 1} AS int) AS level_no, {c} AS node, concat_ws('>', {', '.join(FIVE[: i + 1])}) AS path, {FIVE[i - 1] if i else 'NULL'} AS parent FROM d WHERE {c} IS NOT NULL" for i, c in enumerate(FIVE)) + ") SELECT level_no, node, path, parent, count(*) AS n FROM t GROUP BY ALL"),
     "g5_ancestor_leaves": (_on(C.ancestor_leaves, "v_category_dim"), f"SELECT node, count(*) AS n, string_agg(category, '#' ORDER BY category) AS leaves FROM (SELECT DISTINCT node, category FROM {_LEVELS} t) x GROUP BY 1"),

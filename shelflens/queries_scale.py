@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.text import words
-from .operators import geo, intervals, models, nearest, prefix, search
-from .oracles import _METRICS, _RATINGS, _cosine, _minmax
+from .operators import geo, intervals, lists, models, nearest, outputs, prefix, profile, search
+from .oracles import _METRICS, _RATINGS, _SQL, _cosine, _minmax
 from .plans.views import view, with_views
 from .queries import EVENTS_AS_OF, Query, _metrics, _on, _other, _own, _ratings
 from .queries_outputs import _MESSAGE, ORACLES as BASE, QUERIES as FIRST
@@ -167,6 +168,18 @@ def _reloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.save_index(index, scratch_path(spark, "index")).groupBy("name").agg(F.count_distinct("index").alias("numbers"))
 
 
+def _nearest_words(events: DataFrame) -> DataFrame:
+    """For each goods the three whose vectors lie nearest; vectors of views in their order."""
+    seen = events.where("behavior = 1000").groupBy("member").agg(F.transform(F.sort_array(F.collect_list(F.struct("ts", "event_id", "goods"))), lambda x: x["goods"].cast("string")).alias("items"))
+    vectors = models.word_vectors(seen, "items").getVectors().select(F.col("word").cast("long").alias("id"), vector_to_array("vector").alias("factors"))
+    return nearest.nearest_items(vectors, 3)
+
+
+def _closed_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = stream.session_count(stream.file_source(spark, sf_dir, "events"), "ts", "user_id", "3 hours")
+    return stream.drain(counted, scratch_path(spark, "stream"), "append").select(F.col("start").cast("timestamp_ntz").alias("start"), "user_id", "count")
+
+
 _VIEWED = BASE["t2_views"]
 _STATE_SQL = f"""WITH v AS ({_VIEWED}), g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < {LIFETIME} THEN 0 ELSE 1 END AS new FROM v WINDOW w AS (PARTITION BY member, goods ORDER BY ts)),
     s AS (SELECT member, goods, ts, sum(new) OVER (PARTITION BY member, goods ORDER BY ts ROWS UNBOUNDED PRECEDING) AS visit FROM g),
@@ -175,6 +188,7 @@ _STATE_SQL = f"""WITH v AS ({_VIEWED}), g AS (SELECT *, CASE WHEN ts - lag(ts) O
 _HOUR_SQL = """p AS (SELECT event_type, CAST(floor(epoch(ts) / 4) * 4 AS bigint) AS pane FROM {events} WHERE floor(epoch(ts) / 4) * 4 + 4 <= (SELECT epoch(max(ts)) - 600 FROM {events})),
     c AS (SELECT event_type, first_end, sum(d) AS d FROM (SELECT event_type, pane + 4 AS first_end, 1 AS d FROM p UNION ALL SELECT event_type, pane + 3604, -1 FROM p) x GROUP BY 1, 2),
     h AS (SELECT event_type, first_end, lead(first_end) OVER w - 4 AS last_end, CAST(sum(d) OVER (w ROWS UNBOUNDED PRECEDING) AS bigint) AS n FROM c WINDOW w AS (PARTITION BY event_type ORDER BY first_end))"""
+_PARTS = "SELECT {0}, part, string_agg(CAST(goods AS varchar), '#' ORDER BY goods) AS items FROM (SELECT {0}, goods, CAST(floor((row_number() OVER (PARTITION BY {0} ORDER BY goods) - 1) / {2}) AS bigint) AS part FROM {1}) x GROUP BY 1, 2"
 _TERMS = r"list_distinct(list_filter(string_split_regex(lower(concat_ws(' ', p_name, replace(p_brand, '#', ''), p_type, concat('size', p_size))), '[^\p{L}\p{N}]+'), lambda w: w <> ''))"
 _ALL: dict[str, tuple[Query, str | None]] = {
     "t2_view_state": (_view_state, _STATE_SQL),
@@ -197,14 +211,21 @@ _ALL: dict[str, tuple[Query, str | None]] = {
     "m5_top_products": (_on(_products, "embeddings"), "WITH p AS (SELECT q.vec_id AS id, v.vec_id AS item, list_inner_product(CAST(q.embedding AS double[]), CAST(v.embedding AS double[])) AS score FROM {embeddings} q, {embeddings} v WHERE q.vec_id % 50 = 0) SELECT id, item, round(score, 6) AS score, CAST(row_number() OVER (PARTITION BY id ORDER BY score DESC, item) AS int) AS rank FROM p QUALIFY row_number() OVER (PARTITION BY id ORDER BY score DESC, item) <= 5"),
     "q1_window_score": (_on(lambda g, o, e: search.window_score(_windowed(g, o, e), search.WINDOW_WEIGHTS), "v_goods", "v_orders", "v_events"), _window_sql(search.WINDOW_WEIGHTS)),
     "q2_window_score": (_on(lambda g, o, e: search.window_score(_windowed(g, o, e), search.CONVERSION_WINDOW_WEIGHTS), "v_goods", "v_orders", "v_events"), _window_sql(search.CONVERSION_WINDOW_WEIGHTS)),
+    "a15_listed_parts": (_on(lambda g: lists.joined_parts(g, ["brand"], "goods", 20), "v_goods"), _PARTS.format("brand", "{v_goods}", 20)),
+    "r10_category_goods_parts": (_on(lambda g: lists.joined_parts(g.where("sale_status = 4 AND stock = 1"), ["level1"], "goods", 50), "v_goods"), _PARTS.format("level1", "{v_goods} WHERE sale_status = 4 AND stock = 1", 50)),
+    "x3_key_hash_parts": (_on(lambda o: outputs.key_hash_parts(o.groupBy("store", "goods").agg(F.count("*").alias("n")), "rcmd_store_", "store", "goods", "n", 100).select("key", "part", F.explode("fields").alias("field", "value")), "v_orders"), "SELECT concat('rcmd_store_', store) AS key, CAST(floor((row_number() OVER (PARTITION BY store ORDER BY goods) - 1) / 100) AS bigint) AS part, CAST(goods AS varchar) AS field, CAST(n AS varchar) AS value FROM (SELECT store, goods, count(*) AS n FROM {v_orders} GROUP BY 1, 2) x"),
+    "e8_skip_pairs": (_on(profile.skip_pairs, "v_events"), "WITH v AS (SELECT member, goods, row_number() OVER (PARTITION BY member ORDER BY ts, event_id) AS i FROM {v_events} WHERE behavior = 1000) SELECT a.goods AS item, b.goods AS context, count(*) AS n FROM v a JOIN v b ON a.member = b.member AND a.i <> b.i AND abs(a.i - b.i) <= 5 GROUP BY 1, 2"),
+    "e8_nearest_words": (_on(_nearest_words, "v_events"), None),
+    "t11_closed_sessions": (_closed_sessions, "WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 3 HOUR THEN 0 ELSE 1 END AS new FROM {events} WINDOW w AS (PARTITION BY user_id ORDER BY ts)), s AS (SELECT user_id, ts, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS i FROM g) SELECT user_id, min(ts) AS start, count(*) AS count FROM s GROUP BY user_id, i HAVING max(ts) + INTERVAL 3 HOUR <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM {events})"),
     "w14_dense_ids": (_on(_index, "v_events"), "SELECT count(DISTINCT goods) AS n, count(DISTINCT goods) AS distinct_n, CAST(0 AS int) AS least, CAST(count(DISTINCT goods) - 1 AS int) AS most FROM {v_events}"),
     "m9_reloaded_index": (_reloaded, "SELECT DISTINCT concat('g', goods) AS name, CAST(1 AS bigint) AS numbers FROM {v_events}"),
 }
 
 QUERIES: dict[str, Query] = FIRST | {name: query for name, (query, _) in _ALL.items()}
+_LISTS = f"WITH {_RATINGS}, near AS ({_SQL['m6_llr']}), o AS (SELECT member, other AS goods, sum(score) AS score FROM ratings JOIN near USING (goods) GROUP BY 1, 2) SELECT member, goods, round(score, 6) AS score, CAST(row_number() OVER w AS int) AS rank FROM o ANTI JOIN ratings USING (member, goods) WINDOW w AS (PARTITION BY member ORDER BY round(score, 4) DESC, goods) QUALIFY row_number() OVER w <= 50"
 #: t2_views has its views written out already, so what is built on it holds no names in braces.
 _PLAIN = {"t2_view_state", "t2_member_records"}
-ORACLES: dict[str, str] = BASE | {name: sql if name in _PLAIN else with_views(sql) for name, (_, sql) in _ALL.items() if sql}
+ORACLES: dict[str, str] = BASE | {name: sql if name in _PLAIN else with_views(sql) for name, (_, sql) in _ALL.items() if sql} | {"m6_llr_lists": with_views(_LISTS)}
 _W = r"list_filter(string_split_regex(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '')"
 #: These hold patterns with braces, so they are written out without names in braces.
 ORACLES |= {

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..functions.text import hash_number
+
 #: Named queries with named parameters; {x} is a DataFrame handed in.
 TEMPLATES = {
     "browser": "SELECT member, goods, day FROM {events} WHERE behavior = 1000 AND day >= :since",
@@ -42,6 +44,11 @@ def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> Data
     return spark.read.format("jdbc").options(url=url, dbtable=table, **options).load()
 
 
+def read_jdbc_parts(spark: SparkSession, url: str, table: str, column: str, low: int, high: int, parts: int, **options: str) -> DataFrame:
+    """The same over `parts` connections, each with a range of a whole-number column; rows outside of low and high are in the first and last, nulls in the first."""
+    return read_jdbc(spark, url, table, partitionColumn=column, lowerBound=str(low), upperBound=str(high), numPartitions=str(parts), **options)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
     df.write.format("jdbc").options(url=url, dbtable=table, **options).mode("append").save()
 
@@ -105,8 +112,7 @@ def valid_ids(df: DataFrame, column: str, length: int, low: int, high: int, numb
 
 
 def _draw(key: str, seed: int) -> Column:
-    """A number of a row's key from 0 on, below 2**32, the same at each run and for any partitioning."""
-    return F.conv(F.substring(F.md5(F.concat_ws("-", F.lit(seed), F.col(key))), 1, 8), 16, 10).cast("long")
+    return hash_number(F.concat_ws("-", F.lit(seed), F.col(key)))
 
 
 def sample_rows(df: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:

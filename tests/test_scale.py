@@ -7,7 +7,8 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
-from shelflens.operators import category, cooccurrence, geo, intervals, models, nearest, prefix, rollup
+from shelflens.operators import category, cooccurrence, geo, intervals, lists, models, nearest, outputs, prefix, rollup
+from shelflens.sources import tables
 from shelflens.sources.keyed import KeyedTable
 from shelflens.streaming import panes, progress, state
 
@@ -181,6 +182,46 @@ def test_clusters_cost_no_more_than_a_plain_run(spark):
     assert cost == pytest.approx(plain) and cost <= 1.001 * true
 
 
+def test_behaviour_model_reports_its_error(spark):
+    rows = spark.range(600).select((F.col("id") % 20).alias("member"), (F.col("id") * 7 % 30).alias("goods"), F.lit(1000).alias("behavior"), F.to_timestamp(F.lit("2024-01-20")).alias("ts"))
+    lists, mse = models.behavior_als(rows, "2024-01-31", rank=3, iters=5, k=4, evaluate=True)
+    ratings = models.behavior_ratings(rows, "2024-01-31")
+    assert 0 <= mse < ratings.agg(F.avg(F.col("rating") * F.col("rating"))).first()[0] and lists.groupBy("member").count().where("count <> 4").isEmpty()
+
+
+def test_labels_of_members_kept_out_of_the_training(spark):
+    rng = random.Random(4)
+    rows = [(m, m % 2, f"{'ab'[m % 2 if rng.random() < 0.85 else 1 - m % 2]}{rng.randrange(5)}") for m in range(400) for _ in range(rng.randint(6, 15))]
+    found = models.train_binary(spark.createDataFrame(rows, "member long, label int, level2 string"), "label").collect()
+    assert 50 < len(found) < 150 and sum((r["probability"] > 0.5) == (r["label"] > 0.5) for r in found) >= 0.95 * len(found)
+
+
+def test_vectors_of_goods_viewed_together_lie_near(spark):
+    rng = random.Random(5)
+    rows = [([str(10 * c + rng.randrange(8)) for _ in range(12)],) for c in range(4) for _ in range(150)]
+    from pyspark.ml.functions import vector_to_array
+
+    vectors = models.word_vectors(spark.createDataFrame(rows, "items array<string>"), "items").getVectors()
+    found = nearest.nearest_items(vectors.select(F.col("word").cast("long").alias("id"), vector_to_array("vector").alias("factors")), 3).collect()
+    assert len(found) == 96 and sum(r["id"] // 10 == r["item"] // 10 for r in found) >= 0.9 * 96
+
+
+def test_lists_in_numbered_parts(spark):
+    rows = spark.range(250).select((F.col("id") % 2).alias("g"), "id", (F.col("id") * 3).alias("v"))
+    told = {(r["g"], r["part"]): r["items"].split("#") for r in lists.joined_parts(rows.unionByName(rows), ["g"], "id", 50).collect()}
+    assert sorted(told) == [(g, p) for g in (0, 1) for p in (0, 1, 2)] and told[1, 2] == [str(x) for x in range(201, 250, 2)]
+    fields = {(r["key"], r["part"]): r["fields"] for r in outputs.key_hash_parts(rows, "k_", "g", "id", "v", 100).collect()}
+    assert len(fields["k_0", 0]) == 100 and fields["k_0", 1] == {str(x): str(3 * x) for x in range(200, 250, 2)}
+
+
+def test_partitioned_jdbc(spark):
+    url, driver = "jdbc:derby:memory:parts;create=true", {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows = spark.createDataFrame([(i, f"v{i}") for i in range(-5, 95)] + [(None, "none")], "k long, v string")
+    tables.write_jdbc(rows, url, "rows_", **driver)
+    found = tables.read_jdbc_parts(spark, url, "rows_", "k", 0, 90, 4, **driver)
+    assert found.rdd.getNumPartitions() == 4 and sorted(map(repr, map(tuple, found.collect()))) == sorted(map(repr, map(tuple, rows.collect())))
+
+
 # keyed tables
 
 
