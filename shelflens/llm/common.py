@@ -136,9 +136,15 @@ def mix64(h: np.ndarray) -> np.ndarray:
     return h * np.uint64(0xD6E8FEB86659FD93)
 
 
+_PART = 1 << 23
+
+
 def sliding_argmin(values: np.ndarray, width: int) -> np.ndarray:
     """Position of the leftmost least value in every window of `width`; values are told apart by their top 40 bits."""
     n = len(values)
+    if n > _PART + width:  # positions have 24 bits: longer runs go in parts, each window in the one that it begins in
+        parts = [sliding_argmin(values[a : a + _PART + width - 1], width) + a for a in range(0, n - width + 1, _PART)]
+        return np.concatenate(parts)
     key = (values & np.uint64(0xFFFFFFFFFF000000)) | np.arange(n, dtype=np.uint64)
     pad = -n % width
     grid = np.concatenate((key, np.full(pad, np.iinfo(np.uint64).max, np.uint64))).reshape(-1, width)

@@ -285,6 +285,17 @@ def test_sliding_argmin():
     assert sliding_argmin(values, 7).tolist() == [i + int(np.argmin(values[i : i + 7] >> np.uint64(24))) for i in range(494)]
 
 
+def test_sliding_argmin_of_long_runs_goes_in_parts(monkeypatch):
+    """Positions have 24 bits, so a text of more words than that is searched in parts; shown with short ones."""
+    values = np.random.default_rng(5).integers(0, 1 << 63, 5000, dtype=np.uint64)
+    whole = {w: sliding_argmin(values, w) for w in (2, 7, 60)}
+    monkeypatch.setattr("shelflens.llm.common._PART", 64)
+    for width, want in whole.items():
+        for n in (width, 63, 64 + width, 64 + width + 1, 5000):
+            if n >= width:
+                assert sliding_argmin(values[:n], width).tolist() == want[: n - width + 1].tolist()
+
+
 def test_windows_of_crowded_hits_and_odd_rows(spark):
     rng = random.Random(12)
     word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
