@@ -29,6 +29,7 @@ PREFIXES = (7, 5)
 REPEAT = 20
 #: Labelled documents are scored for the calibration by weights of all folds but their own, so nearly by those of new documents.
 FOLDS = 10
+PARTS = 8  #: tasks that count the labelled documents, each with a table of all folds and buckets
 
 
 @dataclass(frozen=True)
@@ -214,7 +215,7 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
     With no label of either kind every score is the share of toxic labels, or 0 if there is none.
     """
     spark, known = docs.sparkSession, labelled(docs, labels, p)
-    taught = _summed(known.mapInArrow(_count_labelled, "place long, n long"), FOLDS * 2 * BUCKETS)[:-1].reshape(FOLDS, 2, BUCKETS)
+    taught = _summed(known.coalesce(PARTS).mapInArrow(_count_labelled, "place long, n long"), FOLDS * 2 * BUCKETS)[:-1].reshape(FOLDS, 2, BUCKETS)
     whole = taught.sum(0)
     asked = spark.sparkContext.broadcast(np.packbits(whole.sum(0) > 0).tobytes())
     corpus = _summed(docs.select("text").mapInArrow(_count_all(asked), "place long, n long"), BUCKETS)
