@@ -42,9 +42,9 @@ class Model:
 
 
 def shape(word: bytes) -> int:
-    """Bucket of a word's outline, its first twelve signs: runs of lower-case letters, capitals and digits shrink to one sign each."""
+    """Bucket of a word's outline: runs of lower-case letters, capitals and digits shrink to one sign each."""
     text = _RUNS.sub(lambda m: "a" if m[1] else "A" if m[2] else "0", word.decode("utf-8", "replace"))
-    return xxhash.xxh64_intdigest(text[:12].encode(), 17) % BUCKETS
+    return xxhash.xxh64_intdigest(text.encode(), 17) % BUCKETS
 
 
 def features(text: bytes, tokens: Memo, shapes: Memo) -> tuple[np.ndarray, np.ndarray]:
@@ -60,7 +60,7 @@ def features(text: bytes, tokens: Memo, shapes: Memo) -> tuple[np.ndarray, np.nd
         for k, v in zip(found, x.tolist(), strict=True):
             out[k] += v
     again = sum(a == b for a, b in zip(words, words[1:], strict=False)) / len(words)
-    for name, v in ((b"again", again), (b"distinct", len(set(words)) / len(words)), (b"length", min(len(words), 1000) / 1000)):
+    for name, v in ((b"again", again), (b"distinct", len(set(words)) / len(words)), (b"length", np.log1p(len(words)) / 10)):
         out[xxhash.xxh64_intdigest(name, 19) % BUCKETS] += v
     return np.fromiter(out.keys(), np.int64, len(out)), np.fromiter(out.values(), float, len(out))
 
