@@ -9,6 +9,7 @@ left to a second round of longer keys.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -90,37 +91,37 @@ def forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return links
 
 
-def nearest_forest(fps: np.ndarray, distance: int, groups: np.ndarray | None = None, failed: list | None = None) -> list[tuple[int, int]]:
-    """Of the links of at most `distance` bits a minimum spanning forest: whatever they join, by the closest ones.
-
-    Nodes of one group are joined already, by no link; of each node the partners in `failed` are no link.
-    """
+def nearest_forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
+    """Of the links of at most `distance` bits a minimum spanning forest: whatever they join, by the closest ones."""
     links: list[tuple[int, int]] = []
-    at = np.arange(len(fps))
     if len(fps) <= 1024:  # most groups have no link at all
         close = np.bitwise_count((fps[:, None] ^ fps).view(np.uint64)) <= distance
-        at = at[close.sum(1) > 1]
-
-    def bits(node: int, rest: np.ndarray) -> np.ndarray:
-        out = np.bitwise_count((fps[rest] ^ fps[node]).view(np.uint64)).astype(np.int16)
-        if failed is not None and failed[node]:
-            out[np.isin(fps[rest], failed[node])] = BITS + 1
-        if groups is not None:
-            out[groups[rest] == groups[node]] = -1
-        return out
-
-    while len(at) > 1:
-        node, rest = int(at[0]), at[1:]
-        best, source = bits(node, rest), np.full(len(rest), node)
+        fps = fps[close.sum(1) > 1]
+    while len(fps) > 1:
+        node, rest = fps[0], fps[1:]
+        best, source = np.bitwise_count((rest ^ node).view(np.uint64)), np.full(len(rest), node)
         while len(rest) and best[i := int(best.argmin())] <= distance:
-            node = int(rest[i])
-            if best[i] >= 0:
-                links.append((int(fps[source[i]]), int(fps[node])))
+            node = rest[i]
+            links.append((int(source[i]), int(node)))
             rest, best, source = (np.delete(x, i) for x in (rest, best, source))
-            d = bits(node, rest)
+            d = np.bitwise_count((rest ^ node).view(np.uint64))
             closer = d < best
             best, source = np.where(closer, d, best), np.where(closer, node, source)
-        at = rest
+        fps = rest
+    return links
+
+
+def nearest_links(fps: np.ndarray, distance: int, groups: np.ndarray, failed: list, most: int) -> list[tuple[int, int]]:
+    """For each fingerprint its `most` closest links of at most `distance` bits to ones of other groups, but those in its list of `failed`."""
+    links: list[tuple[int, int]] = []
+    for fp, group, tried in zip(fps.tolist(), groups.tolist(), failed, strict=True):
+        bits = np.bitwise_count((fps ^ fp).view(np.uint64))
+        at = np.flatnonzero((bits <= distance) & (groups != group))
+        if tried and len(at):
+            at = at[~np.isin(fps[at], tried)]
+        if len(at) > most:
+            at = at[np.argsort(bits[at], kind="stable")[:most]]
+        links += [(fp, x) for x in fps[at].tolist()]
     return links
 
 
@@ -174,7 +175,7 @@ def links(fps: DataFrame, distance: int = 4, blocks: int = 6, agree: int = 2, mo
     `agree` of `blocks` sets the key's length (21 bits at 2 of 6); take more for more than some 100 million
     fingerprints. A key with more than `most` fingerprints has them dealt again by `agree2` of `blocks2` (32 bits).
     Within a key links of up to `reach` bits count (`distance` if not given); beyond `distance` some pairs share no key.
-    `fps` (fp) may have the columns group and failed: see nearest_forest.
+    `fps` (fp) may have the columns group and failed, for `joined` as nearest_links.
     """
     reach = reach or distance
     if blocks - distance < agree or blocks2 - distance < agree2:
@@ -245,20 +246,21 @@ def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, distance: i
     Fingerprints of `size`-word shingles up to `distance` bits apart meet in two of `distance` + 2 blocks (a very large
     key in three of `distance` + 3), and nearly all up to `reach` do. The closest links that hold them together count if
     the shingle sets of two documents with these fingerprints have `similarity` (Jaccard) at least. Where some don't,
-    the next closest links between the groups so far are tried in their place, until there is none left to try: so all
-    that verified links between fingerprints that meet would join is joined. Equal fingerprints are one document here.
+    the next closest links between the groups so far are tried in their place, eight for each fingerprint and eight
+    times as many each round, until there is none left to try: so all that verified links between fingerprints that
+    meet would join is joined. Equal fingerprints are one document here.
     Pairs at 0.8 differ by 9 or 10 bits on average, so some of the least similar that would count lie further apart and
     aren't found: about one in five at 0.8, one in twenty at 0.85. A greater `distance` and `reach` find more, with more
     and shorter keys.
     """
-    join = lambda nodes: links(nodes, distance, distance + 2, 2, 8192, distance + 3, 3, nearest_forest, reach)
+    join = lambda nodes, joined: links(nodes, distance, distance + 2, 2, 8192, distance + 3, 3, joined, reach)
     once = lambda near: save(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-near")
     fps = save(fingerprints(docs, size, "row binary, doc_id long"), "simhash-fp")
-    near = once(join(fps.select("fp").distinct()))
+    near = once(join(fps.select("fp").distinct(), nearest_forest))
     linked = save(near.select(F.col("a").alias("fp")).unionByName(near.select(F.col("b").alias("fp"))).distinct(), "simhash-linked")
     first = fps.join(linked, "fp", "left_semi").groupBy("fp").agg(F.min("row").alias("row"))  # one document for each linked fingerprint
     texts = save(docs.select("row", "text").join(first, "row").groupBy("fp").agg(F.min("text").alias("text")), "simhash-texts")
-    groups, failed = linked.withColumn("group", F.col("fp")), None
+    groups, failed, most = linked.withColumn("group", F.col("fp")), None, 8
     while not near.isEmpty():
         told = _verified(near, texts, size, similarity)
         groups = _grouped(groups, told.where("ok"))
@@ -271,7 +273,8 @@ def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, distance: i
         both = failed.unionByName(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
         partners = both.groupBy(F.col("a").alias("fp")).agg(F.collect_list("b").alias("failed"))  # as many as were tried
         nodes = groups.join(open_, "group", "left_semi").join(partners, "fp", "left")
-        near = once(join(save(nodes.select("fp", "group", F.coalesce("failed", F.array().cast("array<bigint>")).alias("failed")), "simhash-nodes")))
+        nodes = save(nodes.select("fp", "group", F.coalesce("failed", F.array().cast("array<bigint>")).alias("failed")), "simhash-nodes")
+        near, most = once(join(nodes, partial(nearest_links, most=most))), 8 * most
     rows = fps.join(groups, "fp", "left")
     return rows.select("row", "doc_id", "fp", F.coalesce("group", "fp").alias("group"))
 

@@ -125,33 +125,20 @@ def test_rows_of_one_id_go_for_their_own_text(spark):
     assert len(told) == len(rows) and sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in told if r["contaminated"]) == [(False, 7), (True, 0)]
 
 
-def test_forest_between_groups_leaves_out_failed_links():
+def test_links_between_groups_leave_out_failed_ones():
     rng = np.random.default_rng(9)
     for _ in range(30):
         centre = int(rng.integers(0, 1 << 62))
         fps = np.unique([centre ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 60, (25, 2))])
         groups = rng.integers(0, 6, len(fps))
         failed = [[int(x) for x in rng.choice(fps, 4)] for _ in fps]
-        for i, f in enumerate(failed):  # both ways
-            for x in f:
-                j = int(np.flatnonzero(fps == x)[0])
-                failed[j] = [*failed[j], int(fps[i])]
-        at = {int(f): i for i, f in enumerate(fps)}
-        found = simhash.nearest_forest(fps, 4, groups, failed)
-        parent = {int(g): int(g) for g in groups}
-
-        def find(x, parent=parent):
-            while parent[x] != x:
-                x = parent[x]
-            return x
-
-        for a, b in found:
-            assert b not in failed[at[a]] and find(int(groups[at[a]])) != find(int(groups[at[b]]))
-            parent[find(int(groups[at[a]]))] = find(int(groups[at[b]]))
-        for i, a in enumerate(fps):
-            for j, b in enumerate(fps):
-                if int(b) not in failed[i] and ((int(a) ^ int(b)) % (1 << 64)).bit_count() <= 4:
-                    assert find(int(groups[i])) == find(int(groups[j]))
+        bits = lambda a, b: ((int(a) ^ int(b)) % (1 << 64)).bit_count()
+        for most in (3, 100):
+            found = simhash.nearest_links(fps, 4, groups, failed, most)
+            for a, g, tried in zip(fps, groups, failed, strict=True):
+                near = sorted(bits(a, b) for b, h in zip(fps, groups, strict=True) if g != h and bits(a, b) <= 4 and int(b) not in tried)
+                mine = [b for x, b in found if x == a]
+                assert sorted(bits(a, b) for b in mine) == near[:most] and not set(mine) & set(tried)
 
 
 def test_nearest_forest_joins_what_close_links_join():
