@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .prefix import running, values_at
@@ -123,9 +123,9 @@ def sales_score(orders: DataFrame, goods: DataFrame, dim: DataFrame, as_of: str,
 def price_distribution(goods: DataFrame, orders: DataFrame, dim: DataFrame, bins: int = 20) -> DataFrame:
     """level_no, node, bin, goods_count, units in bins of equal width; a node of one price has the single bin 0."""
     priced = explode_levels(goods, dim).select("level_no", "node", "goods", "price")
-    w = Window.partitionBy("level_no", "node")
-    low, width = F.min("price").over(w), (F.max("price").over(w) - F.min("price").over(w)) / (bins - 1)
-    binned = priced.withColumn("bin", F.when(width == 0, 0).otherwise(F.floor((F.col("price") - low) / width)).cast("int"))
+    ends = priced.groupBy("level_no", "node").agg(F.min("price").alias("_low"), ((F.max("price") - F.min("price")) / (bins - 1)).alias("_width"))
+    at = F.when(F.col("_width") == 0, 0).otherwise(F.floor((F.col("price") - F.col("_low")) / F.col("_width"))).cast("int")
+    binned = priced.join(ends, ["level_no", "node"]).select("level_no", "node", "goods", at.alias("bin"))
     units = orders.groupBy("goods").agg(F.sum("qty").alias("units"))
     return binned.join(units, "goods", "left").groupBy("level_no", "node", "bin").agg(F.count("*").alias("goods_count"), F.coalesce(F.sum("units"), F.lit(0.0)).alias("units"))
 
@@ -200,10 +200,9 @@ def best_goods(orders: DataFrame, k: int = 10) -> DataFrame:
 
 def zone_activity(orders: DataFrame, goods: DataFrame, by: str, as_of: str, days: int = 90) -> DataFrame:
     """by, zone (thirds of the price range): goods, brands, sales of the last `days` and the share of goods sold in them."""
-    w = Window.partitionBy(by)
-    low, width = F.min("price").over(w), (F.max("price").over(w) - F.min("price").over(w)) / 3
-    zone = F.when(width == 0, 0).otherwise(F.least(F.floor((F.col("price") - low) / width), F.lit(2))).cast("int")
+    ends = goods.groupBy(by).agg(F.min("price").alias("_low"), ((F.max("price") - F.min("price")) / 3).alias("_width"))
+    zone = F.when(F.col("_width") == 0, 0).otherwise(F.least(F.floor((F.col("price") - F.col("_low")) / F.col("_width")), F.lit(2))).cast("int")
     age = F.datediff(F.lit(as_of).cast("date"), F.to_date("sale_time"))
     sold = orders.where(age.between(0, days - 1)).groupBy("goods").agg(F.sum("amount").alias("amount"))
-    rows = goods.select(by, "goods", "brand", zone.alias("zone")).join(sold, "goods", "left")
+    rows = goods.join(ends, by).select(by, "goods", "brand", zone.alias("zone")).join(sold, "goods", "left")
     return rows.groupBy(by, "zone").agg(F.count("*").alias("goods_count"), F.count_distinct("brand").alias("brands"), F.coalesce(F.sum("amount"), F.lit(0.0)).alias("sales"), F.avg(F.col("amount").isNotNull().cast("double")).alias("active"))

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions.text import words
+from .operators import category as C
 from .operators import geo, intervals, lists, models, nearest, outputs, prefix, profile, search
-from .oracles import _METRICS, _RATINGS, _SQL, _cosine, _minmax
+from .oracles import _LEVELS, _METRICS, _RATINGS, _SQL, _cosine, _minmax
 from .plans.views import view, with_views
 from .queries import EVENTS_AS_OF, Query, _metrics, _on, _other, _own, _ratings
 from .queries_outputs import _MESSAGE, ORACLES as BASE, QUERIES as FIRST
@@ -40,6 +41,17 @@ def _view_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.read()
 
 
+def _latest(spark: SparkSession, sf_dir: str, keys: str, columns: list[str], item: str | None = None) -> DataFrame:
+    """Members of views by `keys`, over three runs."""
+    base = scratch_path(spark, "latest")
+    told = "member bigint, " + ("item string, " if item else "") + "n long, last_ms long"
+    table = KeyedTable.create(spark.createDataFrame([], told), f"{base}/table", ["member"], 16)
+    rows = view(spark, sf_dir, "events").selectExpr("event_id", "user_id AS member", keys, "timestamp_seconds(event_id) AS ts")
+    job = lambda rows: state.follow(state.latest(rows.drop("event_id"), ["member"], "ts", 600, f"{LATE} seconds", item).select(*table.schema.names, "expired"), table, base)
+    state.in_runs(_thirds(rows, "event_id"), f"{base}/in", job)
+    return table.read().select(*columns)
+
+
 def _goods_views(spark: SparkSession, sf_dir: str) -> DataFrame:
     routed = stream.route_events(stream.file_source(spark, sf_dir, "events").selectExpr(f"{_MESSAGE} AS value"))
     return stream.drain(stream.running_count(routed.where("route = 'view'"), "goodsId"), scratch_path(spark, "stream"))
@@ -188,10 +200,18 @@ _STATE_SQL = f"""WITH v AS ({_VIEWED}), g AS (SELECT *, CASE WHEN ts - lag(ts) O
 _HOUR_SQL = """p AS (SELECT event_type, CAST(floor(epoch(ts) / 4) * 4 AS bigint) AS pane FROM {events} WHERE floor(epoch(ts) / 4) * 4 + 4 <= (SELECT epoch(max(ts)) - 600 FROM {events})),
     c AS (SELECT event_type, first_end, sum(d) AS d FROM (SELECT event_type, pane + 4 AS first_end, 1 AS d FROM p UNION ALL SELECT event_type, pane + 3604, -1 FROM p) x GROUP BY 1, 2),
     h AS (SELECT event_type, first_end, lead(first_end) OVER w - 4 AS last_end, CAST(sum(d) OVER (w ROWS UNBOUNDED PRECEDING) AS bigint) AS n FROM c WINDOW w AS (PARTITION BY event_type ORDER BY first_end))"""
+#: Users last seen less than 600 s before the watermark: how often since they were away for longer, and when last.
+_LATEST_SQL = f"""WITH g AS (SELECT user_id AS member, event_id, CASE WHEN event_id - lag(event_id) OVER w < 600 THEN 0 ELSE 1 END AS new FROM {{events}} WINDOW w AS (PARTITION BY user_id ORDER BY event_id)),
+    s AS (SELECT member, event_id, sum(new) OVER (PARTITION BY member ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS visit FROM g WHERE event_id > 0),
+    k AS (SELECT member, visit, count(*) AS n, max(event_id) AS last FROM s GROUP BY 1, 2 QUALIFY row_number() OVER (PARTITION BY member ORDER BY visit DESC) = 1),
+    a AS (SELECT member, n, last FROM k WHERE last + 600 > (SELECT max(event_id) - {LATE} FROM {{events}}))"""
 _PARTS = "SELECT {0}, part, string_agg(CAST(goods AS varchar), '#' ORDER BY goods) AS items FROM (SELECT {0}, goods, CAST(floor((row_number() OVER (PARTITION BY {0} ORDER BY goods) - 1) / {2}) AS bigint) AS part FROM {1}) x GROUP BY 1, 2"
 _TERMS = r"list_distinct(list_filter(string_split_regex(lower(concat_ws(' ', p_name, replace(p_brand, '#', ''), p_type, concat('size', p_size))), '[^\p{L}\p{N}]+'), lambda w: w <> ''))"
 _ALL: dict[str, tuple[Query, str | None]] = {
     "t2_view_state": (_view_state, _STATE_SQL),
+    "t4_active_users": (lambda spark, sf_dir: _latest(spark, sf_dir, "event_type", ["member", "n"]).orderBy(F.col("n").desc(), "member").limit(10), _LATEST_SQL + " SELECT member, n FROM a ORDER BY n DESC, member LIMIT 10"),
+    "t10_expiring_last_views": (lambda spark, sf_dir: _latest(spark, sf_dir, "cast(get_json_object(props, '$.k') AS string) AS goods", ["member", F.col("item").alias("goods"), "last_ms"], "goods"), _LATEST_SQL + " SELECT member, json_extract_string(props, '$.k') AS goods, 1000 * last AS last_ms FROM a JOIN {events} ON event_id = last"),
+    "g5_leaf_parts": (_on(lambda d: lists.joined_parts(C.level_tree(d).select("level_no", "node", "category"), ["level_no", "node"], "category", 20), "v_category_dim"), f"SELECT level_no, node, part, string_agg(category, '#' ORDER BY category) AS items FROM (SELECT level_no, node, category, CAST(floor((row_number() OVER (PARTITION BY level_no, node ORDER BY category) - 1) / 20) AS bigint) AS part FROM {_LEVELS} t) x GROUP BY 1, 2, 3"),
     "t2_goods_views": (_goods_views, "SELECT concat(event_id % 50) AS goodsId, count(*) AS count FROM {events} WHERE event_type = 'view' AND event_id % 10 <> 0 GROUP BY 1"),
     "t2_member_records": (_member_records, f"WITH v AS ({_VIEWED}), e AS (SELECT event_id, {_MESSAGE} AS record FROM events) SELECT concat(lower(channel), '_', member, '_', 1000 * ts) AS key, record FROM v JOIN e ON ts = event_id"),
     "t5_hour_every_4s": (_hour, f"WITH {_HOUR_SQL} SELECT event_type, first_end, last_end, n FROM h WHERE n > 0"),

@@ -13,53 +13,61 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from ..sources.keyed import KeyedTable
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-VIEW_STATE = "member string, goods string, views long, last_ms long, expired boolean"
+class Latest(StatefulProcessor):
+    """How often a key was seen, when last and with what, forgotten `lifetime` milliseconds after that.
 
-
-class LastViews(StatefulProcessor):
-    """How often a member viewed a goods and when last, forgotten `lifetime` milliseconds after that.
-
-    The state's key is the pair, so a member or a goods with very many views is many small keys. A pair that comes
-    back after its lifetime starts anew, whether or not the watermark has reached its end before, so the counts don't
-    depend on how the stream is cut into batches.
+    A key that comes back after its lifetime starts anew, whether or not the watermark has reached its end before, so
+    the counts don't depend on how the stream is cut into batches.
     """
 
-    def __init__(self, lifetime: int):
-        self.lifetime = lifetime
+    def __init__(self, keys: list[str], lifetime: int):
+        self.keys, self.lifetime = keys, lifetime
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "views long, last_ms long")
+        self.seen = handle.getValueState("seen", "n long, last_ms long, item string")
+
+    def _row(self, key: Any, n: int, last: int, item: str | None, expired: bool) -> Row:
+        return Row(**dict(zip(self.keys, key, strict=True)), n=n, last_ms=last, item=item, expired=expired)
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803
-        views, last = self.seen.get() if self.seen.exists() else (0, None)
+        n, last, item = self.seen.get() if self.seen.exists() else (0, None, None)
         before = last
-        for ms in sorted(r["ms"] for r in rows):
+        for ms, told in sorted(((r["ms"], r["item"]) for r in rows), key=lambda x: (x[0], x[1] is not None, x[1] or "")):
             if last is not None and ms - last >= self.lifetime:
-                views = 0
-            views, last = views + 1, ms if last is None else max(last, ms)
+                n = 0
+            n += 1
+            if last is None or ms >= last:
+                last, item = ms, told
         if before is not None:
             self.handle.deleteTimer(before + self.lifetime)
         self.handle.registerTimer(last + self.lifetime)
-        self.seen.update((views, last))
-        yield Row(member=key[0], goods=key[1], views=views, last_ms=last, expired=False)
+        self.seen.update((n, last, item))
+        yield self._row(key, n, last, item, False)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:  # noqa: N802, N803
         self.seen.clear()
-        yield Row(member=key[0], goods=key[1], views=0, last_ms=0, expired=True)
+        yield self._row(key, 0, 0, None, True)
 
     def close(self) -> None:
         pass
 
 
-def view_state(views: DataFrame, lifetime_seconds: int, late: str = "1 minute") -> DataFrame:
-    """member, goods, views, last_ms, expired of each pair that a batch of views (member, goods, ts) changes.
+def latest(rows: DataFrame, keys: list[str], ts: str, lifetime_seconds: int, late: str = "1 minute", item: str | None = None) -> DataFrame:
+    """keys, n, last_ms, item, expired of each key that a batch of `rows` changes; `item` is a column's value in the last row, the greatest of several.
 
-    Views older than the watermark are dropped. The state holds the pairs whose last view is less than a lifetime
-    before the watermark.
+    Rows no newer than the watermark are dropped. The state holds the keys last seen less than a lifetime before the
+    watermark, a small entry each; a key that has very many rows is one entry.
     """
-    timed = views.withWatermark("ts", late).select("member", "goods", "ts", F.unix_millis("ts").alias("ms"))
-    return timed.groupBy("member", "goods").transformWithState(LastViews(1000 * lifetime_seconds), VIEW_STATE, "Update", "EventTime")
+    timed = rows.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", late)
+    told = timed.select(*keys, "_ts", F.unix_millis("_ts").alias("ms"), (F.col(item).cast("string") if item else F.lit(None).cast("string")).alias("item"))
+    schema = ", ".join([f"{k} {dict(told.dtypes)[k]}" for k in keys] + ["n long, last_ms long, item string, expired boolean"])
+    return told.groupBy(*keys).transformWithState(Latest(keys, 1000 * lifetime_seconds), schema, "Update", "EventTime")
+
+
+def view_state(views: DataFrame, lifetime_seconds: int, late: str = "1 minute") -> DataFrame:
+    """member, goods, views, last_ms, expired of each pair that a batch of views (member, goods, ts) changes: the map of a member's goods, an entry a pair."""
+    return latest(views, ["member", "goods"], "ts", lifetime_seconds, late).select("member", "goods", F.col("n").alias("views"), "last_ms", "expired")
 
 
 def view_records(routed: DataFrame, cookies: DataFrame) -> DataFrame:

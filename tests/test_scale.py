@@ -306,3 +306,52 @@ def test_a_stopped_stream_counts_each_row_once(spark, tmp_path):
         spark.streams.removeListener(heard)
     assert {r["k"]: r["count"] for r in counts.collect()} == {0: 7, 1: 7, 2: 6}
     assert _rows(heard.rows(spark).groupBy("run", "name").agg(F.sum("value").alias("v"), F.sum("input_rows").alias("n")), "run", "name", "v", "n") == [(0, "even", 5, 10), (1, "even", 5, 10)]
+
+
+def test_lines_of_a_socket(spark):
+    import socket
+    import threading
+    import time
+
+    from shelflens.streaming import events
+
+    with socket.create_server(("127.0.0.1", 0)) as server:
+        over = threading.Event()
+
+        def serve():
+            told, _ = server.accept()
+            with told:
+                told.sendall(b"the cat\nand the dog\n")
+                over.wait(60)
+
+        threading.Thread(target=serve, daemon=True).start()
+        stop = spark.createDataFrame([("the",)], "word string")
+        words = events.word_count(events.socket_source(spark, "127.0.0.1", server.getsockname()[1]), stop)
+        query = words.writeStream.outputMode("complete").format("memory").queryName("words_of_a_socket").start()
+        try:
+            for _ in range(60):
+                found = {r["word"]: r["count"] for r in spark.table("words_of_a_socket").collect()}
+                if len(found) == 3:
+                    break
+                time.sleep(0.5)
+        finally:
+            over.set()
+            query.stop()
+        assert found == {"cat": 1, "and": 1, "dog": 1}
+
+
+def test_latest_rows_of_a_key_whatever_the_batches(spark, tmp_path):
+    rng = random.Random(8)
+    times = sorted({60 + t for t in rng.sample(range(8000), 500)})
+    rows = [(rng.randrange(12), f"i{rng.randrange(40)}", t) for t in times]
+    want: dict = {}
+    for k, item, t in rows:
+        n, last, _ = want.get(k, (0, None, None))
+        want[k] = (1 if last is not None and t - last >= 400 else n + 1, t, item)
+    want = {k: (n, 1000 * t, item) for k, (n, t, item) in want.items() if t + 400 > times[-1] - 10}
+    for cuts in ([0, 9000], [0, 700, 5000, 9000]):
+        base = tmp_path / str(len(cuts))
+        table = KeyedTable.create(spark.createDataFrame([], "k long, n long, last_ms long, item string"), str(base / "t"), ["k"], 4)
+        parts = [spark.createDataFrame([r for r in rows if a <= r[2] < b], "k long, item string, s long").select("k", "item", F.timestamp_seconds("s").alias("ts")) for a, b in zip(cuts, cuts[1:])]
+        state.in_runs(parts, str(base / "in"), lambda x, t=table, p=base: state.follow(state.latest(x, ["k"], "ts", 400, "10 seconds", "item").select(*t.schema.names, "expired"), t, str(p / "run")))
+        assert {r["k"]: (r["n"], r["last_ms"], r["item"]) for r in table.read().collect()} == want
