@@ -28,7 +28,6 @@ class Params:
     share: float = 0.7
     rows: int = 20_000  #: of a shard of the index
     queries: int = 2_000  #: compared with a shard at a time
-    block: int = 20_000  #: queries that go to a shard together
     seed: int = 3
 
 
@@ -82,34 +81,55 @@ def cosine(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
     return (rows * query).sum(1) / (np.sqrt((rows * rows).sum(1)) * math.sqrt((query * query).sum()))
 
 
-def _search(k: int, p: Params):
-    def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
-        out = []
-        if rows.num_rows and asked.num_rows:
-            size = rows["size"][0].as_py()
-            ids = rows["vec_id"].to_numpy()
-            x = _matrix(rows["embedding"].combine_chunks(), size)
-            x = x[np.argsort(ids, kind="stable")]
-            ids = np.sort(ids, kind="stable")
-            norm = np.sqrt((x * x).sum(1))
-            forest, need = Forest(x / norm[:, None], p), min(len(x) * p.trees, max(4 * k, math.ceil(p.share * len(x))))
-            for batch in asked.to_batches():
-                for at in range(0, batch.num_rows, p.queries):
-                    part = batch.slice(at, p.queries)
-                    q = _matrix(part["embedding"], size)
-                    q_norm = q / np.sqrt((q * q).sum(1))[:, None]
-                    for query, unit, me, row, times, found in zip(q, q_norm, *(part[c].to_pylist() for c in ("vec_id", "row", "times")), forest.candidates(q_norm, need), strict=True):
-                        found = found[ids[found] != me]
-                        if len(found) < k:  # few rows, or many copies of the query
-                            found = np.flatnonzero(ids != me)
-                        near = (x[found] @ unit) / norm[found]
-                        if len(near) > k:
-                            found = found[near >= np.partition(near, -k)[-k] - 1e-9]
-                        exact = cosine(x[found], query)
-                        for i in np.lexsort((ids[found], -exact))[:k]:
-                            out.append((me, row, times, int(ids[found[i]]), float(exact[i])))
+class Shard:
+    """The vectors of a shard and their forest."""
+
+    def __init__(self, rows: pa.Table, size: int, p: Params):
+        ids = rows["vec_id"].to_numpy()
+        order = np.argsort(ids, kind="stable")
+        self.ids, self.x, self.size, self.p = ids[order], _matrix(rows["embedding"].combine_chunks(), size)[order], size, p
+        self.norm = np.sqrt((self.x * self.x).sum(1))
+        self.forest = Forest(self.x / self.norm[:, None], p)
+
+    def nearest(self, asked: pa.RecordBatch, k: int) -> pa.RecordBatch:
+        ids, x, norm, p, out = self.ids, self.x, self.norm, self.p, []
+        need = min(len(x) * p.trees, max(4 * k, math.ceil(p.share * len(x))))
+        q = _matrix(asked["embedding"], self.size)
+        q_norm = q / np.sqrt((q * q).sum(1))[:, None]
+        for query, unit, me, row, times, found in zip(q, q_norm, *(asked[c].to_pylist() for c in ("vec_id", "row", "times")), self.forest.candidates(q_norm, need), strict=True):
+            found = found[ids[found] != me]
+            if len(found) < k:  # few rows, or many copies of the query
+                found = np.flatnonzero(ids != me)
+            near = (x[found] @ unit) / norm[found]
+            if len(near) > k:
+                found = found[near >= np.partition(near, -k)[-k] - 1e-9]
+            exact = cosine(x[found], query)
+            for i in np.lexsort((ids[found], -exact))[:k]:
+                out.append((me, row, times, int(ids[found[i]]), float(exact[i])))
         types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.float64())
-        return pa.table([pa.array([o[i] for o in out], t) for i, t in enumerate(types)], ["query_id", "row", "times", "vec_id", "score"])
+        return pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(types)], ["query_id", "row", "times", "vec_id", "score"])
+
+
+def _search(k: int, p: Params):
+    """Over rows sorted by shard and size, the index's vectors before the queries: a forest is built once and the queries stream past it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, shard = None, [], None
+        for batch in batches:
+            marks = np.stack([batch[c].to_numpy() for c in ("shard", "size", "kind")])
+            edges = [0, *(np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(0)) + 1).tolist(), batch.num_rows]
+            for a, b in zip(edges, edges[1:], strict=False):
+                if a == b:
+                    continue
+                if key != (now := (int(marks[0, a]), int(marks[1, a]))):
+                    key, held, shard = now, [], None
+                if marks[2, a] == 0:
+                    held.append(batch.slice(a, b - a))
+                    continue
+                if shard is None and held:
+                    shard, held = Shard(pa.Table.from_batches(held), key[1], p), []
+                for at in range(a, b if shard else a, p.queries):
+                    yield shard.nearest(batch.slice(at, min(p.queries, b - at)), k)
 
     return run
 
@@ -119,8 +139,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, p: Params = Para
 
     Both tables hold vec_id and embedding. Rows with a null vec_id, or a vector that is null, zero or holds null or
     non-finite components, take no part; vectors are compared with those of their length. A repeated row stands in the
-    result once for each time. An empty table gives an empty result. The index lies in shards of some `rows` vectors;
-    each block of some `block` queries goes to each shard as a group of its own. Repeated queries are searched once.
+    result once for each time. An empty table gives an empty result. The index lies in shards of some `rows` vectors,
+    each with one forest; every query is sent to every shard and streams past its forest, so a task holds a shard and a
+    few queries. Repeated queries are searched once.
     """
 
     def clean(df: DataFrame) -> DataFrame:
@@ -128,11 +149,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, p: Params = Para
 
     index = clean(vectors)
     asked = clean(queries).groupBy("vec_id", "embedding", "size").agg(F.count("*").alias("times")).withColumn("row", F.xxhash64("vec_id", "embedding"))
-    shards, blocks = max(1, math.ceil(index.count() / p.rows)), max(1, math.ceil(asked.count() / p.block))
-    key = ["shard", "block", "size"]
-    placed = index.withColumn("shard", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(shards)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    sent = asked.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    found = placed.groupBy(*key).cogroup(sent.groupBy(*key)).applyInArrow(_search(k, p), "query_id long, row long, times long, vec_id long, score double")
+    shards = max(1, math.ceil(index.count() / p.rows))
+    columns = ["shard", "size", "kind", "vec_id", "embedding", "row", "times"]
+    none = F.lit(None).cast("long")
+    placed = index.select(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(shards)).cast("int").alias("shard"), "size", F.lit(0).alias("kind"), "vec_id", "embedding", none.alias("row"), none.alias("times"))
+    sent = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), "size", F.lit(1).alias("kind"), "vec_id", "embedding", "row", "times")
+    dealt = placed.unionByName(sent).select(*columns).repartition("shard", "size").sortWithinPartitions("shard", "size", "kind")
+    found = dealt.mapInArrow(_search(k, p), "query_id long, row long, times long, vec_id long, score double")
     order = Window.partitionBy("query_id", "row").orderBy(F.col("score").desc(), "vec_id")
     best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return best.withColumn("again", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))).select("query_id", "rank", "vec_id", "score")

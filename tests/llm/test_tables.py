@@ -171,7 +171,7 @@ def test_repeated_queries_keep_their_neighbours(spark):
     vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
     asked = vectors.where("vec_id % 50 = 0")
     twice = asked.unionByName(asked.where("vec_id = 50")).unionByName(spark.createDataFrame([(50, x[7].tolist())], vectors.schema))
-    p = neighbours.Params(rows=40, block=2)
+    p = neighbours.Params(rows=40, queries=2)
     once = sorted(map(tuple, neighbours.nearest(vectors, asked, p=p).collect()))
     assert [r[:2] for r in once] == [(q, i) for q in (0, 50, 100) for i in range(1, 6)]
     other = sorted(map(tuple, neighbours.nearest(vectors, twice.where(F.col("embedding") == F.lit(x[7].tolist())), p=p).collect()))
