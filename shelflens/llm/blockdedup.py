@@ -283,4 +283,5 @@ def remove_repeats(docs: DataFrame, window: int = 13) -> DataFrame:
 
 
 def op6_block_anchors(docs: DataFrame) -> DataFrame:
+    """What remove_repeats leaves of every row, by its hash. Nulls, empty and repeated rows are as there; texts of any length are read whole, other columns not at all."""
     return remove_repeats(docs).select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))

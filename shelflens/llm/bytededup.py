@@ -359,4 +359,5 @@ def remove_repeats(docs: DataFrame, window: int = 400, gram: int = 64) -> DataFr
 
 
 def op7_byte_repeats(docs: DataFrame) -> DataFrame:
+    """What remove_repeats leaves of every row, by its hash. Nulls, empty and repeated rows are as there; very long texts are cut with an overlap, so that nothing is lost; other columns are not read."""
     return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

@@ -155,7 +155,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = 3, rows
 
 
 def mixture(docs: DataFrame) -> DataFrame:
-    """The mix itself: each row of `docs` as often as it is taken, with the columns of `docs`."""
+    """The mix itself: each row of `docs` as often as it is taken, with the columns of `docs`.
+
+    A null source is a source; rows without words are kept once; equal rows are mixed each for itself. Texts of any
+    length count by all their words. An empty table stays empty.
+    """
     taken = mix(docs).where("copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return taken.select(*tucked(docs)[2])
 

@@ -162,4 +162,5 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, p: Params = Para
 
 
 def op8_prefix_forest(embeddings: DataFrame) -> DataFrame:
+    """The five nearest of every vector whose id is divisible by 50. Nulls, odd vectors, ties and repeated rows are as in `nearest`; other columns are not read."""
     return save(nearest(embeddings, embeddings.where("vec_id % 50 = 0")), "neighbours")

@@ -205,4 +205,10 @@ def rate(docs: DataFrame, model: Model, least: float | None = None, p: Params =
 
 
 def op1_ordinal_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, expected_grade, tail_probability, keep of every row of `docs`, rated by its whole text.
+
+    Null and empty texts have a feature of their own; rows that repeat a doc_id, or have none, are rated each by its
+    text, so equal texts have equal grades. Null labels don't teach. Without labels, or with one grade only, all rows
+    are rated alike. Other columns are not read. An empty table gives an empty result.
+    """
     return rate(docs, fit(docs, labels))

@@ -278,7 +278,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, p: Params = Params(), pa
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFrame:
-    """The rows of `docs`, all columns kept, that aren't predicted toxic."""
+    """The rows of `docs`, all columns kept, that aren't predicted toxic by their own whole text.
+
+    Null and empty texts stay unless most labels are toxic; rows that repeat a doc_id, or have none, are judged each by
+    its text. An empty table stays empty.
+    """
     model = fit(docs, labels, p)
     columns = docs.columns
     inner = [f"_c{i}" for i in range(len(columns))]
