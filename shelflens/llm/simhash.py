@@ -22,6 +22,9 @@ from .common import pieces, row_key, save, slices, text_bytes, tucked
 from .components import connected_components
 
 SHINGLE, SEED, BITS = 4, 42, 64
+#: Bits of a sketch, and those that have to agree for a second try: of pairs of similarity 0.8 one in some 2,000 has fewer.
+HASHES, AGREE = 128, 104
+_FACTORS, _SUMMANDS = np.random.default_rng(29).integers(1, 1 << 63, (2, HASHES), dtype=np.uint64) | np.uint64(1)
 _BIT_OF_BYTE = (np.arange(256)[:, None] >> np.arange(8)) & 1
 
 
@@ -111,12 +114,32 @@ def nearest_forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return links
 
 
-def nearest_links(fps: np.ndarray, distance: int, groups: np.ndarray, failed: list, most: int) -> list[tuple[int, int]]:
-    """For each fingerprint its `most` closest links of at most `distance` bits to ones of other groups, but those in its list of `failed`."""
+def sketch(text: bytes, size: int) -> np.ndarray:
+    """HASHES bits, as signed longs, of the least of the text's shingles under so many hashes: texts of similarity j agree in about (1 + j) / 2 of them."""
+    found, least = np.unique(shingles(text, size)), np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(found), 4096):
+        least = np.minimum(least, (found[at : at + 4096, None] * _FACTORS + _SUMMANDS).min(0))
+    return np.packbits((least >> np.uint64(7) & np.uint64(1)).astype(np.uint8)).view(np.int64)
+
+
+def sketches(texts: DataFrame, size: int) -> DataFrame:
+    """fp, sketch of `texts` (fp, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, told in pieces(batches):
+            yield pa.RecordBatch.from_arrays([batch["fp"], pa.array([sketch(x, size) for x in told], pa.list_(pa.int64()))], ["fp", "sketch"])
+
+    return texts.select("fp", "text").mapInArrow(run, "fp long, sketch array<long>")
+
+
+def nearest_links(fps: np.ndarray, distance: int, rows: pa.Table, most: int) -> list[tuple[int, int]]:
+    """For each fingerprint its `most` closest links of at most `distance` bits to ones of other groups, but those in its list of `failed` and those whose sketches agree in fewer than AGREE bits."""
     links: list[tuple[int, int]] = []
-    for fp, group, tried in zip(fps.tolist(), groups.tolist(), failed, strict=True):
+    groups, told = rows["group"].to_numpy(), rows["sketch"].combine_chunks().flatten().to_numpy().reshape(len(fps), -1)
+    for fp, group, own, tried in zip(fps.tolist(), groups.tolist(), told, rows["failed"].to_pylist(), strict=True):
         bits = np.bitwise_count((fps ^ fp).view(np.uint64))
         at = np.flatnonzero((bits <= distance) & (groups != group))
+        at = at[np.bitwise_count((told[at] ^ own).view(np.uint64)).sum(1) <= HASHES - AGREE]
         if tried and len(at):
             at = at[~np.isin(fps[at], tried)]
         if len(at) > most:
@@ -128,7 +151,7 @@ def nearest_links(fps: np.ndarray, distance: int, groups: np.ndarray, failed: li
 def _link(distance: int, most: int | None, joined=forest):
     """Over rows sorted by key: links (a, b), and (a, null) for each fingerprint of a key with more than `most`.
 
-    Rows may have the columns group and failed, which `joined` then takes as well.
+    Rows may have the columns group, sketch and failed, which `joined` then takes as well.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,13 +163,13 @@ def _link(distance: int, most: int | None, joined=forest):
             fps = np.concatenate([x[0] for x in kept])
             if kept[0][1] is None:
                 return joined(fps, distance)
-            return joined(fps, distance, np.concatenate([x[1] for x in kept]), [f for x in kept for f in x[2].to_pylist()])
+            return joined(fps, distance, pa.Table.from_batches([x[1] for x in kept]))
 
         for batch in batches:
             keys, fps = batch["key"].to_numpy(), batch["fp"].to_numpy()
             if not len(keys):
                 continue
-            groups = batch["group"].to_numpy() if "group" in batch.schema.names else None
+            more = "group" in batch.schema.names
             edge = np.flatnonzero(np.diff(keys)) + 1
             starts, ends = np.concatenate(([0], edge)), np.concatenate((edge, [len(keys)]))
             out: list[tuple[int, int | None]] = []
@@ -160,7 +183,7 @@ def _link(distance: int, most: int | None, joined=forest):
                     out += [(int(x), None) for x in np.concatenate([*[k[0] for k in kept], part])]
                     kept, size, over = [], size + len(part), True
                 else:
-                    kept.append((part, None, None) if groups is None else (part, groups[a:b], batch["failed"].slice(a, b - a)))
+                    kept.append((part, batch.slice(a, b - a) if more else None))
                     size += len(part)
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
         out = close()
@@ -175,7 +198,7 @@ def links(fps: DataFrame, distance: int = 4, blocks: int = 6, agree: int = 2, mo
     `agree` of `blocks` sets the key's length (21 bits at 2 of 6); take more for more than some 100 million
     fingerprints. A key with more than `most` fingerprints has them dealt again by `agree2` of `blocks2` (32 bits).
     Within a key links of up to `reach` bits count (`distance` if not given); beyond `distance` some pairs share no key.
-    `fps` (fp) may have the columns group and failed, for `joined` as nearest_links.
+    `fps` (fp) may have the columns group, sketch and failed, for `joined` as nearest_links.
     """
     reach = reach or distance
     if blocks - distance < agree or blocks2 - distance < agree2:
@@ -220,6 +243,9 @@ def jaccard(a: bytes, b: bytes, size: int) -> float:
     return both / max(len(x) + len(y) - both, 1)
 
 
+FEW = 500_000  #: pairs whose fingerprints, at most a million longs, are broadcast to find their texts
+
+
 def _verified(near: DataFrame, texts: DataFrame, size: int, similarity: float) -> DataFrame:
     """a, b, ok: whether the shingle sets of the texts (fp, text) of two fingerprints have `similarity` at least."""
 
@@ -229,6 +255,9 @@ def _verified(near: DataFrame, texts: DataFrame, size: int, similarity: float) -
                 ok = [jaccard(a, b, size) >= similarity for a, b in zip(text_bytes(part["text_a"]), text_bytes(part["text_b"]), strict=True)]
                 yield pa.RecordBatch.from_arrays([part["a"], part["b"], pa.array(ok, pa.bool_())], ["a", "b", "ok"])
 
+    ends = near.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    if near.count() <= FEW:
+        texts = save(texts.join(F.broadcast(ends), "fp"), "simhash-some")
     pairs = near.join(texts.select(F.col("fp").alias("a"), F.col("text").alias("text_a")), "a").join(texts.select(F.col("fp").alias("b"), F.col("text").alias("text_b")), "b")
     return save(pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, ok boolean"), "simhash-verified")
 
@@ -240,15 +269,16 @@ def _grouped(groups: DataFrame, links: DataFrame) -> DataFrame:
     return save(groups.join(roots, groups["group"] == roots["node"], "left").select("fp", F.coalesce("root", "group").alias("group")), "simhash-groups")
 
 
-def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, distance: int = 10, reach: int = 12) -> DataFrame:
+def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, distance: int = 10, reach: int = 12, again: int = 8) -> DataFrame:
     """row, doc_id, fp, group of every row of `docs` (row, doc_id, text): rows of one group are linked by fingerprints and verified by their shingles.
 
     Fingerprints of `size`-word shingles up to `distance` bits apart meet in two of `distance` + 2 blocks (a very large
     key in three of `distance` + 3), and nearly all up to `reach` do. The closest links that hold them together count if
     the shingle sets of two documents with these fingerprints have `similarity` (Jaccard) at least. Where some don't,
-    the next closest links between the groups so far are tried in their place, eight for each fingerprint and eight
-    times as many each round, until there is none left to try: so all that verified links between fingerprints that
-    meet would join is joined. Equal fingerprints are one document here.
+    for each fingerprint of a group that a failed link touches `again` other links are tried, its closest ones to other groups
+    in each key whose sketches agree well enough: texts that share a common passage have close fingerprints by the thousand.
+    So a family of up to `again` + 1 texts is joined as all its pairs would; in large ones whose members are mostly less
+    alike than that, links may be missed after both rounds. Equal fingerprints are one document here.
     Pairs at 0.8 differ by 9 or 10 bits on average, so some of the least similar that would count lie further apart and
     aren't found: about one in five at 0.8, one in twenty at 0.85. A greater `distance` and `reach` find more, with more
     and shorter keys.
@@ -260,21 +290,18 @@ def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, distance: i
     linked = save(near.select(F.col("a").alias("fp")).unionByName(near.select(F.col("b").alias("fp"))).distinct(), "simhash-linked")
     first = fps.join(linked, "fp", "left_semi").groupBy("fp").agg(F.min("row").alias("row"))  # one document for each linked fingerprint
     texts = save(docs.select("row", "text").join(first, "row").groupBy("fp").agg(F.min("text").alias("text")), "simhash-texts")
-    groups, failed, most = linked.withColumn("group", F.col("fp")), None, 8
-    while not near.isEmpty():
-        told = _verified(near, texts, size, similarity)
-        groups = _grouped(groups, told.where("ok"))
-        wrong = told.where("not ok").select("a", "b")
-        failed = wrong if failed is None else failed.unionByName(wrong)
-        apart = failed.join(groups.select(F.col("fp").alias("a"), F.col("group").alias("group_a")), "a").join(groups.select(F.col("fp").alias("b"), F.col("group").alias("group_b")), "b").where("group_a <> group_b")
-        open_ = save(apart.select(F.explode(F.array("group_a", "group_b")).alias("group")).distinct(), "simhash-open")
-        if open_.isEmpty():
-            break
+    told = _verified(near, texts, size, similarity)
+    groups, failed = _grouped(linked.withColumn("group", F.col("fp")), told.where("ok")), told.where("not ok").select("a", "b")
+    apart = failed.join(groups.select(F.col("fp").alias("a"), F.col("group").alias("group_a")), "a").join(groups.select(F.col("fp").alias("b"), F.col("group").alias("group_b")), "b").where("group_a <> group_b")
+    open_ = save(apart.select(F.explode(F.array("group_a", "group_b")).alias("group")).distinct(), "simhash-open")
+    if not open_.isEmpty():
         both = failed.unionByName(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        partners = both.groupBy(F.col("a").alias("fp")).agg(F.collect_list("b").alias("failed"))  # as many as were tried
-        nodes = groups.join(open_, "group", "left_semi").join(partners, "fp", "left")
-        nodes = save(nodes.select("fp", "group", F.coalesce("failed", F.array().cast("array<bigint>")).alias("failed")), "simhash-nodes")
-        near, most = once(join(nodes, partial(nearest_links, most=most))), 8 * most
+        partners = both.groupBy(F.col("a").alias("fp")).agg(F.collect_list("b").alias("failed"))  # those of a forest
+        nodes = groups.join(open_, "group", "left_semi").join(partners, "fp", "left").select("fp", "group", F.coalesce("failed", F.array().cast("array<bigint>")).alias("failed"))
+        nodes = save(nodes, "simhash-nodes")
+        nodes = save(nodes.join(sketches(texts.join(nodes, "fp", "left_semi"), size), "fp"), "simhash-sketched")
+        more = once(join(nodes, partial(nearest_links, most=again)))
+        groups = _grouped(groups, _verified(more, texts, size, similarity).where("ok"))
     rows = fps.join(groups, "fp", "left")
     return rows.select("row", "doc_id", "fp", F.coalesce("group", "fp").alias("group"))
 

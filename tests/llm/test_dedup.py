@@ -133,10 +133,13 @@ def test_links_between_groups_leave_out_failed_ones():
         groups = rng.integers(0, 6, len(fps))
         failed = [[int(x) for x in rng.choice(fps, 4)] for _ in fps]
         bits = lambda a, b: ((int(a) ^ int(b)) % (1 << 64)).bit_count()
+        told = rng.integers(0, 2, (len(fps), 2)) * np.int64(-1 >> 1) * (rng.random((len(fps), 1)) < 0.2)  # some differ in all bits
+        rows = pa.table([pa.array(groups, pa.int64()), pa.array(list(told), pa.list_(pa.int64())), pa.array(failed, pa.list_(pa.int64()))], ["group", "sketch", "failed"])
+        far = lambda i, j: sum(bits(x, y) for x, y in zip(told[i], told[j], strict=True)) > simhash.HASHES - simhash.AGREE
         for most in (3, 100):
-            found = simhash.nearest_links(fps, 4, groups, failed, most)
-            for a, g, tried in zip(fps, groups, failed, strict=True):
-                near = sorted(bits(a, b) for b, h in zip(fps, groups, strict=True) if g != h and bits(a, b) <= 4 and int(b) not in tried)
+            found = simhash.nearest_links(fps, 4, rows, most)
+            for i, (a, g, tried) in enumerate(zip(fps, groups, failed, strict=True)):
+                near = sorted(bits(a, b) for j, (b, h) in enumerate(zip(fps, groups, strict=True)) if g != h and bits(a, b) <= 4 and int(b) not in tried and not far(i, j))
                 mine = [b for x, b in found if x == a]
                 assert sorted(bits(a, b) for b in mine) == near[:most] and not set(mine) & set(tried)
 
