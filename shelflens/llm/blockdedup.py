@@ -9,8 +9,7 @@ compared by their whole word sequence, to find the smallest document each starts
 maximal repeats.
 
 The rolling blocks travel as sorted, delta-coded hashes, a packed list for each task and range of hashes. The windows of
-a hit that very many documents share are rows of their own, of which each task first takes the smallest document of each
-window; so neither a hit nor a window that a third of all documents share goes to one task.
+a hit that very many documents share are dealt out by their own hashes, so that no task gets all of them.
 """
 
 from __future__ import annotations
@@ -131,16 +130,17 @@ def _repeated(bits: int):
     return run
 
 
-def _candidates(window: int, bits: int, shared, hot: np.ndarray, of_hot: bool = False):
+def _candidates(window: int, bits: int, shared, hot: frozenset = frozenset()):
     """Candidate windows in a row, under the hit that stands for them: its hash, the document, the first window's place and the windows' hashes.
 
-    Windows of hits in `hot` (sorted, HOT at most) are left out, or with `of_hot` all others are, and each is a row of its own.
+    Of a hit in `hot` each window is a row of its own, under its own hash as well (`sub`, else 0).
     """
     block = (window + 1) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = Memo(word_hash)
         repeats, anchors = (np.frombuffer(x, np.uint8) for x in shared.value)
+        many = np.array(sorted(hot), np.int64).view(np.uint64)
         width = window - block + 1
         for batch, texts in pieces(batches):
             tokens, keep, first = _stream(texts, memo, window)
@@ -157,24 +157,21 @@ def _candidates(window: int, bits: int, shared, hot: np.ndarray, of_hot: bool =
                 continue
             hits = np.where(np.diff(anchor) > 0, h, np.uint64(_MOST))
             least, whole = sliding_argmin(hits, width)[at], gram_hashes(tokens, window)[at].view(np.int64)
-            if len(hot) or of_hot:
-                chosen = np.isin(h[least].view(np.int64), hot) == of_hot
-                at, least, whole = at[chosen], least[chosen], whole[chosen]
-                if not len(at):
-                    continue
-            new = np.flatnonzero(np.concatenate(([True], (least[1:] != least[:-1]) | (np.diff(at) > 1) | of_hot)))
+            crowded = np.isin(h[least], many)
+            new = np.flatnonzero(np.concatenate(([True], (least[1:] != least[:-1]) | (np.diff(at) > 1) | crowded[1:])))
             doc = np.searchsorted(first, at[new], "right") - 1
             row = keep[doc]
             ids = batch["doc_id"].fill_null(_LAST).to_numpy()[row]
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate((new, [len(at)])), pa.int32()), pa.array(whole, pa.int64()))
-            columns = [pa.array(h[least[new]].view(np.int64)), pa.array(ids), batch["rid"].take(pa.array(row)), pa.array((at[new] - first[doc]).astype(np.int32)), lists]
-            yield pa.RecordBatch.from_arrays(columns, ["least", "doc", "rid", "at", "windows"])
+            sub = np.where(crowded[new], whole[new] | 1, 0)
+            columns = [pa.array(h[least[new]].view(np.int64)), pa.array(sub), pa.array(ids), batch["rid"].take(pa.array(row)), pa.array((at[new] - first[doc]).astype(np.int32)), lists]
+            yield pa.RecordBatch.from_arrays(columns, ["least", "sub", "doc", "rid", "at", "windows"])
 
     return run
 
 
 def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Over rows sorted by hit and document: which windows start in a smaller document too, as bits from `at`.
+    """Over rows sorted by hit, `sub` and document: which windows start in a smaller document too, as bits from `at`.
 
     The first document met with a window is the smallest. What the last hit of a batch has met is kept for the next.
     """
@@ -182,20 +179,20 @@ def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        least, doc = (batch[c].to_numpy() for c in ("least", "doc"))
+        least, sub, doc = (batch[c].to_numpy() for c in ("least", "sub", "doc"))
         lists = batch["windows"]
         n = np.diff(lists.offsets.to_numpy())
         h = lists.flatten().to_numpy()
         owner = np.repeat(np.arange(len(n)), n)
         _, index, inverse = np.unique(h, return_index=True, return_inverse=True)
         smallest = doc[owner[index]][inverse]
-        begins = np.flatnonzero(np.concatenate(([last != least[0]], least[1:] != least[:-1])))
+        begins = np.flatnonzero(np.concatenate(([last != (least[0], sub[0])], (least[1:] != least[:-1]) | (sub[1:] != sub[:-1]))))
         part = int(n[: begins[0]].sum()) if len(begins) else len(h)  # windows of the hit that the batch before ended with
         if part:
             old = np.fromiter((met.get(x, _LAST) for x in h[:part].tolist()), np.int64, part)
             smallest[:part] = np.minimum(smallest[:part], old)
         if len(begins):
-            last, met = least[-1], {}
+            last, met = (least[-1], sub[-1]), {}
         tail = owner >= (begins[-1] if len(begins) else 0)
         for x, d in zip(h[tail].tolist(), smallest[tail].tolist(), strict=True):
             met.setdefault(x, d)
@@ -213,8 +210,8 @@ HOT = 4096  #: crowded hits, at most
 def covered_windows(docs: DataFrame, window: int = 13, bytes_per_range: int = 12 << 20, most_bits: int = 29, crowd: int = 20_000) -> DataFrame:
     """doc, rid, at, mask: for rows of `docs` by their key, windows that start in a smaller doc_id too (bit i: the one at `at` + i).
 
-    A hit with some `crowd` rows or more and a HOT-th of all rows at least, by a sample of the documents, has the smallest
-    document of each of its windows found by a sum over tasks; this moves rows and changes none.
+    A hit with some `crowd` rows or more and a HOT-th of all rows at least, by a sample of the documents, has its windows
+    dealt out one by one; this moves rows and changes none.
     """
     if not 2 <= window <= 60:
         raise ValueError("a window has 2 to 60 words")
@@ -231,19 +228,12 @@ def covered_windows(docs: DataFrame, window: int = 13, bytes_per_range: int = 12
         for filter_, at, value in ((filters[0], row["r_at"], row["r"]), (filters[1], row["a_at"], row["a"])):
             filter_[np.frombuffer(at, "<i8")] |= np.frombuffer(value, "u1")
     shared = spark.sparkContext.broadcast(tuple(f.tobytes() for f in filters))
-    schema, out = "least long, doc long, rid long, at int, windows array<long>", "doc long, rid long, at int, mask long"
-    none = np.zeros(0, np.int64)
-    seen = save(rows.where(F.pmod("rid", F.lit(SAMPLE)) == 0).mapInArrow(_candidates(window, bits, shared, none), schema).groupBy("least").count(), "block-seen")
+    schema = "least long, sub long, doc long, rid long, at int, windows array<long>"
+    seen = save(rows.where(F.pmod("rid", F.lit(SAMPLE)) == 0).mapInArrow(_candidates(window, bits, shared), schema).groupBy("least").count(), "block-seen")
     least = max(crowd / SAMPLE, (seen.agg(F.sum("count")).first()[0] or 0) / HOT)
-    hot = np.sort(np.array([r["least"] for r in seen.where(F.col("count") >= least).select("least").collect()], np.int64))
+    hot = frozenset(r["least"] for r in seen.where(F.col("count") >= least).select("least").collect())  # HOT at most
     found = rows.mapInArrow(_candidates(window, bits, shared, hot), schema)
-    spans = found.repartition("least").sortWithinPartitions("least", "doc").mapInArrow(_covered, out)
-    if not len(hot):
-        return spans
-    crowded = save(rows.mapInArrow(_candidates(window, bits, shared, hot, True), schema).select("doc", "rid", "at", F.col("windows")[0].alias("whole")), "block-crowded")
-    first = crowded.groupBy("whole").agg(F.min("doc").alias("first"))
-    again = crowded.join(first, "whole").where("first < doc").select("doc", "rid", "at", F.lit(1).cast("long").alias("mask"))
-    return spans.unionByName(again)
+    return found.repartition("least", "sub").sortWithinPartitions("least", "sub", "doc").mapInArrow(_covered, "doc long, rid long, at int, mask long")
 
 
 def _finish(window: int):
