@@ -14,9 +14,9 @@ ROUTES = {"hotsale": "view", "dpgl": "view", "pcgl": "rec", "gyl": "rec"}
 
 
 def file_source(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A table's files as a stream."""
+    """A table's files as a stream, whether it is one file or a folder of them."""
     schema = spark.read.parquet(f"{sf_dir}/{table}.parquet").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf_dir)
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{table}.parque[t]")  # a pattern, since a plain path has to be a folder
 
 
 def kafka_source(spark: SparkSession, servers: str, topics: list[str], starting: str = "latest") -> DataFrame:

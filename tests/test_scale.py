@@ -356,3 +356,17 @@ def test_latest_rows_of_a_key_whatever_the_batches(spark, tmp_path):
         parts = [spark.createDataFrame([r for r in rows if a <= r[2] < b], "k long, item string, s long").select("k", "item", F.timestamp_seconds("s").alias("ts")) for a, b in zip(cuts, cuts[1:])]
         state.in_runs(parts, str(base / "in"), lambda x, t=table, p=base: state.follow(state.latest(x, ["k"], "ts", 400, "10 seconds", "item").select(*t.schema.names, "expired"), t, str(p / "run")))
         assert {r["k"]: (r["n"], r["last_ms"], r["item"]) for r in table.read().collect()} == want
+
+
+def test_a_streamed_table_is_a_file_or_a_folder(spark, tmp_path):
+    from shelflens.queries_scale import QUERIES
+
+    for at in ("file", "folder"):
+        (tmp_path / at).mkdir()
+    rows = spark.createDataFrame([(1, 1, "user", "The cat and a cat"), (1, 2, "assistant", "of dogs")], "conv_id long, turn long, role string, text string").coalesce(1)
+    rows.write.parquet(str(tmp_path / "folder" / "conversations.parquet"))
+    part = next((tmp_path / "folder" / "conversations.parquet").glob("part-*"))
+    (tmp_path / "file" / "conversations.parquet").write_bytes(part.read_bytes())
+    for at in ("file", "folder"):
+        assert _rows(QUERIES["t7_word_count"](spark, str(tmp_path / at)), "word", "count") == [("a", 1), ("cat", 2), ("dogs", 1)]
+        assert _rows(QUERIES["t7_dropped_words"](spark, str(tmp_path / at)), "dropped", "count") == [(False, 4), (True, 3)]
