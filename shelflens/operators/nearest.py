@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .prefix import running, saved
@@ -21,26 +21,46 @@ def rare_first(sets: DataFrame, tokens: str, counts: DataFrame) -> DataFrame:
     return rows.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "token"))), lambda x: x["token"]).alias("set"))
 
 
+def _size_class(n: Column) -> Column:
+    """The least size of a set's class: sizes up to 16 by themselves, larger ones by fifths of a power of 2."""
+    return F.when(n <= 16, n).otherwise(F.ceil(F.pow(F.lit(2.0), F.floor(F.log2(n) * 5) / 5))).cast("int")
+
+
 def set_candidates(own: DataFrame, other: DataFrame, least: float) -> DataFrame:
     """own, other, a, b: pairs of sets that may have a Jaccard similarity of `least` or more.
 
-    Such sets share a token among the first |x| - ceil(least |x|) + 1 of each, and differ little in size.
+    Sets of m and n tokens that do have least / (1 + least) * (m + n) = c tokens in common, so one of the first m - c + 1
+    of the one is among the first n - c + 1 of the other, and they differ little in size. A pair is taken at the first
+    token that both have there.
     """
-    head = lambda s: F.slice(s, 1, (F.size(s) - F.ceil(least * F.size(s) - EPS) + 1).cast("int"))
-    x = own.select(F.col("id").alias("own"), F.col("set").alias("a"), F.explode(head(F.col("set"))).alias("token"))
-    y = other.select(F.col("id").alias("other"), F.col("set").alias("b"), F.explode(head(F.col("set"))).alias("token"))
+    sizes = other.select(_size_class(F.size("set")).alias("_theirs")).distinct()
+    kinds = own.select(_size_class(F.size("set")).alias("_ours")).distinct().crossJoin(sizes)  # some 5 for each doubling of the sizes
+    common = F.greatest(F.ceil(least / (1 + least) * (F.col("_ours") + F.col("_theirs")) - EPS), F.lit(1)).cast("int")
+    kinds = F.broadcast(kinds.withColumn("_c", common))
+
+    def heads(df: DataFrame, kind: str, name: str, told: str) -> DataFrame:
+        rows = df.select(F.col("id").alias(name), F.col("set").alias(told), _size_class(F.size("set")).alias(kind)).join(kinds, kind)
+        rows = rows.withColumn(f"_{told}", F.slice(told, 1, F.greatest(F.size(told) - F.col("_c") + 1, F.lit(0))))
+        return rows.drop("_c").withColumn("token", F.explode(f"_{told}"))
+
+    parts = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x, y = heads(own, "_ours", "own", "a").repartition(parts, "own"), heads(other, "_theirs", "other", "b")
     near = (F.size("b") >= least * F.size("a") - EPS) & (F.size("a") >= least * F.size("b") - EPS)
-    return x.join(y, "token").where(near).groupBy("own", "other").agg(F.first("a").alias("a"), F.first("b").alias("b"))
+    pairs = x.join(y, ["_ours", "_theirs", "token"]).where(near)
+    return pairs.where(F.get(F.array_intersect("_a", "_b"), F.lit(0)) == F.col("token")).select("own", "other", "a", "b")
 
 
 def best_set_matches(own: DataFrame, other: DataFrame, tokens: str, steps: tuple[float, ...] = (0.9, 0.75, 0.6, 0.45, 0.3, 0.15)) -> DataFrame:
     """own, other, score: for each own set (id, tokens) the other one of greatest Jaccard similarity above 0; ties by the least other id.
 
     The similarity asked for falls step by step, and only own sets without a match at one step go on to the next, so
-    common tokens are joined for those sets alone that have nothing rarer in common with any.
+    common tokens are joined for those sets alone that have nothing rarer in common with any. Equal sets are matched
+    once, under the least id that has them, so copies cost a row each.
     """
     counts = saved(other.select(F.explode(F.array_distinct(tokens)).alias("token")).groupBy("token").agg(F.count("*").alias("n")), "tokens")
-    x, y = (saved(rare_first(s, tokens, counts), "sets") for s in (own, other))
+    sets = saved(rare_first(own, tokens, counts), "sets")
+    x, y = (saved(s.groupBy("set").agg(F.min("id").alias("id")), "distinct-sets") for s in (sets, rare_first(other, tokens, counts)))
+    named = sets.join(x.withColumnRenamed("id", "_first"), "set").select("id", "_first")
     found: DataFrame | None = None
     for least in (*steps, 0.0):
         score = F.size(F.array_intersect("a", "b")) / F.size(F.array_union("a", "b"))
@@ -48,7 +68,7 @@ def best_set_matches(own: DataFrame, other: DataFrame, tokens: str, steps: tuple
         best = saved(top_k(pairs, ["own"], [F.round("score", 9).desc(), F.col("other")], 1).drop("rank"), "matches")
         found = best if found is None else found.unionByName(best)
         x = x.join(best.select(F.col("own").alias("id")), "id", "left_anti")
-    return found
+    return named.join(found.withColumnRenamed("own", "_first"), "_first").select(F.col("id").alias("own"), "other", "score")
 
 
 def _heads(vectors: DataFrame, least: float) -> DataFrame:

@@ -370,3 +370,18 @@ def test_a_streamed_table_is_a_file_or_a_folder(spark, tmp_path):
     for at in ("file", "folder"):
         assert _rows(QUERIES["t7_word_count"](spark, str(tmp_path / at)), "word", "count") == [("a", 1), ("cat", 2), ("dogs", 1)]
         assert _rows(QUERIES["t7_dropped_words"](spark, str(tmp_path / at)), "dropped", "count") == [(False, 4), (True, 3)]
+
+
+def test_equal_sets_are_matched_once(spark, monkeypatch):
+    """Fifty copies of each set make no more candidates than one."""
+    seen, plain = [], nearest.set_candidates
+    monkeypatch.setattr(nearest, "set_candidates", lambda *args: seen.append(plain(*args)) or seen[-1])
+    rng = random.Random(7)
+    sets = [rng.sample([f"w{i}" for i in range(12)], 4) for _ in range(40)]
+    frame = lambda copies: spark.createDataFrame([(i + 40 * c, x) for c in range(copies) for i, x in enumerate(sets)], "id long, tokens array<string>")
+    got = {}
+    for copies in (1, 50):
+        seen.clear()
+        got[copies] = _rows(nearest.best_set_matches(frame(copies).withColumn("tokens", F.reverse("tokens")), frame(copies), "tokens"), "own", "other", "score"), sum(x.count() for x in seen)
+    assert got[50][1] == got[1][1]
+    assert sorted(got[50][0]) == sorted((own + 40 * c, other, score) for own, other, score in got[1][0] for c in range(50))
