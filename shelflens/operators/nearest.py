@@ -6,13 +6,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .prefix import running, saved
 from .rank import top_k
 
 EPS = 1e-9
+#: Pairs beyond which a self-join on common dimensions gives way to the pruned join, whose lists are the same.
+PLAIN_PAIRS = 200_000_000
 
 
 def rare_first(sets: DataFrame, tokens: str, counts: DataFrame) -> DataFrame:
@@ -73,9 +75,12 @@ def best_set_matches(own: DataFrame, other: DataFrame, tokens: str, steps: tuple
 
 def _heads(vectors: DataFrame, least: float) -> DataFrame:
     """id, dim: the leading entries of unit vectors (id, entries by dimension, the rarest first) without which less than `least` of their length is left."""
-    squares = F.transform("entries", lambda e: e["w"] * e["w"])
-    left = F.aggregate(F.reverse(squares), F.array().cast("array<double>"), lambda acc, s: F.concat(F.array(s + F.coalesce(F.get(acc, F.lit(0)), F.lit(0.0))), acc))
-    return vectors.select("id", F.explode(F.filter("entries", lambda e, i: F.get(left, i) >= (least - EPS) * (least - EPS) if least > EPS else F.lit(True))).alias("e")).select("id", F.col("e.dim").alias("dim"))
+    rows = vectors.select("id", F.posexplode("entries").alias("_i", "e"))
+    if least <= EPS:
+        return rows.select("id", F.col("e.dim").alias("dim"))
+    rest = Window.partitionBy("id").orderBy(F.col("_i").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    left = F.sum(F.col("e.w") * F.col("e.w")).over(rest)
+    return rows.select("id", F.col("e.dim").alias("dim"), left.alias("_left")).where(F.col("_left") >= (least - EPS) * (least - EPS)).select("id", "dim")
 
 
 def cosine_candidates(own: DataFrame, other: DataFrame, least: float) -> DataFrame:
@@ -83,29 +88,97 @@ def cosine_candidates(own: DataFrame, other: DataFrame, least: float) -> DataFra
     return _heads(own, least).join(_heads(other, least).withColumnRenamed("id", "other"), "dim").where("id <> other").select("id", "other").distinct()
 
 
-def pruned_cosine(rows: DataFrame, k: int, least: float = 0.0, steps: tuple[float, ...] = (0.8, 0.6, 0.4, 0.2)) -> DataFrame:
-    """id, other, score, rank: the `k` vectors of greatest cosine above `least` for each vector of `rows` (id, dim, w); ties by the least other.
+def equal_vectors(rows: DataFrame) -> DataFrame:
+    """id, first: for each vector of `rows` (id, dim, w) the least id of those equal to it, its own included."""
+    vectors = saved(rows.groupBy("id").agg(F.array_sort(F.collect_list(F.struct("dim", "w"))).alias("_entries")), "vectors")
+    firsts = vectors.groupBy("_entries").agg(F.min("id").alias("first"))
+    return saved(vectors.join(firsts, "_entries").select("id", "first"), "equal-vectors")
 
-    Dimensions are ordered by how many vectors hold them. Of a pair whose product is t or more both have a common
-    dimension before the rest of either is shorter than t; so common dimensions, which come last, are joined only for
-    vectors whose `k` neighbours weren't found at a greater t. Each step goes on with the vectors that have fewer.
+
+def _for_each(found: DataFrame, equal: DataFrame, k: int) -> DataFrame:
+    """id, other, score, rank of every vector of `equal` (id, first), from the `k` nearest (id, other, score) of each first one.
+
+    Equal vectors are nearest of all, at 1. Of those that are equal only the first k + 1 can be in a list, so a list of
+    k + 1 is made for each of the different vectors, and each vector takes it without itself.
     """
+    ranked = top_k(equal, ["first"], [F.col("id")], k + 1, "_place").select(F.col("first").alias("_other"), F.col("id").alias("other"))
+    several = equal.groupBy("first").count().where("count > 1").select(F.col("first").alias("id"), F.col("first").alias("_other"), F.lit(1.0).alias("score"))
+    near = found.select("id", F.col("other").alias("_other"), "score").unionByName(several).join(ranked, "_other")
+    best = top_k(near, ["id"], [F.round("score", 9).desc(), F.col("other")], k + 1)
+    lists = saved(best.groupBy(F.col("id").alias("first")).agg(F.array_sort(F.collect_list(F.struct("rank", "other", "score"))).alias("_list")), "lists")
+    own = equal.join(lists, "first").select("id", F.slice(F.filter("_list", lambda x: x["other"] != F.col("id")), 1, k).alias("_list"))
+    return own.select("id", F.posexplode("_list").alias("_i", "x")).select("id", "x.other", "x.score", (F.col("_i") + 1).alias("rank"))
+
+
+def _unit(rows: DataFrame) -> DataFrame:
     norms = rows.groupBy("id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    held = rows.groupBy("dim").agg(F.count("*").alias("_n"))
-    unit = rows.join(norms, "id").join(held, "dim").select("id", "_n", "dim", (F.col("w") / F.col("_norm")).alias("w"))
-    vectors = saved(unit.groupBy("id").agg(F.transform(F.array_sort(F.collect_list(F.struct("_n", "dim", "w"))), lambda e: F.struct(e["dim"].alias("dim"), e["w"].alias("w"))).alias("entries")), "vectors")
+    return rows.join(norms, "id").select("id", "dim", (F.col("w") / F.col("_norm")).alias("w"))
+
+
+def _best(pairs: DataFrame, k: int) -> DataFrame:
+    return top_k(pairs, ["id"], [F.round("score", 9).desc(), F.col("other")], k)
+
+
+def _joined(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """id, other, score of all pairs of unit vectors (id, dim, w) above `least`, through the dimensions of both."""
+    pairs = a.join(b.withColumnsRenamed({"id": "other", "w": "_w"}), "dim").where("id <> other")
+    return pairs.groupBy("id", "other").agg(F.sum(F.col("w") * F.col("_w")).alias("score")).where(F.col("score") > least)
+
+
+def _plain(unit: DataFrame, k: int, least: float) -> DataFrame:
+    """Each pair is worked out once and written both ways."""
+    pairs = unit.join(unit.withColumnsRenamed({"id": "other", "w": "_w"}), "dim").where("id < other").groupBy("id", "other").agg(F.sum(F.col("w") * F.col("_w")).alias("score")).where(F.col("score") > least)
+    ways = F.explode(F.array(F.struct("id", "other"), F.struct(F.col("other").alias("id"), F.col("id").alias("other"))))
+    return _best(pairs.select(ways.alias("_p"), "score").select("_p.id", "_p.other", "score"), k)
+
+
+def _meetings(a: DataFrame, b: DataFrame) -> float:
+    """How many rows a join of `a` and `b` on dim makes."""
+    n = lambda df, c: df.groupBy("dim").agg(F.count("*").cast("double").alias(c))
+    return n(a, "_a").join(n(b, "_b"), "dim").agg(F.coalesce(F.sum(F.col("_a") * F.col("_b")), F.lit(0.0))).first()[0]
+
+
+def _pruned(unit: DataFrame, k: int, least: float, steps: tuple[float, ...]) -> DataFrame:
+    held = unit.groupBy("dim").agg(F.count("*").alias("_n"))
+    entries = F.transform(F.array_sort(F.collect_list(F.struct("_n", "dim", "w"))), lambda e: F.struct(e["dim"].alias("dim"), e["w"].alias("w")))
+    vectors = saved(unit.join(held, "dim").groupBy("id").agg(entries.alias("entries")), "vectors")
+    length = vectors.agg(F.coalesce(F.avg(F.size("entries")), F.lit(0.0))).first()[0]
     open_, found = vectors, None
     for t in (*[s for s in steps if s > least], least):
+        # a score of a candidate looks each entry up among the other's; a plain join meets only what both have
+        laid = open_.select("id", F.explode("entries").alias("_e")).select("id", "_e.dim", "_e.w")
+        if _meetings(laid, unit) <= _meetings(_heads(open_, t), _heads(vectors, t)) * (1 + length * length / 64):
+            rest = saved(_best(_joined(laid, unit, least), k), "neighbours")
+            return rest if found is None else found.unionByName(rest)
         pairs = cosine_candidates(open_, vectors, t)
         both = pairs.join(vectors.withColumnRenamed("entries", "a"), "id").join(vectors.select(F.col("id").alias("other"), F.map_from_entries("entries").alias("b")), "other")
         score = F.aggregate("a", F.lit(0.0), lambda acc, e: acc + e["w"] * F.coalesce(F.element_at("b", e["dim"]), F.lit(0.0)))
         near = both.select("id", "other", score.alias("score")).where(F.col("score") >= t - EPS if t > least else F.col("score") > t)
-        best = saved(top_k(near, ["id"], [F.round("score", 9).desc(), F.col("other")], k), "neighbours")
+        best = saved(_best(near, k), "neighbours")
         if t > least:
             whole = best.where(F.col("rank") == k).select("id")
             open_, best = open_.join(whole, "id", "left_anti"), best.join(whole, "id", "left_semi")
         found = best if found is None else found.unionByName(best)
-    return found.select("id", "other", "score", "rank")
+    return found
+
+
+def pruned_cosine(rows: DataFrame, k: int, least: float = 0.0, steps: tuple[float, ...] = (0.8, 0.6, 0.4, 0.2)) -> DataFrame:
+    """id, other, score, rank: the `k` vectors of greatest cosine above `least` for each vector of `rows` (id, dim, w); ties by the least other.
+
+    Dimensions are ordered by how many vectors hold them. Of a pair whose product is t or more both have a common
+    dimension before the rest of either is shorter than t; so common dimensions, which come last, are joined only for
+    vectors whose `k` neighbours weren't found at a greater t. Each step goes on with the vectors that have fewer, and
+    joins what is left plainly once that takes less work. Equal vectors are one in all this.
+    """
+    return cosine_lists(rows, k, least, 0, steps)
+
+
+def cosine_lists(rows: DataFrame, k: int, least: float = 0.0, plain: int = PLAIN_PAIRS, steps: tuple[float, ...] = (0.8, 0.6, 0.4, 0.2)) -> DataFrame:
+    """The same lists, through a plain self-join of the different vectors where that makes at most `plain` pairs."""
+    equal = equal_vectors(rows)
+    unit = saved(_unit(rows.join(equal.where("id = first").select("id"), "id", "left_semi")), "unit")
+    found = _plain(unit, k, least) if most_pairs(unit) <= plain else _pruned(unit, k, least, steps)
+    return _for_each(found.select("id", "other", "score"), equal, k)
 
 
 PRODUCTS = "id long, factors array<double>, items array<long>, scores array<double>, products long"

@@ -385,3 +385,11 @@ def test_equal_sets_are_matched_once(spark, monkeypatch):
         got[copies] = _rows(nearest.best_set_matches(frame(copies).withColumn("tokens", F.reverse("tokens")), frame(copies), "tokens"), "own", "other", "score"), sum(x.count() for x in seen)
     assert got[50][1] == got[1][1]
     assert sorted(got[50][0]) == sorted((own + 40 * c, other, score) for own, other, score in got[1][0] for c in range(50))
+
+
+def test_long_vectors_are_joined_plainly(spark, monkeypatch):
+    """Few vectors of very many entries: looking each entry up among the other's is more work than joining what both have."""
+    monkeypatch.setattr(nearest, "cosine_candidates", lambda *args: pytest.fail("candidates of long vectors"))
+    rows = spark.range(4000).select(F.explode(F.expr("filter(sequence(0, 9), g -> (id * 31 + g * 17) % 7 < 3)")).alias("id"), F.col("id").alias("dim"), (F.col("id") % 5 + 1.0).alias("w"))
+    want = cooccurrence.item_cosine(rows.toDF("goods", "member", "rating"), 3).toDF("id", "other", "score", "rank")
+    assert _rows(nearest.pruned_cosine(rows, 3, 1e-6), "id", "other", "score", "rank") == _rows(want, "id", "other", "score", "rank")
