@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import random_part
-from .cooccurrence import PLAIN_PAIRS
-from .nearest import most_pairs, pruned_cosine
+from .nearest import cosine_lists
 from .rank import minmax, top_k
 
 #: Weight of each behaviour in a rating.
@@ -104,14 +103,8 @@ def attribute_similarity(attrs: DataFrame, levels: DataFrame, by: str, k: int =
     df = tf.groupBy(by, "term").agg(F.count("*").alias("_df")).join(m, by).where("_df < _m")
     weight = F.col("tf") * F.log((F.col("_m") + 1) / (F.col("_df") + 1))
     rows = tf.join(df, [by, "term"]).select(by, "goods", "term", weight.alias("w"))
-    norms = rows.groupBy(by, "goods").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("_norm"))
-    unit = rows.join(norms, [by, "goods"]).select(by, "goods", "term", (F.col("w") / F.col("_norm")).alias("w"))
-    dims = unit.select(F.col("goods").alias("id"), F.struct(by, "term").alias("dim"), "w")
-    if most_pairs(dims) > PLAIN_PAIRS:
-        return pruned_cosine(dims, k).withColumnRenamed("id", "goods")
-    a, b = unit, unit.withColumnsRenamed({"goods": "other", "w": "v"})
-    found = a.join(b, [by, "term"]).where("goods <> other").groupBy("goods", "other").agg(F.sum(F.col("w") * F.col("v")).alias("score"))
-    return top_k(found.where("score > 0"), ["goods"], [F.round("score", 9).desc(), F.col("other")], k)
+    dims = rows.select(F.col("goods").alias("id"), F.struct(by, "term").alias("dim"), "w")
+    return cosine_lists(dims, k).withColumnRenamed("id", "goods")
 
 
 def frequent_itemsets(baskets: DataFrame, support: float = 1e-4) -> DataFrame:

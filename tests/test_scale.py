@@ -387,6 +387,26 @@ def test_equal_sets_are_matched_once(spark, monkeypatch):
     assert sorted(got[50][0]) == sorted((own + 40 * c, other, score) for own, other, score in got[1][0] for c in range(50))
 
 
+def test_equal_vectors_share_a_list(spark, monkeypatch):
+    """Copies of vectors cost no pairs of their own, and their lists are those of all pairs."""
+    rng = random.Random(8)
+    rows = [(i + 20 * c, d, w) for i in range(20) for d, w in [(d, rng.choice([1.0, 2.0])) for d in rng.sample(range(9), 4)] for c in range(1 + i % 7)]
+    vectors = spark.createDataFrame(rows, "id long, dim long, w double")
+    asked, most = [], nearest.most_pairs
+    monkeypatch.setattr(nearest, "most_pairs", lambda rows: asked.append(rows.select("id").distinct().count()) or most(rows))
+    told: dict = {}
+    for i, d, w in rows:
+        told.setdefault(i, {})[d] = w
+    norm = {i: sum(w * w for w in v.values()) ** 0.5 for i, v in told.items()}
+    want = []
+    for i, a in told.items():
+        near = sorted((-round(sum(w * b.get(d, 0) for d, w in a.items()) / norm[i] / norm[j], 9), j) for j, b in told.items() if j != i)
+        want += [(i, j, round(-s, 6), n + 1) for n, (s, j) in enumerate([x for x in near if x[0] < 0][:5])]
+    for found in (nearest.cosine_lists(vectors, 5), nearest.pruned_cosine(vectors, 5)):
+        assert _rows(found, "id", "other", "score", "rank") == sorted(want, key=repr)
+    assert max(asked) <= 20
+
+
 def test_long_vectors_are_joined_plainly(spark, monkeypatch):
     """Few vectors of very many entries: looking each entry up among the other's is more work than joining what both have."""
     monkeypatch.setattr(nearest, "cosine_candidates", lambda *args: pytest.fail("candidates of long vectors"))
