@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .nearest import most_pairs, pruned_cosine
+from .nearest import cosine_lists, equal_vectors
+from .prefix import saved
 from .rank import top_k
 
-#: Pairs beyond which a self-join on common users or terms gives way to the pruned join, whose lists are the same.
-PLAIN_PAIRS = 200_000_000
-
 
 def cooccurrence(left: DataFrame, right: DataFrame, session: list[str], item: str) -> DataFrame:
     """a, b, pairs: sessions that hold a on the left and another item b on the right."""
@@ -74,15 +72,8 @@ def implicit_ratings(events: DataFrame, as_of: str, decay: float = 0.75, least:
 
 def item_cosine(ratings: DataFrame, k: int = 10, least: float = 1e-6) -> DataFrame:
     """goods, other, score, rank: cosine of the goods' rating columns, through the users that rated both."""
-    if most_pairs(ratings, "member") > PLAIN_PAIRS:
-        vectors = ratings.select(F.col("goods").alias("id"), F.col("member").alias("dim"), F.col("rating").alias("w"))
-        return pruned_cosine(vectors, k, least).withColumnRenamed("id", "goods")
-    norm = ratings.groupBy("goods").agg(F.sqrt(F.sum(F.col("rating") * F.col("rating"))).alias("norm"))
-    scaled = ratings.join(norm, "goods").select("member", "goods", (F.col("rating") / F.col("norm")).alias("w"))
-    a, b = scaled.toDF("member", "a", "wa"), scaled.toDF("member", "b", "wb")
-    once = a.join(b, "member").where("a < b").groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("score")).where(F.col("score") > least)
-    found = _both_ways(once, "score").withColumnsRenamed({"a": "goods", "b": "other"})
-    return top_k(found, ["goods"], [F.round("score", 9).desc(), F.col("other")], k)
+    vectors = ratings.select(F.col("goods").alias("id"), F.col("member").alias("dim"), F.col("rating").alias("w"))
+    return cosine_lists(vectors, k, least).withColumnRenamed("id", "goods")
 
 
 def item_cf(ratings: DataFrame, k_sim: int = 10, k_rec: int = 60) -> DataFrame:
@@ -93,12 +84,22 @@ def item_cf(ratings: DataFrame, k_sim: int = 10, k_rec: int = 60) -> DataFrame:
 
 
 def user_cf(ratings: DataFrame, k_sim: int = 50, k_rec: int = 80) -> DataFrame:
-    """member, item, score, rank: what the most similar users rate, weighted by similarity and summed."""
+    """member, item, score, rank: what the most similar users rate, weighted by similarity and summed.
+
+    Users with equal ratings count as one where they are neighbours, and users whose neighbours are the same get their
+    list from one sum.
+    """
+    equal = equal_vectors(ratings.select(F.col("member").alias("id"), F.col("goods").alias("dim"), F.col("rating").alias("w")))
     flipped = ratings.select(F.col("goods").alias("member"), F.col("member").alias("goods"), "rating")
-    near = item_cosine(flipped, k_sim, 1e-5).select(F.col("goods").alias("member"), F.col("other").alias("neighbour"), F.col("score").alias("sim"))
-    theirs = ratings.select(F.col("member").alias("neighbour"), F.col("goods").alias("item"), "rating")
-    found = near.join(theirs, "neighbour").groupBy("member", "item").agg(F.sum(F.col("sim") * F.col("rating")).alias("score"))
-    return top_k(found, ["member"], [F.round("score", 9).desc(), F.col("item")], k_rec)
+    near = item_cosine(flipped, k_sim, 1e-5).select(F.col("goods").alias("member"), F.col("other").alias("id"), F.col("score").alias("sim")).join(equal, "id")
+    near = near.groupBy("member").agg(F.array_sort(F.collect_list(F.struct("first", "sim"))).alias("near"))
+    near = saved(near, "neighbours")
+    lists = saved(near.groupBy("near").agg(F.min("member").alias("list")), "neighbour-lists")
+    mine = near.join(lists, "near").select("member", "list")
+    weights = lists.select("list", F.explode("near").alias("n")).groupBy("list", F.col("n.first").alias("member")).agg(F.sum("n.sim").alias("sim"))
+    found = weights.join(ratings.select("member", F.col("goods").alias("item"), "rating"), "member").groupBy("list", "item").agg(F.sum(F.col("sim") * F.col("rating")).alias("score"))
+    best = top_k(found, ["list"], [F.round("score", 9).desc(), F.col("item")], k_rec)
+    return mine.join(best, "list").select("member", "item", "score", "rank")
 
 
 def _xlogx(x: Column) -> Column:

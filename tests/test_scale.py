@@ -413,3 +413,22 @@ def test_long_vectors_are_joined_plainly(spark, monkeypatch):
     rows = spark.range(4000).select(F.explode(F.expr("filter(sequence(0, 9), g -> (id * 31 + g * 17) % 7 < 3)")).alias("id"), F.col("id").alias("dim"), (F.col("id") % 5 + 1.0).alias("w"))
     want = cooccurrence.item_cosine(rows.toDF("goods", "member", "rating"), 3).toDF("id", "other", "score", "rank")
     assert _rows(nearest.pruned_cosine(rows, 3, 1e-6), "id", "other", "score", "rank") == _rows(want, "id", "other", "score", "rank")
+
+
+def test_users_with_equal_ratings_and_neighbours(spark):
+    rng = random.Random(9)
+    rows = [(u + 30 * c, g, r) for u in range(30) for g, r in [(g, rng.choice([0.5, 1.0, 3.0])) for g in rng.sample(range(12), 4)] for c in range(1 + u % 5)]
+    ratings = spark.createDataFrame(rows, "member long, goods long, rating double")
+    near = cooccurrence.item_cosine(ratings.toDF("goods", "member", "rating"), 6, 1e-5).toDF("member", "neighbour", "sim", "rank").collect()
+    mine: dict = {}
+    for u, g, r in rows:
+        mine.setdefault(u, {})[g] = r
+    sums: dict = {}
+    for n in near:
+        for g, r in mine[n["neighbour"]].items():
+            sums[n["member"], g] = sums.get((n["member"], g), 0.0) + n["sim"] * r
+    want = []
+    for u in mine:
+        best = sorted((-round(s, 9), g) for (m, g), s in sums.items() if m == u)[:4]
+        want += [(u, g, round(-s, 6), i + 1) for i, (s, g) in enumerate(best)]
+    assert _rows(cooccurrence.user_cf(ratings, 6, 4), "member", "item", "score", "rank") == sorted(want, key=repr)
