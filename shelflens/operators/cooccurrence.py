@@ -122,7 +122,12 @@ def llr_item_similarity(ratings: DataFrame, k: int = 50) -> DataFrame:
 
 
 def llr_lists(ratings: DataFrame, k: int = 50) -> DataFrame:
-    """member, goods, score, rank: goods that the member has not, by the summed likelihood ratios of those that it has."""
+    """member, goods, score, rank: goods that the member has not, by the summed likelihood ratios of those that it has.
+
+    Ratios of six places are summed as decimals: one sum in a hundred is a half at the four places that are ranked, which
+    a sum of doubles would round by the order of its terms.
+    """
     have = ratings.select("member", "goods").distinct()
-    offered = have.join(llr_item_similarity(ratings), "goods").groupBy("member", F.col("other").alias("goods")).agg(F.sum(F.round("score", 6)).alias("score"))
-    return top_k(offered.join(have, ["member", "goods"], "left_anti"), ["member"], [F.round("score", 4).desc(), F.col("goods")], k)
+    offered = have.join(llr_item_similarity(ratings), "goods").groupBy("member", F.col("other").alias("goods")).agg(F.sum(F.round("score", 6).cast("decimal(18, 6)")).alias("score"))
+    best = top_k(offered.join(have, ["member", "goods"], "left_anti"), ["member"], [F.round("score", 4).desc(), F.col("goods")], k)
+    return best.withColumn("score", F.col("score").cast("double"))

@@ -450,3 +450,11 @@ def test_prices_of_bands_are_rounded_alike(spark, tmp_path):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}/*.parquet'")
     want = con.execute(sql[sql.index(", b AS (") :].replace(", b AS (", "WITH b AS (", 1)).fetchall()
     assert _rows(_overlapping(goods, orders), "band", "lines") == sorted(want, key=repr)
+
+
+def test_summed_ratios_tie_whatever_their_halves(spark, monkeypatch):
+    near = spark.createDataFrame([(1, 10, 0.053364), (2, 10, 1.239186), (1, 11, 1.2926)], "goods long, other long, score double")
+    monkeypatch.setattr(cooccurrence, "llr_item_similarity", lambda ratings: near)
+    ratings = spark.createDataFrame([(7, 1), (7, 2)], "member long, goods long")
+    assert 0.053364 + 1.239186 < 1.29255  # as doubles
+    assert [(r["goods"], r["rank"]) for r in cooccurrence.llr_lists(ratings).orderBy("rank").collect()] == [(10, 1), (11, 2)]
