@@ -48,8 +48,10 @@ def values_at(df: DataFrame, by: list[str], value: str, places: dict[str, Column
     Selection by narrowing: while a range that holds a wanted place has over `small` values, its values are counted in
     `bins` equal steps and the step with the place, from its least to its greatest value, is the next range. The least
     and the greatest never share a step, so each round narrows; a range of one value is an answer. Small ranges are
-    sorted. Values are numbers and not NaN. A place outside of the group gives null.
+    sorted. Values are numbers and not NaN. A place outside of the group gives null. The values are written down once,
+    and each round reads them without a shuffle of them.
     """
+    df = saved(df.select(*by, value), "values")
     counts = df.groupBy(*by).agg(F.count("*").alias("_n"), F.count(value).alias("_inside"), F.min(value).alias("_low"), F.max(value).alias("_high"))
     asked = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), c.cast("long").alias("place")) for n, c in places.items()]))
     wanted = counts.withColumn("_want", asked).select(*by, F.col("_want.name").alias("_name"), (F.col("_want.place") - F.col("_n") + F.col("_inside")).alias("_at"), "_low", "_high", "_inside")

@@ -458,3 +458,23 @@ def test_summed_ratios_tie_whatever_their_halves(spark, monkeypatch):
     ratings = spark.createDataFrame([(7, 1), (7, 2)], "member long, goods long")
     assert 0.053364 + 1.239186 < 1.29255  # as doubles
     assert [(r["goods"], r["rank"]) for r in cooccurrence.llr_lists(ratings).orderBy("rank").collect()] == [(10, 1), (11, 2)]
+
+
+
+def _counted(spark, column, kind):
+    """A column as it is, and how many times rows of it have been worked out."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def told(x):
+        seen.add(1)
+        return x
+
+    return F.udf(told, kind).asNondeterministic()(column), seen
+
+
+
+def test_values_at_places_read_the_rows_once(spark, skewed):
+    value, seen = _counted(spark, F.col("v"), "double")
+    found = prefix.values_at(skewed.limit(3000).withColumn("v", value), ["g"], "v", {"half": F.floor(F.col("_n") / 2)}, 4, 50)
+    assert found.count() == 8
+    assert seen.value == 3000
