@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import random_part
 from .nearest import cosine_lists
+from .prefix import saved
 from .rank import minmax, top_k
 
 #: Weight of each behaviour in a rating.
@@ -77,8 +78,11 @@ def behavior_als(events: DataFrame, as_of: str, rank: int = 10, iters: int = 10,
 
 
 def kmeans_categories(features: DataFrame, columns: list[str], k: int = 3, iters: int = 50, seed: int = 7) -> tuple[DataFrame, float]:
-    """The rows with their cluster, and the sum of squared distances. Columns are brought to the same spread first."""
-    rows = VectorAssembler(inputCols=columns, outputCol="_raw").transform(features)
+    """The rows with their cluster, and the sum of squared distances. Columns are brought to the same spread first.
+
+    The features are written down once, since scaling, training and assigning each read them.
+    """
+    rows = VectorAssembler(inputCols=columns, outputCol="_raw").transform(saved(features, "features"))
     rows = StandardScaler(inputCol="_raw", outputCol="_v", withMean=True).fit(rows).transform(rows)
     model = KMeans(k=k, maxIter=iters, initSteps=10, seed=seed, featuresCol="_v", predictionCol="cluster").fit(rows)
     return model.transform(rows).drop("_raw", "_v"), model.summary.trainingCost

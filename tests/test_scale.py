@@ -478,3 +478,10 @@ def test_values_at_places_read_the_rows_once(spark, skewed):
     found = prefix.values_at(skewed.limit(3000).withColumn("v", value), ["g"], "v", {"half": F.floor(F.col("_n") / 2)}, 4, 50)
     assert found.count() == 8
     assert seen.value == 3000
+
+
+
+def test_clusters_read_their_features_once(spark):
+    value, seen = _counted(spark, F.col("id").cast("double"), "double")
+    found = models.kmeans_categories(spark.range(50).select("id", value.alias("x"), (F.col("id") % 3 + 0.5).alias("y")), ["x", "y"])[0]
+    assert found.count() == 50 and seen.value == 50
