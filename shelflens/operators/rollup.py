@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from .prefix import saved
 
 
-def _dense(sums: DataFrame, levels: tuple[str, ...], by: list[str], least: int) -> set[int]:
-    """The levels above the deepest whose nodes hold `least` rows of `sums` (_n) or more on average."""
+def _dense(sums: DataFrame, levels: tuple[str, ...], by: list[str], least: int, buckets: int) -> set[int]:
+    """The levels above the deepest whose nodes hold `least` rows of `sums` (_n) or more on average for each of `buckets` bitmaps."""
     at = range(1, len(levels))
     deep = lambda level: F.col("_depth") >= level
     nodes = [F.count_distinct(F.when(deep(level), F.struct(*levels[:level], *by))).alias(f"nodes{level}") for level in at]
@@ -19,7 +19,7 @@ def _dense(sums: DataFrame, levels: tuple[str, ...], by: list[str], least: int)
     if not nodes:
         return set()
     row = sums.agg(*nodes, *held).first()
-    return {level for level in at if row[f"ids{level}"] >= least * max(row[f"nodes{level}"], 1)}
+    return {level for level in at if row[f"ids{level}"] >= least * buckets * max(row[f"nodes{level}"], 1)}
 
 
 def roll_up(facts: DataFrame, dim: DataFrame, extra: dict[str, Column], id_: str, measures: dict[str, tuple[str, Column]], distinct: dict[str, Column | None], key: str = "category", levels: tuple[str, ...] = ("level1", "level2", "level3"), sketch: bool = False, least: int = 512) -> DataFrame:
@@ -30,8 +30,8 @@ def roll_up(facts: DataFrame, dim: DataFrame, extra: dict[str, Column], id_: str
 
     Facts are grouped once, by key, `extra` and id. Only that goes up the tree: the sums of a key as one row a level,
     and the ids as bitmaps, which take 4 KB for each 32,768 ids of a node, however many facts or leaves hold them. A
-    node's bitmaps are the union of those below it. Levels whose nodes have fewer than `least` ids on average, where
-    bitmaps would be mostly empty, and the deepest level count their ids as they are. Ids are whole numbers. With `sketch` they may be anything and nodes hold HyperLogLog sketches, whose counts are within
+    node's bitmaps are the union of those below it. Levels whose nodes have fewer than `least` ids for a bitmap on
+    average, where bitmaps would be mostly empty, and the deepest level count their ids as they are. Ids are whole numbers. With `sketch` they may be anything and nodes hold HyperLogLog sketches, whose counts are within
     some 1.6 % (twice that at times).
     """
     by = list(extra)
@@ -59,7 +59,7 @@ def roll_up(facts: DataFrame, dim: DataFrame, extra: dict[str, Column], id_: str
     else:
         start = lambda n: F.bitmap_construct_agg(F.when(F.col(n), F.bitmap_bit_position(F.col(id_))))
         merge, size, bucket = F.bitmap_or_agg, F.bitmap_count, F.bitmap_bucket_number(F.col(id_))
-        dense = _dense(sums, levels, by, least)
+        dense = _dense(sums, levels, by, least, max(grouped.select(bucket.alias("_b")).distinct().count(), 1))
     below = None
     for level in range(len(levels), 0, -1):
         here = [*levels[:level], *by]

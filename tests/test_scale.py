@@ -485,3 +485,13 @@ def test_clusters_read_their_features_once(spark):
     value, seen = _counted(spark, F.col("id").cast("double"), "double")
     found = models.kmeans_categories(spark.range(50).select("id", value.alias("x"), (F.col("id") % 3 + 0.5).alias("y")), ["x", "y"])[0]
     assert found.count() == 50 and seen.value == 50
+
+
+
+def test_no_bitmaps_for_ids_far_apart(spark, monkeypatch):
+    """A node's 600 ids lie in 600 bitmaps of 4 KB, so they are counted as they are."""
+    monkeypatch.setattr(rollup.F, "bitmap_construct_agg", lambda *args: pytest.fail("bitmaps of an id each"))
+    dim = spark.createDataFrame([("k", "a", "b", None)], "category string, level1 string, level2 string, level3 string")
+    facts = spark.range(600).select(F.lit("k").alias("category"), (F.col("id") * 32768).alias("goods"))
+    found = rollup.roll_up(facts, dim, {}, "goods", {"n": ("sum", F.lit(1))}, {"ids": None})
+    assert _rows(found, "level_no", "ids", "n") == [(1, 600, 600), (2, 600, 600)]
