@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .prefix import running, values_at
+from .prefix import running, saved, values_at
 from .rank import minmax, minmax_of_all, pareto_counts, share, top_k
 from .rollup import roll_up
 
@@ -68,12 +68,12 @@ def category_monthly_sales(orders: DataFrame, dim: DataFrame) -> DataFrame:
 
 def category_sell_through(orders: DataFrame, goods: DataFrame, dim: DataFrame) -> DataFrame:
     """level_no, node, month: goods sold, and goods that make 50 % and 80 % of sales, over goods on sale; 0 without sales."""
-    leaf = orders.groupBy("category", _month(), "goods").agg(F.sum("amount").alias("amount"))
+    leaf = saved(orders.groupBy("category", _month(), "goods").agg(F.sum("amount").alias("amount")), "sell-through")
     sold = explode_levels(leaf, dim).groupBy("level_no", "node", "month", "goods").agg(F.sum("amount").alias("amount"))
     key = ["level_no", "node", "month"]
     counts = pareto_counts(sold, key, "goods", "amount", {"n50": 0.5, "n80": 0.8}).withColumnRenamed("all_items", "sold")
     valid = explode_levels(goods.where("sale_status = 4"), dim).groupBy("level_no", "node").agg(F.count_distinct("goods").alias("valid"))
-    months = orders.select(_month()).distinct()
+    months = leaf.select("month").distinct()
     grid = valid.join(F.broadcast(months))  # a row for each month
     ratio = lambda c: F.coalesce(F.col(c) / F.col("valid"), F.lit(0.0))
     return grid.join(counts, key, "left").select(*key, ratio("sold").alias("sell_through"), ratio("n50").alias("ratio50"), ratio("n80").alias("ratio80"))

@@ -495,3 +495,13 @@ def test_no_bitmaps_for_ids_far_apart(spark, monkeypatch):
     facts = spark.range(600).select(F.lit("k").alias("category"), (F.col("id") * 32768).alias("goods"))
     found = rollup.roll_up(facts, dim, {}, "goods", {"n": ("sum", F.lit(1))}, {"ids": None})
     assert _rows(found, "level_no", "ids", "n") == [(1, 600, 600), (2, 600, 600)]
+
+
+
+def test_sell_through_reads_the_orders_once(spark):
+    at, seen = _counted(spark, F.lit("2024-01-05"), "string")
+    dim = spark.createDataFrame([("k", "a", "b", None)], "category string, level1 string, level2 string, level3 string")
+    goods = spark.range(10).select(F.col("id").alias("goods"), F.lit("k").alias("category"), F.lit(4).alias("sale_status"))
+    orders = spark.range(40).select((F.col("id") % 5).alias("goods"), F.lit("k").alias("category"), F.lit(1.0).alias("amount"), at.alias("sale_time"))
+    assert _rows(category.category_sell_through(orders, goods, dim), "level_no", "month", "sell_through") == [(1, "2024-01", 0.5), (2, "2024-01", 0.5)]
+    assert seen.value == 40
