@@ -9,7 +9,6 @@ left to a second round of longer keys.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -22,9 +21,8 @@ from .common import pieces, row_key, save, slices, text_bytes, tucked
 from .components import connected_components
 
 SHINGLE, SEED, BITS = 4, 42, 64
-#: Bits of a sketch, and those that have to agree for a second try: of pairs of similarity 0.8 one in some 2,000 has fewer.
+#: Bits of a sketch, and those that have to agree, in nearest_links: of pairs of similarity 0.8 one in some 2,000 has fewer.
 HASHES, AGREE = 128, 104
-_FACTORS, _SUMMANDS = np.random.default_rng(29).integers(1, 1 << 63, (2, HASHES), dtype=np.uint64) | np.uint64(1)
 _BIT_OF_BYTE = (np.arange(256)[:, None] >> np.arange(8)) & 1
 
 
@@ -114,24 +112,6 @@ def nearest_forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return links
 
 
-def sketch(text: bytes, size: int) -> np.ndarray:
-    """HASHES bits, as signed longs, of the least of the text's shingles under so many hashes: texts of similarity j agree in about (1 + j) / 2 of them."""
-    found, least = np.unique(shingles(text, size)), np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(found), 4096):
-        least = np.minimum(least, (found[at : at + 4096, None] * _FACTORS + _SUMMANDS).min(0))
-    return np.packbits((least >> np.uint64(7) & np.uint64(1)).astype(np.uint8)).view(np.int64)
-
-
-def sketches(texts: DataFrame, size: int) -> DataFrame:
-    """fp, sketch of `texts` (fp, text)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, told in pieces(batches):
-            yield pa.RecordBatch.from_arrays([batch["fp"], pa.array([sketch(x, size) for x in told], pa.list_(pa.int64()))], ["fp", "sketch"])
-
-    return texts.select("fp", "text").mapInArrow(run, "fp long, sketch array<long>")
-
-
 def nearest_links(fps: np.ndarray, distance: int, rows: pa.Table, most: int) -> list[tuple[int, int]]:
     """For each fingerprint its `most` closest links of at most `distance` bits to ones of other groups, but those in its list of `failed` and those whose sketches agree in fewer than AGREE bits."""
     links: list[tuple[int, int]] = []
@@ -269,39 +249,93 @@ def _grouped(groups: DataFrame, links: DataFrame) -> DataFrame:
     return save(groups.join(roots, groups["group"] == roots["node"], "left").select("fp", F.coalesce("root", "group").alias("group")), "simhash-groups")
 
 
-def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, distance: int = 10, reach: int = 12, again: int = 8) -> DataFrame:
+CHUNK, HELD = 1024, 500_000  #: documents of a chunk, and their shingles, on average
+
+
+def passing(rows: pa.Table, reach: int, similarity: float) -> list[tuple[int, int]]:
+    """Links between documents of different groups, of at most `reach` bits and of `similarity` at least, that join whatever all such links join.
+
+    `rows` has fp, group, chunk and found (the document's distinct shingles); documents of one chunk are compared with
+    each other, those of two chunks across. Every pair is judged by its whole sets, but those that a link has joined.
+    """
+    fps, sizes = rows["fp"].to_numpy(), rows["found"].combine_chunks().value_lengths().to_numpy().astype(np.int64)
+    joined = np.unique(rows["group"].to_numpy(), return_inverse=True)[1]
+    told, ids = np.unique(rows["found"].combine_chunks().flatten().to_numpy(), return_inverse=True)
+    starts, mine = np.cumsum(sizes) - sizes, np.zeros(len(told), bool)
+    chunks = rows["chunk"].to_numpy()
+    two, places = chunks.min() < chunks.max(), np.arange(len(fps))
+    links: list[tuple[int, int]] = []
+    for i in np.flatnonzero(chunks == chunks.min()).tolist():
+        other = (chunks != chunks[i]) if two else (places > i)
+        near = other & (joined != joined[i]) & (np.bitwise_count((fps ^ fps[i]).view(np.uint64)) <= reach)
+        at = np.flatnonzero(near & (np.minimum(sizes, sizes[i]) / np.maximum(np.maximum(sizes, sizes[i]), 1) >= similarity))
+        if not len(at) or not sizes[i]:
+            continue
+        own = ids[starts[i] : starts[i] + sizes[i]]
+        mine[own] = True
+        ends = np.cumsum(sizes[at])
+        theirs = ids[np.arange(ends[-1]) + np.repeat(starts[at] - ends + sizes[at], sizes[at])]
+        both = np.add.reduceat(mine[theirs], ends - sizes[at], dtype=np.int64)
+        mine[own] = False
+        for j in at[both / (sizes[i] + sizes[at] - both) >= similarity].tolist():
+            if joined[j] != joined[i]:
+                links.append((int(fps[i]), int(fps[j])))
+                joined[joined == joined[j]] = joined[i]
+    return links
+
+
+def _across(nodes: DataFrame, texts: DataFrame, size: int, similarity: float, reach: int) -> DataFrame:
+    """Links a, b that pass between documents of `nodes` (fp, group, part) of one part and different groups, enough to join what all of them join.
+
+    A part is dealt out in chunks, by number and shingles, and each two chunks meet in a task of their own: no pair is left
+    out, no pair that fails is written down, and no task holds more than two chunks, however large a part is.
+    """
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, told in pieces(batches):
+            found = pa.array([np.unique(shingles(x, size)).view(np.int64) for x in told], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in ("fp", "group", "part")], found], ["fp", "group", "part", "found"])
+
+    def meet(rows: pa.Table) -> pa.Table:
+        out = passing(rows, reach, similarity)
+        return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
+
+    sets = save(nodes.join(texts, "fp").select("fp", "group", "part", "text").mapInArrow(shingled, "fp long, group long, part long, found array<long>"), "simhash-sets")
+    chunks = F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum(F.size("found")) / HELD)).cast("int")
+    dealt = sets.join(sets.groupBy("part").agg(chunks.alias("chunks")), "part").withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
+    met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    met = met.select("part", F.least("chunk", "other").alias("first"), F.greatest("chunk", "other").alias("second"), "fp", "group", "chunk", "found")
+    return met.groupBy("part", "first", "second").applyInArrow(meet, "a long, b long")
+
+
+def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, distance: int = 10, reach: int = 12) -> DataFrame:
     """row, doc_id, fp, group of every row of `docs` (row, doc_id, text): rows of one group are linked by fingerprints and verified by their shingles.
 
     Fingerprints of `size`-word shingles up to `distance` bits apart meet in two of `distance` + 2 blocks (a very large
     key in three of `distance` + 3), and nearly all up to `reach` do. The closest links that hold them together count if
     the shingle sets of two documents with these fingerprints have `similarity` (Jaccard) at least. Where some don't,
-    for each fingerprint of a group that a failed link touches `again` other links are tried, its closest ones to other groups
-    in each key whose sketches agree well enough: texts that share a common passage have close fingerprints by the thousand.
-    So a family of up to `again` + 1 texts is joined as all its pairs would; in large ones whose members are mostly less
-    alike than that, links may be missed after both rounds. Equal fingerprints are one document here.
+    all documents that close fingerprints hold together are compared, each with every one of another group up to `reach`
+    bits away. So documents are joined as all pairs would join them, in families of any size. Equal fingerprints are one
+    document here.
     Pairs at 0.8 differ by 9 or 10 bits on average, so some of the least similar that would count lie further apart and
     aren't found: about one in five at 0.8, one in twenty at 0.85. A greater `distance` and `reach` find more, with more
     and shorter keys.
     """
-    join = lambda nodes, joined: links(nodes, distance, distance + 2, 2, 8192, distance + 3, 3, joined, reach)
-    once = lambda near: save(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-near")
     fps = save(fingerprints(docs, size, "row binary, doc_id long"), "simhash-fp")
-    near = once(join(fps.select("fp").distinct(), nearest_forest))
+    near = links(fps.select("fp").distinct(), distance, distance + 2, 2, 8192, distance + 3, 3, nearest_forest, reach)
+    near = save(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-near")
     linked = save(near.select(F.col("a").alias("fp")).unionByName(near.select(F.col("b").alias("fp"))).distinct(), "simhash-linked")
     first = fps.join(linked, "fp", "left_semi").groupBy("fp").agg(F.min("row").alias("row"))  # one document for each linked fingerprint
     texts = save(docs.select("row", "text").join(first, "row").groupBy("fp").agg(F.min("text").alias("text")), "simhash-texts")
     told = _verified(near, texts, size, similarity)
     groups, failed = _grouped(linked.withColumn("group", F.col("fp")), told.where("ok")), told.where("not ok").select("a", "b")
     apart = failed.join(groups.select(F.col("fp").alias("a"), F.col("group").alias("group_a")), "a").join(groups.select(F.col("fp").alias("b"), F.col("group").alias("group_b")), "b").where("group_a <> group_b")
-    open_ = save(apart.select(F.explode(F.array("group_a", "group_b")).alias("group")).distinct(), "simhash-open")
-    if not open_.isEmpty():
-        both = failed.unionByName(failed.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        partners = both.groupBy(F.col("a").alias("fp")).agg(F.collect_list("b").alias("failed"))  # those of a forest
-        nodes = groups.join(open_, "group", "left_semi").join(partners, "fp", "left").select("fp", "group", F.coalesce("failed", F.array().cast("array<bigint>")).alias("failed"))
-        nodes = save(nodes, "simhash-nodes")
-        nodes = save(nodes.join(sketches(texts.join(nodes, "fp", "left_semi"), size), "fp"), "simhash-sketched")
-        more = once(join(nodes, partial(nearest_links, most=again)))
-        groups = _grouped(groups, _verified(more, texts, size, similarity).where("ok"))
+    apart = save(apart.select(F.col("group_a").alias("a"), F.col("group_b").alias("b")).distinct(), "simhash-apart")
+    if not apart.isEmpty():
+        # groups that failed links hold together: a pair of different groups can only be found within such a part
+        parts = apart.select(F.explode(F.array("a", "b")).alias("group")).distinct().join(connected_components(apart), F.col("group") == F.col("node"), "left")
+        nodes = groups.join(parts.select("group", F.coalesce("root", "group").alias("part")), "group")
+        groups = _grouped(groups, save(_across(nodes, texts, size, similarity, reach), "simhash-across"))
     rows = fps.join(groups, "fp", "left")
     return rows.select("row", "doc_id", "fp", F.coalesce("group", "fp").alias("group"))
 

@@ -108,6 +108,68 @@ def test_families_keep_all_links_that_pass(spark):
     assert all(len(x) == 1 for x in by_group.values())
 
 
+def test_large_families_keep_all_links_that_pass(spark, monkeypatch):
+    """Families far larger than the links tried for each text, most pairs too unlike: as all pairs of close fingerprints would join them, across chunks too."""
+    monkeypatch.setattr(simhash, "CHUNK", 100, raising=False)
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8)))
+    rows = []
+    for f in range(2):
+        base = [word() for _ in range(110)]
+        for _ in range(400):
+            text = list(base)
+            for at in rng.sample(range(len(text)), rng.randint(2, 4)):
+                text[at] = word()
+            rows.append((len(rows), f, " ".join(text)))
+    prints = [simhash.fingerprint(t.encode(), 5) for *_, t in rows]
+    sets = [set(simhash.shingles(t.encode(), 5).tolist()) for *_, t in rows]
+
+    def joined(most):
+        root = list(range(len(rows)))
+        for a, (_, f, _) in enumerate(rows):
+            for b in range(a + 1, len(rows)):
+                if rows[b][1] == f and (prints[a] ^ prints[b]).bit_count() <= most and len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8:
+                    x, y = sorted((root[a], root[b]))
+                    root = [x if r == y else r for r in root]
+        return root
+
+    df = spark.createDataFrame([(d, t) for d, _, t in rows], "doc_id long, text string")
+    group = {r["doc_id"]: r["group"] for r in simhash.similar(df.withColumn("row", simhash.row_key())).collect()}
+    sure, most = joined(10), joined(12)
+    assert 2 < len(set(sure)) < 0.9 * len(rows)
+    assert all(group[d] == group[r] for d, r in enumerate(sure))
+    by_group: dict = {}
+    for d, g in group.items():
+        by_group.setdefault(g, set()).add(most[d])
+    assert all(len(x) == 1 for x in by_group.values())
+
+
+def test_passing_joins_what_all_pairs_join():
+    rng = np.random.default_rng(5)
+    for two in (False, True):
+        for _ in range(20):
+            n = 40
+            base = rng.integers(-(1 << 60), 1 << 60, 30)
+            found = [np.unique(np.concatenate((base[rng.random(30) < 0.93], rng.integers(0, 1 << 60, rng.integers(0, 3))))) for _ in range(n)] + [np.zeros(0, np.int64)]
+            fps = np.unique(rng.integers(-(1 << 62), 1 << 62)) ^ np.array([sum(1 << int(x) for x in set(rng.integers(0, 60, 3))) ^ (i << 40) for i in range(n + 1)])
+            groups, chunks = rng.integers(0, 12, n + 1), rng.integers(3, 5, n + 1) if two else np.full(n + 1, 3)
+            rows = pa.table({"fp": fps, "group": groups, "chunk": chunks, "found": pa.array(found, pa.list_(pa.int64()))})
+
+            def roots(links, groups=groups):
+                root = {int(g): int(g) for g in groups}
+                for a, b in links:
+                    x, y = sorted((root[a], root[b]))
+                    root = {g: x if r == y else r for g, r in root.items()}
+                return root
+
+            near = lambda i, j: ((int(fps[i]) ^ int(fps[j])) % (1 << 64)).bit_count() <= 8 and len(np.intersect1d(found[i], found[j])) / max(len(np.union1d(found[i], found[j])), 1) >= 0.8  # noqa: E731, B023
+            every = [(int(groups[i]), int(groups[j])) for i in range(n + 1) for j in range(i) if (chunks[i] != chunks[j] or not two) and near(i, j)]
+            at = {int(f): i for i, f in enumerate(fps)}
+            links = simhash.passing(rows, 8, 0.8)
+            assert all(near(at[a], at[b]) for a, b in links) and len(links) < 12
+            assert roots([(int(groups[at[a]]), int(groups[at[b]])) for a, b in links]) == roots(every)
+
+
 def test_rows_of_one_id_go_for_their_own_text(spark):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8)))
