@@ -6,18 +6,24 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from typing import Any
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..sources.keyed import KeyedTable
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+BUCKETS = 256  #: entries of the state, whatever the number of keys
+
+
 class Latest(StatefulProcessor):
     """How often a key was seen, when last and with what, forgotten `lifetime` milliseconds after that.
 
     A key that comes back after its lifetime starts anew, whether or not the watermark has reached its end before, so
-    the counts don't depend on how the stream is cut into batches.
+    the counts don't depend on how the stream is cut into batches. The keys of a bucket are one entry of the state with
+    one timer, that of the first to end: a batch asks for it once and folds its rows in as columns.
     """
 
     def __init__(self, keys: list[str], lifetime: int):
@@ -25,29 +31,55 @@ class Latest(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.seen = handle.getValueState("seen", "n long, last_ms long, item string")
-
-    def _row(self, key: Any, n: int, last: int, item: str | None, expired: bool) -> Row:
-        return Row(**dict(zip(self.keys, key, strict=True)), n=n, last_ms=last, item=item, expired=expired)
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:  # noqa: N802, N803
-        n, last, item = self.seen.get() if self.seen.exists() else (0, None, None)
-        before = last
-        for ms, told in sorted(((r["ms"], r["item"]) for r in rows), key=lambda x: (x[0], x[1] is not None, x[1] or "")):
-            if last is not None and ms - last >= self.lifetime:
-                n = 0
-            n += 1
-            if last is None or ms >= last:
-                last, item = ms, told
-        if before is not None:
-            self.handle.deleteTimer(before + self.lifetime)
-        self.handle.registerTimer(last + self.lifetime)
-        self.seen.update((n, last, item))
-        yield self._row(key, n, last, item, False)
-
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:  # noqa: N802, N803
-        self.seen.clear()
-        yield self._row(key, 0, 0, None, True)
+        self.seen = handle.getValueState("seen", ", ".join([f"{k} array<string>" for k in self.keys] + ["n array<long>, last_ms array<long>, item array<string>"]))
+
+    def _held(self) -> pd.DataFrame:
+        told = self.seen.get() if self.seen.exists() else [[]] * (len(self.keys) + 3)
+        held = pd.DataFrame({c: pd.Series(list(x), dtype=object) for c, x in zip([*self.keys, "n", "last_ms", "item"], told, strict=True)})
+        return held.astype({"n": "int64", "last_ms": "int64"})
+
+    def _hold(self, before: pd.DataFrame, now: pd.DataFrame) -> None:
+        ends = lambda rows: int(rows["last_ms"].min()) + self.lifetime - 1  # noqa: E731  a timer goes off once the watermark is past it
+        if len(before):
+            self.handle.deleteTimer(ends(before))
+        if len(now):
+            self.handle.registerTimer(ends(now))
+            self.seen.update(tuple(now[c].tolist() for c in [*self.keys, "n", "last_ms", "item"]))
+        else:
+            self.seen.clear()
+
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        held, came = self._held(), pd.concat(list(rows), ignore_index=True)
+        both = pd.concat([held[self.keys], came[self.keys]], ignore_index=True)
+        code = both.groupby(self.keys, sort=False, dropna=False).ngroup().to_numpy()
+        old, mine, size = code[: len(held)], code[len(held) :], int(code.max()) + 1
+        n, last, never = np.zeros(size, np.int64), np.zeros(size, np.int64), np.ones(size, bool)
+        n[old], last[old], never[old] = held["n"].to_numpy(), held["last_ms"].to_numpy(), False
+        item = np.full(size, None, object)
+        item[old] = held["item"].to_numpy()
+        order = np.lexsort((pd.factorize(came["item"], sort=True)[0], came["ms"].to_numpy(np.int64), mine))  # a null comes first
+        mine, ms, told = mine[order], came["ms"].to_numpy(np.int64)[order], came["item"].to_numpy(object)[order]
+        first, final = np.diff(mine, prepend=-1) != 0, np.diff(mine, append=size) != 0
+        ahead = np.where(first, last[mine], np.maximum(np.roll(ms, 1), last[mine]))  # when the key was seen before
+        anew = np.where(first & never[mine], True, ms - np.where(never[mine] & ~first, np.roll(ms, 1), ahead) >= self.lifetime)
+        place = np.arange(len(mine))
+        start = np.maximum.accumulate(np.where(first | anew, place, 0))[final]
+        changed = mine[final]
+        n[changed] = place[final] - start + 1 + np.where(anew[start], 0, n[changed])
+        newer = changed[(ms[final] >= last[changed]) | never[changed]]
+        at = np.zeros(size, np.int64)
+        at[changed] = place[final]
+        last[newer], item[newer] = ms[at[newer]], told[at[newer]]
+        keys = both.loc[~pd.Series(code).duplicated().to_numpy()].reset_index(drop=True)  # in the order of their codes
+        now = keys.assign(n=n, last_ms=last, item=item)
+        self._hold(held, now)
+        yield now.iloc[changed].assign(expired=False)
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        held = self._held()
+        over = (held["last_ms"] + self.lifetime <= timerValues.getCurrentWatermarkInMs()).to_numpy()
+        self._hold(held[:0], held[~over])
+        yield held[over].assign(n=0, last_ms=0, item=None, expired=True)
 
     def close(self) -> None:
         pass
@@ -57,12 +89,15 @@ def latest(rows: DataFrame, keys: list[str], ts: str, lifetime_seconds: int, lat
     """keys, n, last_ms, item, expired of each key that a batch of `rows` changes; `item` is a column's value in the last row, the greatest of several.
 
     Rows no newer than the watermark are dropped. The state holds the keys last seen less than a lifetime before the
-    watermark, a small entry each; a key that has very many rows is one entry.
+    watermark, a few numbers each; a key that has very many rows is held once.
     """
     timed = rows.withColumn("_ts", F.col(ts).cast("timestamp")).withWatermark("_ts", late)
-    told = timed.select(*keys, "_ts", F.unix_millis("_ts").alias("ms"), (F.col(item).cast("string") if item else F.lit(None).cast("string")).alias("item"))
-    schema = ", ".join([f"{k} {dict(told.dtypes)[k]}" for k in keys] + ["n long, last_ms long, item string, expired boolean"])
-    return told.groupBy(*keys).transformWithState(Latest(keys, 1000 * lifetime_seconds), schema, "Update", "EventTime")
+    kinds = dict(timed.dtypes)
+    inner = [f"k{i}" for i in range(len(keys))]  # as text, which holds a null and any number
+    told = timed.select(F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).alias("bucket"), *[F.col(k).cast("string").alias(c) for k, c in zip(keys, inner, strict=True)], "_ts", F.unix_millis("_ts").alias("ms"), (F.col(item).cast("string") if item else F.lit(None).cast("string")).alias("item"))
+    schema = ", ".join([f"{c} string" for c in inner] + ["n long, last_ms long, item string, expired boolean"])
+    found = told.groupBy("bucket").transformWithStateInPandas(Latest(inner, 1000 * lifetime_seconds), schema, "Update", "EventTime")
+    return found.select(*[F.col(c).cast(kinds[k]).alias(k) for k, c in zip(keys, inner, strict=True)], "n", "last_ms", "item", "expired")
 
 
 def view_state(views: DataFrame, lifetime_seconds: int, late: str = "1 minute") -> DataFrame:

@@ -358,6 +358,16 @@ def test_latest_rows_of_a_key_whatever_the_batches(spark, tmp_path):
         assert {r["k"]: (r["n"], r["last_ms"], r["item"]) for r in table.read().collect()} == want
 
 
+def test_state_has_an_entry_a_bucket_and_ends_at_the_watermark(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(state, "BUCKETS", 8, raising=False)
+    rows = [("edge", 100), ("late", 101)] + [(None if i == 7 else f"k{i}", 155 + i % 6) for i in range(300)]
+    part = spark.createDataFrame(rows, "k string, s long").select("k", F.timestamp_seconds("s").alias("ts"))
+    table = KeyedTable.create(spark.createDataFrame([], "k string, n long, last_ms long"), str(tmp_path / "t"), ["k"], 4)
+    told = state.in_runs([part], str(tmp_path / "in"), lambda x: state.follow(state.latest(x, ["k"], "ts", 50, "10 seconds").select(*table.schema.names, "expired"), table, str(tmp_path / "run")))
+    assert {(r["k"], r["n"], r["last_ms"]) for r in table.read().collect()} == {(k, 1, 1000 * s) for k, s in rows if k != "edge"}  # its end is the watermark itself, 150 s
+    assert all(p["stateOperators"][0]["numRowsTotal"] <= 8 for p in told)
+
+
 def test_a_streamed_table_is_a_file_or_a_folder(spark, tmp_path):
     from shelflens.queries_scale import QUERIES
 
