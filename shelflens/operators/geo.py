@@ -34,7 +34,7 @@ def store_deviation(orders: DataFrame, by: str, least: int = 10) -> DataFrame:
     enough = orders.groupBy(by).agg(F.count_distinct("member").alias("n")).where(F.col("n") >= least).select(by)
     sold = orders.join(enough, by).groupBy(by, "store").agg(F.sum("amount").alias("x"))
     mean = F.avg("x").over(Window.partitionBy(by))
-    return sold.withColumn("d", F.pow(mean - F.col("x"), 2)).groupBy(by).agg(F.count_distinct("store").alias("stores"), F.sqrt(F.sum("d") / F.count_distinct("store")).alias("deviation"))
+    return sold.withColumn("d", F.pow(mean - F.col("x"), 2)).groupBy(by).agg(F.count("store").alias("stores"), F.sqrt(F.sum("d") / F.count("store")).alias("deviation"))  # a row a store
 
 
 def category_features(orders: DataFrame) -> DataFrame:

@@ -515,3 +515,13 @@ def test_sell_through_reads_the_orders_once(spark):
     orders = spark.range(40).select((F.col("id") % 5).alias("goods"), F.lit("k").alias("category"), F.lit(1.0).alias("amount"), at.alias("sale_time"))
     assert _rows(category.category_sell_through(orders, goods, dim), "level_no", "month", "sell_through") == [(1, "2024-01", 0.5), (2, "2024-01", 0.5)]
     assert seen.value == 40
+
+
+def test_store_deviation_counts_stores_once(spark):
+    """Its rows are one a store already, so the stores aren't told apart again in tables of their own."""
+    from shelflens.operators import geo
+
+    orders = spark.createDataFrame([("a", s, 10 * i + s, float(s)) for i in range(6) for s in (1, 2)] + [("a", None, 99, 8.0), ("b", 1, 1, 5.0)], "brand string, store long, member long, amount double")
+    found = geo.store_deviation(orders, "brand")
+    assert "count(distinct store" not in found._jdf.queryExecution().analyzed().toString()
+    assert [(r["brand"], r["stores"]) for r in found.collect()] == [("a", 2)]
