@@ -12,6 +12,7 @@ from .operators import category as C
 from .operators import cooccurrence as R
 from .operators import geo, lists, models, profile, rank, search
 from .operators import scorecard as S
+from .operators.dealing import distinct_counts
 from .plans.views import view
 from .sources import tables
 from .sources.scratch import scratch_path
@@ -171,7 +172,7 @@ QUERIES: dict[str, Query] = {
     "j3_left_join_default": _on(lambda c, o: c.select("c_custkey").join(o.groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("n")), "c_custkey", "left").fillna(0, ["n"]), "customer", "orders"),
     "j10_anti_join": _on(lambda c, o: c.join(o.select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_anti").select("c_custkey"), "customer", "orders"),
     "j11_semi_join": _on(lambda p, e: p.join(e.select("goods"), p["p_partkey"] == e["goods"], "left_semi").select("p_partkey"), "part", "v_events"),
-    "a3_count_distinct": _on(lambda o: o.groupBy("store").agg(F.count_distinct("member").alias("members"), F.count_distinct("goods").alias("goods"), F.count_distinct("order_no").alias("orders")), "v_orders"),
+    "a3_count_distinct": _on(lambda o: distinct_counts(o, ["store"], {"members": "member", "goods": "goods", "orders": "order_no"}), "v_orders"),
     "a9_median": _on(lambda o: o.groupBy("brand").agg(F.median("price").alias("median_price")), "v_orders"),
     "a10_positional_quantiles": _on(lambda g: rank.positional_quantile(g, ["level1"], "price", [2, 4, 6, 8]), "v_goods"),
     "a11_deviation": _on(lambda o: o.groupBy("goods").agg(F.count("*").alias("n"), F.stddev_pop("price").alias("deviation")).where("n >= 5 AND deviation > 1e-9"), "v_orders"),

@@ -525,3 +525,17 @@ def test_store_deviation_counts_stores_once(spark):
     found = geo.store_deviation(orders, "brand")
     assert "count(distinct store" not in found._jdf.queryExecution().analyzed().toString()
     assert [(r["brand"], r["stores"]) for r in found.collect()] == [("a", 2)]
+
+
+def test_distinct_counts_deal_out_by_rows(spark):
+    """Each column has its 2,000 rows in partitions of 500, though one group holds nearly all; before, the session's partitions held them once for each column."""
+    from shelflens.operators import dealing
+
+    rows = spark.range(2000).selectExpr("if(id % 50 = 0, 1L, null) AS g", "if(id % 2 = 0, id % 300, null) AS a", "if(id % 7 = 0, null, id % 11) AS b", "cast(id AS double) AS x")
+    found = dealing.distinct_counts(rows, ["g"], {"a": "b", "n": "a"}, {"total": F.col("x"), "rows": F.lit(1)}, each=500)
+    plain = rows.groupBy("g").agg(F.count_distinct("b").alias("a"), F.count_distinct("a").alias("n"), F.sum("x").alias("total"), F.count("*").alias("rows"))
+    assert _rows(found, "g", "a", "n", "total", "rows") == _rows(plain, "g", "a", "n", "total", "rows")
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 2 and "Expand" not in plan and ", 4" in plan  # 2,000 rows, 500 each
+    none = dealing.distinct_counts(rows.where("x < 0"), ["g"], {"a": "b"})
+    assert none.columns == ["g", "a"] and none.count() == 0
