@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .dealing import distinct_counts
 from .intervals import points_in_areas as points_in_polygons
 from .rank import share, top_k
 
@@ -39,7 +40,7 @@ def store_deviation(orders: DataFrame, by: str, least: int = 10) -> DataFrame:
 
 def category_features(orders: DataFrame) -> DataFrame:
     """level1: its mean share over stores of sales, units and orders."""
-    rows = orders.groupBy("store", "level1").agg(F.sum("amount").alias("sales"), F.sum("qty").alias("units"), F.count_distinct("order_no").cast("double").alias("orders"))
+    rows = distinct_counts(orders, ["store", "level1"], {"orders": "order_no"}, {"sales": F.col("amount"), "units": F.col("qty")}).withColumn("orders", F.col("orders").cast("double"))
     for c in ("sales", "units", "orders"):
         rows = rows.withColumn(f"{c}_share", share(F.col(c), ["store"]))
     return rows.groupBy("level1").agg(*[F.avg(f"{c}_share").alias(f"{c}_share") for c in ("sales", "units", "orders")])
@@ -91,9 +92,9 @@ def store_summary(orders: DataFrame, cuts: DataFrame) -> DataFrame:
 
 def six_shares(orders: DataFrame) -> DataFrame:
     """level1: its mean share over stores of sales, units, orders, members, goods and lines."""
-    what = {"sales": F.sum("amount"), "units": F.sum("qty"), "orders": F.count_distinct("order_no"), "members": F.count_distinct("member"), "goods": F.count_distinct("goods"), "lines": F.count("*")}
-    rows = orders.groupBy("store", "level1").agg(*[c.cast("double").alias(n) for n, c in what.items()])
-    shares = rows.select("level1", *[share(F.col(n), ["store"]).alias(n) for n in what])
+    what = ("sales", "units", "orders", "members", "goods", "lines")
+    rows = distinct_counts(orders, ["store", "level1"], {"orders": "order_no", "members": "member", "goods": "goods"}, {"sales": F.col("amount"), "units": F.col("qty"), "lines": F.lit(1)})
+    shares = rows.select("level1", *[share(F.col(n).cast("double"), ["store"]).alias(n) for n in what])
     return shares.groupBy("level1").agg(*[F.avg(n).alias(f"{n}_share") for n in what])
 
 

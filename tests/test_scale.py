@@ -539,3 +539,16 @@ def test_distinct_counts_deal_out_by_rows(spark):
     assert plan.count("RepartitionByExpression") == 2 and "Expand" not in plan and ", 4" in plan  # 2,000 rows, 500 each
     none = dealing.distinct_counts(rows.where("x < 0"), ["g"], {"a": "b"})
     assert none.columns == ["g", "a"] and none.count() == 0
+
+
+def test_shares_over_stores_deal_out_by_rows(spark, monkeypatch):
+    """Before, a store's orders were told apart in the session's partitions."""
+    from shelflens.operators import dealing
+
+    monkeypatch.setattr(dealing.distinct_counts, "__defaults__", (None, 100))
+    orders = spark.range(400).selectExpr("id % 3 AS store", "if(id % 5 = 0, 'a', 'b') AS level1", "id % 70 AS order_no", "id % 9 AS member", "id % 50 AS goods", "cast(id AS double) AS amount", "2D AS qty")
+    for found, size in ((geo.category_features(orders), 1), (geo.six_shares(orders), 3)):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("RepartitionByExpression [store#") == size and "Expand" not in plan
+        share = {r["level1"]: r["orders_share"] for r in found.collect()}
+        assert share == pytest.approx({"a": 0.2, "b": 0.8})
