@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .dealing import dealt
 from .prefix import running, saved, values_at
 from .rank import minmax, minmax_of_all, pareto_counts, share, top_k
 from .rollup import roll_up
@@ -52,10 +53,13 @@ def category_basic(goods: DataFrame, dim: DataFrame) -> DataFrame:
 
 
 def category_brand(goods: DataFrame, dim: DataFrame) -> DataFrame:
-    return explode_levels(goods, dim).groupBy("level_no", "node", "brand").agg(
-        F.count_distinct("goods").alias("goods_count"), F.count_if(F.col("sale_status") == 0).alias("off_shelf"), F.count_if((F.col("stock") == 0) & (F.col("sale_status") == 4)).alias("out_of_stock"),
-        F.min("price").alias("min_price"), F.max("price").alias("max_price"),
+    """level_no, node, brand: goods, those off the shelf and out of stock, and prices' ends; goods are told apart in partitions that follow their number."""
+    key = ["level_no", "node", "brand"]
+    rows = explode_levels(goods.select("category", "brand", "goods", "sale_status", "stock", "price"), dim)
+    once = dealt(rows, len(LEVELS) * goods.count(), [*key, "goods"]).groupBy(*key, "goods").agg(
+        F.count_if(F.col("sale_status") == 0).alias("off_shelf"), F.count_if((F.col("stock") == 0) & (F.col("sale_status") == 4)).alias("out_of_stock"), F.min("price").alias("min_price"), F.max("price").alias("max_price")
     )
+    return once.groupBy(*key).agg(F.count("goods").alias("goods_count"), F.sum("off_shelf").alias("off_shelf"), F.sum("out_of_stock").alias("out_of_stock"), F.min("min_price").alias("min_price"), F.max("max_price").alias("max_price"))
 
 
 def _month(ts: str = "sale_time") -> Column:
