@@ -157,11 +157,17 @@ def sales_windows(orders: DataFrame, as_of: str) -> DataFrame:
 
 
 def order_shape(orders: DataFrame) -> DataFrame:
-    """category: mean days between purchases, amount and lines of an order, top-decile goods' share of sales."""
-    dates = orders.groupBy("category", "member").agg(F.datediff(F.max("sale_time"), F.min("sale_time")).alias("span"), F.count_distinct(F.to_date("sale_time")).alias("n")).where("n > 1")
+    """category: mean days between purchases, amount and lines of an order, top-decile goods' share of sales.
+
+    The lines are written down once; members, orders and goods are grouped in partitions that follow their number.
+    """
+    lines = saved(orders.select("category", "member", "order_no", "goods", "amount", F.to_date("sale_time").alias("day")), "order-shape")
+    size = lines.count()
+    each = lambda by, *values: dealt(lines.select("category", by, *values), size, ["category", by]).groupBy("category", by)
+    dates = each("member", "day").agg(F.datediff(F.max("day"), F.min("day")).alias("span"), F.count_distinct("day").alias("n")).where("n > 1")
     cycle = dates.groupBy("category").agg((F.sum("span") / F.sum(F.col("n") - 1)).alias("days_between"))
-    order = orders.groupBy("category", "order_no").agg(F.sum("amount").alias("amount"), F.count("*").alias("lines")).groupBy("category").agg(F.avg("amount").alias("order_value"), F.avg("lines").alias("order_lines"))
-    sold = running(orders.groupBy("category", "goods").agg(F.sum("amount").alias("amount")), ["category"], [F.col("amount").desc(), F.col("goods")], [])
+    order = each("order_no", "amount").agg(F.sum("amount").alias("amount"), F.count("*").alias("lines")).groupBy("category").agg(F.avg("amount").alias("order_value"), F.avg("lines").alias("order_lines"))
+    sold = running(each("goods", "amount").agg(F.sum("amount").alias("amount")), ["category"], [F.col("amount").desc(), F.col("goods")], [])
     top = sold.groupBy("category").agg((F.sum(F.when(F.col("_place") <= F.greatest(F.lit(1), F.floor(F.col("_count") / 10)), F.col("amount"))) / F.sum("amount")).alias("top_share"))
     return order.join(top, "category").join(cycle, "category", "left")
 

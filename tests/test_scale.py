@@ -552,3 +552,20 @@ def test_shares_over_stores_deal_out_by_rows(spark, monkeypatch):
         assert plan.count("RepartitionByExpression [store#") == size and "Expand" not in plan
         share = {r["level1"]: r["orders_share"] for r in found.collect()}
         assert share == pytest.approx({"a": 0.2, "b": 0.8})
+
+
+def test_brands_and_order_shapes_are_dealt_out_by_rows(spark, monkeypatch):
+    """Before, goods of all levels and members, orders and goods of a category lay in the session's partitions."""
+    from shelflens.operators import dealing
+
+    monkeypatch.setattr(dealing.dealt, "__defaults__", (100,))
+    dim = spark.createDataFrame([("k", "a", "b", None), ("l", "a", "c", "d")], "category string, level1 string, level2 string, level3 string")
+    goods = spark.range(400).selectExpr("if(id % 4 = 0, 'k', 'l') AS category", "if(id % 3 = 0, null, id % 5) AS brand", "if(id % 7 = 0, null, id % 90) AS goods", "id % 2 * 4 AS sale_status", "id % 3 AS stock", "id * 1.5D AS price")
+    found = category.category_brand(goods, dim)
+    what = [F.count_distinct("goods"), F.count_if(F.col("sale_status") == 0), F.count_if((F.col("stock") == 0) & (F.col("sale_status") == 4)), F.min("price"), F.max("price")]
+    plain = category.explode_levels(goods, dim).groupBy("level_no", "node", "brand").agg(*[c.alias(f"c{i}") for i, c in enumerate(what)])
+    assert _rows(found, *found.columns) == _rows(plain, *plain.columns)
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [level_no#" in plan(found) and ", 12" in plan(found)  # 400 rows at three levels
+    orders = goods.where("goods IS NOT NULL").selectExpr("category", "goods", "goods % 6 AS member", "goods % 40 AS order_no", "price AS amount", "timestamp'2024-01-01' + make_interval(0, 0, 0, cast(price AS int)) AS sale_time")
+    assert plan(category.order_shape(orders)).count("RepartitionByExpression [category#") == 2  # members and orders; goods are written down already
