@@ -70,6 +70,12 @@ def category_monthly_sales(orders: DataFrame, dim: DataFrame) -> DataFrame:
     return roll_up(orders, dim, {"month": _month()}, "goods", {"sales": ("sum", F.col("amount")), "units": ("sum", F.col("qty"))}, {"goods_sold": None}).drop("path")
 
 
+def category_monthly_units(orders: DataFrame, dim: DataFrame) -> DataFrame:
+    """level_no, node, month, units: those of category_monthly_sales, without its counts of goods."""
+    leaf = orders.groupBy("category", _month()).agg(F.sum("qty").alias("units"))
+    return explode_levels(leaf, dim).groupBy("level_no", "node", "month").agg(F.sum("units").alias("units"))
+
+
 def category_sell_through(orders: DataFrame, goods: DataFrame, dim: DataFrame) -> DataFrame:
     """level_no, node, month: goods sold, and goods that make 50 % and 80 % of sales, over goods on sale; 0 without sales."""
     leaf = saved(orders.groupBy("category", _month(), "goods").agg(F.sum("amount").alias("amount")), "sell-through")
@@ -114,7 +120,8 @@ def sales_score(orders: DataFrame, goods: DataFrame, dim: DataFrame, as_of: str,
     """level_no, node, score: 90-day sales (scaled within a level), sales per goods and growth on the half year (scaled over all)."""
     age = F.datediff(F.lit(as_of).cast("date"), F.to_date("sale_time"))
     recent = lambda n: F.sum(F.when(age.between(0, n - 1), F.col("amount")).otherwise(0.0))
-    sold = explode_levels(orders, dim).groupBy("level_no", "node").agg(recent(90).alias("s90"), recent(180).alias("s180"))
+    leaf = orders.groupBy("category").agg(recent(90).alias("s90"), recent(180).alias("s180"))  # lines add up before the levels are laid out
+    sold = explode_levels(leaf, dim).groupBy("level_no", "node").agg(F.sum("s90").alias("s90"), F.sum("s180").alias("s180"))
     count = explode_levels(goods, dim).groupBy("level_no", "node").agg(F.count_distinct("goods").alias("n"))
     rows = count.join(sold, ["level_no", "node"], "left").fillna(0.0, ["s90", "s180"])
     half = F.col("s180") / 6

@@ -69,11 +69,15 @@ def sell_through_points(x: Column) -> Column:
     return F.when((x > 0.4) & (x < 0.6), 1.0).when(x.between(0.2, 0.8), 0.5).otherwise(0.2)
 
 
+def scored_month(month: Column, as_of: str, months: int = 4) -> Column:
+    """Whether product_line_score takes a month (yyyy-MM)."""
+    return month > F.date_format(F.add_months(F.lit(as_of).cast("date"), -months), "yyyy-MM")
+
+
 def product_line_score(monthly: DataFrame, correlations: DataFrame, weights: dict[str, float], as_of: str, months: int = 4) -> DataFrame:
     """level_no, node, score from the mean concentration (`ratio80`) and sell-through of the months after `months` ago,
     in steps, and from the correlation of price and units."""
-    start = F.date_format(F.add_months(F.lit(as_of).cast("date"), -months), "yyyy-MM")
-    means = monthly.where(F.col("month") > start).groupBy(*NODE).agg(F.avg("ratio80").alias("_c"), F.avg("sell_through").alias("_s"))
+    means = monthly.where(scored_month(F.col("month"), as_of, months)).groupBy(*NODE).agg(F.avg("ratio80").alias("_c"), F.avg("sell_through").alias("_s"))
     rows = means.join(correlations.select(*NODE, "correlation"), NODE, "left").fillna(0.0, ["correlation"])
     total = weights["concentration"] * concentration_points(F.round("_c", 9)) + weights["sell_through"] * sell_through_points(F.round("_s", 9)) + weights["correlation"] * F.col("correlation")
     return rows.select(*NODE, total.alias("score"))

@@ -13,6 +13,7 @@ from .operators import cooccurrence as R
 from .operators import geo, lists, models, profile, rank, search
 from .operators import scorecard as S
 from .operators.dealing import distinct_counts
+from .operators.prefix import saved
 from .plans.views import view
 from .sources import tables
 from .sources.scratch import scratch_path
@@ -101,16 +102,21 @@ def _operation(goods: DataFrame, orders: DataFrame, dim: DataFrame) -> DataFrame
     """Orders stand for price changes, large ones for changes of shelf, monthly units for ratios."""
     fill = lambda n, snapshot: goods.select("goods", F.lit(snapshot).alias("snapshot"), (F.col("comments") / n).alias("fill_rate"))
     changes = orders.select("goods", "qty", F.col("sale_time").alias("changed_at"))
-    ratios = C.category_monthly_sales(orders, dim).select("level_no", "node", F.col("units").alias("ratio"))
+    ratios = C.category_monthly_units(orders, dim).select("level_no", "node", F.col("units").alias("ratio"))
     return S.operation(goods, fill(100, 1).unionByName(fill(50, 2)), changes, changes.where("qty >= 25"), ratios, dim, ORDERS_AS_OF)
 
 
 def _product_line(goods: DataFrame, orders: DataFrame, dim: DataFrame) -> DataFrame:
-    monthly = rounded(C.category_sell_through(orders, goods, dim))
+    """A month's figures come from its own orders, so those of months that the score leaves out aren't worked out first."""
+    scored = orders.where(S.scored_month(F.date_format("sale_time", "yyyy-MM"), ORDERS_AS_OF))
+    monthly = rounded(C.category_sell_through(scored, goods, dim))
     return S.product_line_score(monthly, S.price_correlation(C.price_distribution(goods, orders, dim)), PRODUCT, ORDERS_AS_OF)
 
 
 def _overall(goods: DataFrame, orders: DataFrame, events: DataFrame, dim: DataFrame) -> DataFrame:
+    """The columns of the order lines that the parts read, and the tree, are written down once; the joins below them run once."""
+    orders = saved(orders.select("category", "goods", "amount", "qty", "sale_time"), "overall-orders")
+    dim = saved(dim, "overall-tree")
     parts = {
         "sales": rounded(C.sales_score(orders, goods, dim, ORDERS_AS_OF)).withColumn("score", 25 * F.col("score")),
         "product": rounded(_product_line(goods, orders, dim)),

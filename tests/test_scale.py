@@ -569,3 +569,20 @@ def test_brands_and_order_shapes_are_dealt_out_by_rows(spark, monkeypatch):
     assert "RepartitionByExpression [level_no#" in plan(found) and ", 12" in plan(found)  # 400 rows at three levels
     orders = goods.where("goods IS NOT NULL").selectExpr("category", "goods", "goods % 6 AS member", "goods % 40 AS order_no", "price AS amount", "timestamp'2024-01-01' + make_interval(0, 0, 0, cast(price AS int)) AS sale_time")
     assert plan(category.order_shape(orders)).count("RepartitionByExpression [category#") == 2  # members and orders; goods are written down already
+
+
+def test_overall_score_reads_the_orders_once(spark, monkeypatch):
+    from shelflens import queries
+    from shelflens.plans.views import view
+
+    sf_dir = "/root/testdata/sf0.001"
+    orders = view(spark, sf_dir, "v_orders")
+    qty, seen = _counted(spark, F.col("qty"), "double")
+    lines = orders.count()
+    months = orders.where("date_format(sale_time, 'yyyy-MM') > '2001-04'")
+    asked = []
+    sell_through = queries.C.category_sell_through
+    monkeypatch.setattr(queries.C, "category_sell_through", lambda o, *rest: asked.append(o) or sell_through(o, *rest))
+    found = queries._overall(view(spark, sf_dir, "v_goods"), orders.withColumn("qty", qty), view(spark, sf_dir, "v_events"), view(spark, sf_dir, "v_category_dim"))
+    assert found.count() > 0 and seen.value == lines
+    assert asked[0].count() == months.count()
