@@ -43,7 +43,10 @@ def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
 
 def fingerprint(text: bytes, size: int = SHINGLE) -> int:
     """SimHash of the `size`-word shingles (repeats included) of the lower-cased text: a bit is set if over half of the hashes have it."""
-    found = shingles(text, size)
+    return _print_of(shingles(text, size))
+
+
+def _print_of(found: np.ndarray) -> int:
     if not len(found):
         return 0
     column = (found.view(np.uint8).reshape(-1, 8).astype(np.int64) + np.arange(8) * 256).ravel()
@@ -51,16 +54,19 @@ def fingerprint(text: bytes, size: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(found), bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, size: int = SHINGLE, kept: str = "doc_id long") -> DataFrame:
-    """The columns `kept` and fp (the fingerprint's bits as a signed long) of every row; null texts count as empty."""
+def fingerprints(docs: DataFrame, size: int = SHINGLE, kept: str = "doc_id long", counted: bool = False) -> DataFrame:
+    """The columns `kept` and fp (the fingerprint's bits as a signed long) of every row; null texts count as empty. `counted` adds n, its different shingles."""
     names = [c.split()[0] for c in kept.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in pieces(batches):
-            fp = np.array([fingerprint(x, size) for x in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([*[batch[c] for c in names], pa.array(fp, pa.int64())], [*names, "fp"])
+            found = [shingles(x, size) for x in texts]
+            told = {"fp": pa.array(np.array([_print_of(x) for x in found], np.uint64).view(np.int64), pa.int64())}
+            if counted:
+                told["n"] = pa.array([len(np.unique(x)) for x in found], pa.int32())
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in names], *told.values()], [*names, *told])
 
-    return docs.select(*names, "text").mapInArrow(run, f"{kept}, fp long")
+    return docs.select(*names, "text").mapInArrow(run, f"{kept}, fp long" + ", n int" * counted)
 
 
 def block_keys(fp: Column, blocks: int, agree: int) -> Column:
@@ -92,23 +98,35 @@ def forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
     return links
 
 
-def nearest_forest(fps: np.ndarray, distance: int) -> list[tuple[int, int]]:
-    """Of the links of at most `distance` bits a minimum spanning forest: whatever they join, by the closest ones."""
+def nearest_forest(fps: np.ndarray, distance: int, sizes: np.ndarray | None = None, similarity: float = 0.0) -> list[tuple[int, int]]:
+    """Of the links of at most `distance` bits a minimum spanning forest: whatever they join, by the closest ones.
+
+    With the `sizes` of the documents' sets, links count only between sizes that allow a similarity (Jaccard) of `similarity`.
+    """
     links: list[tuple[int, int]] = []
-    if len(fps) <= 1024:  # most groups have no link at all
-        close = np.bitwise_count((fps[:, None] ^ fps).view(np.uint64)) <= distance
-        fps = fps[close.sum(1) > 1]
+    sizes = np.zeros(len(fps), np.int64) if sizes is None else sizes
+
+    def bits(a: np.ndarray, n: np.ndarray, b: np.ndarray, m: np.ndarray) -> np.ndarray:
+        d = np.bitwise_count((a ^ b).view(np.uint64))
+        return np.where(np.minimum(n, m) >= similarity * np.maximum(n, m), d, BITS + 1) if similarity else d
+
+    # most documents of a key have no link at all
+    step = max(1, (1 << 20) // max(len(fps), 1))
+    linked = [(bits(fps[i : i + step, None], sizes[i : i + step, None], fps, sizes) <= distance).sum(1) > 1 for i in range(0, len(fps), step)]
+    if linked:
+        at = np.concatenate(linked)
+        fps, sizes = fps[at], sizes[at]
     while len(fps) > 1:
-        node, rest = fps[0], fps[1:]
-        best, source = np.bitwise_count((rest ^ node).view(np.uint64)), np.full(len(rest), node)
+        rest, held = fps[1:], sizes[1:]
+        best, source = bits(rest, held, fps[0], sizes[0]), np.full(len(rest), fps[0])
         while len(rest) and best[i := int(best.argmin())] <= distance:
-            node = rest[i]
+            node, n = rest[i], held[i]
             links.append((int(source[i]), int(node)))
-            rest, best, source = (np.delete(x, i) for x in (rest, best, source))
-            d = np.bitwise_count((rest ^ node).view(np.uint64))
+            rest, held, best, source = (np.delete(x, i) for x in (rest, held, best, source))
+            d = bits(rest, held, node, n)
             closer = d < best
             best, source = np.where(closer, d, best), np.where(closer, node, source)
-        fps = rest
+        fps, sizes = rest, held
     return links
 
 
@@ -128,10 +146,11 @@ def nearest_links(fps: np.ndarray, distance: int, rows: pa.Table, most: int) ->
     return links
 
 
-def _link(distance: int, most: int | None, joined=forest):
+def _link(distance: int, most: int | None, joined=forest, similarity: float | None = None):
     """Over rows sorted by key: links (a, b), and (a, null) for each fingerprint of a key with more than `most`.
 
-    Rows may have the columns group, sketch and failed, which `joined` then takes as well.
+    Rows may have the columns group, sketch and failed, which `joined` then takes as well. With a `similarity` the keys
+    end in the sizes of the documents' sets, and `joined` takes these.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,6 +162,8 @@ def _link(distance: int, most: int | None, joined=forest):
             fps = np.concatenate([x[0] for x in kept])
             if kept[0][1] is None:
                 return joined(fps, distance)
+            if similarity is not None:
+                return joined(fps, distance, np.concatenate([x[1] for x in kept]), similarity)
             return joined(fps, distance, pa.Table.from_batches([x[1] for x in kept]))
 
         for batch in batches:
@@ -150,6 +171,9 @@ def _link(distance: int, most: int | None, joined=forest):
             if not len(keys):
                 continue
             more = "group" in batch.schema.names
+            sizes = keys & MOST
+            if similarity is not None:
+                keys = keys >> SIZE_BITS
             edge = np.flatnonzero(np.diff(keys)) + 1
             starts, ends = np.concatenate(([0], edge)), np.concatenate((edge, [len(keys)]))
             out: list[tuple[int, int | None]] = []
@@ -163,7 +187,7 @@ def _link(distance: int, most: int | None, joined=forest):
                     out += [(int(x), None) for x in np.concatenate([*[k[0] for k in kept], part])]
                     kept, size, over = [], size + len(part), True
                 else:
-                    kept.append((part, batch.slice(a, b - a) if more else None))
+                    kept.append((part, sizes[a:b] if similarity is not None else batch.slice(a, b - a) if more else None))
                     size += len(part)
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.int64())], ["a", "b"])
         out = close()
@@ -172,27 +196,45 @@ def _link(distance: int, most: int | None, joined=forest):
     return run
 
 
-def links(fps: DataFrame, distance: int = 4, blocks: int = 6, agree: int = 2, most: int = 8192, blocks2: int = 8, agree2: int = 4, joined=forest, reach: int | None = None) -> DataFrame:
+#: The end of a key for the size of a document's set; larger sets count as this large. WIDE: a class of sizes spans so many times what two may differ.
+SIZE_BITS, CLASS_BITS, WIDE = 20, 5, 6
+MOST = (1 << SIZE_BITS) - 1
+
+
+def _sized(key: Column, n: Column, similarity: float) -> Column:
+    """An array with the key in the class of sizes of a set of `n`, and in the next one if sets of that class may be as similar; the size itself comes last."""
+    size = F.least(n, F.lit(MOST)).cast("long")
+    of = lambda x: F.floor(F.log(F.greatest(x, F.lit(1))) / (WIDE * -np.log(similarity)))
+    both = F.array_distinct(F.array(of(size), F.least(of(size / similarity * (1 + 1e-9)), F.lit((1 << CLASS_BITS) - 1))))
+    return F.transform(both, lambda c: F.shiftleft(F.shiftleft(key, CLASS_BITS).bitwiseOR(c), SIZE_BITS).bitwiseOR(size))
+
+
+def links(fps: DataFrame, distance: int = 4, blocks: int = 6, agree: int = 2, most: int = 8192, blocks2: int = 8, agree2: int = 4, joined=forest, reach: int | None = None, similarity: float | None = None) -> DataFrame:
     """Links a, b between distinct fingerprints that join all that are within `distance` bits of each other, step by step.
 
     `agree` of `blocks` sets the key's length (21 bits at 2 of 6); take more for more than some 100 million
     fingerprints. A key with more than `most` fingerprints has them dealt again by `agree2` of `blocks2` (32 bits).
     Within a key links of up to `reach` bits count (`distance` if not given); beyond `distance` some pairs share no key.
-    `fps` (fp) may have the columns group, sketch and failed, for `joined` as nearest_links.
+    `fps` (fp) may have the columns group, sketch and failed, for `joined` as nearest_links. With a `similarity` it has
+    n, the size of the document's set, and links count only where the sizes allow that similarity (0.5 or more).
     """
     reach = reach or distance
     if blocks - distance < agree or blocks2 - distance < agree2:
         raise ValueError("fewer blocks are sure to agree than a key takes")
 
     def keyed(df: DataFrame, blocks: int, agree: int) -> DataFrame:
-        return df.select("*", F.explode(block_keys(F.col("fp"), blocks, agree)).alias("key")).repartition("key").sortWithinPartitions("key", "fp")
+        rows = df.select("*", F.explode(block_keys(F.col("fp"), blocks, agree)).alias("key"))
+        if similarity is None:
+            return rows.repartition("key").sortWithinPartitions("key", "fp")
+        rows = rows.select("fp", F.explode(_sized(F.col("key"), F.col("n"), similarity)).alias("key"))
+        return rows.repartition(F.shiftright("key", SIZE_BITS)).sortWithinPartitions("key", "fp")
 
-    first = save(keyed(fps, blocks, agree).mapInArrow(_link(reach, most, joined), "a long, b long"), "simhash-links")
+    first = save(keyed(fps, blocks, agree).mapInArrow(_link(reach, most, joined, similarity), "a long, b long"), "simhash-links")
     found = first.where("b is not null")
     if first.where("b is null").isEmpty():
         return found.distinct()
     over = first.where("b is null").select(F.col("a").alias("fp")).distinct()
-    second = keyed(fps.join(over, "fp", "left_semi"), blocks2, agree2).mapInArrow(_link(reach, None, joined), "a long, b long")
+    second = keyed(fps.join(over, "fp", "left_semi"), blocks2, agree2).mapInArrow(_link(reach, None, joined, similarity), "a long, b long")
     return found.unionByName(second).distinct()
 
 
@@ -249,7 +291,85 @@ def _grouped(groups: DataFrame, links: DataFrame) -> DataFrame:
     return save(groups.join(roots, groups["group"] == roots["node"], "left").select("fp", F.coalesce("root", "group").alias("group")), "simhash-groups")
 
 
+def _parts(links: DataFrame) -> DataFrame:
+    """group, part of the groups that the links (a, b) hold together."""
+    ends = links.select(F.explode(F.array("a", "b")).alias("group")).distinct()
+    return ends.join(connected_components(links), F.col("group") == F.col("node"), "left").select("group", F.coalesce("root", "group").alias("part"))
+
+
 CHUNK, HELD = 1024, 500_000  #: documents of a chunk, and their shingles, on average
+ROUGH, BINS = 16_384, 256  #: documents of a chunk that holds profiles alone, on average; counts of a profile
+
+
+def profile(found: np.ndarray) -> bytes:
+    """How many shingles of a set fall into each of BINS classes; 255 stands for that many or more."""
+    return np.minimum(np.bincount((found & np.uint64(BINS - 1)).astype(np.int64), minlength=BINS), 255).astype(np.uint8).tobytes()
+
+
+def may_pass(rows: pa.Table, reach: int, similarity: float) -> list[tuple[int, int]]:
+    """Links between documents of different groups, of at most `reach` bits, whose profiles allow `similarity`, that join whatever all such links join.
+
+    `rows` has fp, group, chunk, own, n (the document's different shingles) and profile. Sets have no more in common than
+    the least counts of each class add up to. Documents of one chunk are compared with each other, those of two chunks
+    across; of two documents one at least is an `own` one.
+    """
+    fps, sizes, own = (rows[c].to_numpy() for c in ("fp", "n", "own"))
+    sizes = sizes.astype(np.int64)
+    told = np.frombuffer(b"".join(rows["profile"].to_pylist()), np.uint8).reshape(len(fps), BINS)
+    joined = np.unique(rows["group"].to_numpy(), return_inverse=True)[1]
+    chunks = rows["chunk"].to_numpy()
+    two, places = chunks.min() < chunks.max(), np.arange(len(fps))
+    links: list[tuple[int, int]] = []
+    for i in np.flatnonzero(chunks == chunks.min()).tolist():
+        near = (np.bitwise_count((fps ^ fps[i]).view(np.uint64)) <= reach) & ((chunks != chunks[i]) if two else (places > i))
+        at = np.flatnonzero(near & (own | own[i]) & (joined != joined[i]))
+        least = np.minimum(told[at], told[i])
+        both = np.where((least == 255).any(1), np.minimum(sizes[at], sizes[i]), least.sum(1, dtype=np.int64))
+        for j in at[both / (sizes[i] + sizes[at] - both) >= similarity].tolist():
+            if joined[j] != joined[i]:
+                links.append((int(fps[i]), int(fps[j])))
+                joined[joined == joined[j]] = joined[i]
+    return links
+
+
+def _links_of(find, *told):
+    """A function of a group's rows that gives the links of `find` as a table."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        out = find(rows, *told)
+        return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
+
+    return run
+
+
+def _finer(nodes: DataFrame, texts: DataFrame, size: int, similarity: float, reach: int) -> DataFrame:
+    """`nodes` (fp, group, part) with parts of over CHUNK documents split: a pair of different groups that passes stays in one part.
+
+    Chance links hold very many documents together in a large table, of which hardly two are alike. So such a part is
+    first compared by profiles of a few bytes, within classes of sizes that can be as similar, and what profiles that allow the
+    similarity hold together is a part. Groups without such a pair go.
+    """
+    large = save(nodes.groupBy("part").count().where(F.col("count") > CHUNK).select("part"), "simhash-large")
+    if large.isEmpty():
+        return nodes
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, found in pieces(batches):
+            sets = [np.unique(shingles(x, size)) for x in found]
+            yield pa.RecordBatch.from_arrays([*[batch[c] for c in ("fp", "group", "part")], pa.array([len(x) for x in sets], pa.int32()), pa.array([profile(x) for x in sets], pa.binary())], ["fp", "group", "part", "n", "profile"])
+
+    some = nodes.join(large, "part", "left_semi").join(texts, "fp").select("fp", "group", "part", "text")
+    rows = save(some.mapInArrow(told, "fp long, group long, part long, n int, profile binary"), "simhash-profiles")
+    kind = F.floor(F.log("n") / (-np.log(similarity) * (1 + 1e-9)))  # sizes that allow the similarity are of one class or two that adjoin
+    cells = rows.where("n > 0").withColumn("cell", F.explode(F.array(kind, kind + 1))).withColumn("own", F.col("cell") == kind)
+    dealt = cells.join(cells.groupBy("part", "cell").agg(F.ceil(F.count("*") / ROUGH).cast("int").alias("chunks")), ["part", "cell"])
+    dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    met = dealt.select("part", "cell", F.least("chunk", "other").alias("first"), F.greatest("chunk", "other").alias("second"), "fp", "group", "chunk", "own", "n", "profile")
+    found = met.groupBy("part", "cell", "first", "second").applyInArrow(_links_of(may_pass, reach, similarity), "a long, b long")
+    named = lambda c: nodes.select(F.col("fp").alias(c), F.col("group").alias(f"group_{c}"))
+    held = save(found.join(named("a"), "a").join(named("b"), "b").select(F.col("group_a").alias("a"), F.col("group_b").alias("b")), "simhash-may")
+    finer = nodes.join(large, "part", "left_semi").drop("part").join(_parts(held), "group")
+    return nodes.join(large, "part", "left_anti").select("fp", "group", "part").unionByName(finer.select("fp", "group", "part"))
 
 
 def passing(rows: pa.Table, reach: int, similarity: float) -> list[tuple[int, int]]:
@@ -296,16 +416,12 @@ def _across(nodes: DataFrame, texts: DataFrame, size: int, similarity: float, re
             found = pa.array([np.unique(shingles(x, size)).view(np.int64) for x in told], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*[batch[c] for c in ("fp", "group", "part")], found], ["fp", "group", "part", "found"])
 
-    def meet(rows: pa.Table) -> pa.Table:
-        out = passing(rows, reach, similarity)
-        return pa.table({"a": pa.array([x[0] for x in out], pa.int64()), "b": pa.array([x[1] for x in out], pa.int64())})
-
-    sets = save(nodes.join(texts, "fp").select("fp", "group", "part", "text").mapInArrow(shingled, "fp long, group long, part long, found array<long>"), "simhash-sets")
+    sets = save(_finer(nodes, texts, size, similarity, reach).join(texts, "fp").select("fp", "group", "part", "text").mapInArrow(shingled, "fp long, group long, part long, found array<long>"), "simhash-sets")
     chunks = F.greatest(F.ceil(F.count("*") / CHUNK), F.ceil(F.sum(F.size("found")) / HELD)).cast("int")
     dealt = sets.join(sets.groupBy("part").agg(chunks.alias("chunks")), "part").withColumn("chunk", F.pmod(F.xxhash64("fp"), F.col("chunks")).cast("int"))
     met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     met = met.select("part", F.least("chunk", "other").alias("first"), F.greatest("chunk", "other").alias("second"), "fp", "group", "chunk", "found")
-    return met.groupBy("part", "first", "second").applyInArrow(meet, "a long, b long")
+    return met.groupBy("part", "first", "second").applyInArrow(_links_of(passing, reach, similarity), "a long, b long")
 
 
 def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, distance: int = 10, reach: int = 12) -> DataFrame:
@@ -321,8 +437,9 @@ def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, distance: i
     aren't found: about one in five at 0.8, one in twenty at 0.85. A greater `distance` and `reach` find more, with more
     and shorter keys.
     """
-    fps = save(fingerprints(docs, size, "row binary, doc_id long"), "simhash-fp")
-    near = links(fps.select("fp").distinct(), distance, distance + 2, 2, 8192, distance + 3, 3, nearest_forest, reach)
+    fps = save(fingerprints(docs, size, "row binary, doc_id long", counted=True), "simhash-fp")
+    sized = fps.groupBy("fp").agg(F.min_by("n", "row").alias("n"))  # of the document that stands for it
+    near = links(sized, distance, distance + 2, 2, 8192, distance + 3, 3, nearest_forest, reach, similarity)
     near = save(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "simhash-near")
     linked = save(near.select(F.col("a").alias("fp")).unionByName(near.select(F.col("b").alias("fp"))).distinct(), "simhash-linked")
     first = fps.join(linked, "fp", "left_semi").groupBy("fp").agg(F.min("row").alias("row"))  # one document for each linked fingerprint
@@ -333,8 +450,7 @@ def similar(docs: DataFrame, size: int = 5, similarity: float = 0.8, distance: i
     apart = save(apart.select(F.col("group_a").alias("a"), F.col("group_b").alias("b")).distinct(), "simhash-apart")
     if not apart.isEmpty():
         # groups that failed links hold together: a pair of different groups can only be found within such a part
-        parts = apart.select(F.explode(F.array("a", "b")).alias("group")).distinct().join(connected_components(apart), F.col("group") == F.col("node"), "left")
-        nodes = groups.join(parts.select("group", F.coalesce("root", "group").alias("part")), "group")
+        nodes = groups.join(_parts(apart), "group")
         groups = _grouped(groups, save(_across(nodes, texts, size, similarity, reach), "simhash-across"))
     rows = fps.join(groups, "fp", "left")
     return rows.select("row", "doc_id", "fp", F.coalesce("group", "fp").alias("group"))

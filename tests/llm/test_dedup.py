@@ -170,6 +170,66 @@ def test_passing_joins_what_all_pairs_join():
             assert roots([(int(groups[at[a]]), int(groups[at[b]])) for a, b in links]) == roots(every)
 
 
+def test_chance_links_hold_no_sets_together(spark, monkeypatch):
+    """Of a large part that unlike documents of close fingerprints make, only those whose sets can be alike are laid out as sets; all links that pass are found."""
+    monkeypatch.setattr(simhash, "CHUNK", 32)
+    monkeypatch.setattr(simhash, "ROUGH", 64, raising=False)
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 8)))
+    texts = [" ".join(word() for _ in range(rng.choice((60, 70, 200, 1500)))) for _ in range(300)]
+    alike = rng.sample(range(300), 12)
+    texts += [texts[i] + " " + word() for i in alike]
+    fps = sorted({(1 << 40) ^ (1 << a) ^ (1 << b) for a in range(38) for b in range(a)})
+    rng.shuffle(fps)
+    written = {}
+    save = simhash.save
+
+    def counted(df, label):
+        out = save(df, label)
+        written[label] = out.count()
+        return out
+
+    monkeypatch.setattr(simhash, "save", counted)
+    nodes = spark.createDataFrame([(f, f, 7) for f, _ in zip(fps, texts)], "fp long, group long, part long")
+    links = simhash._across(nodes, spark.createDataFrame(list(zip(fps, texts)), "fp long, text string"), 5, 0.8, 12).collect()
+    assert {frozenset(x) for x in links} == {frozenset((fps[i], fps[300 + k])) for k, i in enumerate(alike)}
+    assert written["simhash-sets"] <= 40
+
+
+def test_sizes_leave_out_what_cannot_pass_alone(spark):
+    rng = np.random.default_rng(12)
+    centre = int(rng.integers(0, 1 << 62))
+    fps = sorted({centre ^ (1 << int(a)) ^ (1 << int(b)) for a, b in rng.integers(0, 60, (120, 2))})
+    sizes = [int(x) for x in np.exp(rng.uniform(0, 9, len(fps)))]
+    links = [(r["a"], r["b"]) for r in simhash.links(spark.createDataFrame(list(zip(fps, sizes)), "fp long, n int"), joined=simhash.nearest_forest, similarity=0.8, most=30).collect()]
+    known = dict(zip(fps, sizes))
+    near = lambda a, b: (a ^ b).bit_count() <= 4 and min(known[a], known[b]) >= 0.8 * max(known[a], known[b])
+
+    def joined(pairs):
+        root = {f: f for f in fps}
+        for a, b in pairs:
+            x, y = sorted((root[a], root[b]))
+            root = {f: x if r == y else r for f, r in root.items()}
+        return root
+
+    assert all(near(a, b) for a, b in links) and len(fps) > 100
+    assert joined(links) == joined([(a, b) for i, a in enumerate(fps) for b in fps[:i] if near(a, b)])
+
+
+def test_profiles_allow_whatever_passes():
+    rng = np.random.default_rng(13)
+    for n in (1, 5, 40, 400, 40_000):
+        a = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        for share in (0.5, 0.79, 0.8, 0.95):
+            b = np.unique(np.concatenate((a[: int(np.ceil(len(a) * share))], rng.integers(0, 1 << 62, int(n * (1 - share) / 9)).astype(np.uint64))))
+            rows = pa.table({"fp": [0, 1], "group": [0, 1], "chunk": [0, 0], "own": [True, False], "n": [len(a), len(b)], "profile": [simhash.profile(a), simhash.profile(b)]})
+            passes = len(np.intersect1d(a, b)) >= 0.8 * len(np.union1d(a, b))
+            assert simhash.may_pass(rows, 12, 0.8) == [(0, 1)] or not passes
+    other = np.unique(rng.integers(0, 1 << 62, 400).astype(np.uint64))
+    a = np.unique(rng.integers(0, 1 << 62, 400).astype(np.uint64))
+    assert not simhash.may_pass(pa.table({"fp": [0, 1], "group": [0, 1], "chunk": [0, 0], "own": [True, True], "n": [400, 400], "profile": [simhash.profile(a), simhash.profile(other)]}), 12, 0.8)
+
+
 def test_rows_of_one_id_go_for_their_own_text(spark):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 8)))
