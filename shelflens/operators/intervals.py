@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import in_polygon
+from .prefix import running, saved
 
 STEP = 3  #: sizes are powers of 2 ** STEP
 _FAR = float(1 << 52)
@@ -47,6 +48,27 @@ def interval_join(rows: DataFrame, bands: DataFrame, keys: list[str], value: str
     return asked.join(laid, [*keys, "_level", "_cell"]).where(inside).select(*names).unionByName(open_)
 
 
+def interval_sums(rows: DataFrame, bands: DataFrame, keys: list[str], value: str, sums: str, low: str = "low", high: str = "high") -> DataFrame:
+    """The bands that hold a row of their keys, and the sum of the column `sums` over the rows that interval_join finds for each; no pair is made.
+
+    Values and ends are put in one order, where a band's sum is what lies before its upper end less what lies before its
+    lower end. So the work grows with rows and bands, however many bands hold a row. Equal values and equal ends count
+    once. Rows outside of all bands of their keys are left out first. Nulls of `sums` count as 0. Sums of doubles may
+    differ in the last places.
+    """
+    whole = bands.where(F.col(low) < F.col(high))
+    reach = whole.groupBy(*keys).agg(F.min(low).alias("_least"), F.max(high).alias("_most"))
+    inside = rows.join(reach, keys).where((F.col(value) >= F.col("_least")) & (F.col(value) < F.col("_most")))
+    values = inside.groupBy(*keys, F.col(value).alias("_at")).agg(F.sum(sums).alias("_sum"), F.count("*").alias("_rows")).withColumn("_is_row", F.lit(True))
+    ends = whole.select(*keys, F.explode(F.array(F.col(low), F.col(high))).alias("_at")).distinct().withColumn("_is_row", F.lit(False))
+    # an end comes before the values equal to it
+    found = running(values.unionByName(ends, allowMissingColumns=True), keys, [F.col("_at"), F.col("_is_row")], ["_sum", "_rows"]).where("not _is_row")
+    found = saved(found.select(*keys, "_at", F.col("_before__sum").alias("_sum"), F.col("_before__rows").alias("_rows")), "interval-ends")
+    at = lambda end, name: found.select(*keys, F.col("_at").alias(end), F.col("_sum").alias(f"_sum_{name}"), F.col("_rows").alias(f"_rows_{name}"))
+    told = whole.join(at(low, "low"), [*keys, low]).join(at(high, "high"), [*keys, high]).where("_rows_high > _rows_low")
+    return told.select(*bands.columns, (F.col("_sum_high") - F.col("_sum_low")).alias(sums))
+
+
 def _crosses(ring: Column, x0: Column, y0: Column, side: Column) -> Column:
     """Whether an edge of the ring may touch the square: their boxes meet and the square's corners aren't all on one side of it."""
     n = F.size(ring)

@@ -462,6 +462,34 @@ def test_prices_of_bands_are_rounded_alike(spark, tmp_path):
     assert _rows(_overlapping(goods, orders), "band", "lines") == sorted(want, key=repr)
 
 
+def test_sums_in_bands_make_no_pairs(spark):
+    """Equal to the pairs' sums, with equal, empty, endless and null bands, also where nearly all bands hold nearly all rows."""
+    rng = random.Random(21)
+    inf = float("inf")
+    ends = [None, -inf, inf, -0.0, 0.0, float("nan")]
+    rows = [(rng.choice(["a", "b", None]), rng.choice(ends) if rng.random() < 0.1 else rng.randint(-30, 30) / 2, rng.choice([1, 2, -3, None])) for _ in range(300)]
+    bands = [(rng.choice(["a", "b", "c", None]), i, *(rng.choice(ends) if rng.random() < 0.2 else rng.randint(-40, 40) / 2 for _ in range(2))) for i in range(400)]
+    values, told = spark.createDataFrame(rows, "k string, v double, n long"), spark.createDataFrame(bands, "k string, band long, low double, high double")
+    want = intervals.interval_join(values, told, ["k"], "v").groupBy("k", "band", "low", "high").agg(F.sum("n").alias("n"))
+    got = intervals.interval_sums(values, told, ["k"], "v", "n")
+    # where all values of a band are null its sum is 0 here
+    assert got.columns == ["k", "band", "low", "high", "n"] and _rows(got, "k", "band", "n") == _rows(want.fillna(0, ["n"]), "k", "band", "n")
+    hot = spark.range(20_000).select(F.lit("a").alias("k"), F.col("id").cast("double").alias("v"), F.lit(1).alias("n"))
+    wide = spark.range(20_000).select(F.lit("a").alias("k"), F.col("id").alias("band"), (-F.col("id")).cast("double").alias("low"), (20_000.0 + F.col("id") % 3).alias("high"))
+    found = intervals.interval_sums(hot, wide, ["k"], "v", "n")  # 400 million pairs
+    assert found.agg(F.count("*"), F.min("n"), F.max("n")).first()[:] == (20_000, 20_000, 20_000)
+
+
+def test_bands_of_a_hot_level_are_summed_without_pairs(spark):
+    from shelflens.queries_scale import _overlapping
+
+    goods = spark.range(30_000).select(F.lit("A").alias("level1"), F.col("id").alias("goods"), (F.col("id") % 100).cast("double").alias("price"), F.lit(200).alias("comments"))
+    orders = spark.range(30_000).select(F.lit("A").alias("level1"), (F.col("id") / 100).alias("price"))
+    assert _overlapping(goods, orders).agg(F.count("*"), F.min("lines"), F.max("lines")).first()[:] == (30_000, 30_000, 30_000)
+    plan = _overlapping(goods, orders)._jdf.queryExecution().executedPlan().toString()
+    assert "_cell" not in plan and "Generate explode(sequence" not in plan
+
+
 def test_summed_ratios_tie_whatever_their_halves(spark, monkeypatch):
     near = spark.createDataFrame([(1, 10, 0.053364), (2, 10, 1.239186), (1, 11, 1.2926)], "goods long, other long, score double")
     monkeypatch.setattr(cooccurrence, "llr_item_similarity", lambda ratings: near)
