@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,8 +15,170 @@ from .prefix import running, saved
 from .rank import top_k
 
 EPS = 1e-9
-#: Pairs beyond which a self-join on common dimensions gives way to the pruned join, whose lists are the same.
+#: Pairs beyond which joins on common dimensions give way to sums over blocks, whose lists are the same.
 PLAIN_PAIRS = 200_000_000
+#: Vectors of a block that are asked for at once, and of a piece that they meet at once, at most; entries that all blocks take, about.
+BLOCK, PIECE, TAKEN = 16_384, 65_536, 30_000_000
+
+
+class _Lists:
+    """The `k` best others of each vector of a block, as far as pieces have been met. Entries are sorted by vector."""
+
+    def __init__(self, n: np.ndarray, dim: np.ndarray, w: np.ndarray, k: int, least: float, sets: bool):
+        order = np.lexsort((dim, n))
+        self.dim, self.w, self.k, self.sets = dim[order], w[order], k, sets
+        self.n, first = np.unique(n[order], return_index=True)
+        self.starts = np.append(first, len(n)).tolist()
+        none = (np.zeros(0), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        self.found, self.floor = [none] * len(self.n), [least] * len(self.n)
+
+    def meet(self, n: np.ndarray, dim: np.ndarray, w: np.ndarray, many: np.ndarray, apart: bool) -> None:
+        """Takes a piece, its entries sorted by dimension; `apart`: a vector isn't its own neighbour."""
+        names, at = np.unique(n, return_inverse=True)
+        dims, first = np.unique(dim, return_index=True)
+        ends = np.append(first[1:], len(dim))
+        place = np.minimum(np.searchsorted(dims, self.dim), len(dims) - 1)
+        known = dims[place] == self.dim
+        a, b = np.where(known, first[place], 0).tolist(), np.where(known, ends[place], 0).tolist()
+        own = np.minimum(np.searchsorted(names, self.n), len(names) - 1)
+        own = np.where((names[own] == self.n) & apart, own, -1).tolist()
+        told = np.zeros(len(names), np.int64)
+        told[at] = many
+        counts = np.int16 if len(self.dim) < 1 << 15 or np.diff(self.starts).max() < 1 << 15 else np.int32
+        sums, size = np.zeros(len(names), counts if self.sets else np.float64), np.zeros(len(names))
+        if self.sets:
+            size[at] = w
+        weights = self.w.tolist()
+        for i in range(len(self.n)):
+            for j in range(self.starts[i], self.starts[i + 1]):
+                if a[j] < b[j]:
+                    if self.sets:
+                        sums[at[a[j] : b[j]]] += 1
+                    else:
+                        sums[at[a[j] : b[j]]] += weights[j] * w[a[j] : b[j]]
+            if own[i] >= 0:
+                sums[own[i]] = 0
+            if not self.sets:
+                # the k best of a short list tell what all others have to reach
+                short = min(((b[j] - a[j], a[j]) for j in range(self.starts[i], self.starts[i + 1]) if b[j] - a[j] > self.k), default=(0, 0))
+                if short[0]:
+                    some = sums[at[short[1] : short[1] + short[0]]]
+                    self._reach(i, np.partition(some, len(some) - self.k)[len(some) - self.k])
+                near = np.flatnonzero(sums > self.floor[i])
+                if len(near):
+                    self._keep(i, sums[near], names[near], told[near])
+            else:
+                mine, most = weights[self.starts[i]], int(sums.max())
+                score = lambda x, m=mine: sums[x] / (m + size[x] - sums[x])
+                if most >= max(ceil(self.floor[i] * mine - EPS), 1):
+                    near = np.flatnonzero(sums == most)  # these tell what the others have to reach
+                    self._keep(i, score(near), names[near], told[near])
+                    common = max(ceil(self.floor[i] * mine - EPS), 1)
+                    if common < most:
+                        near = np.flatnonzero((sums >= common) & (sums < most))
+                        self._keep(i, score(near), names[near], told[near])
+            sums.fill(0)
+
+    def _reach(self, i: int, score: float) -> None:
+        """From now on scores have to be as much in nine places."""
+        self.floor[i] = max(self.floor[i], (np.floor(score * 1e9 + 0.5) - 0.5) / 1e9 - 1e-15)
+
+    def _keep(self, i: int, scores: np.ndarray, names: np.ndarray, many: np.ndarray) -> None:
+        """By scores of nine places, ties by the least name; of those only as many as stand for `k` + 1 vectors."""
+        good = scores > self.floor[i]
+        s, o, m = (np.concatenate((x, y[good])) for x, y in zip(self.found[i], (scores, names, many), strict=True))
+        if len(s) > self.k:
+            near = s >= np.partition(s, len(s) - self.k)[len(s) - self.k] - 2 * EPS
+            s, o, m = s[near], o[near], m[near]
+        places = np.floor(s * 1e9 + 0.5)
+        best = np.lexsort((o, -places))[: self.k]
+        s, o, m, places = s[best], o[best], m[best], places[best]
+        full = np.flatnonzero(np.cumsum(m) > self.k)
+        last = full[0] if len(full) else self.k - 1
+        if last < len(s):
+            kept = places >= places[last]
+            self._reach(i, places[last] / 1e9)
+            s, o, m = s[kept], o[kept], m[kept]
+        self.found[i] = (s, o, m)
+
+    def told(self) -> pa.RecordBatch:
+        ends = np.cumsum([0, *(len(x[0]) for x in self.found)])
+        lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([x[c] for x in self.found]))) for c in (1, 0)]
+        return pa.RecordBatch.from_arrays([pa.array(self.n, pa.int64()), *lists], ["n", "others", "scores"])
+
+
+def _meet(k: int, least: float, sets: bool, apart: bool):
+    """Over rows sorted by _q, _c and dim: the lists of each block _q, whose own entries have the _c -1, from its pieces _c."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        key, kept = None, []
+        for batch in batches:
+            told = [batch[c].to_numpy() for c in ("_q", "_c", "n", "dim", "w", "many")]
+            if not len(told[0]):
+                continue
+            edges = np.flatnonzero((np.diff(told[0]) != 0) | (np.diff(told[1]) != 0)) + 1
+            for i, j in zip([0, *edges.tolist()], [*edges.tolist(), len(told[0])], strict=True):
+                here = (int(told[0][i]), int(told[1][i]))
+                if kept and here != key:
+                    yield *key, *(np.concatenate(x) for x in zip(*kept, strict=True))
+                    kept = []
+                key = here
+                kept.append([x[i:j] for x in told[2:]])
+        if kept:
+            yield *key, *(np.concatenate(x) for x in zip(*kept, strict=True))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lists = None
+        for _, piece, n, dim, w, many in whole(batches):
+            if piece < 0:
+                if lists:
+                    yield lists.told()
+                lists = _Lists(n, dim, w, k, least, sets)
+            else:
+                lists.meet(n, dim, w, many, apart)
+        if lists:
+            yield lists.told()
+
+    return run
+
+
+def _blocked(own: DataFrame, other: DataFrame, k: int, least: float, sets: bool = False, counts: DataFrame | None = None) -> DataFrame:
+    """id, other, score: for each vector of `own` (id, dim, w) the `k` best of `other` by product above `least`; ties of nine places by the least other.
+
+    With `sets` dims are members, w is a set's size and the score is the Jaccard similarity. With `counts` (id, many) a
+    vector of `other` stands for as many equal ones, and lists end where those kept stand for over `k`. Without `sets`
+    `own` is `other`, and a vector isn't its own neighbour.
+
+    Vectors are dealt out in blocks, in the order of their least dimension. A block takes the entries of its dimensions, a
+    piece of the vectors at a time, adds the products up in arrays and keeps its lists alone: every pair that has a
+    dimension in common is worked out, none is written. A task holds a block's lists and a piece's entries.
+    """
+    dims = saved(other.select("dim").distinct().withColumn("_dim", F.monotonically_increasing_id()), "dims")
+
+    def placed(df: DataFrame) -> DataFrame:
+        """_spot: places in the order of the least dimension; n: numbers in the order of the ids."""
+        first = running(df.groupBy("id").agg(F.min("dim").alias("_least")), [], [F.col("_least"), F.col("id")], []).select("id", (F.col("_place") - 1).alias("_spot"))
+        if dict(df.dtypes)["id"] in ("int", "bigint"):
+            return saved(first.withColumn("n", F.col("id").cast("long")), "places")
+        return saved(running(first, [], [F.col("id")], []).select("id", "_spot", F.col("_place").alias("n")), "places")
+
+    theirs = placed(other)
+    ours = placed(own) if sets else theirs
+    entries = saved(other.join(dims, "dim").join(theirs, "id").join(counts if counts is not None else theirs.select("id", F.lit(1).alias("many")), "id").select("n", F.floor(F.col("_spot") / PIECE).cast("int").alias("_c"), F.col("_dim").alias("dim"), F.col("w").cast("double").alias("w"), F.col("many").cast("long").alias("many")), "entries")
+    asked, taken = ours.count(), max(entries.count(), 1)
+    blocks = max(ceil(asked / BLOCK), min(48, max(8, TAKEN // taken), asked), 1)
+    each = ceil(asked / blocks)
+    queries = own.join(dims, "dim").join(ours, "id").select(F.floor(F.col("_spot") / each).cast("int").alias("_q"), "n", F.col("_dim").alias("dim"), F.col("w").cast("double").alias("w"))
+    queries = saved(queries, "queries")
+    met = queries.select("_q", "dim").distinct().join(entries, "dim").select("_q", "_c", "n", "dim", "w", "many")
+    rows = met.unionByName(queries.select("_q", F.lit(-1).alias("_c"), "n", "dim", "w", F.lit(1).cast("long").alias("many")))
+    rows = rows.repartitionById(blocks, F.col("_q")).sortWithinPartitions("_q", "_c", "dim", "n")
+    found = rows.mapInArrow(_meet(k, least, sets, not sets), "n long, others array<long>, scores array<double>")
+    flat = found.select("n", F.explode(F.arrays_zip("others", "scores")).alias("_x")).select("n", F.col("_x.others").alias("_o"), F.col("_x.scores").alias("score"))
+    if {dict(df.dtypes)["id"] for df in (own, other)} <= {"int", "bigint"}:
+        return flat.select(F.col("n").cast(dict(own.dtypes)["id"]).alias("id"), F.col("_o").cast(dict(other.dtypes)["id"]).alias("other"), "score")
+    named = theirs.select(F.col("id").alias("other"), F.col("n").alias("_o"))
+    return flat.join(ours.select("id", "n"), "n").join(named, "_o").select("id", "other", "score")
 
 
 def rare_first(sets: DataFrame, tokens: str, counts: DataFrame) -> DataFrame:
@@ -55,21 +219,31 @@ def set_candidates(own: DataFrame, other: DataFrame, least: float) -> DataFrame:
 def best_set_matches(own: DataFrame, other: DataFrame, tokens: str, steps: tuple[float, ...] = (0.9, 0.75, 0.6, 0.45, 0.3, 0.15)) -> DataFrame:
     """own, other, score: for each own set (id, tokens) the other one of greatest Jaccard similarity above 0; ties by the least other id.
 
-    The similarity asked for falls step by step, and only own sets without a match at one step go on to the next, so
-    common tokens are joined for those sets alone that have nothing rarer in common with any. Equal sets are matched
-    once, under the least id that has them, so copies cost a row each.
+    Equal sets are matched once, under the least id that has them, so copies cost a row each; a set that stands on both
+    sides is found by a join. For the others the similarity asked for falls step by step, and only own sets without a
+    match at one step go on to the next, so common tokens are joined for those sets alone that have nothing rarer in
+    common with any. Where tokens are so common that they make over PLAIN_PAIRS pairs, all pairs are worked out in blocks.
     """
     counts = saved(other.select(F.explode(F.array_distinct(tokens)).alias("token")).groupBy("token").agg(F.count("*").alias("n")), "tokens")
     sets = saved(rare_first(own, tokens, counts), "sets")
     x, y = (saved(s.groupBy("set").agg(F.min("id").alias("id")), "distinct-sets") for s in (sets, rare_first(other, tokens, counts)))
     named = sets.join(x.withColumnRenamed("id", "_first"), "set").select("id", "_first")
-    found: DataFrame | None = None
+    found = saved(x.join(y.withColumnRenamed("id", "other"), "set").select(F.col("id").alias("own"), "other", F.lit(1.0).alias("score")), "matches")
+    x = saved(x.join(found.select(F.col("own").alias("id")), "id", "left_anti"), "other-sets")
+    told = lambda df: df.select("id", F.explode("set").alias("dim"), F.size("set").alias("w"))
+    if _meetings(told(x), told(y)) > PLAIN_PAIRS:
+        met = _blocked(told(x), told(y), 1, EPS, True)
+        return _for_equal(named, found.unionByName(met.withColumnRenamed("id", "own")))
     for least in (*steps, 0.0):
         score = F.size(F.array_intersect("a", "b")) / F.size(F.array_union("a", "b"))
         pairs = set_candidates(x, y, max(least, EPS)).select("own", "other", score.alias("score")).where(F.col("score") >= max(least - EPS, EPS))
         best = saved(top_k(pairs, ["own"], [F.round("score", 9).desc(), F.col("other")], 1).drop("rank"), "matches")
-        found = best if found is None else found.unionByName(best)
+        found = found.unionByName(best)
         x = x.join(best.select(F.col("own").alias("id")), "id", "left_anti")
+    return _for_equal(named, found)
+
+
+def _for_equal(named: DataFrame, found: DataFrame) -> DataFrame:
     return named.join(found.withColumnRenamed("own", "_first"), "_first").select(F.col("id").alias("own"), "other", "score")
 
 
@@ -170,14 +344,23 @@ def pruned_cosine(rows: DataFrame, k: int, least: float = 0.0, steps: tuple[floa
     vectors whose `k` neighbours weren't found at a greater t. Each step goes on with the vectors that have fewer, and
     joins what is left plainly once that takes less work. Equal vectors are one in all this.
     """
-    return cosine_lists(rows, k, least, 0, steps)
+    equal, unit = _different(rows)
+    return _for_each(_pruned(unit, k, least, steps).select("id", "other", "score"), equal, k)
 
 
-def cosine_lists(rows: DataFrame, k: int, least: float = 0.0, plain: int = PLAIN_PAIRS, steps: tuple[float, ...] = (0.8, 0.6, 0.4, 0.2)) -> DataFrame:
-    """The same lists, through a plain self-join of the different vectors where that makes at most `plain` pairs."""
+def _different(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """equal_vectors of the rows, and the different vectors at length 1."""
     equal = equal_vectors(rows)
-    unit = saved(_unit(rows.join(equal.where("id = first").select("id"), "id", "left_semi")), "unit")
-    found = _plain(unit, k, least) if most_pairs(unit) <= plain else _pruned(unit, k, least, steps)
+    return equal, saved(_unit(rows.join(equal.where("id = first").select("id"), "id", "left_semi")), "unit")
+
+
+def cosine_lists(rows: DataFrame, k: int, least: float = 0.0, plain: int | None = None) -> DataFrame:
+    """The same lists, through a plain self-join of the different vectors where that makes at most `plain` (PLAIN_PAIRS) pairs, in blocks where it makes more."""
+    equal, unit = _different(rows)
+    if most_pairs(unit) <= (PLAIN_PAIRS if plain is None else plain):
+        found = _plain(unit, k, least)
+    else:
+        found = _blocked(unit, unit, k, least, counts=equal.groupBy(F.col("first").alias("id")).agg(F.count("*").alias("many")))
     return _for_each(found.select("id", "other", "score"), equal, k)
 
 

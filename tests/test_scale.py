@@ -127,6 +127,48 @@ def test_best_sets_are_found_among_few_candidates(spark):
     assert nearest.set_candidates(x, y, 0.5).count() < 0.05 * len(own) * len(others)
 
 
+@pytest.fixture
+def in_blocks(monkeypatch):
+    """All joins on dimensions count as too large, and blocks and pieces are small."""
+    for name, value in {"PLAIN_PAIRS": 0, "BLOCK": 50, "PIECE": 64, "TAKEN": 1}.items():
+        monkeypatch.setattr(nearest, name, value)
+    for name in ("_plain", "_pruned", "set_candidates", "cosine_candidates"):
+        monkeypatch.setattr(nearest, name, lambda *args: pytest.fail("pairs are written"))
+
+
+def test_best_sets_in_blocks(spark, in_blocks):
+    """Common tokens alone, equal sets, ties, copies, names as ids and sets without a match: as all pairs tell."""
+    from shelflens.operators.rank import top_k
+
+    rng = random.Random(15)
+    draw = lambda n, most: [rng.sample([f"w{j}" for j in range(9)], rng.randint(1, most)) for _ in range(n)]
+    own, others = [*draw(230, 6), ["none"], []], [*draw(150, 7), ["w1"], ["w1"], ["other"], []]
+    for kind in ("long", "string"):
+        frame = lambda sets, kind=kind: spark.createDataFrame(list(enumerate(sets)), "id long, tokens array<string>").withColumn("id", F.col("id").cast(kind))
+        a, b = frame(own), frame(others)
+        pairs = a.where("size(tokens) > 0").crossJoin(b.select(F.col("id").alias("other"), F.col("tokens").alias("t"))).withColumn("score", F.size(F.array_intersect("tokens", "t")) / F.size(F.array_union("tokens", "t"))).where("score > 0")
+        want = top_k(pairs.withColumnRenamed("id", "own"), ["own"], [F.round("score", 9).desc(), F.col("other")], 1)
+        assert _rows(nearest.best_set_matches(a, b, "tokens"), "own", "other", "score") == _rows(want, "own", "other", "score")
+
+
+def test_cosine_lists_in_blocks(spark, in_blocks):
+    """Vectors of few values on few dimensions, many equal and very many scores tied, some in line and some alone: as all pairs tell."""
+    rng = random.Random(16)
+    vectors = [[(("a", f"d{d}"), rng.choice([1.0, 2.0])) for d in rng.sample(range(7), rng.randint(1, 4))] for _ in range(220)]
+    vectors += [[(("b", "x"), 1.0 + i % 2)] for i in range(9)] + [[(("c", "alone"), 2.0)]] + [[(e, 3 * w) for e, w in vectors[i]] for i in range(20)] + [vectors[0]] * 12
+    rng.shuffle(vectors)
+    told = [dict(v) for v in vectors]
+    norm = [sum(w * w for w in v.values()) ** 0.5 for v in told]
+    rows = spark.createDataFrame([(i, e, w) for i, v in enumerate(vectors) for e, w in v], "id long, dim struct<by: string, term: string>, w double")
+    for k, least in ((4, 0.0), (20, 0.3)):
+        want = []
+        for i, a in enumerate(told):
+            scores = [(sum(w * b.get(e, 0) for e, w in a.items()) / norm[i] / norm[j], j) for j, b in enumerate(told) if j != i]
+            near = sorted((-round(s, 9), j) for s, j in scores if s > least)[:k]
+            want += [(i, j, round(-s, 6), n + 1) for n, (s, j) in enumerate(near)]
+        assert _rows(nearest.cosine_lists(rows, k, least), "id", "other", "score", "rank") == sorted(want, key=repr)
+
+
 def test_cosine_lists_without_popular_dimensions(spark):
     """Every vector holds the popular dimension, which alone would pair all of them."""
     rng = random.Random(6)
